@@ -1,0 +1,268 @@
+"""The k most similar vectors of every vector, by learned partitions (problem 7).
+
+Method. From a bounded sample (``sample_rows``) a neighbour graph is built, the graph is cut into balanced partitions, and a
+small classifier (multinomial logistic regression) learns which partition a vector's neighbours lie in. Every vector is
+indexed in its most probable partition and, as a query, visits the ``probes`` most probable ones, where all similarities are
+computed exactly in double precision; the best k of all visited partitions stay. Only the partitions and the classifier come
+from the sample; every row is indexed and every row is a query.
+
+Skew. A vector that occurs more than k + 1 times is indexed by its k + 1 smallest ids only: the others can never be among
+the neighbours, as ties go to the smaller id. A partition with more than ``block_rows`` index rows or queries is split into
+blocks of both; each query block meets each index block, so nothing is dropped and no task grows with a partition.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from folioforge.session import checkpointed
+
+
+@dataclass(frozen=True)
+class KnnPlan:
+    """``partition_rows``: index rows meant for a partition; with ``sample_rows`` it sets the number of partitions, which
+    ``max_partitions`` bounds (beyond it partitions grow, and are worked off in blocks of ``block_rows``)."""
+
+    k: int = 10
+    dim: int = 96
+    probes: int = 4
+    sample_rows: int = 16_384
+    partition_rows: int = 1000
+    max_partitions: int = 512
+    block_rows: int = 4096
+    digits: int = 9
+    seed: int = 7
+
+
+def usable(vector: str, dim: int):
+    """``dim`` finite values that are not all zero."""
+    v = F.col(vector)
+    finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return (F.size(v) == dim) & finite & F.exists(v, lambda x: x != 0)
+
+
+# --- fitting, on the bounded sample -------------------------------------------------------------------------------------
+
+
+def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
+    """For each unit vector the row numbers of its k nearest others."""
+    out = np.empty((len(x), k), dtype=np.int32)
+    for at in range(0, len(x), 1024):
+        s = x[at : at + 1024] @ x.T
+        s[np.arange(len(s)), np.arange(at, at + len(s))] = -2
+        out[at : at + 1024] = np.argpartition(-s, k - 1, axis=1)[:, :k]
+    return out
+
+
+def balanced_partitions(x: np.ndarray, graph: np.ndarray, parts: int, seed: int, rounds: int = 8) -> np.ndarray:
+    """A part for each row, of at most 1.1 times the mean size, with few edges of the graph between parts.
+
+    Starts from directions (spherical means) and then moves rows to the part most of their neighbours are in, while there is
+    room; full parts give rows with the least ties first.
+    """
+    rng = np.random.default_rng(seed)
+    room = int(np.ceil(len(x) / parts * 1.1))
+    centres = x[rng.choice(len(x), parts, replace=False)]
+    near = np.zeros(len(x), dtype=np.int64)
+    for _ in range(8):
+        near = np.concatenate([(x[at : at + 4096] @ centres.T).argmax(1) for at in range(0, len(x), 4096)])
+        sums = np.zeros_like(centres)
+        np.add.at(sums, near, x)
+        empty = np.flatnonzero(np.bincount(near, minlength=parts) == 0)
+        sums[empty] = x[rng.choice(len(x), len(empty))]
+        centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
+    part = near
+    for turn in range(rounds):
+        votes = np.zeros((len(x), parts), dtype=np.float32)
+        np.add.at(votes, (np.repeat(np.arange(len(x)), graph.shape[1]), part[graph].ravel()), 1.0)
+        votes += 2.0 * (x @ centres.T)  # the direction decides where neighbours do not
+        wish = votes.argmax(1)
+        gain = votes[np.arange(len(x)), wish] - votes[np.arange(len(x)), part]
+        size = np.bincount(part, minlength=parts)
+        moved = 0
+        for i in np.argsort(-gain):
+            if gain[i] <= 0:
+                break
+            if size[wish[i]] < room:
+                size[part[i]] -= 1
+                size[wish[i]] += 1
+                part[i] = wish[i]
+                moved += 1
+        if turn == rounds - 1 or not moved:  # what is still too full gives away its loosest rows
+            for p in np.flatnonzero(size > room):
+                own = np.flatnonzero(part == p)
+                for i in own[np.argsort(votes[own, p])][: size[p] - room]:
+                    free = np.where(size < room, votes[i], -np.inf).argmax()
+                    part[i] = free
+                    size[free] += 1
+            break
+    return part
+
+
+def fit_router(x: np.ndarray, part: np.ndarray, parts: int, seed: int, epochs: int = 12) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and bias of a multinomial logistic regression from a unit vector to its part."""
+    rng = np.random.default_rng(seed)
+    w = np.zeros((x.shape[1], parts), dtype=np.float32)
+    np.add.at(w.T, part, x)
+    w *= 12.0 / np.maximum(np.linalg.norm(w, axis=0, keepdims=True), 1e-9)
+    b = np.zeros(parts, dtype=np.float32)
+    for epoch in range(epochs):
+        rate = 2.0 / (1 + epoch)
+        order = rng.permutation(len(x))
+        for at in range(0, len(x), 512):
+            i = order[at : at + 512]
+            z = x[i] @ w + b
+            p = np.exp(z - z.max(1, keepdims=True))
+            p /= p.sum(1, keepdims=True)
+            p[np.arange(len(i)), part[i]] -= 1
+            w -= rate * (x[i].T @ p) / len(i) * 8
+            b -= rate * p.mean(0)
+    return w, b
+
+
+def fit_partitions(x: np.ndarray, parts: int, plan: KnnPlan) -> tuple[np.ndarray, np.ndarray]:
+    """Router of ``parts`` partitions learned from unit vectors ``x``; with one partition there is nothing to learn."""
+    parts = max(1, min(parts, len(x)))
+    if parts == 1:
+        return np.zeros((plan.dim, 1), np.float32), np.zeros(1, np.float32)
+    graph = neighbour_graph(x, min(10, len(x) - 1))
+    return fit_router(x, balanced_partitions(x, graph, parts, plan.seed), parts, plan.seed)
+
+
+# --- routing and search ---------------------------------------------------------------------------------------------------
+
+
+def _matrix(column: pa.ListArray, dim: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float32, copy=False).reshape(-1, dim)
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    y = x.astype(np.float64)
+    return (y / np.linalg.norm(y, axis=1, keepdims=True)).astype(np.float32)
+
+
+def _route(df: DataFrame, router: tuple[np.ndarray, np.ndarray], plan: KnnPlan, probes: int, out: str) -> DataFrame:
+    """``df`` (id, vector) with its most probable partitions, best first."""
+    shared = df.sparkSession.sparkContext.broadcast(router)  # bounded: dim x max_partitions floats
+    take = min(probes, router[0].shape[1])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, bias = shared.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            z = _unit(_matrix(batch.column(1), plan.dim)) @ weights + bias
+            best = np.argpartition(-z, take - 1, axis=1)[:, :take]
+            best = np.take_along_axis(best, np.argsort(-np.take_along_axis(z, best, 1), axis=1, kind="stable"), 1).astype(np.int32)
+            routes = pa.ListArray.from_arrays(pa.array(np.arange(0, best.size + 1, take, dtype=np.int32)), pa.array(best.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), routes], names=["id", "vector", out])
+
+    return df.mapInArrow(run, f"id long, vector array<float>, {out} array<int>")
+
+
+def _search(plan: KnnPlan):
+    """Within one (partition, index block, query block): the k best of each query."""
+
+    def run(group: pa.Table) -> pa.Table:
+        ids = group.column("id").combine_chunks().to_numpy()
+        x = _matrix(group.column("vector").combine_chunks(), plan.dim).astype(np.float64)
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        is_query = group.column("is_query").combine_chunks().to_numpy(zero_copy_only=False)
+        order = np.argsort(ids[~is_query], kind="stable")
+        index_ids, index = ids[~is_query][order], x[~is_query][order]
+        query_ids, query = ids[is_query], x[is_query]
+        got_q, got_n, got_s = [], [], []
+        k = min(plan.k + 1, len(index_ids))
+        for at in range(0, len(query_ids) if k else 0, 512):
+            q = query_ids[at : at + 512]
+            s = query[at : at + 512] @ index.T
+            rough = -np.partition(-s, k - 1, axis=1)[:, k - 1] - 2 * 10.0**-plan.digits
+            rows, cols = np.nonzero(s >= rough[:, None])  # all that can be among the best after rounding, ties included
+            sims = np.round(s[rows, cols], plan.digits)
+            own = q[rows] == index_ids[cols]
+            rows, cols, sims = rows[~own], cols[~own], sims[~own]
+            by = np.lexsort((index_ids[cols], -sims, rows))
+            rows, cols, sims = rows[by], cols[by], sims[by]
+            first = np.searchsorted(rows, rows)
+            best = np.arange(len(rows)) - first < plan.k
+            got_q.append(q[rows[best]])
+            got_n.append(index_ids[cols[best]])
+            got_s.append(sims[best])
+        if not got_q:
+            return pa.table({"id": pa.array([], pa.int64()), "found": pa.array([], pa.list_(pa.struct([("loss", pa.float64()), ("id", pa.int64())])))})
+        q, n, s = np.concatenate(got_q), np.concatenate(got_n), np.concatenate(got_s)
+        starts = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]])) if len(q) else np.zeros(0, np.int64)
+        found = pa.ListArray.from_arrays(pa.array(np.append(starts, len(q)).astype(np.int32)), pa.StructArray.from_arrays([pa.array(-s), pa.array(n)], names=["loss", "id"]))
+        return pa.table({"id": pa.array(q[starts]), "found": found})
+
+    return run
+
+
+def nearest(vectors: DataFrame, plan: KnnPlan | None = None) -> DataFrame:
+    """(id, neighbours: array of (loss, id)) for every usable row of ``vectors`` (id long, vector array<float>).
+
+    ``loss`` is the negative cosine, rounded; neighbours are sorted by it and by id. Null vectors, wrong lengths, values that
+    are null or not finite, and zero vectors are not usable; they give no row and are nobody's neighbour. Copies are rows of
+    their own; an empty table gives an empty result.
+    """
+    plan = plan or KnnPlan()
+    spark = vectors.sparkSession
+    rows = checkpointed(vectors.select(F.col("id").cast("long").alias("id"), F.col("vector").cast("array<float>").alias("vector")).filter(usable("vector", plan.dim)))
+    n = rows.count()
+    # A sample by hash: rows of the smallest hashes, so its size does not depend on how the table is stored.
+    share = min(1.0, plan.sample_rows / max(n, 1) * 1.2)
+    picked = rows.filter(F.pmod(F.xxhash64("id", F.lit(plan.seed)), F.lit(1_000_000)) < int(share * 1_000_000)).limit(plan.sample_rows)
+    sample = picked.select("vector").toArrow().column(0).combine_chunks()
+    x = _unit(_matrix(sample, plan.dim)) if len(sample) else np.zeros((0, plan.dim), np.float32)
+    router = fit_partitions(x, min(plan.max_partitions, -(-n // plan.partition_rows), max(1, len(x) // 16)), plan)
+
+    per_vector = Window.partitionBy("vector").orderBy("id")
+    index = rows.withColumn("copy", F.row_number().over(per_vector)).filter(F.col("copy") <= plan.k + 1).select("id", "vector")
+    routed_index = _route(index, router, plan, 1, "routes").select("id", "vector", F.col("routes")[0].alias("part"))
+    routed = checkpointed(_route(rows, router, plan, plan.probes, "routes").select("id", "vector", "routes"))
+    routed_index = checkpointed(routed_index)
+
+    # Sizes by partition: at most max_partitions rows.
+    index_rows = {r["part"]: r["n"] for r in routed_index.groupBy("part").agg(F.count("*").alias("n")).collect()}
+    query_rows = {r["part"]: r["n"] for r in routed.select(F.explode("routes").alias("part")).groupBy("part").agg(F.count("*").alias("n")).collect()}
+    blocks = [(p, -(-index_rows.get(p, 0) // plan.block_rows), -(-query_rows.get(p, 0) // (4 * plan.block_rows))) for p in index_rows]
+    blocks = spark.createDataFrame(blocks, "part int, index_blocks int, query_blocks int")
+
+    def block_of(count: str):
+        return F.pmod(F.xxhash64("id", F.lit(plan.seed + 1)), F.col(count)).cast("int")
+
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    as_index = (
+        routed_index.join(F.broadcast(blocks), "part").filter("query_blocks > 0").select("part", block_of("index_blocks").alias("i"), every("query_blocks").alias("q"), "id", "vector", F.lit(False).alias("is_query"))
+    )
+    as_query = (
+        routed.select("id", "vector", F.explode("routes").alias("part"))
+        .join(F.broadcast(blocks), "part")
+        .select("part", every("index_blocks").alias("i"), block_of("query_blocks").alias("q"), "id", "vector", F.lit(True).alias("is_query"))
+    )
+    found = as_index.unionByName(as_query).groupBy("part", "i", "q").applyInArrow(_search(plan), "id long, found array<struct<loss: double, id: long>>")
+    return found.groupBy("id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("found"))), 1, plan.k).alias("neighbours"))
+
+
+def neighbour_pairs(vectors: DataFrame, plan: KnnPlan | None = None) -> DataFrame:
+    """Distinct (a, b), a < b: one is among the k most similar of the other."""
+    found = nearest(vectors, plan).select("id", F.explode("neighbours.id").alias("other"))
+    return found.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+
+
+def brute_force(ids: np.ndarray, x: np.ndarray, k: int, digits: int = 9) -> pd.DataFrame:
+    """The exact answer on a small fixture, for tests: (id, other)."""
+    y = x.astype(np.float64)
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    out = []
+    for i, row in enumerate(np.round(y @ y.T, digits)):
+        order = [j for j in np.lexsort((ids, -row)) if j != i][:k]
+        out += [(ids[i], ids[j]) for j in order]
+    return pd.DataFrame(out, columns=["id", "other"])

@@ -1,0 +1,24 @@
+"""The general training-data queries (not those of the text subpackage) for ``__spark_entry__``."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from folioforge.operators.knn import neighbour_pairs
+from folioforge.session import table
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "blocks").select(F.col("block_id").alias("id"), F.col("embeddings")["fine96"].alias("vector"))
+    return neighbour_pairs(vectors).select(F.col("a").alias("block_a"), F.col("b").alias("block_b"))
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {"p7_found": p7_found}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}
