@@ -1,0 +1,288 @@
+"""Variant spellings of the names of persons and organisations (problem 3).
+
+Every distinct string is read once into a *form*: a person's surname with a given name that is full, short (a nickname), cut
+or an initial, or an organisation's place with the rest of its name. Strings with the same full form are one entity. Then
+
+* typing errors: full forms that agree in one part and are within one edit in the other (``segment_join``) are one entity,
+  unless both are well attested, as they are then different names;
+* initials, cut and short given names, acronyms and abbreviated words are looked up among the full forms of the same surname
+  or place. They are linked if exactly one entity fits; if none fits they form an entity of their own form; if several fit
+  they stay unlinked, as nothing in the string tells whom it means.
+
+All of it is grouping and equi-joins on distinct strings; no group is ever expanded but the final pairs of one entity.
+"""
+
+from __future__ import annotations
+
+import re
+import unicodedata
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from folioforge.operators.segment_join import similar_pairs
+from folioforge.session import checkpointed
+
+# Short forms of given names and the full names they stand for.
+NICKNAMES: dict[str, tuple[str, ...]] = {
+    "alex": ("alexander", "alexandra"), "andy": ("andrew", "andreas"), "becky": ("rebecca",), "ben": ("benjamin",), "beppe": ("giuseppe",), "bert": ("albert", "robert"),
+    "beth": ("elizabeth",), "betty": ("elizabeth",), "bill": ("william",), "bob": ("robert",), "charlie": ("charles",), "chris": ("christopher", "christine"), "chuck": ("charles",),
+    "dan": ("daniel",), "dave": ("david",), "debbie": ("deborah",), "deb": ("deborah",), "dick": ("richard",), "ed": ("edward",), "eddie": ("edward",), "etta": ("henrietta",),
+    "fati": ("fatima",), "frank": ("francis", "franklin"), "fred": ("frederick", "friedrich"), "gabe": ("gabriel",), "greg": ("gregory",), "greta": ("margaret",), "hans": ("johannes",),
+    "harry": ("henry", "harold"), "hetty": ("henrietta",), "inga": ("ingrid",), "jack": ("john",), "jim": ("james",), "jimmy": ("james",), "joe": ("joseph",), "johnny": ("john",),
+    "jupp": ("jurgen", "josef"), "kate": ("katherine",), "kathy": ("katherine",), "katya": ("ekaterina",), "ken": ("kenneth",), "kolya": ("nikolai",), "larry": ("lawrence",),
+    "leo": ("leonie", "leonard", "leopold"), "liz": ("elizabeth",), "lizzie": ("elizabeth",), "maggie": ("margaret",), "matt": ("matthew",), "meg": ("margaret",), "mike": ("michael",),
+    "mick": ("michael",), "mina": ("wilhelmina",), "minna": ("wilhelmina",), "misha": ("mikhail",), "nat": ("nathaniel", "natalie"), "ned": ("edward",), "nick": ("nicholas", "nikolai"),
+    "ossi": ("oskar",), "paco": ("francisco",), "pancho": ("francisco",), "pat": ("patrick", "patricia"), "peggy": ("margaret",), "pepe": ("jose",), "pete": ("peter",),
+    "priya": ("priyanka",), "rick": ("richard",), "rob": ("robert",), "ron": ("ronald",), "sam": ("samuel", "samantha"), "sandy": ("alexander", "sandra"), "sasha": ("alexander", "alexandra"),
+    "sepp": ("josef",), "steve": ("stephen", "steven"), "sue": ("susanna", "susan"), "susie": ("susanna", "susan"), "ted": ("theodore", "edward"), "theo": ("theodore",), "tim": ("timothy",),
+    "tom": ("thomas",), "tony": ("anthony", "antonio"), "ulya": ("uliana",), "vicky": ("victoria",), "vitya": ("viktor",), "vova": ("vladimir",), "will": ("william",), "yusi": ("yusuf",),
+    "zsofi": ("zsofia",),
+}
+# Words that tell an organisation, with their usual abbreviations; words that belong to no name; strings that name nobody.
+BODIES = {"institute": "inst", "laboratory": "lab", "laboratories": "labs", "centre": "ctr", "center": "cent", "observatory": "obs", "department": "dept", "university": "univ", "academy": "acad", "college": "coll", "school": "sch", "faculty": "fac", "society": "soc", "association": "assoc", "agency": "agcy", "foundation": "found", "consortium": "consort", "company": "co", "corporation": "corp", "ministry": "min", "museum": "mus", "hospital": "hosp", "group": "grp", "network": "netw", "survey": "surv"}
+FILLERS = {"the", "of", "for", "and", "at", "in", "de", "collaboration", "team"}
+TITLES = {"dr", "prof", "professor", "phd", "md", "mr", "mrs", "ms", "sir", "dipl", "ing", "msc", "bsc", "dsc", "jr", "sr", "and"}
+NOBODY = {"et al", "anonymous", "anon", "unknown", "unknown author", "none", "null", "nan", "na", "n a", "author", "authors", "various", "various authors", "no author", "tba", "tbd", "editor", "editors"}
+ROMAN = {"phd", "md", "msc", "bsc", "dsc"}
+
+_ABBREVIATED = {v: k for k, v in BODIES.items()} | {"centr": "centre", "instit": "institute", "observ": "observatory", "depart": "department"}
+_WORD = re.compile(r"[^\W\d_]+(?:['’\-][^\W\d_]+)*\.?")
+FORM = "kind string, head string, rest string, how string, middle string, first string, second string, marks int"
+
+
+def fold(s: str) -> str:
+    """Lower case without marks; letters that do not decompose keep their usual substitutes."""
+    s = unicodedata.normalize("NFKD", s)
+    s = "".join(c for c in s if not unicodedata.combining(c))
+    return s.casefold().replace("ø", "o").replace("ł", "l").replace("æ", "ae").replace("œ", "oe").replace("đ", "d").replace("’", "").replace("'", "").replace("-", "")
+
+
+def read_name(name: str | None) -> dict | None:
+    """The form of one string, or None for what names nobody.
+
+    Person: head is the surname, rest the given name, ``how`` one of full, nick, cut, initial; ``first``/``second`` are set
+    where only the corpus can tell which of two words is the surname. Organisation: head is the place, rest the other words
+    without fillers, joined; ``how`` is full, cut (abbreviated words) or acronym.
+    """
+    if name is None:
+        return None
+    text = unicodedata.normalize("NFKC", name)
+    text = re.sub(r"<[^>]*>", " ", text)
+    acronym = re.search(r"\(([A-Z]{2,6})\)", text)
+    text = re.sub(r"\([^)]*\)", " ", text)
+    text = re.sub(r"(?<=[^\W\d_])\d[\d, ]*$|[\d*∗†‡§¶#]+", " ", text)
+    plain = " ".join(_WORD.findall(fold(text).replace(".", " ")))
+    if not plain or plain in NOBODY:
+        return None
+    parts = [[w for w in _WORD.findall(p)] for p in text.split(",")]
+    parts = [[w for w in p if fold(w).rstrip(".") not in TITLES or (len(w) <= 3 and w.isupper() and fold(w) not in ROMAN and w != "AND")] for p in parts]
+    parts = [p for p in parts if p]
+    words = [w for p in parts for w in p]
+    if not words:
+        return None
+    if _is_body(words, bool(acronym)):
+        return _read_body(parts)
+    return _read_person(parts)
+
+
+def _is_body(words: list[str], acronym: bool) -> bool:
+    low = [fold(w) for w in words]
+    if any(w.rstrip(".") in BODIES for w in low) or any(w.rstrip(".") in _ABBREVIATED and w.endswith(".") for w in low):
+        return True
+    return acronym or (len(low) > 3 and any(w in ("of", "for") for w in low[1:-1]))
+
+
+def _row(kind: str, head: str, rest: str, how: str, middle: str = "", first: str = "", second: str = "", marks: int = 0) -> dict:
+    return {"kind": kind, "head": head, "rest": rest, "how": how, "middle": middle, "first": first, "second": second, "marks": marks}
+
+
+def _read_body(parts: list[list[str]]) -> dict:
+    # "Kind of Field, Place" has its place last, else it is the first word that is no filler.
+    if len(parts) > 1:
+        place, rest = parts[-1], [w for p in parts[:-1] for w in p]
+    else:
+        words = [w for w in parts[0] if fold(w) not in ("the",)]
+        place, rest = words[:1], words[1:]
+    place_key = "".join(fold(w).rstrip(".") for w in place if fold(w) not in FILLERS)
+    kept, short = [], False
+    for w in rest:
+        f = fold(w)
+        if f.rstrip(".") in FILLERS:
+            continue
+        if f.endswith("."):
+            f = f.rstrip(".")
+            full = _ABBREVIATED.get(f)
+            short |= full is None
+            f = full or f + "."
+        kept.append("centre" if f == "center" else f)
+    # The word for the body comes first, whatever the order in the string ("Field Metrology Institute").
+    kept.sort(key=lambda w: w not in BODIES)
+    return _row("body", place_key, " ".join(kept), "cut" if short else "full")
+
+
+def _read_person(parts: list[list[str]]) -> dict:
+    def initials(ws: list[str]) -> bool:
+        return all(len(w.rstrip(".")) == 1 or (w.isupper() and len(w) <= 3 and not w.endswith(".")) for w in ws)
+
+    if len(parts) > 1:  # Surname, Given M.
+        return _person("".join(fold(w).rstrip(".") for w in parts[0]), parts[1])
+    words = parts[0]
+    if len(words) == 1:
+        glued = re.fullmatch(r"([^\W\d_]*[^\W\d_A-Z])([A-Z][^\W\d_]+)", words[0])
+        if not glued:
+            return _row("person", fold(words[0]).rstrip("."), "", "none")
+        words = [glued[1], glued[2]]
+    if len(words[0].rstrip(".")) > 1 and initials(words[1:]) and not all(w.isupper() and len(w) > 3 for w in words):
+        tail = "".join(w.rstrip(".") for w in words[1:])
+        if len(tail) >= 3 and len(words) == 2:
+            return _row("acronym", fold(words[0]), fold(tail), "acronym")
+        return _person(fold(words[0]).rstrip("."), list(tail))
+    form = _person(fold(words[-1]).rstrip("."), words[:-1])
+    if len(words) == 2 and form["how"] in ("full", "nick"):
+        form["first"], form["second"] = fold(words[0]), fold(words[1])
+    return form
+
+
+def _person(surname: str, given: list[str]) -> dict:
+    w = given[0]
+    f = fold(w).rstrip(".")
+    marks = int(f != w.casefold().rstrip("."))
+    middle = next((fold(x)[0] for x in given[1:] if len(x.rstrip(".")) == 1), "")
+    if len(f) == 1:
+        return _row("person", surname, f, "initial", middle)
+    if w.endswith("."):
+        return _row("person", surname, f, "cut", middle)
+    return _row("person", surname, f, "nick" if f in NICKNAMES and not (marks and f == "joe") else "full", middle, marks=marks)
+
+
+def read_names(names: DataFrame) -> DataFrame:
+    """``names`` (name) with the columns of its form; strings that name nobody are dropped."""
+    fields = [x.split()[0] for x in FORM.split(", ")]
+    types = [pa.int32() if f == "marks" else pa.string() for f in fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = [(n, r) for n in batch.column(0).to_pylist() if (r := read_name(n))]
+            yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in got], pa.string()), *(pa.array([r[f] for _, r in got], t) for f, t in zip(fields, types, strict=True))], names=["name", *fields])
+
+    return names.mapInArrow(run, "name string, " + FORM)
+
+
+def _turned(forms: DataFrame) -> DataFrame:
+    """Two plain words in the order Surname Given are turned round where the corpus knows them so: the roles that words have
+    in strings whose order is certain are counted."""
+    sure = forms.filter("kind = 'person' and first = '' and how <> 'none'")
+    given = sure.filter("how in ('full', 'nick')").select(F.col("rest").alias("word"), F.lit(1).alias("as_given"), F.lit(0).alias("as_surname"))
+    surname = sure.select(F.col("head").alias("word"), F.lit(0).alias("as_given"), F.lit(1).alias("as_surname"))
+    roles = given.unionByName(surname).groupBy("word").agg((F.sum("as_given") - F.sum("as_surname")).alias("role"))
+    two = forms.filter("first <> ''")
+    known = two.join(roles.withColumnsRenamed({"word": "first", "role": "role_1"}), "first", "left").join(roles.withColumnsRenamed({"word": "second", "role": "role_2"}), "second", "left")
+    turn = (F.coalesce("role_2", F.lit(0)) > 0) & (F.coalesce("role_1", F.lit(0)) <= 0)
+    short = F.col("second").isin(*NICKNAMES)
+    turned = known.select(
+        "name", "kind", F.when(turn, F.col("first")).otherwise(F.col("head")).alias("head"), F.when(turn, F.col("second")).otherwise(F.col("rest")).alias("rest"),
+        F.when(turn & short, "nick").when(turn, "full").otherwise(F.col("how")).alias("how"), "middle", F.lit("").alias("first"), F.lit("").alias("second"), "marks",
+    )
+    return forms.filter("first = ''").unionByName(turned)
+
+
+def _merged(keys: DataFrame) -> DataFrame:
+    """(key, entity) of full forms (key, kind, head, rest, support): those within one typing error share an entity."""
+    squashed = keys.withColumn("rest", F.replace("rest", F.lit(" "), F.lit("")))
+    by_head = similar_pairs(squashed.select(F.concat_ws("|", "kind", "rest").alias("block"), F.col("head").alias("s")).filter("length(s) >= 4"))
+    by_rest = similar_pairs(squashed.select(F.concat_ws("|", "kind", "head").alias("block"), F.col("rest").alias("s")).filter("length(s) >= 3"))
+    of = lambda p, kind_rest: p.select(
+        *[F.concat_ws("|", F.split("block", r"\|")[0], *((F.col(x), F.split("block", r"\|")[1]) if kind_rest else (F.split("block", r"\|")[1], F.col(x)))).alias(x) for x in ("a", "b")]
+    )
+    pairs = of(by_head, True).unionByName(of(by_rest, False)).distinct()
+    support = squashed.groupBy(F.concat_ws("|", "kind", "head", "rest").alias("key")).agg(F.sum("support").alias("support"))
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    ranked = both.join(support.withColumnsRenamed({"key": "a", "support": "n_a"}), "a").join(support.withColumnsRenamed({"key": "b", "support": "n_b"}), "b")
+    rank = lambda n, k: F.struct(-F.col(n), F.col(k))
+    up = ranked.filter((F.least("n_a", "n_b") <= 2) & (rank("n_b", "b") < rank("n_a", "a"))).groupBy(F.col("a").alias("key")).agg(F.min(F.struct((-F.col("n_b")).alias("n"), F.col("b").alias("b")))["b"].alias("up"))
+    entity = checkpointed(support.join(up, "key", "left").select("key", F.coalesce("up", "key").alias("entity")))
+    while True:  # each key points to a better attested one: follow the pointers, twice as far each time
+        step = entity.select(F.col("key").alias("entity"), F.col("entity").alias("next"))
+        further = checkpointed(entity.join(step, "entity", "left").select("key", F.coalesce("next", "entity").alias("entity"), (F.coalesce("next", "entity") != F.col("entity")).alias("moved")))
+        entity = further.select("key", "entity")
+        if not further.filter("moved").limit(1).count():
+            return entity
+
+
+def _key(kind: str, head: str = "head", rest: str = "rest") -> Column:
+    return F.concat_ws("|", F.lit(kind), F.col(head), F.replace(rest, F.lit(" "), F.lit("")))
+
+
+def link_names(names: DataFrame) -> DataFrame:
+    """(name, entity) for every distinct string of ``names`` (name) that names somebody.
+
+    Null, blank and nameless strings ("et al.") get no row, repeated strings one; an empty table gives an empty result.
+    """
+    forms = checkpointed(_turned(read_names(names.select(F.col("name").cast("string").alias("name")).filter(F.col("name").isNotNull()).distinct())))
+    persons, bodies = forms.filter("kind = 'person'"), forms.filter("kind = 'body'")
+
+    # Full forms, and short given names where a single full name is meant.
+    only = F.create_map(*[F.lit(x) for k, v in NICKNAMES.items() if len(v) == 1 for x in (k, v[0])])
+    options = F.create_map(*[x for k, v in NICKNAMES.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
+    full = persons.filter("how = 'full'").unionByName(persons.filter("how = 'nick'").withColumn("rest", only[F.col("rest")]).filter("rest is not null"))
+    full = full.unionByName(bodies.filter("how = 'full'"))
+    full = full.withColumn("rest", F.replace("rest", F.lit(" "), F.lit("")))
+    keys = full.groupBy("kind", "head", "rest").agg(F.count("*").alias("support"), F.max("middle").alias("middle"))
+    entity = _merged(keys)
+    known = checkpointed(full.select("name", "kind", "head", "rest", "middle", F.concat_ws("|", "kind", "head", "rest").alias("key")).join(entity, "key").drop("key"))
+    middles = known.groupBy("entity").agg(F.max("middle").alias("known_middle"))
+    targets = known.select("kind", "head", "rest", "entity").distinct().join(middles, "entity")
+
+    # Everything else is looked up under its surname or place, and the first letter.
+    loose = persons.filter("how in ('cut', 'initial')").unionByName(persons.filter("how = 'nick'").filter(only[F.col("rest")].isNull())).withColumn("letter", F.substring("rest", 1, 1))
+    person_targets = targets.filter("kind = 'person'").withColumn("letter", F.substring("rest", 1, 1)).select("head", "letter", F.col("rest").alias("full"), "entity", "known_middle")
+    nick_letters = F.when(F.col("how") == "nick", F.transform(options[F.col("rest")], lambda x: F.substring(x, 1, 1))).otherwise(F.array("letter"))
+    asked = loose.withColumn("letter", F.explode(F.array_distinct(nick_letters)))
+    fits = F.when(F.col("how") == "nick", F.array_contains(options[F.col("rest")], F.col("full"))).otherwise(F.col("full").startswith(F.col("rest")))
+    same_middle = (F.col("middle") == "") | (F.col("known_middle") == "") | (F.col("middle") == F.col("known_middle"))
+    found = _only_one(asked.join(person_targets, ["head", "letter"]).filter(fits & same_middle), exact=(F.col("middle") != "") & (F.col("middle") == F.col("known_middle")))
+
+    # A surname with a typing error and an initial: the same lookup, through similar surnames of the same letter.
+    open_ = loose.join(found.select("name"), "name", "left_anti")
+    none_fits = open_.join(asked.join(person_targets, ["head", "letter"]).filter(fits & same_middle).select("name").distinct(), "name", "left_anti")
+    heads = none_fits.select("letter", "head").distinct()
+    near = similar_pairs(heads.unionByName(person_targets.select("letter", "head").distinct()).select(F.col("letter").alias("block"), F.col("head").alias("s")).filter("length(s) >= 5"))
+    near = near.unionByName(near.select("block", F.col("b").alias("a"), F.col("a").alias("b"))).withColumnsRenamed({"block": "letter", "a": "head", "b": "other"})
+    by_near = none_fits.join(near, ["head", "letter"]).drop("head").withColumnRenamed("other", "head").join(person_targets, ["head", "letter"]).filter(fits & same_middle)
+    found_near = _only_one(by_near, exact=F.lit(False))
+    rest_ = none_fits.join(found_near.select("name"), "name", "left_anti").select("name", F.concat(F.lit("initial|"), F.col("head"), F.lit("|"), F.col("letter")).alias("entity"))
+
+    # Organisations: acronyms and abbreviated words, under the place.
+    body_forms = bodies.select("head", "rest", "how", "name")
+    words = bodies.filter("how = 'full'").select("head", F.col("rest").alias("words"), F.replace("rest", F.lit(" "), F.lit("")).alias("rest")).distinct()
+    body_targets = targets.filter("kind = 'body'").select("head", "rest", "entity").join(words, ["head", "rest"])
+    letters = F.lower(F.array_join(F.transform(F.split("words", " "), lambda w: F.substring(w, 1, 1)), ""))
+    acronyms = forms.filter("kind = 'acronym'").select("name", "head", F.col("rest").alias("letters"))
+    by_acronym = acronyms.join(body_targets.withColumn("letters", letters), ["head", "letters"])
+    cut = body_forms.filter("how = 'cut'").withColumnRenamed("rest", "short")
+    short_words, full_words = F.split("short", " "), F.split("words", " ")
+    each = F.zip_with(short_words, full_words, lambda s, w: F.coalesce(F.when(s.endswith("."), w.startswith(F.rtrim(s, F.lit(".")))).otherwise(s == w), F.lit(False)))
+    by_words = cut.join(body_targets, "head").filter((F.size(short_words) == F.size(full_words)) & F.forall(each, lambda x: x))
+    found_body = _only_one(by_acronym.select("name", "entity"), exact=F.lit(False)).unionByName(_only_one(by_words.select("name", "entity"), exact=F.lit(False)))
+    # What is looked up in vain: an acronym may be a person's initials.
+    left = cut.join(found_body.select("name"), "name", "left_anti").select("name", F.concat_ws("|", F.lit("body"), "head", "short").alias("entity"))
+    left = left.unionByName(acronyms.join(found_body.select("name"), "name", "left_anti").select("name", F.concat_ws("|", F.lit("acronym"), "head", "letters").alias("entity")))
+
+    return known.select("name", "entity").unionByName(found).unionByName(found_near).unionByName(rest_).unionByName(found_body).unionByName(left)
+
+
+def _only_one(fits: DataFrame, *, exact: Column) -> DataFrame:
+    """(name, entity) of names that fit one entity only, or one only by the stronger criterion ``exact``."""
+    each = fits.select("name", "entity", exact.alias("exact")).groupBy("name", "entity").agg(F.max("exact").alias("exact"))
+    one = each.groupBy("name").agg(F.count("*").alias("n"), F.count_if("exact").alias("n_exact"), F.min("entity").alias("any"), F.min(F.when(F.col("exact"), F.col("entity"))).alias("best"))
+    return one.filter("n = 1 or n_exact = 1").select("name", F.when(F.col("n_exact") == 1, F.col("best")).otherwise(F.col("any")).alias("entity"))
+
+
+def name_pairs(linked: DataFrame) -> DataFrame:
+    """Distinct (name_a, name_b), name_a < name_b by code point, of one entity."""
+    other = linked.select("entity", F.col("name").alias("name_b"))
+    # Spark compares strings by their UTF-8 bytes, which is the order of code points.
+    return linked.select("entity", F.col("name").alias("name_a")).join(other, "entity").filter("name_a < name_b").select("name_a", "name_b").distinct()

@@ -1,0 +1,98 @@
+"""Pairs of strings within a small edit distance: pigeonhole segment join.
+
+A string is cut into segments; an edit can spoil one of them and a transposition of neighbours two, so of ``2 k + 1`` segments
+one at least stays whole within ``k`` edits. The segments of all strings form an inverted index, keyed by block, length and
+segment number; each string looks up its own substrings at positions shifted by up to ``k`` for the lengths within ``k``.
+Candidates are verified by a banded edit distance (insertion, deletion, substitution, transposition of neighbours).
+
+``block`` is a value that must agree as well (here: the other part of a name); it keeps frequent segments apart, so that no
+index entry becomes a large group.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def within(a: str, b: str, k: int) -> bool:
+    """Whether the optimal-alignment distance of a and b is at most k; only the band of width 2 k + 1 is computed."""
+    if abs(len(a) - len(b)) > k:
+        return False
+    if a == b:
+        return True
+    far = k + 1
+    two: list[int] = []
+    one = [j if j <= k else far for j in range(len(b) + 1)]
+    for i in range(1, len(a) + 1):
+        row = [far] * (len(b) + 1)
+        if i <= k:
+            row[0] = i
+        for j in range(max(1, i - k), min(len(b), i + k) + 1):
+            d = one[j - 1] + (a[i - 1] != b[j - 1])
+            d = min(d, one[j] + 1, row[j - 1] + 1)
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                d = min(d, two[j - 2] + 1)
+            row[j] = d
+        if min(row) > k:
+            return False
+        two, one = one, row
+    return one[len(b)] <= k
+
+
+def cut(length: int, segments: int) -> list[tuple[int, int]]:
+    """Start and length of each segment; they differ in length by one at most."""
+    least, more = divmod(length, segments)
+    out, at = [], 0
+    for i in range(segments):
+        n = least + (i >= segments - more)
+        out.append((at, n))
+        at += n
+    return out
+
+
+def index_entries(s: str, k: int) -> list[tuple[int, int, str]]:
+    return [(len(s), i, s[at : at + n]) for i, (at, n) in enumerate(cut(len(s), 2 * k + 1))]
+
+
+def probe_entries(s: str, k: int) -> list[tuple[int, int, str]]:
+    """What ``s`` looks up; only lengths up to its own, so that a pair of different lengths is found from one side."""
+    out = set()
+    for length in range(max(1, len(s) - k), len(s) + 1):
+        for i, (at, n) in enumerate(cut(length, 2 * k + 1)):
+            for start in range(max(0, at - k), min(len(s) - n, at + k) + 1):
+                out.add((length, i, s[start : start + n]))
+    return sorted(out)
+
+
+def _entries(df: DataFrame, k: int, make, prefix: str) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[list] = [[], [], [], [], []]
+            for block, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for length, i, part in make(s, k):
+                    for column, value in zip(rows, (block, s, length, i, part), strict=True):
+                        column.append(value)
+            types = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types, strict=True)], names=["block", prefix, "length", "segment", "part"])
+
+    return df.mapInArrow(run, f"block string, {prefix} string, length int, segment int, part string")
+
+
+def similar_pairs(strings: DataFrame, k: int = 1) -> DataFrame:
+    """Distinct (block, a, b), a < b, of ``strings`` (block, s) with the same block and a distance of at most k.
+
+    Null blocks or strings and empty strings take no part; repeated rows count once.
+    """
+    source = strings.select(F.col("block").cast("string").alias("block"), F.col("s").cast("string").alias("s")).filter("block is not null and s is not null and s <> ''").distinct()
+    index, probes = _entries(source, k, index_entries, "t"), _entries(source, k, probe_entries, "s")
+    candidates = index.join(probes, ["block", "length", "segment", "part"]).filter("s <> t").select("block", F.least("s", "t").alias("a"), F.greatest("s", "t").alias("b")).distinct()
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([within(a, b, k) for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)], pa.bool_()))
+
+    return candidates.mapInArrow(verify, "block string, a string, b string")

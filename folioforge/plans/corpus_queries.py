@@ -8,16 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.operators.knn import neighbour_pairs
+from folioforge.operators.names import link_names, name_pairs
 from folioforge.session import table
 
 
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    names = table(spark, folder, "papers").select(F.explode("authors.name").alias("name"))
+    return name_pairs(link_names(names))
+
+
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "blocks").select(F.col("block_id").alias("id"), F.col("embeddings")["fine96"].alias("vector"))
     return neighbour_pairs(vectors).select(F.col("a").alias("block_a"), F.col("b").alias("block_b"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p7_found": p7_found}
+    return {"p3_found": p3_found, "p7_found": p7_found}
 
 
 def oracle_sql() -> dict[str, str]:
