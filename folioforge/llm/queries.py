@@ -7,10 +7,34 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from folioforge.llm.mixing import mix_sources
+from folioforge.llm.mojibake import pair_counts, records_of, repair_texts
 from folioforge.llm.tokens import encode_corpus
+from folioforge.llm.unicode_form import canonical_texts
 from folioforge.session import table
 
 
+def _records(spark: SparkSession, folder: str) -> DataFrame:
+    return records_of(table(spark, folder, "blocks"), table(spark, folder, "papers"))
+
+
+def p2_normalized(spark: SparkSession, folder: str) -> DataFrame:
+    records = _records(spark, folder)
+    return canonical_texts(records, pair_counts(records))
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p2_normalized(spark, folder).select("record_kind", "record_id")
+
+
+def p5_repaired(spark: SparkSession, folder: str) -> DataFrame:
+    records = _records(spark, folder)
+    return repair_texts(records, pair_counts(records))
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p5_repaired(spark, folder).select("record_kind", "record_id")
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode_corpus(table(spark, folder, "documents"))
 
@@ -24,7 +48,7 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
+    return {f.__name__: f for f in (p2_found, p2_normalized, p5_found, p5_repaired, p8_ids, p9_mix, p9_shares)}
 
 
 def oracle_sql() -> dict[str, str]:
