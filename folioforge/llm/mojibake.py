@@ -38,7 +38,7 @@ MARGIN, MOST_STATES = 1.0, 60
 
 _LOST = re.compile("[�\x80-\x84\x86-\x9f]")
 _WORD = re.compile(r"[^ \t\r\n]*[^\x00-\x7f][^ \t\r\n]*|[^ \t\r\n]*&(?:#\d{2,7}|#[xX][0-9a-fA-F]{2,6}|[A-Za-z]{2,8});[^ \t\r\n]*")
-_LETTERS = "[^\\W\\d_a-zA-Z]"
+_LETTERS = "(?:[^\\W\\d_a-zA-Z]|[÷¸¨])"  # the three are what letters of Cyrillic encodings look like
 _FOREIGN_RUN = re.compile(rf"{_LETTERS}+(?:[ \n,()«»\"'’-]+{_LETTERS}+)*")
 
 
@@ -125,7 +125,7 @@ def _may_be_meant(c: str) -> bool:
     o = ord(c)
     if unicodedata.category(c) in ("Cn", "Co", "Cs"):
         return False
-    return o < 0x530 or 0x590 <= o < 0x700 or 0x1E00 <= o < 0x2500 or 0x2C60 <= o < 0x2C80 or 0x3000 <= o < 0xA000 or 0xAC00 <= o < 0xD7B0 or 0xFB00 <= o < 0xFB07 or o == 0xFEFF or o == 0xFFFD or 0x1F000 <= o < 0x1FB00
+    return o < 0x530 or 0x590 <= o < 0x700 or 0x1E00 <= o < 0x2150 or 0x2190 <= o < 0x2500 or 0x2C60 <= o < 0x2C80 or 0x3000 <= o < 0x3003 or 0x3041 <= o < 0x3100 or 0x4E00 <= o < 0xA000 or 0xAC00 <= o < 0xD7B0 or 0xFB00 <= o < 0xFB07 or o == 0xFEFF or o == 0xFFFD or 0x1F000 <= o < 0x1FB00
 
 
 def reread(s: str, encoding: str) -> str:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from folioforge.llm.mixing import mix_sources
 from folioforge.llm.mojibake import pair_counts, records_of, repair_texts
+from folioforge.llm.scan_noise import repair_blocks
 from folioforge.llm.tokens import encode_corpus
 from folioforge.llm.unicode_form import canonical_texts
 from folioforge.session import table
@@ -35,6 +36,14 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return p5_repaired(spark, folder).select("record_kind", "record_id")
 
 
+def p6_repaired(spark: SparkSession, folder: str) -> DataFrame:
+    return repair_blocks(table(spark, folder, "blocks"))
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p6_repaired(spark, folder).select("block_id")
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode_corpus(table(spark, folder, "documents"))
 
@@ -48,7 +57,7 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_normalized, p5_found, p5_repaired, p8_ids, p9_mix, p9_shares)}
+    return {f.__name__: f for f in (p2_found, p2_normalized, p5_found, p5_repaired, p6_found, p6_repaired, p8_ids, p9_mix, p9_shares)}
 
 
 def oracle_sql() -> dict[str, str]:
