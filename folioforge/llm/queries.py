@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from folioforge.llm.mixing import mix_sources
 from folioforge.llm.mojibake import pair_counts, records_of, repair_texts
+from folioforge.llm.residue import find_residue
 from folioforge.llm.scan_noise import repair_blocks
 from folioforge.llm.tokens import encode_corpus
 from folioforge.llm.unicode_form import canonical_texts
@@ -56,8 +57,16 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))[1]
 
 
+def p10_residue(spark: SparkSession, folder: str) -> DataFrame:
+    return find_residue(table(spark, folder, "documents"))
+
+
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p10_residue(spark, folder).select("doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_normalized, p5_found, p5_repaired, p6_found, p6_repaired, p8_ids, p9_mix, p9_shares)}
+    return {f.__name__: f for f in (p2_found, p2_normalized, p5_found, p5_repaired, p6_found, p6_repaired, p8_ids, p9_mix, p9_shares, p10_found, p10_residue)}
 
 
 def oracle_sql() -> dict[str, str]:
