@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -50,7 +51,7 @@ ROMAN = {"phd", "md", "msc", "bsc", "dsc"}
 
 _ABBREVIATED = {v: k for k, v in BODIES.items()} | {"centr": "centre", "instit": "institute", "observ": "observatory", "depart": "department"}
 _WORD = re.compile(r"[^\W\d_]+(?:['’\-][^\W\d_]+)*\.?")
-FORM = "kind string, head string, rest string, how string, middle string, first string, second string, marks int"
+FORM = "kind string, head string, rest string, how string, middle string, turned_head string, turned_rest string, turned_how string"
 
 
 def fold(s: str) -> str:
@@ -63,8 +64,8 @@ def fold(s: str) -> str:
 def read_name(name: str | None) -> dict | None:
     """The form of one string, or None for what names nobody.
 
-    Person: head is the surname, rest the given name, ``how`` one of full, nick, cut, initial; ``first``/``second`` are set
-    where only the corpus can tell which of two words is the surname. Organisation: head is the place, rest the other words
+    Person: head is the surname, rest the given name, ``how`` one of full, nick (rest: the full names it may mean), cut,
+    initial; the ``turned`` fields are the other reading where only the corpus can tell which of two words is the surname. Organisation: head is the place, rest the other words
     without fillers, joined; ``how`` is full, cut (abbreviated words) or acronym.
     """
     if name is None:
@@ -95,8 +96,8 @@ def _is_body(words: list[str], acronym: bool) -> bool:
     return acronym or (len(low) > 3 and any(w in ("of", "for") for w in low[1:-1]))
 
 
-def _row(kind: str, head: str, rest: str, how: str, middle: str = "", first: str = "", second: str = "", marks: int = 0) -> dict:
-    return {"kind": kind, "head": head, "rest": rest, "how": how, "middle": middle, "first": first, "second": second, "marks": marks}
+def _row(kind: str, head: str, rest: str, how: str, middle: str = "") -> dict:
+    return {"kind": kind, "head": head, "rest": rest, "how": how, "middle": middle, "turned_head": "", "turned_rest": "", "turned_how": ""}
 
 
 def _read_body(parts: list[list[str]]) -> dict:
@@ -142,31 +143,33 @@ def _read_person(parts: list[list[str]]) -> dict:
         return _person(fold(words[0]).rstrip("."), list(tail))
     form = _person(fold(words[-1]).rstrip("."), words[:-1])
     if len(words) == 2 and form["how"] in ("full", "nick"):
-        form["first"], form["second"] = fold(words[0]), fold(words[1])
+        other = _person(fold(words[0]).rstrip("."), words[1:])
+        form |= {"turned_head": other["head"], "turned_rest": other["rest"], "turned_how": other["how"]}
     return form
 
 
 def _person(surname: str, given: list[str]) -> dict:
     w = given[0]
     f = fold(w).rstrip(".")
-    marks = int(f != w.casefold().rstrip("."))
     middle = next((fold(x)[0] for x in given[1:] if len(x.rstrip(".")) == 1), "")
     if len(f) == 1:
         return _row("person", surname, f, "initial", middle)
     if w.endswith("."):
         return _row("person", surname, f, "cut", middle)
-    return _row("person", surname, f, "nick" if f in NICKNAMES and not (marks and f == "joe") else "full", middle, marks=marks)
+    # A short form is written without marks ("Joé" is a mistyped José, no Joe), but for "Léo".
+    meant = NICKNAMES.get(f, ()) if f == w.casefold() or f == "leo" else ()
+    if len(meant) > 1:
+        return _row("person", surname, "|".join(meant), "nick", middle)
+    return _row("person", surname, meant[0] if meant else f, "full", middle)
 
 
 def read_names(names: DataFrame) -> DataFrame:
     """``names`` (name) with the columns of its form; strings that name nobody are dropped."""
     fields = [x.split()[0] for x in FORM.split(", ")]
-    types = [pa.int32() if f == "marks" else pa.string() for f in fields]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = [(n, r) for n in batch.column(0).to_pylist() if (r := read_name(n))]
-            yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in got], pa.string()), *(pa.array([r[f] for _, r in got], t) for f, t in zip(fields, types, strict=True))], names=["name", *fields])
+            yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in got], pa.string()), *(pa.array([r[f] for _, r in got], pa.string()) for f in fields)], names=["name", *fields])
 
     return names.mapInArrow(run, "name string, " + FORM)
 
@@ -174,46 +177,44 @@ def read_names(names: DataFrame) -> DataFrame:
 def _turned(forms: DataFrame) -> DataFrame:
     """Two plain words in the order Surname Given are turned round where the corpus knows them so: the roles that words have
     in strings whose order is certain are counted."""
-    sure = forms.filter("kind = 'person' and first = '' and how <> 'none'")
-    given = sure.filter("how in ('full', 'nick')").select(F.col("rest").alias("word"), F.lit(1).alias("as_given"), F.lit(0).alias("as_surname"))
-    surname = sure.select(F.col("head").alias("word"), F.lit(0).alias("as_given"), F.lit(1).alias("as_surname"))
-    roles = given.unionByName(surname).groupBy("word").agg((F.sum("as_given") - F.sum("as_surname")).alias("role"))
-    two = forms.filter("first <> ''")
-    known = two.join(roles.withColumnsRenamed({"word": "first", "role": "role_1"}), "first", "left").join(roles.withColumnsRenamed({"word": "second", "role": "role_2"}), "second", "left")
-    turn = (F.coalesce("role_2", F.lit(0)) > 0) & (F.coalesce("role_1", F.lit(0)) <= 0)
-    short = F.col("second").isin(*NICKNAMES)
-    turned = known.select(
-        "name", "kind", F.when(turn, F.col("first")).otherwise(F.col("head")).alias("head"), F.when(turn, F.col("second")).otherwise(F.col("rest")).alias("rest"),
-        F.when(turn & short, "nick").when(turn, "full").otherwise(F.col("how")).alias("how"), "middle", F.lit("").alias("first"), F.lit("").alias("second"), "marks",
-    )
-    return forms.filter("first = ''").unionByName(turned)
+    sure = forms.filter("kind = 'person' and turned_how = '' and how <> 'none'")
+    given = sure.filter("how = 'full'").select(F.col("rest").alias("word"), F.lit(1).alias("role"))
+    surname = sure.select(F.col("head").alias("word"), F.lit(-1).alias("role"))
+    roles = checkpointed(given.unionByName(surname).groupBy("word").agg(F.sum("role").alias("role")))
+    # A short form that may mean several names is a given name whatever the corpus says.
+    two = forms.filter("turned_how <> ''")
+    known = two.join(roles.withColumnsRenamed({"word": "rest", "role": "role_1"}), "rest", "left").join(roles.withColumnsRenamed({"word": "turned_rest", "role": "role_2"}), "turned_rest", "left")
+    turn = ((F.coalesce("role_2", F.lit(0)) > 0) | (F.col("turned_how") == "nick")) & (F.coalesce("role_1", F.lit(0)) <= 0) & (F.col("how") != "nick")
+    pick = lambda c: F.when(turn, F.col(f"turned_{c}")).otherwise(F.col(c)).alias(c)
+    columns = ["name", "kind", "head", "rest", "how", "middle"]
+    return forms.filter("turned_how = ''").select(columns).unionByName(known.select("name", "kind", pick("head"), pick("rest"), pick("how"), "middle"))
+
+
+def _squash(c: str) -> Column:
+    return F.replace(F.col(c), F.lit(" "), F.lit(""))
 
 
 def _merged(keys: DataFrame) -> DataFrame:
-    """(key, entity) of full forms (key, kind, head, rest, support): those within one typing error share an entity."""
-    squashed = keys.withColumn("rest", F.replace("rest", F.lit(" "), F.lit("")))
-    by_head = similar_pairs(squashed.select(F.concat_ws("|", "kind", "rest").alias("block"), F.col("head").alias("s")).filter("length(s) >= 4"))
-    by_rest = similar_pairs(squashed.select(F.concat_ws("|", "kind", "head").alias("block"), F.col("rest").alias("s")).filter("length(s) >= 3"))
-    of = lambda p, kind_rest: p.select(
-        *[F.concat_ws("|", F.split("block", r"\|")[0], *((F.col(x), F.split("block", r"\|")[1]) if kind_rest else (F.split("block", r"\|")[1], F.col(x)))).alias(x) for x in ("a", "b")]
-    )
-    pairs = of(by_head, True).unionByName(of(by_rest, False)).distinct()
-    support = squashed.groupBy(F.concat_ws("|", "kind", "head", "rest").alias("key")).agg(F.sum("support").alias("support"))
+    """(kind, head, rest, entity) of the full forms ``keys`` (kind, head, rest, support): those within one typing error share
+    an entity, unless both are attested by more than two strings."""
+    key = F.concat_ws("|", "kind", "head", "rest")
+    by_head = similar_pairs(keys.select(F.concat_ws("|", "kind", "rest").alias("block"), F.col("head").alias("s")).filter("length(s) >= 4"))
+    by_rest = similar_pairs(keys.select(F.concat_ws("|", "kind", "head").alias("block"), F.col("rest").alias("s")).filter("length(s) >= 3"))
+    kind, other = F.split_part("block", F.lit("|"), F.lit(1)), F.split_part("block", F.lit("|"), F.lit(2))
+    pairs = by_head.select(*[F.concat_ws("|", kind, x, other).alias(x) for x in ("a", "b")]).unionByName(by_rest.select(*[F.concat_ws("|", kind, other, x).alias(x) for x in ("a", "b")]))
+    pairs = checkpointed(pairs.distinct())
+    support = keys.select(key.alias("key"), "support")
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     ranked = both.join(support.withColumnsRenamed({"key": "a", "support": "n_a"}), "a").join(support.withColumnsRenamed({"key": "b", "support": "n_b"}), "b")
     rank = lambda n, k: F.struct(-F.col(n), F.col(k))
     up = ranked.filter((F.least("n_a", "n_b") <= 2) & (rank("n_b", "b") < rank("n_a", "a"))).groupBy(F.col("a").alias("key")).agg(F.min(F.struct((-F.col("n_b")).alias("n"), F.col("b").alias("b")))["b"].alias("up"))
     entity = checkpointed(support.join(up, "key", "left").select("key", F.coalesce("up", "key").alias("entity")))
     while True:  # each key points to a better attested one: follow the pointers, twice as far each time
-        step = entity.select(F.col("key").alias("entity"), F.col("entity").alias("next"))
-        further = checkpointed(entity.join(step, "entity", "left").select("key", F.coalesce("next", "entity").alias("entity"), (F.coalesce("next", "entity") != F.col("entity")).alias("moved")))
+        step = entity.filter("key <> entity").select(F.col("key").alias("entity"), F.col("entity").alias("next"))
+        further = checkpointed(entity.join(step, "entity", "left").select("key", F.coalesce("next", "entity").alias("entity"), F.col("next").isNotNull().alias("moved")))
         entity = further.select("key", "entity")
-        if not further.filter("moved").limit(1).count():
-            return entity
-
-
-def _key(kind: str, head: str = "head", rest: str = "rest") -> Column:
-    return F.concat_ws("|", F.lit(kind), F.col(head), F.replace(rest, F.lit(" "), F.lit("")))
+        if further.filter("moved").isEmpty():
+            return keys.join(entity, key == F.col("key")).select("kind", "head", "rest", "entity")
 
 
 def link_names(names: DataFrame) -> DataFrame:
@@ -221,68 +222,64 @@ def link_names(names: DataFrame) -> DataFrame:
 
     Null, blank and nameless strings ("et al.") get no row, repeated strings one; an empty table gives an empty result.
     """
-    forms = checkpointed(_turned(read_names(names.select(F.col("name").cast("string").alias("name")).filter(F.col("name").isNotNull()).distinct())))
-    persons, bodies = forms.filter("kind = 'person'"), forms.filter("kind = 'body'")
-
-    # Full forms, and short given names where a single full name is meant.
-    only = F.create_map(*[F.lit(x) for k, v in NICKNAMES.items() if len(v) == 1 for x in (k, v[0])])
-    options = F.create_map(*[x for k, v in NICKNAMES.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
-    full = persons.filter("how = 'full'").unionByName(persons.filter("how = 'nick'").withColumn("rest", only[F.col("rest")]).filter("rest is not null"))
-    full = full.unionByName(bodies.filter("how = 'full'"))
-    full = full.withColumn("rest", F.replace("rest", F.lit(" "), F.lit("")))
-    keys = full.groupBy("kind", "head", "rest").agg(F.count("*").alias("support"), F.max("middle").alias("middle"))
-    entity = _merged(keys)
-    known = checkpointed(full.select("name", "kind", "head", "rest", "middle", F.concat_ws("|", "kind", "head", "rest").alias("key")).join(entity, "key").drop("key"))
-    middles = known.groupBy("entity").agg(F.max("middle").alias("known_middle"))
-    targets = known.select("kind", "head", "rest", "entity").distinct().join(middles, "entity")
-
-    # Everything else is looked up under its surname or place, and the first letter.
-    loose = persons.filter("how in ('cut', 'initial')").unionByName(persons.filter("how = 'nick'").filter(only[F.col("rest")].isNull())).withColumn("letter", F.substring("rest", 1, 1))
-    person_targets = targets.filter("kind = 'person'").withColumn("letter", F.substring("rest", 1, 1)).select("head", "letter", F.col("rest").alias("full"), "entity", "known_middle")
-    nick_letters = F.when(F.col("how") == "nick", F.transform(options[F.col("rest")], lambda x: F.substring(x, 1, 1))).otherwise(F.array("letter"))
-    asked = loose.withColumn("letter", F.explode(F.array_distinct(nick_letters)))
-    fits = F.when(F.col("how") == "nick", F.array_contains(options[F.col("rest")], F.col("full"))).otherwise(F.col("full").startswith(F.col("rest")))
+    read = checkpointed(read_names(names.select(F.col("name").cast("string").alias("name")).filter(F.col("name").isNotNull()).distinct()))
+    forms = checkpointed(_turned(read))
+
+    # Full forms.
+    full = forms.filter("how = 'full'").withColumn("words", F.col("rest")).withColumn("rest", _squash("rest"))
+    keys = checkpointed(full.groupBy("kind", "head", "rest").agg(F.count("*").alias("support"), F.max("middle").alias("middle"), F.max("words").alias("words")))
+    entity = checkpointed(_merged(keys))
+    known = full.join(entity, ["kind", "head", "rest"]).select("name", "entity")
+    with_middle = keys.join(entity, ["kind", "head", "rest"])
+    middles = with_middle.groupBy("entity").agg(F.max("middle").alias("known_middle"))
+    targets = checkpointed(with_middle.select("kind", "head", "rest", "words", "entity").join(middles, "entity"))
+
+    # Given names that are cut, initial or of several meanings are looked up under the surname and the first letter.
+    people = targets.filter("kind = 'person'").select("head", F.substring("rest", 1, 1).alias("letter"), F.col("rest").alias("full"), "entity", "known_middle")
+    loose = forms.filter("kind = 'person' and how in ('cut', 'initial', 'nick')").select("name", "head", F.explode(F.split("rest", r"\|")).alias("rest"), "how", "middle")
+    asked = loose.withColumn("letter", F.substring("rest", 1, 1))
+    fits = F.when(F.col("how") == "nick", F.col("full") == F.col("rest")).otherwise(F.col("full").startswith(F.col("rest")))
     same_middle = (F.col("middle") == "") | (F.col("known_middle") == "") | (F.col("middle") == F.col("known_middle"))
-    found = _only_one(asked.join(person_targets, ["head", "letter"]).filter(fits & same_middle), exact=(F.col("middle") != "") & (F.col("middle") == F.col("known_middle")))
-
-    # A surname with a typing error and an initial: the same lookup, through similar surnames of the same letter.
-    open_ = loose.join(found.select("name"), "name", "left_anti")
-    none_fits = open_.join(asked.join(person_targets, ["head", "letter"]).filter(fits & same_middle).select("name").distinct(), "name", "left_anti")
-    heads = none_fits.select("letter", "head").distinct()
-    near = similar_pairs(heads.unionByName(person_targets.select("letter", "head").distinct()).select(F.col("letter").alias("block"), F.col("head").alias("s")).filter("length(s) >= 5"))
+    exact = (F.col("middle") != "") & (F.col("middle") == F.col("known_middle"))
+    hits = checkpointed(asked.join(people, ["head", "letter"]).filter(fits & same_middle).select("name", "entity", exact.alias("exact")))
+    found = _only_one(hits)
+
+    # Where none fits: the same through surnames within one typing error, else an entity of the form itself.
+    lost = checkpointed(asked.join(hits.select("name").distinct(), "name", "left_anti"))
+    heads = lost.select("letter", "head").unionByName(people.select("letter", "head"))
+    near = similar_pairs(heads.select(F.col("letter").alias("block"), F.col("head").alias("s")).filter("length(s) >= 5"))
     near = near.unionByName(near.select("block", F.col("b").alias("a"), F.col("a").alias("b"))).withColumnsRenamed({"block": "letter", "a": "head", "b": "other"})
-    by_near = none_fits.join(near, ["head", "letter"]).drop("head").withColumnRenamed("other", "head").join(person_targets, ["head", "letter"]).filter(fits & same_middle)
-    found_near = _only_one(by_near, exact=F.lit(False))
-    rest_ = none_fits.join(found_near.select("name"), "name", "left_anti").select("name", F.concat(F.lit("initial|"), F.col("head"), F.lit("|"), F.col("letter")).alias("entity"))
-
-    # Organisations: acronyms and abbreviated words, under the place.
-    body_forms = bodies.select("head", "rest", "how", "name")
-    words = bodies.filter("how = 'full'").select("head", F.col("rest").alias("words"), F.replace("rest", F.lit(" "), F.lit("")).alias("rest")).distinct()
-    body_targets = targets.filter("kind = 'body'").select("head", "rest", "entity").join(words, ["head", "rest"])
-    letters = F.lower(F.array_join(F.transform(F.split("words", " "), lambda w: F.substring(w, 1, 1)), ""))
+    by_near = lost.join(near, ["head", "letter"]).drop("head").withColumnRenamed("other", "head").join(people, ["head", "letter"])
+    found_near = checkpointed(_only_one(by_near.filter(fits & same_middle).select("name", "entity", F.lit(False).alias("exact"))))
+    own_form = lost.join(found_near.select("name"), "name", "left_anti").groupBy("name").agg(F.concat_ws("|", F.lit("initial"), F.min("head"), F.min("letter")).alias("entity"))
+
+    # Organisations: acronyms and abbreviated words are looked up under the place.
+    bodies = targets.filter("kind = 'body'").select("head", "words", "entity")
+    letters = F.array_join(F.transform(F.split("words", " "), lambda w: F.substring(w, 1, 1)), "")
     acronyms = forms.filter("kind = 'acronym'").select("name", "head", F.col("rest").alias("letters"))
-    by_acronym = acronyms.join(body_targets.withColumn("letters", letters), ["head", "letters"])
-    cut = body_forms.filter("how = 'cut'").withColumnRenamed("rest", "short")
+    cut = forms.filter("kind = 'body' and how = 'cut'").select("name", "head", F.col("rest").alias("short"))
+    by_acronym = acronyms.join(bodies.withColumn("letters", letters), ["head", "letters"]).select("name", "entity")
     short_words, full_words = F.split("short", " "), F.split("words", " ")
     each = F.zip_with(short_words, full_words, lambda s, w: F.coalesce(F.when(s.endswith("."), w.startswith(F.rtrim(s, F.lit(".")))).otherwise(s == w), F.lit(False)))
-    by_words = cut.join(body_targets, "head").filter((F.size(short_words) == F.size(full_words)) & F.forall(each, lambda x: x))
-    found_body = _only_one(by_acronym.select("name", "entity"), exact=F.lit(False)).unionByName(_only_one(by_words.select("name", "entity"), exact=F.lit(False)))
-    # What is looked up in vain: an acronym may be a person's initials.
-    left = cut.join(found_body.select("name"), "name", "left_anti").select("name", F.concat_ws("|", F.lit("body"), "head", "short").alias("entity"))
-    left = left.unionByName(acronyms.join(found_body.select("name"), "name", "left_anti").select("name", F.concat_ws("|", F.lit("acronym"), "head", "letters").alias("entity")))
+    by_words = cut.join(bodies, "head").filter((F.size(short_words) == F.size(full_words)) & F.forall(each, lambda x: x)).select("name", "entity")
+    found_body = checkpointed(_only_one(by_acronym.unionByName(by_words).withColumn("exact", F.lit(False))))
+    unknown = cut.select("name", F.concat_ws("|", F.lit("body"), "head", "short").alias("entity")).unionByName(acronyms.select("name", F.concat_ws("|", F.lit("acronym"), "head", "letters").alias("entity")))
+    unknown = unknown.join(found_body.select("name"), "name", "left_anti")
 
-    return known.select("name", "entity").unionByName(found).unionByName(found_near).unionByName(rest_).unionByName(found_body).unionByName(left)
+    parts = [known, found, found_near, own_form, found_body, unknown]
+    return reduce(DataFrame.unionByName, parts)
 
 
-def _only_one(fits: DataFrame, *, exact: Column) -> DataFrame:
-    """(name, entity) of names that fit one entity only, or one only by the stronger criterion ``exact``."""
-    each = fits.select("name", "entity", exact.alias("exact")).groupBy("name", "entity").agg(F.max("exact").alias("exact"))
+def _only_one(hits: DataFrame) -> DataFrame:
+    """(name, entity) of the names in ``hits`` (name, entity, exact) that fit one entity only, or only one exactly."""
+    each = hits.groupBy("name", "entity").agg(F.max("exact").alias("exact"))
     one = each.groupBy("name").agg(F.count("*").alias("n"), F.count_if("exact").alias("n_exact"), F.min("entity").alias("any"), F.min(F.when(F.col("exact"), F.col("entity"))).alias("best"))
     return one.filter("n = 1 or n_exact = 1").select("name", F.when(F.col("n_exact") == 1, F.col("best")).otherwise(F.col("any")).alias("entity"))
 
 
 def name_pairs(linked: DataFrame) -> DataFrame:
     """Distinct (name_a, name_b), name_a < name_b by code point, of one entity."""
+    linked = checkpointed(linked)
     other = linked.select("entity", F.col("name").alias("name_b"))
     # Spark compares strings by their UTF-8 bytes, which is the order of code points.
     return linked.select("entity", F.col("name").alias("name_a")).join(other, "entity").filter("name_a < name_b").select("name_a", "name_b").distinct()
