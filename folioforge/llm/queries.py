@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from folioforge.llm.markup import clean_blocks
 from folioforge.llm.mixing import mix_sources
 from folioforge.llm.mojibake import pair_counts, records_of, repair_texts
 from folioforge.llm.residue import find_residue
@@ -28,6 +30,14 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return p2_normalized(spark, folder).select("record_kind", "record_id")
 
 
+def p4_clean(spark: SparkSession, folder: str) -> DataFrame:
+    return clean_blocks(table(spark, folder, "blocks"))
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p4_clean(spark, folder).select("block_id", F.explode("kinds").alias("markup"))
+
+
 def p5_repaired(spark: SparkSession, folder: str) -> DataFrame:
     records = _records(spark, folder)
     return repair_texts(records, pair_counts(records))
@@ -66,7 +76,7 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_normalized, p5_found, p5_repaired, p6_found, p6_repaired, p8_ids, p9_mix, p9_shares, p10_found, p10_residue)}
+    return {f.__name__: f for f in (p2_found, p2_normalized, p4_found, p4_clean, p5_found, p5_repaired, p6_found, p6_repaired, p8_ids, p9_mix, p9_shares, p10_found, p10_residue)}
 
 
 def oracle_sql() -> dict[str, str]:
