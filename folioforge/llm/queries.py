@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from folioforge.llm.markup import clean_blocks
 from folioforge.llm.mixing import mix_sources
 from folioforge.llm.mojibake import pair_counts, records_of, repair_texts
+from folioforge.llm.pairs import find_defects
 from folioforge.llm.residue import find_residue
 from folioforge.llm.scan_noise import repair_blocks
 from folioforge.llm.tokens import encode_corpus
@@ -17,6 +18,10 @@ from folioforge.llm.unicode_form import canonical_texts
 from folioforge.session import table
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return find_defects(table(spark, folder, "blocks"))
+
+
 def _records(spark: SparkSession, folder: str) -> DataFrame:
     return records_of(table(spark, folder, "blocks"), table(spark, folder, "papers"))
 
@@ -76,7 +81,7 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_normalized, p4_found, p4_clean, p5_found, p5_repaired, p6_found, p6_repaired, p8_ids, p9_mix, p9_shares, p10_found, p10_residue)}
+    return {f.__name__: f for f in (p1_found, p2_found, p2_normalized, p4_found, p4_clean, p5_found, p5_repaired, p6_found, p6_repaired, p8_ids, p9_mix, p9_shares, p10_found, p10_residue)}
 
 
 def oracle_sql() -> dict[str, str]:
