@@ -167,18 +167,21 @@ def clause_features(response: str, text: str, ending: tuple[int, int, int], lang
 
 def ending_features(part: str, ws: list[str], ending: tuple[int, int, int]) -> list[str]:
     count, final, longer = ending
+    if ws and len(ws[-1]) < 2:  # the end of a unit ("g/L"), not of a word cut short
+        longer = 0
     end = part.rstrip("\"'”»’")[-1:]
     stop = end in ".!?…" and not _ABBREVIATION.search(part)
     f = ["stop" if stop else "open"]
     if not stop:
         word = ws[-1] if ws else ""
         f.append(f"ends{_bucket(final / max(1, count), (0.002, 0.01, 0.03, 0.08, 0.2, 0.95))}")
-        f.append(f"longer{_bucket(longer / max(1, count), (0.1, 1, 5, 20))}")
-        f.append(f"ends{_bucket(final / max(1, count), (0.01, 0.08, 0.95))}longer{_bucket(longer / max(1, count), (0.5, 5))}")
+        f.append(f"longer{_bucket(longer / max(1, count), (2, 8, 30))}")
+        f.append(f"ends{_bucket(final / max(1, count), (0.01, 0.08, 0.95))}longer{_bucket(longer / max(1, count), (2, 8))}")
+        # The surest signs are features of several names, so that fewer steps teach them a high weight.
         if word in HANGING:
-            f.append("hanging")
+            f += ["hanging", "hanging again", f"hanging {word}"]
         if end in "–—-,;:(=/":
-            f.append("mark")
+            f += ["mark", "mark again", f"mark {end}"]
         if part.count("(") > part.count(")"):
             f.append("paren")
         if word == "9" and end.isdigit():
