@@ -61,7 +61,7 @@ _DANGLE = [" and", " of", " with a", " with the", " for the", " in the", " becau
 _LEAD = ["", "", "Summary: ", "Answer: ", "Excerpt: ", "The authors write: ", "The text says: ", "Here is the passage: ", "Text: "]
 
 _WORDS = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|\d[\d.,]*|[%°]")
-_CLAUSE = re.compile(r"(?:(?<=[.;!?…])|(?<=[^\d\s]:)|(?<=[.!?]['\"”»)]))\s+|\s[–—]\s|\n+")
+_CLAUSE = re.compile(r"(?:(?<=[.;!?…])|(?<=[^\d\s]:)|(?<=[.!?]['\"”»)]))\s+|\s[–—]\s|\n\s*\n+|\n(?=[-*•])")
 _ABBREVIATION = re.compile(r"\b(?:approx|app|ca|cf|e\.g|i\.e|vs|fig|no|resp|al)\.$", re.IGNORECASE)
 
 
@@ -126,9 +126,8 @@ def _bucket(x: float, edges: tuple[float, ...]) -> int:
     return sum(x >= e for e in edges)
 
 
-def clause_features(response: str, text: str, ending: tuple[int, int, int], languages: Languages) -> tuple[list[str], list[list[str]]]:
-    """(clauses, names of the features of each). ``ending``: of the last word, the numbers of times it stands, stands last,
-    and that its most frequent extension stands."""
+def clause_features(response: str, text: str, ending: tuple[float, float, float], languages: Languages) -> tuple[list[str], list[list[str]]]:
+    """(clauses, names of the features of each). ``ending``: how the last word is used, as ``usage`` gives it."""
     parts = clauses(response)
     whole = norm_words(text)
     known, known_words = _grams(whole), set(whole)
@@ -165,8 +164,14 @@ def clause_features(response: str, text: str, ending: tuple[int, int, int], lang
     return parts, out
 
 
-def ending_features(part: str, ws: list[str], ending: tuple[int, int, int]) -> list[str]:
-    count, final, longer = ending
+def usage(count: int, final: int, longer: int, total: int) -> tuple[float, float, float]:
+    """Of a word: the share of its uses that end a response, how many times as frequent its most frequent extension is, and
+    the share of all responses that it ends."""
+    return final / max(1, count), longer / max(1, count), final / max(1, total)
+
+
+def ending_features(part: str, ws: list[str], ending: tuple[float, float, float]) -> list[str]:
+    ends, longer, common = ending
     if ws and len(ws[-1]) < 2:  # the end of a unit ("g/L"), not of a word cut short
         longer = 0
     end = part.rstrip("\"'”»’")[-1:]
@@ -174,10 +179,11 @@ def ending_features(part: str, ws: list[str], ending: tuple[int, int, int]) -> l
     f = ["stop" if stop else "open"]
     if not stop:
         word = ws[-1] if ws else ""
-        f.append(f"ends{_bucket(final / max(1, count), (0.002, 0.01, 0.03, 0.08, 0.2, 0.95))}")
-        f.append(f"longer{_bucket(longer / max(1, count), (2, 8, 30))}")
-        f.append(f"ends{_bucket(final / max(1, count), (0.01, 0.08, 0.95))}longer{_bucket(longer / max(1, count), (2, 8))}")
-        # The surest signs are features of several names, so that fewer steps teach them a high weight.
+        usual = _bucket(common, (0.001, 0.004))
+        f.append(f"ends{_bucket(ends, (0.002, 0.01, 0.03, 0.08, 0.2))}")
+        f.append(f"longer{_bucket(longer, (2, 8, 30))}")
+        f += [f"usual{usual}", f"usual{usual} ends{_bucket(ends, (0.01, 0.08))} longer{_bucket(longer, (2, 8))}"]
+    # The surest signs are features of several names, so that fewer steps teach them a high weight.
         if word in HANGING:
             f += ["hanging", "hanging again", f"hanging {word}"]
         if end in "–—-,;:(=/":
@@ -337,7 +343,7 @@ class Judge:
     field: Field
     languages: Languages
 
-    def defect(self, text: str | None, response: str | None, ending: tuple[int, int, int]) -> str | None:
+    def defect(self, text: str | None, response: str | None, ending: tuple[float, float, float]) -> str | None:
         """The defect of a pair, or None."""
         if is_empty(response):
             return "empty"
@@ -358,10 +364,10 @@ class Judge:
         return "truncated" if unfinished > 0.45 else None
 
 
-def ending_of(counts: dict[str, list[int]], longer: dict[str, int], response: str) -> tuple[int, int, int]:
+def ending_of(counts: dict[str, list[int]], longer: dict[str, int], total: int, response: str) -> tuple[float, float, float]:
     ws = norm_words(response)
-    n = counts.get(ws[-1], (1, 1)) if ws else (0, 0)
-    return (n[0], n[1], longer.get(ws[-1], 0) if ws else 0)
+    n = counts.get(ws[-1], (0, 0)) if ws else (0, 0)
+    return usage(n[0], n[1], longer.get(ws[-1], 0) if ws else 0, total)
 
 
 def fit(pairs: list[tuple[str, str]], plan: PairPlan) -> Judge:
@@ -371,6 +377,7 @@ def fit(pairs: list[tuple[str, str]], plan: PairPlan) -> Judge:
     languages = Languages(english, other)
     rows = examples(pairs, plan)
     counts: dict[str, list[int]] = {}
+    total = sum(label in ("answer", "unfinished") for _, _, label in rows)
     for _, r, label in rows:
         if label in ("answer", "unfinished"):
             ws = norm_words(r)
@@ -385,7 +392,7 @@ def fit(pairs: list[tuple[str, str]], plan: PairPlan) -> Judge:
 
     data = []
     for t, r, label in rows:
-        parts, features = clause_features(r, t, ending_of(counts, longer, r), languages)
+        parts, features = clause_features(r, t, ending_of(counts, longer, total, r), languages)
         if not parts:
             continue
         y = LABELS.index(label)
@@ -395,13 +402,17 @@ def fit(pairs: list[tuple[str, str]], plan: PairPlan) -> Judge:
     # then what is not surely an answer.
     made = [(f, y) for f, y, label in data if label != "answer"]
     answers = [(f, y) for f, y, label in data if label == "answer"]
-    for least in (0.5, 0.85):
+    for most in (0.5, 0.15):
         halves = (answers[::2], answers[1::2])
         fields = [train([*made, *half], plan) for half in halves]
-        answers = [(f, y) for field, half in zip(fields, halves[::-1], strict=True) for f, y in half if field.marginals(f)[:, 0].min() > least]
+        answers = [(f, y) for field, half in zip(fields, halves[::-1], strict=True) for f, y in half if _sound(field.marginals(f), most)]
     return Judge(train([*made, *answers], plan), languages)
 
 
+def _sound(p: np.ndarray, most: float) -> bool:
+    return bool(p[:, 1:4].sum(1).max() < most and p[-1, 4] < 0.5)
+
+
 # --- operator ------------------------------------------------------------------------------------------------------------------
 
 
@@ -443,6 +454,7 @@ def find_defects(blocks: DataFrame, plan: PairPlan | None = None) -> DataFrame:
     sample = answers.filter("value is not null and text is not null").select("text", "value").orderBy(F.xxhash64("block_id", "summary_key", F.lit(plan.seed)), "block_id", "summary_key").limit(plan.sample_pairs)
     shared = blocks.sparkSession.sparkContext.broadcast(fit([(r["text"], r["value"]) for r in sample.collect()], plan))
     endings = checkpointed(word_endings(answers))
+    total = answers.filter("value is not null").count()
     if endings.limit(plan.most_words + 1).count() <= plan.most_words:
         endings = F.broadcast(endings)
     # The last word in the JVM, written as in ``norm_words``.
@@ -456,8 +468,8 @@ def find_defects(blocks: DataFrame, plan: PairPlan | None = None) -> DataFrame:
         judge = shared.value
         for batch in batches:
             keep, defects = [], []
-            for i, (value, text, *ending) in enumerate(zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True)):
-                if defect := judge.defect(text, value, tuple(ending)):
+            for i, (value, text, *n) in enumerate(zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True)):
+                if defect := judge.defect(text, value, usage(*n, total)):
                     keep.append(i)
                     defects.append(defect)
             yield pa.RecordBatch.from_arrays([*(c.take(pa.array(keep, pa.int32())) for c in batch.columns[:2]), pa.array(defects, pa.string())], names=["block_id", "summary_key", "defect"])
