@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioforge.session import checkpointed
+from folioforge.session import bounded_sample, checkpointed
 
 
 @dataclass(frozen=True)
@@ -216,9 +216,7 @@ def nearest(vectors: DataFrame, plan: KnnPlan | None = None) -> DataFrame:
     spark = vectors.sparkSession
     rows = checkpointed(vectors.select(F.col("id").cast("long").alias("id"), F.col("vector").cast("array<float>").alias("vector")).filter(usable("vector", plan.dim)))
     n = rows.count()
-    # A sample by hash: rows of the smallest hashes, so its size does not depend on how the table is stored.
-    share = min(1.0, plan.sample_rows / max(n, 1) * 1.2)
-    picked = rows.filter(F.pmod(F.xxhash64("id", F.lit(plan.seed)), F.lit(1_000_000)) < int(share * 1_000_000)).limit(plan.sample_rows)
+    picked = bounded_sample(rows, "id", plan.sample_rows, n, plan.seed)
     sample = picked.select("vector").toArrow().column(0).combine_chunks()
     x = _unit(_matrix(sample, plan.dim)) if len(sample) else np.zeros((0, plan.dim), np.float32)
     router = fit_partitions(x, min(plan.max_partitions, -(-n // plan.partition_rows), max(1, len(x) // 16)), plan)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -25,6 +26,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def bounded_sample(df: DataFrame, key: str, rows: int, total: int, seed: int) -> DataFrame:
+    """About ``rows`` rows of ``df`` (of ``total``), at most that many, chosen by the hash of ``key``: the choice does not
+    depend on how the table is stored, and no more than the sample is ever gathered."""
+    share = min(1.0, 1.1 * rows / max(total, 1))
+    return df.filter(F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000) + 1).limit(rows)
+
+
 def spread(df: DataFrame, least: int = 1) -> DataFrame:
     """``df`` over at least as many partitions as there are cores when it has fewer: CPU-bound stages follow."""
     wanted = max(least, df.sparkSession.sparkContext.defaultParallelism)
