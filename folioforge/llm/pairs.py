@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.session import checkpointed
+from folioforge.session import bounded_sample, checkpointed
 
 LABELS = ("answer", "refusal", "echo", "foreign", "unfinished")
 DEFECTS = {"refusal": "refusal", "echo": "copy", "foreign": "language", "unfinished": "truncated"}
@@ -451,10 +451,10 @@ def find_defects(blocks: DataFrame, plan: PairPlan | None = None) -> DataFrame:
     """
     plan = plan or PairPlan()
     answers = responses(blocks)
-    sample = answers.filter("value is not null and text is not null").select("text", "value").orderBy(F.xxhash64("block_id", "summary_key", F.lit(plan.seed)), "block_id", "summary_key").limit(plan.sample_pairs)
+    total = answers.filter("value is not null").count()
+    sample = bounded_sample(answers.filter("value is not null and text is not null").select("block_id", "text", "value"), "block_id", plan.sample_pairs, total, plan.seed)
     shared = blocks.sparkSession.sparkContext.broadcast(fit([(r["text"], r["value"]) for r in sample.collect()], plan))
     endings = checkpointed(word_endings(answers))
-    total = answers.filter("value is not null").count()
     if endings.limit(plan.most_words + 1).count() <= plan.most_words:
         endings = F.broadcast(endings)
     # The last word in the JVM, written as in ``norm_words``.
