@@ -126,7 +126,8 @@ def _read_body(parts: list[list[str]]) -> dict:
 
 def _read_person(parts: list[list[str]]) -> dict:
     def initials(ws: list[str]) -> bool:
-        return all(len(w.rstrip(".")) == 1 or (w.isupper() and len(w) <= 3 and not w.endswith(".")) for w in ws)
+        joined = len(ws) == 1 and ws[0].isupper() and len(ws[0]) <= 3 and not ws[0].endswith(".")
+        return joined or all(len(w.rstrip(".")) == 1 for w in ws)
 
     if len(parts) > 1:  # Surname, Given M.
         return _person("".join(fold(w).rstrip(".") for w in parts[0]), parts[1])
@@ -227,7 +228,7 @@ def link_names(names: DataFrame) -> DataFrame:
 
     # Full forms.
     full = forms.filter("how = 'full'").withColumn("words", F.col("rest")).withColumn("rest", _squash("rest"))
-    keys = checkpointed(full.groupBy("kind", "head", "rest").agg(F.count("*").alias("support"), F.max("middle").alias("middle"), F.max("words").alias("words")))
+    keys = checkpointed(full.groupBy("kind", "head", "rest").agg(F.count("*").alias("support"), F.max("middle").alias("middle"), F.max_by("words", F.struct(F.size(F.split("words", " ")), "words")).alias("words")))
     entity = checkpointed(_merged(keys))
     known = full.join(entity, ["kind", "head", "rest"]).select("name", "entity")
     with_middle = keys.join(entity, ["kind", "head", "rest"])

@@ -12,9 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 def watch_files(spark: SparkSession, folder: str, *, recursive: bool = True, newest_first: bool = True) -> DataFrame:
     """A stream of the PDF files that appear in a folder, with their hash; work folders are left out, and so are empty files,
     which are still being written."""
-    files = (
-        spark.readStream.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).option("latestFirst", str(newest_first).lower()).load(folder)
-    )
+    options = {"recursiveFileLookup": str(recursive).lower(), "latestFirst": str(newest_first).lower()}
+    files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").options(**options).load(folder)
     inside = F.col("path").rlike(r"(?i)\.pdf$") & ~F.col("path").rlike(r"/(completed|errors)/")
     return files.filter(inside & (F.col("length") > 0)).withColumn("pdf_hash", F.sha2("content", 256))
 
