@@ -55,7 +55,7 @@ def sainte_lague(weights: list[float], seats: int, caps: list[int]) -> list[int]
     for _ in range(100):
         middle = (low + high) / 2
         low, high = (middle, high) if sum(given(middle)) <= seats else (low, middle)
-    out = given(low)
+    out = given(low * (1 - 1e-9))  # just below, so that equal quotients are all left to the heap
     heap = [(-w / (2 * k + 1), i) for i, (w, k, c) in enumerate(zip(weights, out, caps, strict=True)) if w > 0 and k < c]
     heapq.heapify(heap)
     for _ in range(seats - sum(out)):

@@ -62,7 +62,7 @@ def _kind(c: str) -> tuple[str, float, bool]:
             return ("greek", 0.8, True)
         return (unicodedata.name(c, "?").split()[0].lower(), 3.0 if o < 0x2E80 else 2.0, True)
     if category[0] == "M":
-        return ("mark", 1.5 if o < 0x370 else 4.0, False)
+        return ("mark", 3.5 if o < 0x370 else 5.0, False)
     if category == "Zs" or category == "Cf":
         return ("space", 1.0, False)
     return ("symbol", 4.0 if 0x2500 <= o <= 0x25FF else 3.0 if category in ("So", "Sk", "Sm", "Po", "Pi", "Pf", "Ps") else 2.0, False)
@@ -144,15 +144,16 @@ def reread(s: str, encoding: str) -> str:
 
 def repair_word(word: str) -> str:
     """The cheapest string reachable from ``word`` if it is clearly cheaper, else ``word``."""
-    start = cost(word)
-    best, best_cost, decoded_best = word, start, False
-    heap, seen = [(start, 0, word, False)], {hash(word)}
+    plain = html.unescape(word) if "&" in word else word
+    start = cost(plain)  # references may well be meant: only what decoding makes better counts
+    best, best_cost = word, start
+    heap, seen = [(cost(word), 0, word, False)], {hash(word)}
     states = 0
     while heap and states < MOST_STATES:
         price, _, s, decoded = heapq.heappop(heap)
         states += 1
         if price < best_cost and decoded:
-            best, best_cost, decoded_best = s, price, True
+            best, best_cost = s, price
         steps = [(reread(s, e), True) for e in MISREAD]
         if "&" in s:
             steps.append((html.unescape(s), decoded))
@@ -162,9 +163,7 @@ def repair_word(word: str) -> str:
                 c = cost(t)
                 if c <= start + 8:  # an operation may make it look worse before it gets better
                     heapq.heappush(heap, (c, len(seen), t, d))
-    if decoded_best and cost(html.unescape(word) if "&" in word else word) - best_cost > MARGIN:
-        return best
-    return word
+    return best if start - best_cost > MARGIN else word
 
 
 # --- letter pairs of non-Latin scripts -----------------------------------------------------------------------------------

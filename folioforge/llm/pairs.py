@@ -179,7 +179,7 @@ def ending_features(part: str, ws: list[str], ending: tuple[float, float, float]
     f = ["stop" if stop else "open"]
     if not stop:
         word = ws[-1] if ws else ""
-        usual = _bucket(common, (0.001, 0.004))
+        usual = 0 if word in HANGING else _bucket(common, (0.001, 0.004))
         f.append(f"ends{_bucket(ends, (0.002, 0.01, 0.03, 0.08, 0.2))}")
         f.append(f"longer{_bucket(longer, (2, 8, 30))}")
         f += [f"usual{usual}", f"usual{usual} ends{_bucket(ends, (0.01, 0.08))} longer{_bucket(longer, (2, 8))}"]

@@ -50,7 +50,7 @@ _TOKEN = re.compile(r"[^\W_]+")
 _BROKEN = re.compile(rf"([^\W\d_]+)[{BREAK_MARKS}][ \t]*\n+[ \t]*(?=(\w+))")
 _COMPOUND = re.compile(r"[^\W\d_]+-[^\W\d_]+")
 
-_NUMBER = r"(?:\d{1,4}|[ivxlc]{1,7})"
+_NUMBER = r"(?:\d{1,4}|(?=[ivxl])(?-i:(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})))"
 _PAGE = re.compile(rf"(?:page|p\.?|pp\.?|seite|pág\.?|página|стр\.?|с\.)\s*\d{{1,4}}(?:\s*(?:of|von|de|/)\s*\d{{1,4}})?|[-–—]+\s*{_NUMBER}\s*[-–—]+|\[\s*{_NUMBER}\s*\]|\(\s*\d{{1,4}}\s*\)|{_NUMBER}(?:\s*/\s*\d{{1,4}})?", re.IGNORECASE)
 _EDGE_NUMBER = re.compile(r"^\d{1,4}(?:\s{2,}|\s*\|\s*)|(?:\s{2,}|\s*\|\s*)\d{1,4}$")
 _VOLUME = re.compile(r"vol\.?\s*\d+\s*[,;.]?\s*(?:no\.?|nr\.?|issue)\s*\d+.{0,20}", re.IGNORECASE)
@@ -89,9 +89,7 @@ def noise_lines(lines: list[str]) -> list[bool]:
         if re.fullmatch(r"[=\-~^]{3,}", after) or _MARKUP_LINE.match(before[:1] or " ") and before[:1] in "`~{|":
             continue
         bare = _EDGE_NUMBER.sub("", s).strip()
-        if _PAGE.fullmatch(s) and not (re.fullmatch(r"[a-z]{1,2}", s) and s not in ("i", "v", "x", "ii", "iv", "vi", "ix", "xi", "xv", "xx", "xl", "li", "lv", "lx")):
-            out[i] = True
-        elif _VOLUME.fullmatch(bare) or _ET_AL.fullmatch(bare):
+        if _PAGE.fullmatch(s) or _VOLUME.fullmatch(bare) or _ET_AL.fullmatch(bare):
             out[i] = True
         elif _is_title(bare) and (bare != s or i in (0, len(lines) - 1) or _interrupts(before, after) or bare == bare.upper()):
             out[i] = True
