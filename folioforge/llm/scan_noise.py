@@ -91,8 +91,8 @@ def noise_lines(lines: list[str]) -> list[bool]:
         bare = _EDGE_NUMBER.sub("", s).strip()
         if _PAGE.fullmatch(s) or _VOLUME.fullmatch(bare) or _ET_AL.fullmatch(bare):
             out[i] = True
-        elif _is_title(bare) and (bare != s or i in (0, len(lines) - 1) or _interrupts(before, after) or bare == bare.upper()):
-            out[i] = True
+        elif _is_title(bare) and (bare != s or i in (0, len(lines) - 1) or _interrupts(before, after) or bare == bare.upper() or (lines[i - 1].strip() and lines[i + 1].strip())):
+            out[i] = True  # a heading would have a blank line before or behind it
     return out
 
 
