@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioforge.functions import text as T
+from folioforge.session import checkpointed
 
 PIECE = 2048
 
@@ -67,14 +68,14 @@ def captions(blocks: DataFrame, *, key: str = "paper_id", order: list[str] | Non
     which is spread evenly whatever the size of a document.
     """
     order = order or ["pos", "block_id"]
-    numbered = number_rows(blocks, "__n", key=key, order=order)
+    numbered = checkpointed(number_rows(blocks, "__n", key=key, order=order))  # read three times below
     behind = numbered.filter(T.is_caption(F.col("text"))).select(F.col(key).alias("__key"), (F.col("__n") - 1).alias("__m"), T.strip(F.col("text")).alias("__caption"))
     asked = numbered.join(behind, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__n") == F.col("__m")), "left").drop("__key", "__m")
     asks = F.coalesce((F.col("type") == "figure") & F.col("__caption").isNotNull(), F.lit(False))
     based = carry_forward(asked.withColumn("__asks", asks), F.when(~F.col("__asks"), F.col("__n")), "__base", key=key, order=order)
     takes = F.col("__asks") & ((F.col("__n") - F.coalesce("__base", F.lit(0))) % 2 == 1)
     # A block is taken if the one before it takes; that one asks, as this one is a caption: the parity tells it here too.
-    ranked = based.withColumn("__takes", takes)
+    ranked = checkpointed(based.withColumn("__takes", takes))
     taken = ranked.filter("__takes").select(F.col(key).alias("__key"), (F.col("__n") + 1).alias("__m"))
     left = ranked.join(taken, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__n") == F.col("__m")), "left_anti")
     return left.withColumn("text", F.when(F.col("__takes"), F.col("__caption")).otherwise(F.col("text"))).drop("__n", "__caption", "__asks", "__base", "__takes")
@@ -98,8 +99,10 @@ def assign_pages(chunks: DataFrame, toc: DataFrame, totals: DataFrame, *, key: s
     pairs are formed. An entry belongs to the first chunk that has its title; of several entries the last counts.
     """
     order = order or ["pos", "block_id"]
-    entry = F.struct("toc_pos", F.substring(T.strip(F.replace("title", F.lit("\n"), F.lit(" "))), 1, 40).alias("title"), F.coalesce("page_id", F.lit(0)).alias("page_id"))
-    lists = toc.select(key, entry.alias("e")).filter("e.title <> ''").groupBy(key).agg(F.collect_list("e").alias("__toc"))
+    title = F.substring(T.strip(F.replace("title", F.lit("\n"), F.lit(" "))), 1, 40)
+    # Entries of one title belong to the same chunk, and the last counts: so an array has the distinct titles only.
+    entries = toc.select(key, "toc_pos", title.alias("t"), F.coalesce("page_id", F.lit(0)).alias("page_id")).filter("t <> ''").groupBy(key, "t").agg(F.max(F.struct("toc_pos", "page_id")).alias("last"))
+    lists = entries.groupBy(key).agg(F.collect_list(F.struct(F.col("last.toc_pos").alias("toc_pos"), F.col("t").alias("title"), F.col("last.page_id").alias("page_id"))).alias("__toc"))
     flat = F.replace(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(" "))
     met = chunks.select(key, *order, flat.alias("flat")).join(lists, key).select(key, *order, F.explode(F.filter("__toc", lambda t: F.col("flat").contains(t.title))).alias("e"))
     first = met.groupBy(key, "e").agg(F.min(F.struct(*order)).alias("at"))

@@ -15,6 +15,7 @@ from folioforge.operators import enrich as E
 from folioforge.operators import maintain as M
 from folioforge.operators import resolve as R
 from folioforge.operators import sequence as S
+from folioforge.plans import pipelines as P
 from folioforge.session import table
 from folioforge.sources import bundles as B
 from folioforge.streaming import watch as W
@@ -129,10 +130,10 @@ def q_image_refs(spark, d):
 SELECT block_id, (CASE WHEN contains(text, chr(10)) OR length(text) > 120 OR length(text) < 3 THEN false
  WHEN text = upper(text) AND length(text) > 5 AND NOT ends_with(text, '.') THEN true
  ELSE regexp_matches(text, '^\\p{{Nd}}+[.\\p{{Nd}}]*(\\.|{_WS}){_WS}*[A-Z]') AND NOT ends_with(text, '.') END)::BOOLEAN AS heading
-FROM blocks WHERE text IS NOT NULL AND NOT contains(text, 'ß')
+FROM blocks WHERE text IS NOT NULL
 """)
 def q_headings(spark, d):
-    return _blocks(spark, d).filter("text is not null and not contains(text, 'ß')").select("block_id", T.is_heading(F.col("text")).alias("heading"))
+    return _blocks(spark, d).filter("text is not null").select("block_id", T.is_heading(F.col("text")).alias("heading"))
 
 
 @query("""
@@ -692,6 +693,60 @@ def q_types_of_verified(spark, d):
     return _blocks(spark, d).join(good, "paper_id", "left_semi").groupBy("type").agg(F.count("*").alias("n"))
 
 
+# --- pipelines ------------------------------------------------------------------------------------------------------------------------------------
+
+
+@query()
+def q_extract(spark, d):
+    docs = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("paper_id"), F.col("text").alias("markdown"))
+    got = P.extract_blocks(docs)
+    return got.select("paper_id", "node_id", "type", "text", F.coalesce(F.get("section_path", F.lit(0)), F.lit("")).alias("section"))
+
+
+@query()
+def q_extract_pages(spark, d):
+    pages = table(spark, d, "documents").filter("paper_id is not null").select("paper_id", F.col("doc_id").alias("page"), "text")
+    return P.extract_pages(pages).select("paper_id", "page", "node_id", "type", "text")
+
+
+@query()
+def q_enrich(spark, d):
+    out = P.enrich_blocks(_blocks(spark, d).select("paper_id", "pos", "block_id", "type", "text", "embeddings", "summaries"), {"hash8": 8}, model=E.stub_model)
+    return out.select("block_id", F.col("summaries")["rake"].alias("rake"), F.col("summaries")["llm:stub"].alias("said"), F.size(F.col("embeddings")["hash8"]).alias("dim"))
+
+
+@query("""
+WITH f AS (SELECT bundle_id, 'p/' || bundle_id || '.pdf' AS path, pdf_hash FROM papers WHERE pdf_hash IS NOT NULL),
+s AS (SELECT pdf_hash, min(slug) AS shared_slug FROM papers WHERE bundle_id % 2 = 0 AND trim(coalesce(title, ''), ' ' || chr(9) || chr(10) || chr(160)) <> '' AND pdf_hash IS NOT NULL GROUP BY 1)
+SELECT f.path, s.shared_slug IS NOT NULL AS short_way FROM f LEFT JOIN s ON f.pdf_hash = s.pdf_hash
+""")
+def q_shared_bundles(spark, d):
+    p = _papers(spark, d).filter("pdf_hash is not null")
+    shared = p.filter("bundle_id % 2 = 0").select("pdf_hash", F.array("pdf_hash").alias("hashes"), "title", "slug").filter(P.shared_bundle_valid(F.col("pdf_hash"), F.col("hashes"), F.col("title"))).select("pdf_hash").distinct().withColumn("yes", F.lit(True))
+    return p.join(shared, "pdf_hash", "left").select(F.concat(F.lit("p/"), F.col("bundle_id").cast("string"), F.lit(".pdf")).alias("path"), F.col("yes").isNotNull().alias("short_way"))
+
+
+@query()
+def q_ingest_results(spark, d):
+    p = _papers(spark, d).filter("pdf_hash is not null")
+    files = p.select(F.concat(F.lit("p/"), F.col("bundle_id").cast("string"), F.lit(".pdf")).alias("path"), "pdf_hash")
+    shared = p.filter("bundle_id % 3 = 0").select("pdf_hash", F.array("pdf_hash").alias("hashes"), "title", "slug")
+    return P.ingest_results(files, p.select("pdf_hash", "verified", "verify_warnings", "doi", "arxiv_id", "s2_id", "title", "slug"), shared)
+
+
+@query()
+def q_tag_updates(spark, d):
+    p = _papers(spark, d).select(F.concat(F.lit("p/"), F.col("bundle_id").cast("string"), F.lit(".pdf")).alias("path"), "bundle_id", "title", F.col("authors.name").alias("authors"), "doi", "year", "journal", "abstract", "keywords")
+    old = p.filter("bundle_id % 2 = 0").select("path", F.concat(F.lit("doi:"), "doi").alias("identifier"), "doi", "title", F.lit("x").alias("author")).withColumnRenamed("doi", "keywords")
+    return P.tag_updates(p.drop("bundle_id"), old).select("pdf_path", "updated", "reason", "new_title", F.array_join("command", " ").alias("command"))
+
+
+@query("SELECT source AS key, count(*)::BIGINT AS n FROM documents d WHERE sha256(coalesce(text, '')) NOT IN (SELECT sha256(coalesce(text, '')) FROM documents WHERE source = 'publisher_feed') GROUP BY 1")
+def q_skip_existing(spark, d):
+    files = table(spark, d, "documents").select("source", F.sha2(F.coalesce("text", F.lit("")), 256).alias("pdf_hash"))
+    return P.skip_existing(files, files.filter("source = 'publisher_feed'")).groupBy(F.col("source").alias("key")).agg(F.count("*").alias("n"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
