@@ -34,11 +34,13 @@ SWAPPED = (("cp1252", "cp1251"), ("cp1252", "koi8_r"), ("cp1251", "koi8_r"), ("k
 TYPOGRAPHY = frozenset("–—‘’“”„‚…°±µ×·•«»§½¼¾€£≤≥≈−→′″²³")
 _USUAL = frozenset(("latin", "greek", "cyrillic"))
 #: A repair must be cheaper by more than this; the search looks at so many strings at most for each word or run of words.
-MARGIN, MOST_STATES = 1.0, 60
+MARGIN, MOST_STATES = 0.9, 60
+#: Signs of measure and reckoning: a letter with a mark does not follow them without a blank.
+_SIGNS = frozenset("°±×·½¼¾≤≥≈→′″²³§•")
 
 _LOST = re.compile("[�\x80-\x84\x86-\x9f]")
 _WORD = re.compile(r"[^ \t\r\n]*[^\x00-\x7f][^ \t\r\n]*|[^ \t\r\n]*&(?:#\d{2,7}|#[xX][0-9a-fA-F]{2,6}|[A-Za-z]{2,8});[^ \t\r\n]*")
-_LETTERS = "(?:[^\\W\\d_a-zA-Z]|[÷¸¨])"  # the three are what letters of Cyrillic encodings look like
+_LETTERS = "(?:[^\\W\\d_a-zA-Z]|[÷¸¨╦╗])"  # the five are what letters of Cyrillic encodings look like
 _FOREIGN_RUN = re.compile(rf"{_LETTERS}+(?:[ \n,()«»\"'’-]+{_LETTERS}+)*")
 
 
@@ -84,7 +86,9 @@ def cost(s: str) -> float:
                     total += 2.0
                 elif c.islower() and upper_run >= 2:
                     total += 1.5
-            elif before and before >= "\x80" and kind != "latin" and _kind(before)[0] == "symbol" and c.islower():
+            elif before >= "\x80" and kind != "latin" and _kind(before)[0] == "symbol" and c.islower():
+                total += 0.5
+            elif price and before in _SIGNS and before:
                 total += 0.5
             upper_run = upper_run + 1 if c.isupper() else 0
             script = kind
@@ -125,7 +129,7 @@ def _may_be_meant(c: str) -> bool:
     o = ord(c)
     if unicodedata.category(c) in ("Cn", "Co", "Cs"):
         return False
-    return o < 0x530 or 0x590 <= o < 0x700 or 0x1E00 <= o < 0x2150 or 0x2190 <= o < 0x2500 or 0x2C60 <= o < 0x2C80 or 0x3000 <= o < 0x3003 or 0x3041 <= o < 0x3100 or 0x4E00 <= o < 0xA000 or 0xAC00 <= o < 0xD7B0 or 0xFB00 <= o < 0xFB07 or o == 0xFEFF or o == 0xFFFD or 0x1F000 <= o < 0x1FB00
+    return o < 0x530 or (0x590 <= o < 0x700 and c.isalpha()) or 0x1E00 <= o < 0x2150 or 0x2190 <= o < 0x2500 or 0x2C60 <= o < 0x2C80 or 0x3000 <= o < 0x3003 or 0x3041 <= o < 0x3100 or 0x4E00 <= o < 0xA000 or 0xAC00 <= o < 0xD7B0 or 0xFB00 <= o < 0xFB07 or o == 0xFEFF or o == 0xFFFD or 0x1F000 <= o < 0x1FB00
 
 
 def reread(s: str, encoding: str) -> str:
@@ -210,9 +214,28 @@ def _likelihood(run: str, pairs: dict[str, float]) -> tuple[float, int]:
 
 
 def repair_run(run: str, pairs: dict[str, float]) -> str:
-    """A run of words without ASCII letters whose single-byte encoding was mistaken; unchanged if it is plausible as it is."""
-    letters = sum(map(str.isalpha, run))
-    if letters < 4 or not pairs:
+    """A run of words without ASCII letters in which single-byte encodings may have been mistaken.
+
+    Garbled and sound words may stand side by side: the run is cut where the script or the way of writing capitals changes, and
+    each part is judged by itself.
+    """
+    if not pairs:
+        return run
+    parts: list[list] = []
+    for token in re.findall(rf"{_LETTERS}+|(?:(?!{_LETTERS}).)+", run, re.DOTALL):
+        is_word = bool(re.match(_LETTERS, token))
+        kind = (token[0] < "\u0370" or token[0] in "╦╗", len(token) > 1 and not token[1:].islower()) if is_word and len(token) > 1 else None
+        if parts and (kind is None or parts[-1][0] is None or parts[-1][0] == kind):
+            parts[-1][0] = parts[-1][0] if kind is None else kind
+            parts[-1][1] += token
+        else:
+            parts.append([kind, token])
+    return "".join(_repair_part(text, pairs) for _, text in parts)
+
+
+def _repair_part(run: str, pairs: dict[str, float]) -> str:
+    letters = len(re.findall(_LETTERS, run))
+    if letters < 4:
         return run
     own, n = _likelihood(run, pairs)
     best, best_value = run, own

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from folioforge.llm.mojibake import Repairer
 
 # Letters of other scripts that look like Latin ones.
-CYRILLIC_AS_LATIN = dict(zip("аеорсухіѕјһԁԛԝвАВЕКМНОРСТХІЅЈԌԚԜҮӀ", "aeopcyxisjhdqwbABEKMHOPCTXISJGQWYI", strict=True)) | {"у": "y", "ү": "y", "г": "r", "к": "k", "ԍ": "g", "ӏ": "l", "У": "Y", "З": "3"}
+CYRILLIC_AS_LATIN = dict(zip("аеорсухіѕјһԁԛԝвАВЕКМНОРСТХІЅЈԌԚԜҮӀ", "aeopcyxisjhdqwbABEKMHOPCTXISJGQWYI", strict=True)) | {"у": "y", "ү": "y", "г": "r", "к": "k", "ԍ": "g", "ӏ": "l", "У": "Y", "З": "3", "ӧ": "ö", "ї": "ï", "ѐ": "è", "ӓ": "ä", "Ԍ": "G"}
 GREEK_AS_LATIN = dict(zip("οΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "oABEZHIKMNOPTYX", strict=True))
 GREEK_SMALL_AS_LATIN = dict(zip("ναικρτυχγη", "vaikptuxyn", strict=True))
 SPACES = "   -   　"
@@ -33,10 +33,12 @@ MARKS = "̀-ͯ᪰-᫿᷀-᷿⃐-⃿"
 #: What the JVM looks for before any text goes to Python: a superset of the unstable segments.
 UNSTABLE_JVM = r"[\x{a0}\x{1680}\x{2000}-\x{200f}\x{202a}-\x{202f}\x{205f}-\x{206f}\x{3000}\x{ad}\x{34f}\x{61c}\x{115f}\x{1160}\x{17b4}\x{17b5}\x{180b}-\x{180e}\x{feff}\x{ff01}-\x{ff5e}\x{ffe0}-\x{ffe6}\x{e0000}-\x{e007f}\p{M}]|[\p{IsLatin}][\p{IsCyrillic}\p{IsGreek}]|[\p{IsCyrillic}\p{IsGreek}][\p{IsLatin}]"
 
-_SEGMENT = re.compile(f"[{FULL_WIDTH}]+|[{SPACES}]|[{INVISIBLE}]+|\\w[{MARKS}]+")
+_SEGMENT = re.compile(f"[{FULL_WIDTH}]+|[{SPACES}]|[{INVISIBLE}]+")
+_COMPOSED = re.compile(f"\\w[{MARKS}]+")
 _FOREIGN = "Ͱ-ϿЀ-ԯ"
-_MIXED = re.compile(f"[^\\W\\d_]*(?:[A-Za-zÀ-ɏ][{_FOREIGN}]|[{_FOREIGN}][A-Za-zÀ-ɏ])[^\\W\\d_]*")
-_TO_CYRILLIC = {v: k for k, v in reversed(list(CYRILLIC_AS_LATIN.items())) if k not in "гкв" and v.isalpha()}
+_IN_WORD = f"(?:[^\\W\\d_]|[{MARKS}])"
+_MIXED = re.compile(f"{_IN_WORD}*(?:[A-Za-zÀ-ɏ][{MARKS}]*[{_FOREIGN}]|[{_FOREIGN}][{MARKS}]*[A-Za-zÀ-ɏ]){_IN_WORD}*")
+_TO_CYRILLIC = {v: k for k, v in reversed(list(CYRILLIC_AS_LATIN.items())) if k not in "гкв" and v.isalpha() and v.isascii()}
 
 
 def _segment(m: re.Match) -> str:
@@ -48,13 +50,17 @@ def _segment(m: re.Match) -> str:
         return ""
     if re.match(f"[{FULL_WIDTH}]", c):
         return unicodedata.normalize("NFKC", s)
-    composed = unicodedata.normalize("NFC", s)
-    return composed if len(composed) < len(s) else s
+    return s
+
+
+def _compose(m: re.Match) -> str:
+    composed = unicodedata.normalize("NFC", m[0])
+    return composed if len(composed) < len(m[0]) else m[0]
 
 
 def _script(c: str) -> str:
     o = ord(c)
-    return "greek" if 0x370 <= o <= 0x3FF else "cyrillic" if 0x400 <= o <= 0x52F else "latin" if o < 0x250 else ""
+    return "greek" if 0x370 <= o <= 0x3FF else "cyrillic" if 0x400 <= o <= 0x52F else "latin" if o < 0x250 and c.isalpha() else ""
 
 
 def _one_script(m: re.Match) -> str:
@@ -63,7 +69,7 @@ def _one_script(m: re.Match) -> str:
     scripts = [_script(c) for c in word]
     latin, cyrillic, greek = (scripts.count(x) for x in ("latin", "cyrillic", "greek"))
     if greek:
-        small = GREEK_SMALL_AS_LATIN if latin >= 3 else {}
+        small = GREEK_SMALL_AS_LATIN if latin >= 2 and len(word) >= 3 and word.islower() or latin >= 3 else {}
         word = "".join(GREEK_AS_LATIN.get(c, small.get(c, c)) for c in word)
     if cyrillic:
         own = [c for c in word if _script(c) == "cyrillic"]
@@ -86,7 +92,7 @@ def canonical(text: str) -> str:
     """The canonical form; equal to ``text`` exactly if nothing in it is unstable."""
     if text.isascii():
         return text
-    out = _MIXED.sub(_one_script, _SEGMENT.sub(_segment, text))
+    out = _COMPOSED.sub(_compose, _MIXED.sub(_one_script, _SEGMENT.sub(_segment, text)))
     if _RARE_DOUBLE.search(out) and len(re.findall("[A-Za-z]", out)) > len(re.findall("[Ѐ-џ]", out)):
         out = _DOUBLES.sub(lambda m: "".join(CYRILLIC_AS_LATIN[c] for c in m[0]) if _RARE_DOUBLE.search(m[0]) else m[0], out)
     return out
