@@ -47,7 +47,6 @@ BODIES = {"institute": "inst", "laboratory": "lab", "laboratories": "labs", "cen
 FILLERS = {"the", "of", "for", "and", "at", "in", "de", "collaboration", "team"}
 TITLES = {"dr", "prof", "professor", "phd", "md", "mr", "mrs", "ms", "sir", "dipl", "ing", "msc", "bsc", "dsc", "jr", "sr", "and"}
 NOBODY = {"et al", "anonymous", "anon", "unknown", "unknown author", "none", "null", "nan", "na", "n a", "author", "authors", "various", "various authors", "no author", "tba", "tbd", "editor", "editors"}
-ROMAN = {"phd", "md", "msc", "bsc", "dsc"}
 
 _ABBREVIATED = {v: k for k, v in BODIES.items()} | {"centr": "centre", "instit": "institute", "observ": "observatory", "depart": "department"}
 _WORD = re.compile(r"[^\W\d_]+(?:['’\-][^\W\d_]+)*\.?")
@@ -79,7 +78,10 @@ def read_name(name: str | None) -> dict | None:
     if not plain or plain in NOBODY:
         return None
     parts = [[w for w in _WORD.findall(p)] for p in text.split(",")]
-    parts = [[w for w in p if fold(w).rstrip(".") not in TITLES or (len(w) <= 3 and w.isupper() and fold(w) not in ROMAN and w != "AND")] for p in parts]
+    # "Doe MD" is a name with initials, not a title: those stand behind a comma or have more words before them.
+    joined = len(parts) == 1 and len(parts[0]) == 2 and len(parts[0][1]) <= 3 and parts[0][1].isupper() and parts[0][1].isalpha()
+    if not joined:
+        parts = [[w for w in p if fold(w).rstrip(".") not in TITLES] for p in parts]
     parts = [p for p in parts if p]
     words = [w for p in parts for w in p]
     if not words:
@@ -237,11 +239,12 @@ def link_names(names: DataFrame) -> DataFrame:
 
     # Given names that are cut, initial or of several meanings are looked up under the surname and the first letter.
     people = targets.filter("kind = 'person'").select("head", F.substring("rest", 1, 1).alias("letter"), F.col("rest").alias("full"), "entity", "known_middle")
-    loose = forms.filter("kind = 'person' and how in ('cut', 'initial', 'nick')").select("name", "head", F.explode(F.split("rest", r"\|")).alias("rest"), "how", "middle")
+    loose = forms.filter("kind = 'person' and how in ('cut', 'initial', 'nick')").select("name", "head", F.posexplode(F.split("rest", r"\|")).alias("rank", "rest"), "how", "middle")
     asked = loose.withColumn("letter", F.substring("rest", 1, 1))
     fits = F.when(F.col("how") == "nick", F.col("full") == F.col("rest")).otherwise(F.col("full").startswith(F.col("rest")))
     same_middle = (F.col("middle") == "") | (F.col("known_middle") == "") | (F.col("middle") == F.col("known_middle"))
-    exact = (F.col("middle") != "") & (F.col("middle") == F.col("known_middle"))
+    # Of several that fit, one with the same middle initial is meant, and of the meanings of a short name the usual one.
+    exact = ((F.col("middle") != "") & (F.col("middle") == F.col("known_middle"))) | ((F.col("how") == "nick") & (F.col("rank") == 0))
     hits = checkpointed(asked.join(people, ["head", "letter"]).filter(fits & same_middle).select("name", "entity", exact.alias("exact")))
     found = _only_one(hits)
 
