@@ -167,7 +167,11 @@ def repair_word(word: str) -> str:
                 c = cost(t)
                 if c <= start + 8:  # an operation may make it look worse before it gets better
                     heapq.heappush(heap, (c, len(seen), t, d))
-    return best if start - best_cost > MARGIN else word
+    # A word that still mixes scripts was not garbled: letters of another script stand in it.
+    return best if start - best_cost > MARGIN and not _MIXES.search(best) else word
+
+
+_MIXES = re.compile("[A-Za-zÀ-ɏ][Ѐ-ԯ]|[Ѐ-ԯ][A-Za-zÀ-ɏ]")
 
 
 # --- letter pairs of non-Latin scripts -----------------------------------------------------------------------------------

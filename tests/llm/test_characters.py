@@ -27,7 +27,7 @@ def test_twice_and_partly():
     assert J.Repairer({}).repair("lost �")[1]
 
 
-@pytest.mark.parametrize("text", [*CLEAN, "A ESTAÇÃO SÃO TARVO NÃO", "Šárkov and Łomniak", "Þórðarnes", "«été»", "β ≈ 3 λ₀", "The word “да” and ш", "СССР» и РЁ", "x̄ q̇", "R&D &lt;1 nm &amp; &nbsp;", "2.1 Å", "", "plain"])
+@pytest.mark.parametrize("text", [*CLEAN, "A ESTAÇÃO SÃO TARVO NÃO", "Šárkov and Łomniak", "Þórðarnes", "«été»", "β ≈ 3 λ₀", "The word “да” and ш", "СССР» и РЁ", "x̄ q̇", "R&D &lt;1 nm &amp; &nbsp;", "2.1 Å", "", "plain", "Еіnlеіtung", "\u00a0рrеѕѕurе\u00a0x"])
 def test_sound_text_stays(text):
     assert J.Repairer({}).repair(text) == (text, False)
 
