@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioforge.functions import text as T
+from folioforge.session import checkpointed
 
 # Fields that a sidecar may override, and the order of the sources of a DOI, best first.
 OVERRIDES = ("title", "year", "doi", "abstract", "journal", "s2_id", "arxiv_id")
@@ -167,19 +168,29 @@ def find_bundles(files: DataFrame, bundles: DataFrame) -> DataFrame:
     """(path, bundle) for each file: the bundle of the same stem beside it, else one in its or the parent directory whose stem
     contains the file's or is contained in it; ties go to the nearer directory, then to the smaller path.
 
-    Candidates meet by directory; a directory's bundles come as one array, so no pairs are formed.
+    Stems that contain each other meet by equi-joins on the directory and the parts of the longer one, so a directory with any
+    number of files forms no pairs; only files without a bundle of their own stem are asked that way.
     """
+
     def parts(df: DataFrame, name: str, out: str) -> DataFrame:
         p = F.col(name)
-        return df.select(p.alias(out), F.regexp_replace(p, "/[^/]*$", "").alias("dir"), F.regexp_replace(F.substring_index(p, "/", -1), r"\.[^.]*$", "").alias("stem"))
-
-    f, b = parts(files, "path", "path"), parts(bundles, "path", "bundle")
-    by_dir = b.groupBy("dir").agg(F.collect_list(F.struct("stem", "bundle")).alias("bundles"))
-    asked = f.select("path", "stem", F.explode(F.array(F.struct(F.lit(0).alias("far"), F.col("dir").alias("d")), F.struct(F.lit(1).alias("far"), F.regexp_replace("dir", "/[^/]*$", "").alias("d")))).alias("at"))
-    near = asked.join(by_dir, F.col("at.d") == by_dir["dir"])
-    fits = F.filter("bundles", lambda x: ((F.col("at.far") == 0) & (x.stem == F.col("stem"))) | x.stem.contains(F.col("stem")) | F.col("stem").contains(x.stem))
-    hits = near.select("path", F.explode(F.transform(fits, lambda x: F.struct(F.when((F.col("at.far") == 0) & (x.stem == F.col("stem")), 0).otherwise(1).alias("fuzzy"), F.col("at.far").alias("far"), x.bundle.alias("bundle")))).alias("h"))
-    return f.select("path").join(hits.groupBy("path").agg(F.min("h")["bundle"].alias("bundle")), "path", "left")
+        return df.select(p.alias(out), F.regexp_replace(p, "/[^/]*$", "").alias("dir"), F.regexp_replace(F.substring_index(p, "/", -1), r"\.[^.]*$", "").alias("stem")).filter("stem <> ''")
+
+    def pieces(stem: Column) -> Column:
+        n = F.length(stem)
+        starts = F.sequence(F.lit(1), n)
+        return F.array_distinct(F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: F.substring(stem, i, k)))))
+
+    f, b = parts(files, "path", "path"), checkpointed(parts(bundles, "path", "bundle"))
+    own = checkpointed(f.join(b, ["dir", "stem"]).groupBy("path").agg(F.min("bundle").alias("bundle")))
+    asked = f.join(own.select("path"), "path", "left_anti")
+    places = F.array(F.struct(F.lit(0).alias("far"), F.col("dir").alias("d")), F.struct(F.lit(1).alias("far"), F.regexp_replace("dir", "/[^/]*$", "").alias("d")))
+    asked = checkpointed(asked.select("path", "stem", F.explode(places).alias("at")).select("path", "stem", "at.far", F.col("at.d").alias("dir")))
+    shorter = asked.select("path", "far", "dir", F.explode(pieces(F.col("stem"))).alias("stem")).join(b, ["dir", "stem"])
+    there = b.join(asked.select("dir").distinct(), "dir", "left_semi")
+    longer = there.select("bundle", "dir", F.explode(pieces(F.col("stem"))).alias("stem")).join(asked, ["dir", "stem"])
+    fuzzy = shorter.select("path", "far", "bundle").unionByName(longer.select("path", "far", "bundle")).groupBy("path").agg(F.min(F.struct("far", "bundle"))["bundle"].alias("bundle"))
+    return files.select("path").join(own.unionByName(fuzzy), "path", "left")
 
 
 def find_parents(supplements: DataFrame, papers: DataFrame) -> DataFrame:

@@ -45,9 +45,9 @@ def section_paths(blocks: DataFrame, *, key: str = "paper_id", order: list[str]
 
 def node_numbers(blocks: DataFrame, *, key: str = "paper_id", order: list[str] | None = None) -> DataFrame:
     """``blocks`` with ``node_no`` and ``node``: numbered from 0 within a page."""
-    w = Window.partitionBy(key, "page").orderBy(*(order or ["pos", "block_id"]))
-    numbered = blocks.withColumn("node_no", F.row_number().over(w) - 1)
-    return numbered.withColumn("node", T.node_id(F.col(key), F.col("page"), F.col("node_no")))
+    paged = blocks.withColumn("__page", F.struct(key, "page"))
+    numbered = number_rows(paged, "__n", key="__page", order=order or ["pos", "block_id"]).withColumn("node_no", (F.col("__n") - 1).cast("int"))
+    return numbered.withColumn("node", T.node_id(F.col(key), F.col("page"), F.col("node_no"))).drop("__page", "__n")
 
 
 def number_rows(df: DataFrame, out: str, *, key: str, order: list[str]) -> DataFrame:

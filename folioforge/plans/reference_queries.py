@@ -657,11 +657,11 @@ def q_paper_digest(spark, d):
 
 @query("SELECT paper_id, count(*)::BIGINT AS n_blocks, sum(length(coalesce(text, '')))::BIGINT AS n_chars FROM blocks GROUP BY 1")
 def q_bundle_roundtrip(spark, d):
-    folder = _shared(spark, "bundles").replace("file://", "")
+    folder = _shared(spark, "bundles")
     papers = M.latest(_papers(spark, d), "paper_id", "bundle_id")
     made = B.assemble(papers, _blocks(spark, d))
     B.write_bundles(made.select(F.sha2("paper_id", 256).alias("name"), "json"), folder)
-    back = B.read_bundles(spark, "file://" + folder).filter("error is null and size(blocks) > 0")
+    back = B.read_bundles(spark, folder).filter("error is null and size(blocks) > 0")
     return back.select("header.paper_id", F.size("blocks").cast("long").alias("n_blocks"), F.aggregate("blocks", F.lit(0).cast("long"), lambda a, b: a + F.length(F.coalesce(b.text, F.lit("")))).alias("n_chars"))
 
 

@@ -70,16 +70,19 @@ def assemble(papers: DataFrame, blocks: DataFrame, *, key: str = "paper_id", mos
 
 def write_bundles(bundles: DataFrame, folder: str) -> None:
     """Writes ``bundles`` (name, json), each to <folder>/<name>.acatome: by its tasks, each file whole under another name first,
-    so that a task that is run again leaves no half file. The folder must be one that all executors share."""
+    so that a task that is run again leaves no half file. ``folder`` is a path or address that all executors share."""
 
     def run(rows: Iterator) -> None:
+        from pyarrow import fs as F
+
+        system, root = F.FileSystem.from_uri(folder if "://" in folder else os.path.abspath(folder))
         for r in rows:
-            path = os.path.join(folder, f"{r['name']}.acatome")
-            os.makedirs(os.path.dirname(path), exist_ok=True)
+            path = f"{root.rstrip('/')}/{r['name']}.acatome"
+            system.create_dir(path.rpartition("/")[0], recursive=True)
             part = f"{path}.{os.getpid()}.part"
-            with gzip.open(part, "wb") as f:
-                f.write(r["json"].encode("utf-8"))
-            os.replace(part, path)
+            with system.open_output_stream(part, compression=None) as out:
+                out.write(gzip.compress(r["json"].encode("utf-8")))
+            system.move(part, path)
 
     bundles.select("name", "json").foreachPartition(run)
 
