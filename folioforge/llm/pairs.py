@@ -427,14 +427,23 @@ def word_endings(answers: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         every, final = Counter(), Counter()
+
+        def flush() -> pa.RecordBatch:
+            words = list(every)
+            out = pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([every[w] for w in words], pa.int64()), pa.array([final[w] for w in words], pa.int64())], names=["word", "count", "final"])
+            every.clear()
+            final.clear()
+            return out
+
         for batch in batches:
             for r in batch.column(0).to_pylist():
                 ws = norm_words(r)
                 every.update(ws)
                 if ws and not r.rstrip("\"'”").endswith((".", "!", "?", "…")):
                     final[ws[-1]] += 1
-        words = list(every)
-        yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([every[w] for w in words], pa.int64()), pa.array([final[w] for w in words], pa.int64())], names=["word", "count", "final"])
+            if len(every) > 300_000:
+                yield flush()
+        yield flush()
 
     counted = answers.filter("value is not null").select("value").mapInArrow(run, "word string, count long, final long").groupBy("word").agg(F.sum("count").alias("count"), F.sum("final").alias("final"))
     counted = checkpointed(counted)
