@@ -25,9 +25,33 @@ LOCAL_TYPES = ("datasheet", "manual", "techreport", "notes", "other")
 # Kinds of block that are neither summarised nor embedded.
 SKIPPED_TYPES = ("section_header", "title", "author", "equation", "junk")
 
-CAPTION = r"(?i)^fig(?:ure)?\.?\s*\d+\s*[:.\-—–]\s*."
 JUNK_HEADING = "(?i)^(?:" + "|".join(JUNK_HEADINGS) + ")"
+# Patterns of DOIs, captions, Markdown and formulas, and the lengths that go with them.
 DOI = r"^10\.\d{4,}/[^\s<>\"}]+\z"
+DOI_IN_TEXT = r"(?i)(?:doi:)?(10\.\d{4,}/[^\s<>\"},]+)"
+CAPTION = r"(?i)^fig(?:ure)?\.?\s*\d+\s*[:.\-—–]\s*."
+NUMBERED = r"(?U)^\d+[.\d]*[.\s]\s*[A-Z]"
+SPACED = r"(?<![A-Za-z])([A-Za-z](?:(?U:\s)[A-Za-z]){3,})(?![A-Za-z])"
+LINK = r"\[([^\]]+)\]\([^)]+\)"
+IMAGE = r"!\[([^\]]*)\]\(([^)]+)\)"
+MARKED_HEADING = r"(?U)^#{1,6}\s+(.+)"
+LIST_LINE = r"(?U)^[-*]\s+"
+DISPLAY = r"^\$\$[\s\S]+\$\$\z"
+INLINE = r"^\$[^$]+\$\z"
+LEAST_DISPLAY, LEAST_INLINE = 40, 80
+HEADING_LENGTHS, CAPITALS_ABOVE = (3, 120), 5
+# What is taken out of an author block, in this order, where it is cut, and how a name begins.
+AUTHOR_NOISE = ((r"<sup>[^<]*</sup>", ""), (r"\*+", ""), ("[†‡§¶∗⊥#]", ""), (r"(?U)(\w)\d+(?:,\d+)*", "$1"), (r"(?U)\b\d+\b", ""), (r"(?U)\S+@\S+", ""), (r"(?Ui)^\s*and\s+", ""))
+AUTHOR_CUT = r"(?U)[;,]|\band\b"
+NAME_START = "^[A-Z\u00c0-\u024f]"
+MOST_NAMES = 10
+# Lines that end a title, and the size of a title.
+IDENTIFIER_LINE = r"^arXiv:\d"
+SECTION_LINE = "^(abstract|contents)"
+DATE_LINE = r"(?U)^\d{1,2}(?:st|nd|rd|th)?\s+\w+\s+\d{4}"
+MARKED_PEOPLE = "[†‡§¶∗⊥#]|[0-9]+[,∗]"
+INITIAL = r"(?U)[A-Z]\.\s"
+TITLE_LINES, TITLE_LINE_BELOW, TITLE_MOST = 3, 200, 300
 
 
 def strip(c: Column) -> Column:
@@ -82,7 +106,7 @@ def nfc(texts: pd.Series) -> pd.Series:
 
 def join_spaced_letters(c: Column) -> Column:
     """Runs of four or more single letters, one white-space character apart, lose the blanks between them."""
-    marked = F.regexp_replace(c, r"(?<![A-Za-z])([A-Za-z](?:(?U:\s)[A-Za-z]){3,})(?![A-Za-z])", "\ufdd0$1\ufdd1")
+    marked = F.regexp_replace(c, SPACED, "\ufdd0$1\ufdd1")
     parts = F.transform(F.split(marked, "\ufdd0"), lambda p: F.when(p.contains("\ufdd1"), F.concat(F.replace(F.substring_index(p, "\ufdd1", 1), F.lit(" "), F.lit("")), F.substring_index(p, "\ufdd1", -1))).otherwise(p))
     return F.when(marked.contains("\ufdd0"), F.array_join(parts, "")).otherwise(c)
 
@@ -98,12 +122,12 @@ def clean(c: Column) -> Column:
 
 
 def strip_links(c: Column) -> Column:
-    return strip(F.regexp_replace(c, r"\[([^\]]+)\]\([^)]+\)", "$1"))
+    return strip(F.regexp_replace(c, LINK, "$1"))
 
 
 def image_refs(c: Column) -> Column:
     """Targets of all image references, in order."""
-    return F.regexp_extract_all(c, F.lit(r"!\[([^\]]*)\]\(([^)]+)\)"), 2)
+    return F.regexp_extract_all(c, F.lit(IMAGE), 2)
 
 
 # --- identifiers -----------------------------------------------------------------------------------------------------------
@@ -119,7 +143,7 @@ def valid_doi(c: Column) -> Column:
 
 def doi_in(c: Column) -> Column:
     """The first DOI in a text, or null."""
-    return blank_to_null(F.regexp_extract(c, r"(?i)(?:doi:)?(10\.\d{4,}/[^\s<>\"},]+)", 1))
+    return blank_to_null(F.regexp_extract(c, DOI_IN_TEXT, 1))
 
 
 def paper_id(doi: Column, arxiv: Column, digest: Column) -> Column:
@@ -173,8 +197,8 @@ def is_junk_heading(c: Column) -> Column:
 def is_heading(c: Column) -> Column:
     """One short line that is in capitals or numbered, without a full stop."""
     n = F.length(c)
-    plain = ~c.contains("\n") & (n >= 3) & (n <= 120) & ~c.endswith(".")
-    return F.coalesce(plain & (((c == F.upper(c)) & (n > 5)) | c.rlike(r"(?U)^\d+[.\d]*[.\s]\s*[A-Z]")), F.lit(False))
+    plain = ~c.contains("\n") & n.between(*HEADING_LENGTHS) & ~c.endswith(".")
+    return F.coalesce(plain & (((c == F.upper(c)) & (n > CAPITALS_ABOVE)) | c.rlike(NUMBERED)), F.lit(False))
 
 
 def classify(chunk: Column) -> Column:
@@ -182,19 +206,18 @@ def classify(chunk: Column) -> Column:
     lines = F.split(chunk, "\n")
     first = F.element_at(lines, 1)
     filled = F.filter(lines, lambda x: x.rlike(r"(?U)\S"))
-    image = r"^!\[([^\]]*)\]\([^)]+\)"
-    heading = r"(?U)^#{1,6}\s+(.+)"
+    image = "^" + IMAGE
     formula = F.regexp_replace(strip(F.regexp_replace(chunk, r"^\$+|\$+\z", "")), r"^\$+|\$+\z", "")
     kind = (
-        F.when(first.rlike(heading), "section_header")
+        F.when(first.rlike(MARKED_HEADING), "section_header")
         .when(first.rlike(image) & (F.size(lines) <= 2), "figure")
         .when((F.size(lines) >= 2) & F.forall(lines, lambda x: x.startswith("|")), "table")
-        .when(chunk.rlike(r"^\$\$[\s\S]+\$\$\z"), F.when(F.length(formula) < 40, "skip").otherwise("equation"))
-        .when(chunk.rlike(r"^\$[^$]+\$\z") & (F.length(chunk) < 80), "skip")
-        .when((F.size(filled) > 0) & F.forall(filled, lambda x: x.rlike(r"(?U)^[-*]\s+")), "list")
+        .when(chunk.rlike(DISPLAY), F.when(F.length(formula) < LEAST_DISPLAY, "skip").otherwise("equation"))
+        .when(chunk.rlike(INLINE) & (F.length(chunk) < LEAST_INLINE), "skip")
+        .when((F.size(filled) > 0) & F.forall(filled, lambda x: x.rlike(LIST_LINE)), "list")
         .otherwise("text")
     )
-    text = F.when(kind == "section_header", strip(F.regexp_extract(first, heading, 1))).when(kind == "figure", F.regexp_extract(first, image, 1)).otherwise(chunk)
+    text = F.when(kind == "section_header", strip(F.regexp_extract(first, MARKED_HEADING, 1))).when(kind == "figure", F.regexp_extract(first, image, 1)).otherwise(chunk)
     return F.struct(kind.alias("type"), text.alias("text"))
 
 
@@ -249,11 +272,11 @@ def split_authors(c: Column) -> Column:
 
 def parse_authors(c: Column) -> Column:
     """Names on the first line of an author block without its marks, numbers and addresses; at most ten, null if none."""
-    for pattern, by in ((r"<sup>[^<]*</sup>", ""), (r"\*+", ""), ("[†‡§¶∗⊥#]", ""), (r"(?U)(\w)\d+(?:,\d+)*", "$1"), (r"(?U)\b\d+\b", ""), (r"(?U)\S+@\S+", ""), (r"(?Ui)^\s*and\s+", "")):
+    for pattern, by in AUTHOR_NOISE:
         c = F.regexp_replace(c, pattern, by)
     first = strip(F.element_at(F.split(c, "\n"), 1))
-    names = F.filter(F.transform(F.split(first, r"(?U)[;,]|\band\b"), strip), lambda x: (F.length(x) > 2) & x.rlike("^[A-Z\u00c0-\u024f]"))
-    return F.when(F.size(names) > 0, F.slice(names, 1, 10))
+    names = F.filter(F.transform(F.split(first, AUTHOR_CUT), strip), lambda x: (F.length(x) > 2) & x.rlike(NAME_START))
+    return F.when(F.size(names) > 0, F.slice(names, 1, MOST_NAMES))
 
 
 def split_title(c: Column) -> Column:
@@ -264,27 +287,27 @@ def split_title(c: Column) -> Column:
     """
     lines = F.split(c, "\n")
     # Leading identifier lines do not count.
-    skip = F.aggregate(lines, F.struct(F.lit(0).alias("n"), F.lit(True).alias("on")), lambda s, x: F.struct((s.n + F.when(s.on & strip(x).rlike(r"^arXiv:\d"), 1).otherwise(0)).alias("n"), (s.on & strip(x).rlike(r"^arXiv:\d")).alias("on"))).n
+    skip = F.aggregate(lines, F.struct(F.lit(0).alias("n"), F.lit(True).alias("on")), lambda s, x: F.struct((s.n + F.when(s.on & strip(x).rlike(IDENTIFIER_LINE), 1).otherwise(0)).alias("n"), (s.on & strip(x).rlike(IDENTIFIER_LINE)).alias("on"))).n
     rest = F.slice(lines, skip + 1, F.greatest(F.size(lines) - skip, F.lit(0)))
     start = F.struct(F.array().cast("array<string>").alias("title"), F.lit(0).alias("i"), F.lit(None).cast("int").alias("authors_at"), F.lit(False).alias("done"))
 
     def step(s: Column, line: Column) -> Column:
         x = strip(line)
         some = F.size(s.title) > 0
-        heading = F.lower(x).rlike("^(abstract|contents)") | x.rlike(r"(?U)^\d{1,2}(?:st|nd|rd|th)?\s+\w+\s+\d{4}")
-        people = x.rlike("[†‡§¶∗⊥#]|[0-9]+[,∗]") | ((F.regexp_count(x, F.lit(",")) >= 2) & x.rlike(r"(?U)[A-Z]\.\s"))
-        continues = (F.length(x) < 200) & ~x.endswith(".")
+        heading = F.lower(x).rlike(SECTION_LINE) | x.rlike(DATE_LINE)
+        people = x.rlike(MARKED_PEOPLE) | ((F.regexp_count(x, F.lit(",")) >= 2) & x.rlike(INITIAL))
+        continues = (F.length(x) < TITLE_LINE_BELOW) & ~x.endswith(".")
         stop_here = heading | (people & some) | (~continues & some & ~people)
         blank = x == ""
         take = ~s.done & ~blank & ~stop_here
         title = F.when(take, F.concat(s.title, F.array(x))).otherwise(s.title)
-        full = take & (F.size(title) >= 3)
+        full = take & (F.size(title) >= TITLE_LINES)
         ends = ~s.done & ((blank & some) | (~blank & stop_here) | full)
         at = F.when(~s.done & ~blank & stop_here, s.i).when(ends, s.i + 1).otherwise(s.authors_at)
         return F.struct(title.alias("title"), (s.i + 1).alias("i"), at.alias("authors_at"), (s.done | ends).alias("done"))
 
     got = F.aggregate(rest, start, step)
-    title = F.when(F.size(got.title) > 0, F.substring(F.array_join(got.title, " "), 1, 300))
+    title = F.when(F.size(got.title) > 0, F.substring(F.array_join(got.title, " "), 1, TITLE_MOST))
     below = F.when(got.authors_at < F.size(rest), F.array_join(F.slice(rest, got.authors_at + 1, 3), "\n"))
     return F.struct(title.alias("title"), F.when(title.isNotNull(), parse_authors(below)).alias("authors"))
 
