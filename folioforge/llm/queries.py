@@ -53,7 +53,7 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p6_repaired(spark: SparkSession, folder: str) -> DataFrame:
-    return repair_blocks(table(spark, folder, "blocks"))
+    return repair_blocks(table(spark, folder, "blocks"), table(spark, folder, "papers"))
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:

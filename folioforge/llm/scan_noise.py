@@ -31,6 +31,8 @@ CONFUSED = (
 )
 #: Of these the first seventeen are common; the others are counted a little dearer.
 COMMON = 17
+#: Words nearer than this are taken for misread: three common confusions, or a common and an uncommon one.
+MISREAD_BELOW = 0.8
 BREAK_MARKS = "\\-¬‐‑\u00ad"
 
 
@@ -48,6 +50,10 @@ class ScanPlan:
 
 _TOKEN = re.compile(r"[^\W_]+")
 _BROKEN = re.compile(rf"([^\W\d_]+)[{BREAK_MARKS}][ \t]*\n+[ \t]*(?=(\w+))")
+#: Both parts of a broken word: neither is a word to be counted.
+_BROKEN_WHOLE = re.compile(_BROKEN.pattern.replace("(?=(\\w+))", "(\\w+)"))
+#: Characters without width: words go on behind them.
+_NO_WIDTH = dict.fromkeys(map(ord, "\u00ad\u200b\u200c\u200d\u2060\ufeff"))
 _COMPOUND = re.compile(r"[^\W\d_]+-[^\W\d_]+")
 
 _NUMBER = r"(?:\d{1,4}|(?=[ivxl])(?-i:(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})))"
@@ -69,8 +75,27 @@ def _is_title(s: str) -> bool:
     return len(words) >= 3 and words[0][0].isupper() and all(w[0].isupper() or w in _SMALL_WORDS for w in words) and not re.search(r"[.,;:!?]", s) and not re.search(r"\d", s)
 
 
-def noise_lines(lines: list[str]) -> list[bool]:
-    """Which lines of a block of several lines are running headers or page numbers."""
+def _key(s: str) -> str:
+    return " ".join(re.findall(r"\w+", s.lower()))
+
+
+def _is_own_title(line: str, after: str, titles: tuple[str, ...]) -> bool:
+    """Whether a line is the title of its paper or the beginning of it, and the text does not go on as the title does."""
+    key = _key(line)
+    if len(key) < 15 or key.count(" ") < 2:
+        return False
+    following = _key(after)
+    for title in titles:
+        if title.startswith(key):
+            rest = title[len(key) :].split()
+            if not rest or not following.startswith(rest[0]):
+                return True
+    return False
+
+
+def noise_lines(lines: list[str], titles: tuple[str, ...] = ()) -> list[bool]:
+    """Which lines of a block of several lines are running headers or page numbers. ``titles`` are those of its paper, as
+    ``_key`` writes them."""
     out = [False] * len(lines)
     if len(lines) < 2:
         return out
@@ -93,6 +118,8 @@ def noise_lines(lines: list[str]) -> list[bool]:
             out[i] = True
         elif _is_title(bare) and (bare != s or i in (0, len(lines) - 1) or _interrupts(before, after) or bare == bare.upper() or (lines[i - 1].strip() and lines[i + 1].strip())):
             out[i] = True  # a heading would have a blank line before or behind it
+        elif titles and _is_own_title(bare, after, titles):
+            out[i] = True
     return out
 
 
@@ -100,10 +127,10 @@ def _interrupts(before: str, after: str) -> bool:
     return bool(before and after) and before[-1] not in ".!?:" and not after[:1].isupper()
 
 
-def _flow(text: str) -> str:
+def _flow(text: str, titles: tuple[str, ...] = ()) -> str:
     """The text without noise lines, with its line ends."""
     lines = text.split("\n")
-    drop = noise_lines(lines)
+    drop = noise_lines(lines, titles)
     return "\n".join(x for x, d in zip(lines, drop, strict=True) if not d) if any(drop) else text
 
 
@@ -127,11 +154,13 @@ def counts(texts: DataFrame) -> DataFrame:
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
+                if not text.isascii():
+                    text = text.translate(_NO_WIDTH)
                 if "\n" in text:
                     text = _flow(text)
                     for m in _BROKEN.finditer(text):
                         broken[m[1].lower(), m[2].lower()] += 1
-                    text = _BROKEN.sub(" . ", text)
+                    text = _BROKEN_WHOLE.sub(" . ", text)
                 if "-" in text:
                     compounds.update(m.lower() for m in _COMPOUND.findall(text))
                 found = _TOKEN.findall(text.lower())
@@ -157,11 +186,11 @@ def deletes(word: str, most: int) -> set[str]:
     return out
 
 
-_SWAPS = [(a, b, 0.3 if i < COMMON else 0.45) for i, pair in enumerate(CONFUSED) for a, b in (pair, pair[::-1])]
+_SWAPS = [(a, b, 0.25 if i < COMMON else 0.45) for i, pair in enumerate(CONFUSED) for a, b in (pair, pair[::-1])]
 
 
 def misreading(right: str, read: str) -> float:
-    """Weighted edit distance: confusions cost 0.3 or 0.45, all other edits 1."""
+    """Weighted edit distance: confusions cost 0.25 or 0.45, all other edits 1."""
     far = 9.0
     d = [[far] * (len(read) + 1) for _ in range(len(right) + 1)]
     d[0][0] = 0.0
@@ -202,7 +231,8 @@ def misread_words(counted: DataFrame, plan: ScanPlan) -> DataFrame:
     top = words.filter(~F.col("a").rlike("[0-9]"))
     # A rare word can only be a misreading of one that is ``rarer`` times as frequent.
     limit = (top.agg(F.max("n")).first()[0] or 0) // plan.rarer
-    read = _delete_keys(words.filter(F.col("n") <= limit), plan, "read")
+    # Words of three letters are too much alike; with a digit among them they are asked nevertheless.
+    read = _delete_keys(words.filter((F.col("n") <= limit) & ((F.length("a") > 3) | F.col("a").rlike("[0-9]"))), plan, "read")
     right = _delete_keys(top.filter(F.col("n") >= 4 * plan.least), plan, "right")
     # A digit among letters is a misreading by itself; there the right word need not be so frequent.
     rarer = F.when(F.col("read").rlike(r"\p{L}[0-9]|[0-9]\p{L}{2}"), plan.rarer // 10).otherwise(plan.rarer)
@@ -212,7 +242,7 @@ def misread_words(counted: DataFrame, plan: ScanPlan) -> DataFrame:
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             price = [misreading(b, a) for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(price, pa.float64())], names=["read", "right", "n_right", "price"]).filter(pa.array([p < 1 for p in price], pa.bool_()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(price, pa.float64())], names=["read", "right", "n_right", "price"]).filter(pa.array([p < MISREAD_BELOW for p in price], pa.bool_()))
 
     kept = checkpointed(candidates.mapInArrow(verify, "read string, right string, n_right long, price double"))
     # Company: of the word pairs in which the read word stands, the share that is known with the right word in its place.
@@ -244,7 +274,7 @@ def _like(case: str, word: str) -> str:
     return word[:1].upper() + word[1:] if case[:1].isupper() else word
 
 
-def repair_text(text: str, misread: dict[str, str], kept: set[str]) -> tuple[str, bool]:
+def repair_text(text: str, misread: dict[str, str], kept: set[str], titles: tuple[str, ...] = ()) -> tuple[str, bool]:
     """(continuous paragraphs, whether there was noise). Line ends alone are no noise; without noise the text is unchanged."""
     noisy = False
 
@@ -257,14 +287,15 @@ def repair_text(text: str, misread: dict[str, str], kept: set[str]) -> tuple[str
 
     out = text
     if "\n" in text:
-        flow = _flow(text)
+        flow = _flow(text, titles)
         noisy = flow is not text
         out = _BROKEN.sub(join, flow)
-    words = set(_TOKEN.findall(out.lower()))
+    seen = out if out.isascii() else out.translate(_NO_WIDTH)
+    words = set(_TOKEN.findall(seen.lower()))
     wrong = words & misread.keys() if len(words) < len(misread) else {w for w in words if w in misread}
     if wrong:
         noisy = True
-        out = _TOKEN.sub(lambda m: _like(m[0], misread[w]) if (w := m[0].lower()) in wrong else m[0], out)
+        out = _TOKEN.sub(lambda m: _like(m[0], misread[w]) if (w := m[0].lower()) in wrong else m[0], seen)
     if not noisy:
         return text, False
     if not re.search(r"```|~~~|\{\||\\begin|<[a-z]", out):
@@ -273,27 +304,37 @@ def repair_text(text: str, misread: dict[str, str], kept: set[str]) -> tuple[str
     return out, True
 
 
-def repair_blocks(blocks: DataFrame, plan: ScanPlan | None = None) -> DataFrame:
-    """(block_id, repaired) of the noisy ones among ``blocks`` (block_id, type, text).
+def repair_blocks(blocks: DataFrame, papers: DataFrame | None = None, plan: ScanPlan | None = None) -> DataFrame:
+    """(block_id, repaired) of the noisy ones among ``blocks`` (block_id, paper_id, type, text); ``papers`` (paper_id, title)
+    tells the titles that may run as headers.
 
     Null and empty texts and tables and equations have no noise; repeated rows each give their row. A text of one line can
     only have misread words.
     """
     plan = plan or ScanPlan()
-    source = blocks.select("block_id", "text").filter(F.col("text").isNotNull() & ~F.coalesce(F.col("type"), F.lit("")).isin("table", "equation"))
-    counted = checkpointed(counts(source))
+    texts = blocks.select("block_id", "paper_id", "text").filter(F.col("text").isNotNull() & ~F.coalesce(F.col("type"), F.lit("")).isin("table", "equation"))
+    counted = checkpointed(counts(texts))
     decisions = checkpointed(misread_words(counted, plan).select("a", "b").unionByName(broken_words(counted).select(F.concat_ws("-", "a", "b").alias("a"), F.lit(None).cast("string").alias("b"))))
+    # Only texts of several lines are asked for headers: few, so their titles come by a join.
+    none = F.lit(None).cast("array<string>").alias("titles")
+    lined = texts.filter(F.col("text").contains("\n"))
+    if papers is not None:
+        titles = papers.select("paper_id", "title").filter("paper_id is not null and length(title) >= 15").distinct().groupBy("paper_id").agg(F.collect_list("title").alias("titles"))
+        lined = lined.join(titles, "paper_id", "left").select("block_id", "text", "titles")
+    else:
+        lined = lined.select("block_id", "text", none)
+    source = lined.unionByName(texts.filter(~F.col("text").contains("\n")).select("block_id", "text", none))
 
     def run_with(get) -> callable:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                ids, texts = [], []
-                for i, (key, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
-                    out, noisy = repair_text(text, *get(batch, i))
+                ids, out = [], []
+                for i, (key, text, titles) in enumerate(zip(*(c.to_pylist() for c in batch.columns[:3]), strict=True)):
+                    repaired, noisy = repair_text(text, *get(batch, i), tuple(map(_key, titles or ())))
                     if noisy:
                         ids.append(key)
-                        texts.append(out)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], names=["block_id", "repaired"])
+                        out.append(repaired)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.string())], names=["block_id", "repaired"])
 
         return run
 
@@ -307,10 +348,10 @@ def repair_blocks(blocks: DataFrame, plan: ScanPlan | None = None) -> DataFrame:
     hyphened = F.transform(F.regexp_extract_all(F.lower("text"), F.lit(rf"([\p{{L}}]+)[{BREAK_MARKS}][ \t]*\n+[ \t]*([\p{{L}}\p{{N}}]+)"), 0), lambda x: F.regexp_replace(x, rf"[{BREAK_MARKS}][ \t]*\n+[ \t]*", "-"))
     tokens = keyed.select("row", F.explode(F.array_distinct(F.concat(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), hyphened))).alias("a"))
     own = tokens.join(decisions, "a").groupBy("row").agg(F.collect_list(F.struct("a", "b")).alias("own"))
-    with_own = keyed.join(own, "row", "left").select("block_id", "text", "own")
+    with_own = keyed.join(own, "row", "left").select("block_id", "text", "titles", "own")
 
     def from_column(batch: pa.RecordBatch, i: int) -> tuple[dict[str, str], set[str]]:
-        rows = batch.column(2)[i].as_py() or []
+        rows = batch.column(3)[i].as_py() or []
         return {r["a"]: r["b"] for r in rows if r["b"]}, {r["a"] for r in rows if not r["b"]}
 
     return with_own.mapInArrow(run_with(from_column), "block_id long, repaired string")
