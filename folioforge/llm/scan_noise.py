@@ -116,7 +116,9 @@ def noise_lines(lines: list[str], titles: tuple[str, ...] = ()) -> list[bool]:
         bare = _EDGE_NUMBER.sub("", s).strip()
         if _PAGE.fullmatch(s) or _VOLUME.fullmatch(bare) or _ET_AL.fullmatch(bare):
             out[i] = True
-        elif _is_title(bare) and (bare != s or i in (0, len(lines) - 1) or _interrupts(before, after) or bare == bare.upper() or (lines[i - 1].strip() and lines[i + 1].strip())):
+        elif bare != s and len(re.findall(r"[^\W\d_]{2,}", bare)) >= 2 and bare[-1] not in ".!?;:," and not _MARKUP_LINE.match(s):
+            out[i] = True  # a page number set off from words
+        elif _is_title(bare) and ( i in (0, len(lines) - 1) or _interrupts(before, after) or bare == bare.upper() or (lines[i - 1].strip() and lines[i + 1].strip())):
             out[i] = True  # a heading would have a blank line before or behind it
         elif titles and _is_own_title(bare, after, titles):
             out[i] = True
@@ -124,7 +126,7 @@ def noise_lines(lines: list[str], titles: tuple[str, ...] = ()) -> list[bool]:
 
 
 def _interrupts(before: str, after: str) -> bool:
-    return bool(before and after) and before[-1] not in ".!?:" and not after[:1].isupper()
+    return bool(before and after) and before[-1] not in ".!?:"
 
 
 def _flow(text: str, titles: tuple[str, ...] = ()) -> str:
@@ -305,8 +307,8 @@ def repair_text(text: str, misread: dict[str, str], kept: set[str], titles: tupl
 
 
 def repair_blocks(blocks: DataFrame, papers: DataFrame | None = None, plan: ScanPlan | None = None) -> DataFrame:
-    """(block_id, repaired) of the noisy ones among ``blocks`` (block_id, paper_id, type, text); ``papers`` (paper_id, title)
-    tells the titles that may run as headers.
+    """(block_id, repaired) of the noisy ones among ``blocks`` (block_id, paper_id, type, text); ``papers`` (paper_id, title,
+    journal) tells the titles that may run as headers.
 
     Null and empty texts and tables and equations have no noise; repeated rows each give their row. A text of one line can
     only have misread words.
@@ -319,7 +321,8 @@ def repair_blocks(blocks: DataFrame, papers: DataFrame | None = None, plan: Scan
     none = F.lit(None).cast("array<string>").alias("titles")
     lined = texts.filter(F.col("text").contains("\n"))
     if papers is not None:
-        titles = papers.select("paper_id", "title").filter("paper_id is not null and length(title) >= 15").distinct().groupBy("paper_id").agg(F.collect_list("title").alias("titles"))
+        heads = papers.select("paper_id", F.explode(F.array("title", "journal")).alias("title"))
+        titles = heads.filter("paper_id is not null and length(title) >= 15").distinct().groupBy("paper_id").agg(F.collect_list("title").alias("titles"))
         lined = lined.join(titles, "paper_id", "left").select("block_id", "text", "titles")
     else:
         lined = lined.select("block_id", "text", none)

@@ -74,7 +74,7 @@ def test_template(spark):
 # --- scans ---------------------------------------------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("line", ["Page 12", "– 4 –", "- 17 -", "[3]", "p. 9", "3 / 40", "xxii", "Vol. 31, No. 10", "12   Vol. 3, No. 1", "Doe et al.", "DOE ET AL. | 4", "Journal of Slow Hydrology   7", "HOW THE STABLE REEF LIMITS FLOW"])
+@pytest.mark.parametrize("line", ["Page 12", "– 4 –", "- 17 -", "[3]", "p. 9", "3 / 40", "xxii", "Vol. 31, No. 10", "12   Vol. 3, No. 1", "Doe et al.", "DOE ET AL. | 4", "Journal of Slow Hydrology   7", "HOW THE STABLE REEF LIMITS FLOW", "12   Cyclic loading of the electr", "Cyclic loading of reefs | 7"])
 def test_noise_lines(line):
     assert S.noise_lines(["The first line goes", line, "on with this text."]) == [False, True, False]
 
@@ -95,19 +95,19 @@ def corpus(spark):
     rows = [(i, "text", sentence) for i in range(300)]
     rows += [(1000, "text", "the modem reservoir limits the flow of srnall particles"), (1001, "text", "the reser-\nvoir limits the flow"), (1002, "text", "the old thin-\nsection counts stay"), (1003, "text", "the modern\nPage 12\nreservoir limits"), (1004, "text", "the modern\nreservoir limits")]
     rows += [(1005, "table", "the modem reservoir"), (1006, "text", None), (1007, "text", ""), (1008, None, "the reservoir 1imits the flow"), (1009, "text", "an unknown w0rdle stands here"), (1001, "text", "the reser-\nvoir limits the flow")]
-    rows += [(1010, "text", "the modern\nOn the flow of parti\nreservoir limits"), (1011, "text", "the modern\non the flow of\nparticles in winter stay")]
+    rows += [(1010, "text", "the modern\nOn the flow of parti\nreservoir limits"), (1012, "text", "the modern reservoir.\n\nLetters on Rivers and Dams\nThe flow is small."), (1011, "text", "the modern\non the flow of\nparticles in winter stay")]
     return spark.createDataFrame(rows, "block_id long, type string, text string").selectExpr("*", "1 as n", "'x' as repaired", "'p' as paper_id")
 
 
 def titles(spark):
-    return spark.createDataFrame([("p", "On the flow of particles in winter"), ("p", None), ("p", "On the flow of particles in winter"), (None, "A title of nothing at all")], "paper_id string, title string")
+    return spark.createDataFrame([("p", "On the flow of particles in winter"), ("p", None), ("p", "On the flow of particles in winter"), (None, "A title of nothing at all")], "paper_id string, title string").selectExpr("*", "'Letters on Rivers and Dams' as journal")
 
 
 @pytest.mark.parametrize("most", [400_000, 0])
 def test_repair(spark, most):
     got = [(r["block_id"], r["repaired"]) for r in S.repair_blocks(corpus(spark), titles(spark), S.ScanPlan(most_decisions=most)).collect()]
     assert sorted(got) == [
-        (1000, "the modern reservoir limits the flow of small particles"), (1001, "the reservoir limits the flow"), (1001, "the reservoir limits the flow"), (1003, "the modern reservoir limits"), (1008, "the reservoir limits the flow"), (1010, "the modern reservoir limits"),
+        (1000, "the modern reservoir limits the flow of small particles"), (1001, "the reservoir limits the flow"), (1001, "the reservoir limits the flow"), (1003, "the modern reservoir limits"), (1008, "the reservoir limits the flow"), (1010, "the modern reservoir limits"), (1012, "the modern reservoir.\n\nThe flow is small."),
     ]
 
 
