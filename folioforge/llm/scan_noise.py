@@ -79,16 +79,18 @@ def _key(s: str) -> str:
     return " ".join(re.findall(r"\w+", s.lower()))
 
 
-def _is_own_title(line: str, after: str, titles: tuple[str, ...]) -> bool:
-    """Whether a line is the title of its paper or the beginning of it, and the text does not go on as the title does."""
+def _is_own_title(line: str, before: str, after: str, titles: tuple[str, ...]) -> bool:
+    """Whether a line is the title of its paper or the beginning of it, and not a sentence that begins like it: it has no full
+    stop, the text does not go on as the title does, and it is whole, cut within a word, or in the middle of a sentence."""
     key = _key(line)
-    if len(key) < 15 or key.count(" ") < 2:
+    if len(key) < 15 or key.count(" ") < 2 or line[-1] in ".!?;:,":
         return False
     following = _key(after)
     for title in titles:
         if title.startswith(key):
-            rest = title[len(key) :].split()
-            if not rest or not following.startswith(rest[0]):
+            rest = title[len(key) :]
+            goes_on = bool(rest.split()) and following.startswith(rest.split()[0])
+            if not goes_on and (not rest.startswith(" ") or (before and before[-1] not in ".!?:…")):
                 return True
     return False
 
@@ -120,7 +122,7 @@ def noise_lines(lines: list[str], titles: tuple[str, ...] = ()) -> list[bool]:
             out[i] = True  # a page number set off from words
         elif _is_title(bare) and ( i in (0, len(lines) - 1) or _interrupts(before, after) or bare == bare.upper() or (lines[i - 1].strip() and lines[i + 1].strip())):
             out[i] = True  # a heading would have a blank line before or behind it
-        elif titles and _is_own_title(bare, after, titles):
+        elif titles and not _MARKUP_LINE.match(s) and _is_own_title(bare, before, after, titles):
             out[i] = True
     return out
 

@@ -84,6 +84,17 @@ def test_text_lines(line):
     assert S.noise_lines(["The first line goes", line, "on with this text."])[1] is False
 
 
+def test_own_titles():
+    own = (S._key("Das Sediment begrenzt die Körnung nach zwölf Stunden"),)
+    noise = lambda *lines: S.noise_lines(list(lines), own)
+    assert noise("Es begrenzt", "Das Sediment begrenzt die Körn", "nichts.") == [False, True, False]
+    assert noise("Es begrenzt", "Das Sediment begrenzt die", "Rissbildung nicht.") == [False, True, False]
+    assert noise("Es begrenzt.", "Das Sediment begrenzt die", "Rissbildung nicht.") == [False, False, False]
+    assert noise("Es begrenzt", "Das Sediment begrenzt die", "Körnung nicht.") == [False, False, False]
+    assert noise("- Es.", "- Das Sediment begrenzt die Körnung nach zwölf Stunden.", "- Es.") == [False] * 3
+    assert noise("Es.", "Das Sediment begrenzt die Körnung nach zwölf Stunden.", "Es.") == [False] * 3
+
+
 def test_distance():
     assert S.misreading("modern", "modem") < 1 and S.misreading("small", "srnall") < 1 and S.misreading("loss", "1oss") < 1 and S.misreading("rinsing", "rirising") < 1
     assert S.misreading("control", "ntrol") >= 1 and S.misreading("basin", "basins") >= 1 and S.misreading("cat", "cat") == 0
