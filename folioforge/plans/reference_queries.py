@@ -469,14 +469,14 @@ def q_merge_sources(spark, d):
 @query("""
 WITH f AS (SELECT 'a/' || (log_id % 7) || '/' || filename AS path, regexp_replace(filename, '\\.[^.]*$', '') AS stem, 'a/' || (log_id % 7) AS dir FROM ingest_log WHERE filename IS NOT NULL),
 u AS (SELECT DISTINCT * FROM f),
-b AS (SELECT DISTINCT CASE WHEN bundle_id % 2 = 0 THEN 'a/' || (bundle_id % 7) ELSE 'a' END AS dir, slug AS stem, CASE WHEN bundle_id % 2 = 0 THEN 'a/' || (bundle_id % 7) ELSE 'a' END || '/' || slug || '.acatome' AS bundle FROM papers WHERE slug IS NOT NULL),
+b AS (SELECT DISTINCT CASE WHEN bundle_id % 2 = 0 THEN 'a/' || (bundle_id % 7) ELSE 'a' END AS dir, slug AS stem, CASE WHEN bundle_id % 2 = 0 THEN 'a/' || (bundle_id % 7) ELSE 'a' END || '/' || slug || '.bundle' AS bundle FROM papers WHERE slug IS NOT NULL),
 h AS (SELECT u.path, CASE WHEN u.dir = b.dir AND u.stem = b.stem THEN 0 ELSE 1 END AS fuzzy, CASE WHEN u.dir = b.dir THEN 0 ELSE 1 END AS far, b.bundle FROM u JOIN b ON (u.dir = b.dir OR b.dir = 'a') AND (contains(b.stem, u.stem) OR contains(u.stem, b.stem)))
 SELECT u.path, (SELECT bundle FROM h WHERE h.path = u.path ORDER BY fuzzy, far, bundle LIMIT 1) AS bundle FROM u
 """)
 def q_find_bundles(spark, d):
     f = table(spark, d, "ingest_log").filter("filename is not null").select(F.concat(F.lit("a/"), (F.col("log_id") % 7).cast("string"), F.lit("/"), "filename").alias("path")).distinct()
     folder = F.when(F.col("bundle_id") % 2 == 0, F.concat(F.lit("a/"), (F.col("bundle_id") % 7).cast("string"))).otherwise("a")
-    b = _papers(spark, d).filter("slug is not null").select(F.concat(folder, F.lit("/"), "slug", F.lit(".acatome")).alias("path")).distinct()
+    b = _papers(spark, d).filter("slug is not null").select(F.concat(folder, F.lit("/"), "slug", F.lit(".bundle")).alias("path")).distinct()
     return R.find_bundles(f, b)
 
 
@@ -548,12 +548,12 @@ def q_layout(spark, d):
 
 
 @query("""
-WITH f AS (SELECT DISTINCT 'p/' || slug || '.acatome' AS path, 'p/' || regexp_replace(slug, '^anon', 'fymabadi') || '.acatome' AS target FROM papers WHERE slug IS NOT NULL),
+WITH f AS (SELECT DISTINCT 'p/' || slug || '.bundle' AS path, 'p/' || regexp_replace(slug, '^anon', 'fymabadi') || '.bundle' AS target FROM papers WHERE slug IS NOT NULL),
 m AS (SELECT *, min(path) OVER (PARTITION BY target) AS first FROM f)
 SELECT path, target, (m.path <> target AND target IN (SELECT path FROM f)) OR path <> first AS conflict FROM m
 """)
 def q_rename_plan(spark, d):
-    f = _papers(spark, d).filter("slug is not null").select(F.concat(F.lit("p/"), "slug", F.lit(".acatome")).alias("path"), F.regexp_replace("slug", "^anon", "fymabadi").alias("new_stem")).distinct()
+    f = _papers(spark, d).filter("slug is not null").select(F.concat(F.lit("p/"), "slug", F.lit(".bundle")).alias("path"), F.regexp_replace("slug", "^anon", "fymabadi").alias("new_stem")).distinct()
     return M.rename_plan(f)
 
 

@@ -16,6 +16,8 @@ from folioforge.schema import AUDIT, BLOCK, BUNDLE
 # MIME types by suffix.
 MIME = {"png": "image/png", "jpg": "image/jpeg", "jpeg": "image/jpeg", "gif": "image/gif", "webp": "image/webp", "svg": "image/svg+xml"}
 JPEG_FROM = 500_000
+#: Suffix of bundle files; that of existing bundles is passed in.
+SUFFIX = ".bundle"
 
 
 def scan(spark: SparkSession, folder: str, glob: str, *, recursive: bool = True) -> DataFrame:
@@ -30,7 +32,7 @@ def scan_pdfs(spark: SparkSession, target: str, *, recursive: bool = True) -> Da
     return scan(spark, target, "*.pdf", recursive=recursive)
 
 
-def read_bundles(spark: SparkSession, folder: str) -> DataFrame:
+def read_bundles(spark: SparkSession, folder: str, suffix: str = SUFFIX) -> DataFrame:
     """(path, header, blocks, enrichment_meta, error) of all bundles below a folder; both forms of blocks are read.
 
     What is no gzip or no JSON has an error and nulls, and ends nothing.
@@ -46,7 +48,7 @@ def read_bundles(spark: SparkSession, folder: str) -> DataFrame:
                     rows.append((path, None, f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(rows, columns=["path", "json", "error"])
 
-    raw = scan(spark, folder, "*.acatome").select("path", "content").mapInPandas(run, "path string, json string, error string")
+    raw = scan(spark, folder, f"*{suffix}").select("path", "content").mapInPandas(run, "path string, json string, error string")
     parsed = raw.withColumn("b", F.when(F.try_parse_json("json").isNotNull(), F.from_json("json", BUNDLE)))
     error = F.coalesce("error", F.when(F.col("b").isNull(), F.lit("no JSON object")))
     return parsed.select("path", "b.header", "b.blocks", "b.enrichment_meta", error.alias("error"))
@@ -68,8 +70,8 @@ def assemble(papers: DataFrame, blocks: DataFrame, *, key: str = "paper_id", mos
     return papers.select(key, header.alias("header")).join(listed.select(key, checked.alias("blocks")), key, "left").select(key, bundle_json(F.col("header"), F.coalesce("blocks", F.array().cast(T.ArrayType(BLOCK))), F.lit(None).cast("string")).alias("json"))
 
 
-def write_bundles(bundles: DataFrame, folder: str) -> None:
-    """Writes ``bundles`` (name, json), each to <folder>/<name>.acatome: by its tasks, each file whole under another name first,
+def write_bundles(bundles: DataFrame, folder: str, suffix: str = SUFFIX) -> None:
+    """Writes ``bundles`` (name, json), each to <folder>/<name><suffix>: by its tasks, each file whole under another name first,
     so that a task that is run again leaves no half file. ``folder`` is a path or address that all executors share."""
 
     def run(rows: Iterator) -> None:
@@ -77,7 +79,7 @@ def write_bundles(bundles: DataFrame, folder: str) -> None:
 
         system, root = F.FileSystem.from_uri(folder if "://" in folder else os.path.abspath(folder))
         for r in rows:
-            path = f"{root.rstrip('/')}/{r['name']}.acatome"
+            path = f"{root.rstrip('/')}/{r['name']}{suffix}"
             system.create_dir(path.rpartition("/")[0], recursive=True)
             part = f"{path}.{os.getpid()}.part"
             with system.open_output_stream(part, compression=None) as out:

@@ -11,13 +11,13 @@ from folioforge.streaming import watch as W
 def test_round_trip(spark, tmp_path):
     rows = spark.createDataFrame([("a", json.dumps({"header": {"title": "é"}, "blocks": [{"text": "x", "summary": "s"}], "enrichment_meta": None}))], "name string, json string")
     B.write_bundles(rows, str(tmp_path))
-    assert gzip.open(tmp_path / "a.acatome").read().startswith(b"{")
-    (tmp_path / "bad.acatome").write_bytes(b"no gzip")
-    with gzip.open(tmp_path / "worse.acatome", "wb") as f:
+    assert gzip.open(tmp_path / "a.bundle").read().startswith(b"{")
+    (tmp_path / "bad.bundle").write_bytes(b"no gzip")
+    with gzip.open(tmp_path / "worse.bundle", "wb") as f:
         f.write(b"no json")
     got = {r["path"].rsplit("/", 1)[1]: r for r in B.read_bundles(spark, str(tmp_path)).collect()}
-    assert got["a.acatome"]["header"]["title"] == "é" and got["a.acatome"]["blocks"][0]["summary"] == "s" and got["a.acatome"]["error"] is None
-    assert got["bad.acatome"]["error"] and got["worse.acatome"]["error"]
+    assert got["a.bundle"]["header"]["title"] == "é" and got["a.bundle"]["blocks"][0]["summary"] == "s" and got["a.bundle"]["error"] is None
+    assert got["bad.bundle"]["error"] and got["worse.bundle"]["error"]
 
 
 def test_pdf_scan(spark, tmp_path):
