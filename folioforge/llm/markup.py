@@ -36,8 +36,9 @@ _VOID = frozenset("br hr img input meta link wbr col".split())
 _TAGS = _BLOCK_TAGS | _INLINE_TAGS
 _SETTINGS = frozenset("ref label cite citep citet citeauthor bibliography bibliographystyle usepackage documentclass vspace hspace includegraphics input footnotemark index pagestyle eqref pageref autoref".split())
 
-#: What the JVM looks for before any text goes to Python: a superset of all markup.
-MARKUP_JVM = r"(?m)<[a-zA-Z/!]|&[#a-zA-Z]|\\[a-zA-Z\[\]%&$#_{}]|\$|\*\*|__|`|~~~|\]\(|\[\[|\{\{|\{\||''|^#{1,6} |^=+|^-{3,}$|^>|^[*+] |\*\S|(^|\s)_\w"
+#: What the JVM looks for before any text goes to Python: a superset of all markup, with something that each alternative of
+#: _CONSTRUCT cannot do without.
+MARKUP_JVM = r"(?m)<[a-zA-Z/!]|&[#a-zA-Z]|\\[a-zA-Z\[(%&$#_{}]|\$|\*\*|__|`|~~|\]\(|\[\[|\{\{|\{\||''|^#{1,6}[ \t]|^=|^-{3}|^[ \t]{0,3}>|^[ \t]*[*+][ \t]|\*\S|(?:^|\W)_\S"
 
 
 @dataclass
