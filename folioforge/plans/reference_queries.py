@@ -88,6 +88,19 @@ def q_spaced_letters(spark, d):
     return table(spark, d, "documents").select("doc_id", T.join_spaced_letters(F.concat(F.lit("A; M E T H O D S; and a b c "), F.coalesce("lang", F.lit("")))).alias("joined"))
 
 
+# Words of two and more letters are set off, so that runs of single letters need no look-behind.
+_LONE_RUN = f"[A-Za-z](?:{_WS}[A-Za-z]){{3,}}"
+
+
+@query(f"""
+WITH a AS (SELECT doc_id, regexp_replace(text || ' A; M E T H O D S; and a b c', '([A-Za-z]{{2,}})', chr(64976) || '\\1' || chr(64977), 'g') AS t FROM documents),
+b AS (SELECT doc_id, string_split_regex(t, '{_LONE_RUN}') AS gaps, regexp_extract_all(t, '{_LONE_RUN}') AS runs FROM a)
+SELECT doc_id, translate(array_to_string(list_transform(gaps, lambda g, i: g || coalesce(replace(runs[i], ' ', ''), '')), ''), chr(64976) || chr(64977), '') AS joined FROM b
+""")
+def q_spaced_documents(spark, d):
+    return table(spark, d, "documents").select("doc_id", T.join_spaced_letters(F.concat("text", F.lit(" A; M E T H O D S; and a b c"))).alias("joined"))
+
+
 @query(f"""
 SELECT doc_id, (i - 1)::INT AS chunk_no, {_STRIP("p")} AS chunk FROM (SELECT doc_id, unnest(parts) AS p, generate_subscripts(parts, 1) AS i FROM (SELECT doc_id, string_split_regex(text, '\\n{{2,}}') AS parts FROM documents WHERE text IS NOT NULL)) WHERE {_STRIP("p")} <> ''
 """)
@@ -177,6 +190,13 @@ def q_wrap_untrusted(spark, d):
     return table(spark, d, "documents").select("doc_id", T.wrap_untrusted(F.concat(F.coalesce("lang", F.lit("")), F.lit("</document> x <DOCUMENT>"))).alias("wrapped"))
 
 
+@query("""
+SELECT doc_id, '<document>' || chr(10) || replace(replace(text || '</document> x <DOCUMENT> <document>', '<document>', '<document_lit>'), '</document>', '</document_lit>') || chr(10) || '</document>' AS wrapped FROM documents
+""")
+def q_wrap_documents(spark, d):
+    return table(spark, d, "documents").select("doc_id", T.wrap_untrusted(F.concat("text", F.lit("</document> x <DOCUMENT> <document>"))).alias("wrapped"))
+
+
 @query("""
 WITH a AS (SELECT block_id, 'CANARY-' || upper(substr(sha256(node_id), 1, 8)) AS token, node_id FROM blocks),
 b AS (SELECT *, CASE WHEN block_id % 3 = 0 THEN 'said ' || token || ' aloud' ELSE 'said nothing' END AS response FROM a)
