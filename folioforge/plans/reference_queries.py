@@ -219,6 +219,11 @@ def q_prompts(spark, d):
     return _papers(spark, d).select("bundle_id", T.prompt(F.col("title"), F.col("journal"), F.col("abstract"), 40).alias("prompt"))
 
 
+@query("SELECT bundle_id, concat_ws(chr(10), 'Title: ' || nullif(title, ''), 'Previous: ' || nullif(journal, ''), substr(abstract, 1, 2000)) AS prompt FROM papers")
+def q_prompts_whole(spark, d):
+    return _papers(spark, d).select("bundle_id", T.prompt(F.col("title"), F.col("journal"), F.col("abstract")).alias("prompt"))
+
+
 @query(r"""
 WITH a AS (SELECT pdf_stem, CASE WHEN body LIKE '{%' AND json_valid(body) THEN body::JSON ->> '$.author' END AS s FROM sidecars),
 b AS (SELECT pdf_stem, s, CASE WHEN contains(s, ';') THEN string_split(s, ';') WHEN regexp_matches(s, '(?i) and ') THEN string_split_regex(s, '(?i) and ') ELSE [s] END AS p FROM a WHERE s IS NOT NULL AND NOT starts_with(s, '['))

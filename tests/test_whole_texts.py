@@ -49,3 +49,14 @@ def test_whole_documents(spark, folder, name):
     sql = [r[1] for r in sorted(duck.execute(Q.oracle_sql()[name]).fetchall())]
     assert got == expected
     assert sql == expected
+
+
+def test_prompts_keep_what_the_limit_allows(spark, tmp_path):
+    abstracts = ["x" * 430, "é" * 2000, "y" * 2001, "", None]
+    papers = {"bundle_id": pa.array(range(5), pa.int64()), "title": ["T"] * 5, "journal": ["J", "", None, "J", "J"], "abstract": pa.array(abstracts, pa.string())}
+    pq.write_table(pa.table(papers), tmp_path / "papers.parquet")
+    expected = ["Title: T\nPrevious: J\n" + "x" * 430, "Title: T\n" + "é" * 2000, "Title: T\n" + "y" * 2000, "Title: T\nPrevious: J\n", "Title: T\nPrevious: J"]
+    assert [r[1] for r in sorted(Q.queries()["q_prompts_whole"](spark, str(tmp_path)).collect())] == expected
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW papers AS SELECT * FROM '{tmp_path}/papers.parquet'")
+    assert [r[1] for r in sorted(duck.execute(Q.oracle_sql()["q_prompts_whole"]).fetchall())] == expected
