@@ -42,7 +42,6 @@ class ScanPlan:
     decisions are broadcast; beyond, they are joined to the texts by word."""
 
     rarer: int = 40
-    least: int = 3
     deletions: int = 2
     longest: int = 24
     most_decisions: int = 400_000
@@ -237,11 +236,11 @@ def misread_words(counted: DataFrame, plan: ScanPlan) -> DataFrame:
     limit = (top.agg(F.max("n")).first()[0] or 0) // plan.rarer
     # Words of three letters are too much alike; with a digit among them they are asked nevertheless.
     read = _delete_keys(words.filter((F.col("n") <= limit) & ((F.length("a") > 3) | F.col("a").rlike("[0-9]"))), plan, "read")
-    right = _delete_keys(top.filter(F.col("n") >= 4 * plan.least), plan, "right")
-    # A digit among letters is a misreading by itself; there the right word need not be so frequent.
+    right = _delete_keys(top.filter(F.col("n") >= plan.rarer // 10), plan, "right")
+    # A digit among letters is a misreading by itself; there the right word need not be so frequent. Only the ratio counts, no
+    # number of occurrences: the same misreading is found in tables of any size.
     rarer = F.when(F.col("read").rlike(r"\p{L}[0-9]|[0-9]\p{L}{2}"), plan.rarer // 10).otherwise(plan.rarer)
-    enough = F.col("n_right") >= plan.least * rarer
-    candidates = read.join(right, "key").filter((F.col("n_read") * rarer <= F.col("n_right")) & enough).select("read", "right", "n_right").distinct()
+    candidates = read.join(right, "key").filter(F.col("n_read") * rarer <= F.col("n_right")).select("read", "right", "n_right").distinct()
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
