@@ -30,8 +30,8 @@ INVISIBLE = "­͏؜ᅟᅠ឴឵᠋-᠎​-‏‪-‮⁠-⁤⁦-⁯﻿\U000e0000-
 FULL_WIDTH = "！-～￠-￦"
 MARKS = "̀-ͯ᪰-᫿᷀-᷿⃐-⃿"
 
-#: What the JVM looks for before any text goes to Python: a superset of the unstable segments.
-UNSTABLE_JVM = r"[\x{a0}\x{1680}\x{2000}-\x{200f}\x{202a}-\x{202f}\x{205f}-\x{206f}\x{3000}\x{ad}\x{34f}\x{61c}\x{115f}\x{1160}\x{17b4}\x{17b5}\x{180b}-\x{180e}\x{feff}\x{ff01}-\x{ff5e}\x{ffe0}-\x{ffe6}\x{e0000}-\x{e007f}\p{M}]|[\p{IsLatin}][\p{IsCyrillic}\p{IsGreek}]|[\p{IsCyrillic}\p{IsGreek}][\p{IsLatin}]"
+#: What the JVM looks for before any text goes to Python: a superset of the unstable segments and of _RARE_DOUBLE.
+UNSTABLE_JVM = r"[\x{a0}\x{1680}\x{2000}-\x{200f}\x{202a}-\x{202f}\x{205f}-\x{206f}\x{3000}\x{ad}\x{34f}\x{61c}\x{115f}\x{1160}\x{17b4}\x{17b5}\x{180b}-\x{180e}\x{feff}\x{ff01}-\x{ff5e}\x{ffe0}-\x{ffe6}\x{e0000}-\x{e007f}\p{M}]|[\p{IsLatin}][\p{IsCyrillic}\p{IsGreek}]|[\p{IsCyrillic}\p{IsGreek}][\p{IsLatin}]|[\x{455}\x{4bb}\x{501}\x{51b}\x{51d}\x{50d}\x{4cf}]"
 
 _SEGMENT = re.compile(f"[{FULL_WIDTH}]+|[{SPACES}]|[{INVISIBLE}]+")
 _COMPOSED = re.compile(f"\\w[{MARKS}]+")
