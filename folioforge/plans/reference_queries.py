@@ -755,14 +755,18 @@ def q_shared_bundles(spark, d):
 def q_ingest_results(spark, d):
     p = _papers(spark, d).filter("pdf_hash is not null")
     files = p.select(F.concat(F.lit("p/"), F.col("bundle_id").cast("string"), F.lit(".pdf")).alias("path"), "pdf_hash")
-    shared = p.filter("bundle_id % 3 = 0").select("pdf_hash", F.array("pdf_hash").alias("hashes"), "title", "slug")
+    # Every file has a bundle beside it; two in three are of another file.
+    hashes = F.array(F.when(F.col("bundle_id") % 3 == 0, F.col("pdf_hash")).otherwise(F.concat(F.lit("other-"), "pdf_hash")))
+    shared = p.select("pdf_hash", hashes.alias("hashes"), "title", "slug")
     return P.ingest_results(files, p.select("pdf_hash", "verified", "verify_warnings", "doi", "arxiv_id", "s2_id", "title", "slug"), shared)
 
 
 @query()
 def q_tag_updates(spark, d):
     p = _papers(spark, d).select(F.concat(F.lit("p/"), F.col("bundle_id").cast("string"), F.lit(".pdf")).alias("path"), "bundle_id", "title", F.col("authors.name").alias("authors"), "doi", "year", "journal", "abstract", "keywords")
-    old = p.filter("bundle_id % 2 = 0").select("path", F.concat(F.lit("doi:"), "doi").alias("identifier"), "doi", "title", F.lit("x").alias("author")).withColumnRenamed("doi", "keywords")
+    # Every file has a row of old tags; in every second one they are null.
+    tagged = lambda c: F.when(F.col("bundle_id") % 2 == 0, c)
+    old = p.select("path", tagged(F.concat(F.lit("doi:"), "doi")).alias("identifier"), tagged(F.col("doi")).alias("keywords"), tagged(F.col("title")).alias("title"), tagged(F.lit("x")).alias("author"))
     return P.tag_updates(p.drop("bundle_id"), old).select("pdf_path", "updated", "reason", "new_title", F.array_join("command", " ").alias("command"))
 
 
