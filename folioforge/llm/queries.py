@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioforge.llm.knn import neighbour_pairs
 from folioforge.llm.markup import clean_blocks
 from folioforge.llm.mixing import mix_sources
 from folioforge.llm.mojibake import pair_counts, records_of, repair_texts
+from folioforge.llm.names import link_names, name_pairs
 from folioforge.llm.pairs import find_defects
 from folioforge.llm.residue import find_residue
 from folioforge.llm.scan_noise import repair_blocks
@@ -35,6 +37,11 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return p2_normalized(spark, folder).select("record_kind", "record_id")
 
 
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    names = table(spark, folder, "papers").select(F.explode("authors.name").alias("name"))
+    return name_pairs(link_names(names))
+
+
 def p4_clean(spark: SparkSession, folder: str) -> DataFrame:
     return clean_blocks(table(spark, folder, "blocks"))
 
@@ -60,6 +67,11 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return p6_repaired(spark, folder).select("block_id")
 
 
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "blocks").select(F.col("block_id").alias("id"), F.col("embeddings")["fine96"].alias("vector"))
+    return neighbour_pairs(vectors).select(F.col("a").alias("block_a"), F.col("b").alias("block_b"))
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode_corpus(table(spark, folder, "documents"))
 
@@ -81,7 +93,7 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p2_found, p2_normalized, p4_found, p4_clean, p5_found, p5_repaired, p6_found, p6_repaired, p8_ids, p9_mix, p9_shares, p10_found, p10_residue)}
+    return {f.__name__: f for f in (p1_found, p2_found, p2_normalized, p3_found, p4_found, p4_clean, p5_found, p5_repaired, p6_found, p6_repaired, p7_found, p8_ids, p9_mix, p9_shares, p10_found, p10_residue)}
 
 
 def oracle_sql() -> dict[str, str]:
