@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +15,7 @@ from folioforge.operators import maintain as M
 from folioforge.operators import resolve as R
 from folioforge.operators import sequence as S
 from folioforge.plans import pipelines as P
-from folioforge.session import table
+from folioforge.session import shared_folder, table
 from folioforge.sources import bundles as B
 from folioforge.streaming import watch as W
 
@@ -594,7 +593,7 @@ def q_report(spark, d):
 SELECT bundle_id::VARCHAR AS pdf_path, (bundle_id % 2 = 0)::VARCHAR AS updated, coalesce(nullif(title, ''), '') AS new_title, coalesce(nullif(doi, ''), '') AS new_doi FROM papers
 """)
 def q_audit(spark, d):
-    folder = tempfile.mkdtemp(prefix="folioforge-audit-") if spark.sparkContext.master.startswith("local[") else _shared(spark, "audit")
+    folder = shared_folder(spark, "audit")
     none = F.lit("")
     rows = _papers(spark, d).select(
         F.col("bundle_id").cast("string").alias("pdf_path"), (F.col("bundle_id") % 2 == 0).alias("updated"), F.lit(True).alias("success"), none.alias("reason"), none.alias("old_title"), F.coalesce("title", none).alias("new_title"),
@@ -605,14 +604,6 @@ def q_audit(spark, d):
     return back.select("pdf_path", "updated", F.coalesce("new_title", none).alias("new_title"), F.coalesce("new_doi", none).alias("new_doi"))
 
 
-def _shared(spark, name: str) -> str:
-    """A new folder beside the checkpoints, which all executors share."""
-    import uuid
-
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="folioforge-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 # --- summaries and embeddings -------------------------------------------------------------------------------------------------------------
 
 
@@ -682,7 +673,7 @@ def q_paper_digest(spark, d):
 
 @query("SELECT paper_id, count(*)::BIGINT AS n_blocks, sum(length(coalesce(text, '')))::BIGINT AS n_chars FROM blocks GROUP BY 1")
 def q_bundle_roundtrip(spark, d):
-    folder = _shared(spark, "bundles")
+    folder = shared_folder(spark, "bundles")
     papers = M.latest(_papers(spark, d), "paper_id", "bundle_id")
     made = B.assemble(papers, _blocks(spark, d))
     B.write_bundles(made.select(F.sha2("paper_id", 256).alias("name"), "json"), folder)
@@ -692,7 +683,7 @@ def q_bundle_roundtrip(spark, d):
 
 @query("SELECT CASE WHEN new THEN 'new' ELSE 'duplicate' END AS kind, doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY sha256(text) ORDER BY doc_id) = 1 AS new FROM documents WHERE text IS NOT NULL)")
 def q_stream_dedup(spark, d):
-    out = _shared(spark, "stream")
+    out = shared_folder(spark, "stream")
     source = table(spark, d, "documents")
     stream = spark.readStream.schema(source.schema).parquet(f"{d}/documents.parquet" if os.path.isdir(f"{d}/documents.parquet") else f"{d}/documents.parquet*").filter("text is not null").select("doc_id", F.sha2("text", 256).alias("digest"))
     run = W.ingest(stream, seen_path=f"{out}/seen", new_path=f"{out}/new", duplicate_path=f"{out}/duplicates", checkpoint=f"{out}/checkpoint", key="digest", order=["doc_id"])
