@@ -3,11 +3,14 @@
 Repairs words broken over line ends, misread letters, running headers and page numbers, and gives continuous paragraphs.
 
 Method. Word and word-pair frequencies are counted over all texts. A symmetric-delete index over the lexicon gives correction
-candidates of rare words: two words meet where both become equal by up to two deletions. A weighted edit distance, cheap for
-pairs that scanners confuse (m and rn, l and 1) and dear for all else, keeps those that are misreadings, and the word pairs
-choose: a repair must stand in company in which its word is known. Line ends with a break mark are joined if the lexicon has
-the joined word, and kept if it has the hyphenated one. All decisions are about distinct words; they are applied to the
-texts in one pass.
+candidates of rare words: two words meet where both become equal by up to two deletions, with the deletions at the same
+places (a key marks each gap, so that keys of short words are no large groups). A weighted edit distance, cheap for pairs that
+scanners confuse (m and rn, l and 1) and dear for all else, keeps those that are misreadings, and the word pairs choose: a
+repair must stand in company in which its word is known. Line ends with a break mark are joined unless the lexicon has the
+hyphenated word more often. All decisions are about distinct words; they are applied to the texts in one pass.
+
+Words above ``longest`` letters would have too many deletions: they meet in one of seven segments, one of which at least three
+confusions leave whole.
 """
 
 from __future__ import annotations
@@ -16,12 +19,13 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import combinations
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioforge.llm.segment_join import cut
 from folioforge.session import checkpointed
 
 # What scanners confuse, as (printed, read), either way round.
@@ -38,13 +42,16 @@ BREAK_MARKS = "\\-¬‐‑\u00ad"
 
 @dataclass(frozen=True)
 class ScanPlan:
-    """``rarer``: a misread word is so many times rarer than the right one. ``most_decisions``: up to so many distinct
-    decisions are broadcast; beyond, they are joined to the texts by word."""
+    """``rarer``: a misread word is so many times rarer than the right one. ``longest``: words of more letters are looked up
+    by segments instead of deletions. ``most_decisions``: up to so many distinct decisions are broadcast;
+    beyond, they are joined to the texts by word, with the same result. ``most_frequent``: so many of the most frequent words
+    are left out of that join beforehand, unless a decision is about them."""
 
     rarer: int = 40
     deletions: int = 2
     longest: int = 24
     most_decisions: int = 400_000
+    most_frequent: int = 10_000
 
 
 _TOKEN = re.compile(r"[^\W_]+")
@@ -82,8 +89,10 @@ def _is_own_title(line: str, before: str, after: str, titles: tuple[str, ...]) -
     """Whether a line is the title of its paper or the beginning of it, and not a sentence that begins like it: it has no full
     stop, the text does not go on as the title does, and it is whole, cut within a word, or in the middle of a sentence."""
     key = _key(line)
-    if len(key) < 15 or key.count(" ") < 2 or line[-1] in ".!?;:,":
+    if line[-1] in ".!?;:,":
         return False
+    if len(key) < 15 or key.count(" ") < 2:  # a short one must be whole and stand in the middle of a sentence
+        return key in titles and len(key) > 3 and _interrupts(before, after) and after[0].islower()
     following = _key(after)
     for title in titles:
         if title.startswith(key):
@@ -119,7 +128,7 @@ def noise_lines(lines: list[str], titles: tuple[str, ...] = ()) -> list[bool]:
             out[i] = True
         elif bare != s and len(re.findall(r"[^\W\d_]{2,}", bare)) >= 2 and bare[-1] not in ".!?;:," and not _MARKUP_LINE.match(s):
             out[i] = True  # a page number set off from words
-        elif _is_title(bare) and ( i in (0, len(lines) - 1) or _interrupts(before, after) or bare == bare.upper() or (lines[i - 1].strip() and lines[i + 1].strip())):
+        elif _is_title(bare) and (i in (0, len(lines) - 1) or _interrupts(before, after) or bare == bare.upper() or (lines[i - 1].strip() and lines[i + 1].strip())):
             out[i] = True  # a heading would have a blank line before or behind it
         elif titles and not _MARKUP_LINE.match(s) and _is_own_title(bare, before, after, titles):
             out[i] = True
@@ -142,15 +151,16 @@ def _flow(text: str, titles: tuple[str, ...] = ()) -> str:
 
 def counts(texts: DataFrame) -> DataFrame:
     """(kind, a, b, n) over all ``texts`` (text): kind 0 words, 1 neighbouring words, 2 hyphenated words, 3 words broken over
-    a line end. Words are counted in lower case."""
+    a line end, 4 the same joined: they may be misread like any other, but are no evidence of a word. Words are counted in
+    lower case."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, pairs, compounds, broken = Counter(), Counter(), Counter(), Counter()
+        words, pairs, compounds, broken, joined = (Counter() for _ in range(5))
 
         def flush() -> pa.RecordBatch:
             rows = [(0, w, "", n) for w, n in words.items()] + [(1, a, b, n) for (a, b), n in pairs.items()]
-            rows += [(2, w, "", n) for w, n in compounds.items()] + [(3, a, b, n) for (a, b), n in broken.items()]
-            for c in (words, pairs, compounds, broken):
+            rows += [(2, w, "", n) for w, n in compounds.items()] + [(3, a, b, n) for (a, b), n in broken.items()] + [(4, w, "", n) for w, n in joined.items()]
+            for c in (words, pairs, compounds, broken, joined):
                 c.clear()
             types = (pa.int32(), pa.string(), pa.string(), pa.int64())
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 4, types, strict=True)], names=["kind", "a", "b", "n"])
@@ -159,15 +169,21 @@ def counts(texts: DataFrame) -> DataFrame:
             for text in batch.column(0).to_pylist():
                 if not text.isascii():
                     text = text.translate(_NO_WIDTH)
+                whole = text
                 if "\n" in text:
-                    text = _flow(text)
-                    for m in _BROKEN.finditer(text):
-                        broken[m[1].lower(), m[2].lower()] += 1
-                    text = _BROKEN_WHOLE.sub(" . ", text)
+                    text = whole = _flow(text)
+                    parts = [(m[1].lower(), m[2].lower()) for m in _BROKEN.finditer(text)]
+                    if parts:
+                        broken.update(parts)
+                        joined.update(a + b for a, b in parts)
+                        whole = _BROKEN.sub(r"\1", text)
+                        text = _BROKEN_WHOLE.sub(" . ", text)
                 if "-" in text:
                     compounds.update(m.lower() for m in _COMPOUND.findall(text))
                 found = _TOKEN.findall(text.lower())
                 words.update(found)
+                if whole is not text:
+                    found = _TOKEN.findall(whole.lower())
                 pairs.update(zip(found, found[1:], strict=False))
             if len(pairs) > 300_000:
                 yield flush()
@@ -179,26 +195,54 @@ def counts(texts: DataFrame) -> DataFrame:
 # --- decisions ----------------------------------------------------------------------------------------------------------------
 
 
+_GAP = "_"
+
+
 def deletes(word: str, most: int) -> set[str]:
-    """All strings that come from ``word`` by up to ``most`` deletions."""
+    """All strings that come from ``word`` by up to ``most`` deletions, each run of them marked by a gap."""
     out = {word}
-    for k in range(1, min(most, len(word) - 2) + 1):
-        for at in combinations(range(len(word)), k):
-            gone = set(at)
-            out.add("".join(c for i, c in enumerate(word) if i not in gone))
+    if most and len(word) > 2:
+        out.update(word[:i] + _GAP + word[i + 1 :] for i in range(len(word)))
+    if most > 1 and len(word) > 3:
+        out.update(word[:i] + _GAP + word[i + 2 :] for i in range(len(word) - 1))
+        out.update(word[:i] + _GAP + word[i + 1 : j] + _GAP + word[j + 1 :] for i in range(len(word)) for j in range(i + 2, len(word)))
     return out
 
 
+#: A misreading has at most so many confusions, see MISREAD_BELOW; each spoils two of the segments at most and moves by one.
+_MOST_CONFUSIONS = 3
+
+
+def _segment_keys(word: str, lengths: range, shifts: range) -> set[str]:
+    """Keys of the segments of a long word, as a word of any of ``lengths`` would be cut, moved by any of ``shifts``."""
+    out = set()
+    for length in lengths:
+        for i, (at, n) in enumerate(cut(length, 2 * _MOST_CONFUSIONS + 1)):
+            out.update(f"{length}:{i}:{xxhash.xxh3_64_hexdigest(word[at + x : at + x + n])}" for x in shifts if 0 <= at + x <= len(word) - n)
+    return out
+
+
+def lookup_keys(word: str, plan: ScanPlan, *, index: bool) -> set[str]:
+    """Where a right word stands in the index, or a read one looks: deletions, of long words segments."""
+    if len(word) <= plan.longest - _MOST_CONFUSIONS:
+        return deletes(word, plan.deletions)
+    k = _MOST_CONFUSIONS
+    long = _segment_keys(word, range(len(word), len(word) + 1), range(1)) if index else _segment_keys(word, range(len(word) - k, len(word) + k + 1), range(-k, k + 1))
+    return long | deletes(word, plan.deletions) if len(word) <= plan.longest + k else long
+
+
 _SWAPS = [(a, b, 0.25 if i < COMMON else 0.45) for i, pair in enumerate(CONFUSED) for a, b in (pair, pair[::-1])]
 
 
 def misreading(right: str, read: str) -> float:
     """Weighted edit distance: confusions cost 0.25 or 0.45, all other edits 1."""
-    far = 9.0
-    d = [[far] * (len(read) + 1) for _ in range(len(right) + 1)]
+    far, band = 9.0, 4  # what is dearer than two has no more than eight confusions, each moves by one letter at most; beyond the band all is dear
+    if abs(len(right) - len(read)) > band:
+        return far
+    d = [[far] * (len(read) + 1) for _ in range(len(right) + 1)] if len(right) < 64 else [_Row(far) for _ in range(len(right) + 1)]
     d[0][0] = 0.0
     for i in range(len(right) + 1):
-        for j in range(len(read) + 1):
+        for j in range(max(0, i - band), min(len(read), i + band) + 1):
             here = d[i][j]
             if here >= 2:
                 continue
@@ -211,15 +255,26 @@ def misreading(right: str, read: str) -> float:
             for a, b, price in _SWAPS:
                 if right.startswith(a, i) and read.startswith(b, j):
                     d[i + len(a)][j + len(b)] = min(d[i + len(a)][j + len(b)], here + price)
-    return d[-1][-1]
+    return d[len(right)][len(read)]
 
 
-def _delete_keys(words: DataFrame, plan: ScanPlan, name: str) -> DataFrame:
+class _Row(dict):
+    """A row of a large table of which only the band is filled."""
+
+    def __init__(self, far: float) -> None:
+        super().__init__()
+        self.far = far
+
+    def __missing__(self, key: int) -> float:
+        return self.far
+
+
+def _delete_keys(words: DataFrame, plan: ScanPlan, name: str, *, index: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, own, ns = [], [], []
             for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for k in deletes(word, plan.deletions):
+                for k in lookup_keys(word, plan, index=index):
                     keys.append(k)
                     own.append(word)
                     ns.append(n)
@@ -230,13 +285,14 @@ def _delete_keys(words: DataFrame, plan: ScanPlan, name: str) -> DataFrame:
 
 def misread_words(counted: DataFrame, plan: ScanPlan) -> DataFrame:
     """(a, b): the misread word a means b."""
-    words = counted.filter((F.col("kind") == 0) & F.length("a").between(3, plan.longest)).select("a", "n")
-    top = words.filter(~F.col("a").rlike("[0-9]"))
+    sound = counted.filter((F.col("kind") == 0) & (F.length("a") >= 3)).select("a", "n")
+    words = sound.unionByName(counted.filter((F.col("kind") == 4) & (F.length("a") >= 3)).select("a", "n")).groupBy("a").agg(F.sum("n").alias("n"))
+    top = sound.filter(~F.col("a").rlike("[0-9]"))
     # A rare word can only be a misreading of one that is ``rarer`` times as frequent.
     limit = (top.agg(F.max("n")).first()[0] or 0) // plan.rarer
     # Words of three letters are too much alike; with a digit among them they are asked nevertheless.
-    read = _delete_keys(words.filter((F.col("n") <= limit) & ((F.length("a") > 3) | F.col("a").rlike("[0-9]"))), plan, "read")
-    right = _delete_keys(top.filter(F.col("n") >= plan.rarer // 10), plan, "right")
+    read = _delete_keys(words.filter((F.col("n") <= limit) & ((F.length("a") > 3) | F.col("a").rlike("[0-9]"))), plan, "read", index=False)
+    right = _delete_keys(top.filter(F.col("n") >= plan.rarer // 10), plan, "right", index=True)
     # A digit among letters is a misreading by itself; there the right word need not be so frequent. Only the ratio counts, no
     # number of occurrences: the same misreading is found in tables of any size.
     rarer = F.when(F.col("read").rlike(r"\p{L}[0-9]|[0-9]\p{L}{2}"), plan.rarer // 10).otherwise(plan.rarer)
@@ -323,7 +379,7 @@ def repair_blocks(blocks: DataFrame, papers: DataFrame | None = None, plan: Scan
     lined = texts.filter(F.col("text").contains("\n"))
     if papers is not None:
         heads = papers.select("paper_id", F.explode(F.array("title", "journal")).alias("title"))
-        titles = heads.filter("paper_id is not null and length(title) >= 15").distinct().groupBy("paper_id").agg(F.collect_list("title").alias("titles"))
+        titles = heads.filter("paper_id is not null and length(title) > 3").distinct().groupBy("paper_id").agg(F.collect_list("title").alias("titles"))
         lined = lined.join(titles, "paper_id", "left").select("block_id", "text", "titles")
     else:
         lined = lined.select("block_id", "text", none)
@@ -346,11 +402,24 @@ def repair_blocks(blocks: DataFrame, papers: DataFrame | None = None, plan: Scan
         rows = decisions.collect()  # at most ``most_decisions`` words
         shared = blocks.sparkSession.sparkContext.broadcast(({r["a"]: r["b"] for r in rows if r["b"]}, {r["a"] for r in rows if not r["b"]}))
         return source.mapInArrow(run_with(lambda batch, i: shared.value), "block_id long, repaired string")
-    # Too many for a broadcast: every block gets those decisions that concern its own words, by a join on the word.
-    words = source.withColumn("row", F.monotonically_increasing_id())
-    keyed = checkpointed(words)
-    hyphened = F.transform(F.regexp_extract_all(F.lower("text"), F.lit(rf"([\p{{L}}]+)[{BREAK_MARKS}][ \t]*\n+[ \t]*([\p{{L}}\p{{N}}]+)"), 0), lambda x: F.regexp_replace(x, rf"[{BREAK_MARKS}][ \t]*\n+[ \t]*", "-"))
-    tokens = keyed.select("row", F.explode(F.array_distinct(F.concat(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), hyphened))).alias("a"))
+    # Too many for a broadcast: every block gets those decisions that concern its own words, by a join on the word. The words are
+    # those that ``repair_text`` may look up, written by the same code. The most frequent words of the corpus, about which
+    # there is no decision, stay out of the join: they would be its hot keys.
+    frequent = counted.filter("kind = 0").orderBy(F.desc("n"), "a").limit(plan.most_frequent).select("a")
+    idle = {r["a"] for r in frequent.join(decisions.select("a"), "a", "left_anti").collect()}
+    left_out = blocks.sparkSession.sparkContext.broadcast(frozenset(idle))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, asked = [], []
+            for row, text, titles in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = looked_up(text, tuple(map(_key, titles or ()))) - left_out.value
+                rows += [row] * len(own)
+                asked += own
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(asked, pa.string())], names=["row", "a"])
+
+    keyed = checkpointed(source.withColumn("row", F.monotonically_increasing_id()))
+    tokens = keyed.select("row", "text", "titles").mapInArrow(ask, "row long, a string")
     own = tokens.join(decisions, "a").groupBy("row").agg(F.collect_list(F.struct("a", "b")).alias("own"))
     with_own = keyed.join(own, "row", "left").select("block_id", "text", "titles", "own")
 
@@ -359,3 +428,15 @@ def repair_blocks(blocks: DataFrame, papers: DataFrame | None = None, plan: Scan
         return {r["a"]: r["b"] for r in rows if r["b"]}, {r["a"] for r in rows if not r["b"]}
 
     return with_own.mapInArrow(run_with(from_column), "block_id long, repaired string")
+
+
+def looked_up(text: str, titles: tuple[str, ...] = ()) -> set[str]:
+    """Every word that ``repair_text`` may look up: those of the text with its broken words joined, those with them kept
+    apart, and the hyphenated ones."""
+    if "\n" not in text:
+        return set(_TOKEN.findall((text if text.isascii() else text.translate(_NO_WIDTH)).lower()))
+    flow = _flow(text, titles)
+    out = {f"{m[1].lower()}-{m[2].lower()}" for m in _BROKEN.finditer(flow)}
+    for t in (_BROKEN.sub(r"\1", flow), _BROKEN.sub(r"\1-", flow)):
+        out.update(_TOKEN.findall((t if t.isascii() else t.translate(_NO_WIDTH)).lower()))
+    return out

@@ -98,7 +98,8 @@ def test_own_titles():
 def test_distance():
     assert S.misreading("modern", "modem") < 1 and S.misreading("small", "srnall") < 1 and S.misreading("loss", "1oss") < 1 and S.misreading("rinsing", "rirising") < 1
     assert S.misreading("control", "ntrol") >= 1 and S.misreading("basin", "basins") >= 1 and S.misreading("cat", "cat") == 0
-    assert S.deletes("abc", 1) == {"abc", "ab", "ac", "bc"}
+    assert S.deletes("abc", 1) == {"abc", "_bc", "a_c", "ab_"}
+    assert S.misreading("a" * 90 + "m" + "b" * 90, "a" * 90 + "rn" + "b" * 90) < 1
 
 
 def corpus(spark):
