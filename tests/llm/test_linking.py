@@ -99,6 +99,29 @@ def test_knn(spark):
     assert found[720] == exact[720] == [5, 700, 701, 702, 703]
 
 
+def test_knn_tree(spark):
+    """Two levels, broadcast or joined, give the same neighbours, and nearly those of one level."""
+    x = clusters(3000, 16, 2)
+    x[100:150] = x[7]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vector array<float>")
+    exact = K.brute_force(np.arange(3000), x, 5).groupby("id")["other"].apply(list)
+    answers = []
+    for most in (65_536, 4):
+        plan = K.KnnPlan(k=5, dim=16, partition_rows=100, sample_rows=1000, fan_out=8, block_rows=64, most_leaves=most)
+        assert len(K._levels(3000, plan)) == 2
+        answers.append({r["id"]: [n["id"] for n in r["neighbours"]] for r in K.nearest(df, plan).collect()})
+    assert answers[0] == answers[1] and set(answers[0]) == set(range(3000))
+    assert np.mean([len(set(answers[0][i]) & set(exact[i])) / 5 for i in range(3000)]) > 0.95
+
+
+@pytest.mark.parametrize("n", [0, 1, 999, 512_000, 512_001, 10**6, 10**9, 10**12])
+def test_partitions_do_not_grow(n):
+    plan = K.KnnPlan()
+    levels = K._levels(n, plan)
+    assert levels[-1] == plan.partition_rows and all(a <= plan.fan_out * b for a, b in zip(levels, levels[1:], strict=False))
+    assert levels[0] * plan.fan_out >= n
+
+
 def test_knn_small(spark):
     plan = K.KnnPlan(dim=2)
     empty = spark.createDataFrame([], "id long, vector array<float>")
