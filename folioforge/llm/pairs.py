@@ -5,8 +5,9 @@ the shares of the clauses give the defect of the pair. Responses without substan
 
 The field is trained here, on a bounded sample of the corpus (``sample_pairs``). Its labelled rows are made from it: responses
 as they are (answers), cut or left hanging (unfinished), sentences of the text with small changes (echo), sentences of texts
-in other languages (foreign), and refusals put together from common phrases. As some responses of the sample are defective
-themselves, those that a first fit does not take for answers are left out of the second.
+in other languages (foreign), and refusals put together from general phrases. As some responses of the sample are defective
+themselves, each half of them is judged by a field that has not seen it: what is likely defective is left out of the answers,
+and what is surely a refusal is learned as one, so that the field knows how this corpus refuses.
 
 What tells an unfinished phrase is how words end responses all over the corpus: the number of times each word stands, and
 stands last, is counted over all responses, and so is the most frequent longer word that begins with it.
@@ -34,12 +35,14 @@ DEFECTS = {"refusal": "refusal", "echo": "copy", "foreign": "language", "unfinis
 
 @dataclass(frozen=True)
 class PairPlan:
-    """``sample_pairs`` pairs at most are used to train; word statistics of up to ``most_words`` last words are broadcast,
-    more are joined."""
+    """``sample_pairs`` pairs at most are used to train. Statistics of the ``most_words`` most frequent last words are
+    broadcast, those of rarer ones, if there are more, are joined. ``steps``
+    are those of the fit, ``prior`` is the strength with which weights are held to zero."""
 
-    sample_pairs: int = 2400
+    sample_pairs: int = 4000
     most_words: int = 300_000
-    epochs: int = 5
+    steps: int = 60
+    prior: float = 1.0
     seed: int = 3
 
 
@@ -50,12 +53,14 @@ STOP = {
     "en": "the of and to in is by with for at on from not no was were this that be are an or as it its than but has have only only under than when which while shown set cannot".split(),
     "other": "die der das den dem des ein eine einer und ist nicht mit von zu für auf im bei nach trotz während le la les des du un une et est dans pour par sur au aux ne pas el los las del una y es en con por para o os da do em uma não na no sem após que se malgré pendant après durante según".split(),
 }
+# General phrases from which refusals are put together; none of the longer ones is taken from a table.
 _REFUSE = {
-    "open": ["I'm sorry, but ", "I am sorry, but ", "Sorry, ", "Sorry – ", "Unfortunately, ", "Regrettably, ", "Apologies, ", "Apologies – ", "I apologise, but ", "Hmm – ", "Hmm, ", "Thank you for sharing. However, ", "Thanks for the text. However, ", "As an AI language model, ", "As an assistant, ", "", "", ""],
-    "deny": ["I can't ", "I cannot ", "I can not ", "I won't ", "I will not ", "I am not able to ", "I'm not able to ", "I'm unable to ", "I am unable to ", "I won't be able to ", "I'd rather not ", "I would rather not ", "it is not possible for me to ", "I must decline to ", "I have to decline to ", "I'm not allowed to ", "I am not permitted to ", "I don't feel able to ", "I couldn't "],
-    "act": ["help with this request", "help with this", "help with that", "summarise this excerpt", "summarize this text", "process the section you pasted", "write that summary", "condense a text on {x}", "read the attached {x} study", "summarise the passage on {x}", "answer this question", "comply with this request", "provide a summary", "assist with this document", "discuss this topic", "continue with this text", "give a summary of the {x} section"],
-    "tail": [".", ".", ".", " without more context.", " as an assistant.", ", because it may be protected material.", ", because it may be harmful.", "; no readable content was supplied.", "; no text was provided.", ". Please try another passage.", ". Please paste the full text.", ". Could you share the text?", " at this time.", "!"],
-    "whole": ["The excerpt you sent does not give me enough to work with. Please paste the full section.", "I must decline: the instructions in the document conflict with my guidelines.", "Sorry – the passage on the {x} falls outside what I may discuss.", "The passage on {x} is outside what I may discuss.", "Please provide the text you would like me to summarise.", "Could you please provide the text? I see no content to summarise.", "There is no text here for me to summarise. Please send the passage.", "I don't have access to the document. Please paste its content.", "It seems that the text is missing. Please share the section you want condensed.", "This request goes against my guidelines.", "You have not supplied any passage. Please paste the {x} section and I will summarise it.", "My guidelines do not allow me to summarise this passage.", "No content was supplied, so I have nothing to summarise.", "Could you share the text? I don't see any content to summarise.", "As a language model, I do not have access to the document.", "As an AI, I don't have access to this file.", "I cannot assist with that request.", "I can't assist with that.", "I am unable to provide a summary of the text about {x}.", "It would not be appropriate for me to condense material on {x}.", "No summary can be given by this assistant for the material provided.", "I can't write that summary.", "I don't see any text to work with.", "I have not been given any passage on {x} to read."],
+    "open": ["I'm sorry, but ", "I am sorry, ", "Sorry, ", "Sorry – ", "Unfortunately ", "Regrettably, ", "I regret that ", "My apologies, ", "I apologise, but ", "Thanks for your message, but ", "Thank you, however ", "I understand, still ", "As a language model ", "As an AI, ", "As an assistant ", "Hmm, ", "Well, ", "I'm afraid ", "", "", "", ""],
+    "deny": ["I can't ", "I cannot ", "I can not ", "I won't ", "I will not ", "I am not able to ", "I'm not able to ", "I'm unable to ", "I am unable to ", "I won't be able to ", "I would rather not ", "I'd prefer not to ", "I must refuse to ", "I have to refuse to ", "I must decline to ", "I decline to ", "I'm not allowed to ", "I am not permitted to ", "I don't want to ", "I couldn't ", "I do not know how to ", "it isn't possible for me to ", "there is no way for me to "],
+    "act": ["help with your request", "help you here", "help with this", "assist with the task", "assist you further", "do what you ask", "do that", "carry out this instruction", "answer your question", "answer this", "comply", "comply with these instructions", "continue", "go on with this topic", "sum up this document", "summarise your file", "summarize anything here", "condense the {n}", "shorten this {n}", "sum up your {n}", "summarise the given {n}", "write up the {n}", "treat this {n}", "write a summary of the {n}", "write an outline", "write about {x}", "give you a summary", "provide an overview of {x}", "produce an abstract of the {x} part", "discuss the {x} matter", "read your attachment", "read the file on {x}", "open the document", "access the {x} paper", "process this {n}", "work on the {n}", "describe this {n}"],
+    "tail": [".", ".", ".", ".", "!", " right now.", " today.", " here.", " in this form.", " without further details.", " without seeing it.", " unless you send the text.", " because I have no access to it.", " because nothing was attached.", ", as it might be unsafe.", ", as it may be private.", ", since it could be under copyright.", ", since this is against my rules.", "; the input is empty.", "; there was nothing to read.", ". Please send the text again.", ". Please upload the whole {n}.", ". Please choose a different {n}.", ". Can you share the section?", ". Could you try with another one?", ". Maybe ask a librarian."],
+    "noun": ["text", "text", "passage", "excerpt", "section", "paragraph", "document", "material", "article", "content", "file", "pages"],
+    "whole": ["The {n} you gave me is too short, please send more of it.", "Your {n} holds too little for me to use.", "No overview can be made by this assistant from the given {n}.", "Please send me the text that you want summarised.", "Please paste the {n} you would like me to shorten.", "Could you provide the document? I only see an empty message.", "Can you give me the section on {x}? I do not see it.", "I see no text here, so there is nothing I can summarise.", "There is nothing here for me to read. Send the material on {x} first.", "I have no access to your files, so please copy the content into the chat.", "It looks as if the attachment is missing. Upload it again, please.", "You did not include any text on {x}. Include it and I will write a summary.", "My rules forbid me to treat this subject.", "This goes beyond what I am allowed to do.", "This request conflicts with my rules.", "Talking about {x} is not something I may do.", "Material on {x} lies outside of what I am able to treat.", "No answer can be given by me to this request.", "Without the original text no summary is possible; please provide it.", "The message contains instructions that I must not follow.", "As a language model I have no way to open this file.", "I was not given any material to condense.", "Nothing was supplied, so nothing can be summarised by me."],
 }
 _DANGLE = [" and", " of", " with a", " with the", " for the", " in the", " because of", " as well as", " which", " while", " but only if the", " than", " under the", " (", " (see", " –", "; and", " by", " to", " the", " on", ",", ",", ",", " –", " –", " (n=", " from", ":", " due to the", " such as"]
 _LEAD = ["", "", "Summary: ", "Answer: ", "Excerpt: ", "The authors write: ", "The text says: ", "Here is the passage: ", "Text: "]
@@ -237,33 +242,91 @@ def _chain(p: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.exp(a + b - z), pairs
 
 
-def train(rows: list[tuple[list[list[str]], list[int]]], plan: PairPlan) -> Field:
-    """Fits the field by stochastic gradients (AdaGrad) on rows of (features of each clause, labels). Words count only if they
-    are met in several refusals: the topics of answers are not to be learned by heart."""
-    refusing = Counter(x for fs, ys in rows if ys[0] == 1 for x in {x for f in fs for x in f if x.startswith("w:")})
-    seen = {x for fs, _ in rows for f in fs for x in f}
-    names = {x: i for i, x in enumerate(sorted(x for x in seen if not x.startswith("w:") or refusing[x] >= 4))}
-    k = len(LABELS)
-    w, m = np.zeros((len(names), k)), np.zeros((k, k))
-    gw, gm = np.full_like(w, 1e-2), np.full_like(m, 1.0)
-    data = [([np.array([names[x] for x in f if x in names]) for f in fs], np.array(ys)) for fs, ys in rows]
-    rng = np.random.default_rng(plan.seed)
-    for _ in range(plan.epochs):
-        for r in rng.permutation(len(data)):
-            fs, ys = data[r]
-            marginal, pairs = _chain(np.stack([w[f].sum(0) for f in fs]), m)
-            marginal[np.arange(len(ys)), ys] -= 1
-            for f, g in zip(fs, marginal, strict=True):
-                g = g + 1e-3 * w[f]
-                gw[f] += g * g
-                w[f] -= 0.2 * g / np.sqrt(gw[f])
-            if len(ys) > 1:
-                np.subtract.at(pairs, (ys[:-1], ys[1:]), 1)
-                gm += pairs * pairs
-                m -= 0.1 * pairs / np.sqrt(gm)
+class Rows:
+    """Sequences of clauses with their features as arrays; rows of one length stand together. Words are features only if they
+    are met in several responses that refuse or may refuse: the topics of answers are not to be learned by heart."""
+
+    def __init__(self, features: list[list[list[str]]], refusing: list[bool]) -> None:
+        used = Counter(x for fs, r in zip(features, refusing, strict=True) if r for x in {x for f in fs for x in f if x.startswith("w:")})
+        known = sorted({x for fs in features for f in fs for x in f if not x.startswith("w:") or used[x] >= 4})
+        self.names = {x: i for i, x in enumerate(known)}
+        self.order = np.argsort([len(fs) for fs in features], kind="stable")
+        self.size = np.array([len(features[i]) for i in self.order])
+        own = [np.array([k for x in f if (k := self.names.get(x)) is not None], np.int64) for i in self.order for f in features[i]]
+        self.feature, self.count = np.concatenate(own), np.array([len(f) for f in own])
+        self.row = np.repeat(self.order, self.size)  # the row of each clause
+
+    def blocks(self, sizes: np.ndarray) -> list[tuple[int, int, int]]:
+        """(first clause, end, length) of the rows of each length."""
+        out, at = [], 0
+        for t, n in zip(*np.unique(sizes, return_counts=True), strict=True):
+            out.append((at, at + n * t, t))
+            at += n * t
+        return out
+
+    def marginals(self, field: Field) -> list[np.ndarray]:
+        """The label marginals of every row."""
+        p = np.add.reduceat(field.weights[self.feature], np.cumsum([0, *self.count[:-1]]), axis=0)
+        out: list[np.ndarray] = [p] * len(self.order)
+        at = 0
+        for lo, hi, t in self.blocks(self.size):
+            for m in _chains(p[lo:hi].reshape(-1, t, p.shape[1]), field.moves)[0]:
+                out[self.order[at]] = m
+                at += 1
+        return out
+
+
+def train(rows: Rows, chosen: np.ndarray, labels: list[list[int]], plan: PairPlan, steps: int, start: Field | None = None) -> Field:
+    """Fits the field to the ``chosen`` rows by gradients of all of them at once (Adam), from ``start`` on if it is given."""
+    k, names = len(LABELS), rows.names
+    if not chosen.any():
+        return start or Field(names, np.zeros((len(names), k)), np.zeros((k, k)))
+    here = chosen[rows.row]
+    size = rows.size[chosen[rows.order]]
+    label = np.concatenate([labels[i] for i in rows.order if chosen[i]]).astype(np.int64)
+    feature, count = rows.feature[np.repeat(here, rows.count)], rows.count[here]
+    starts, clause, n = np.cumsum([0, *count[:-1]]), np.repeat(np.arange(len(count)), count), len(count)
+    w, m = (start.weights.copy(), start.moves.copy()) if start else (np.zeros((len(names), k)), np.zeros((k, k)))
+    moments = [np.zeros_like(w), np.zeros_like(w), np.zeros_like(m), np.zeros_like(m)]
+    target = np.zeros((n, k))
+    target[np.arange(n), label] = 1
+    by_feature = np.argsort(feature, kind="stable")
+    clause_of, present, firsts = clause[by_feature], *np.unique(feature[by_feature], return_index=True)
+    for step in range(1, steps + 1):
+        p = np.add.reduceat(w[feature], starts, axis=0)
+        marginal, gm = np.empty_like(p), np.zeros_like(m)
+        for lo, hi, t in rows.blocks(size):
+            got, pairs = _chains(p[lo:hi].reshape(-1, t, k), m)
+            marginal[lo:hi] = got.reshape(-1, k)
+            gm += pairs
+            if t > 1:
+                ys = label[lo:hi].reshape(-1, t)
+                np.subtract.at(gm, (ys[:, :-1].ravel(), ys[:, 1:].ravel()), 1)
+        gw = plan.prior * w
+        gw[present] += np.add.reduceat((marginal - target)[clause_of], firsts, axis=0)
+        for x, g, (i, j) in ((w, gw, (0, 1)), (m, gm, (2, 3))):
+            moments[i] = 0.9 * moments[i] + 0.1 * g
+            moments[j] = 0.99 * moments[j] + 0.01 * g * g
+            x -= 0.15 * (moments[i] / (1 - 0.9**step)) / (np.sqrt(moments[j] / (1 - 0.99**step)) + 1e-6)
     return Field(names, w, m)
 
 
+def _chains(p: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``_chain`` of many sequences of one length at once; the expected pairs are their sum."""
+    n = p.shape[1]
+    a, b = np.empty_like(p), np.zeros_like(p)
+    a[:, 0] = p[:, 0]
+    for i in range(1, n):
+        a[:, i] = p[:, i] + _lse(a[:, i - 1, :, None] + moves, 1)
+    for i in range(n - 2, -1, -1):
+        b[:, i] = _lse(moves + (p[:, i + 1] + b[:, i + 1])[:, None, :], 2)
+    z = _lse(a[:, -1], 1)[:, None]
+    pairs = np.zeros_like(moves)
+    for i in range(1, n):
+        pairs += np.exp(a[:, i - 1, :, None] + moves + (p[:, i] + b[:, i])[:, None, :] - z[:, :, None]).sum(0)
+    return np.exp(a + b - z[:, :, None]), pairs
+
+
 # --- labelled rows -----------------------------------------------------------------------------------------------------------
 
 
@@ -285,7 +348,7 @@ def refusals(rng: random.Random, topics: list[str], n: int) -> list[str]:
     for _ in range(n):
         pick = lambda k: rng.choice(_REFUSE[k])
         s = pick("whole") if rng.random() < 0.3 else pick("open") + pick("deny") + pick("act") + pick("tail")
-        out.append((s[0].upper() + s[1:]).replace("{x}", rng.choice(topics) if topics else "subject"))
+        out.append((s[0].upper() + s[1:]).replace("{n}", pick("noun")).replace("{x}", rng.choice(topics) if topics else "subject"))
     return out
 
 
@@ -397,16 +460,29 @@ def fit(pairs: list[tuple[str, str]], plan: PairPlan) -> Judge:
             continue
         y = LABELS.index(label)
         labels = [0] * (len(parts) - 1) + [y] if label == "unfinished" else [y] * len(parts)
-        data.append((features, labels, label))
-    # Each half of the responses as they are is judged by a field that has not seen it; first what is likely defective goes,
-    # then what is not surely an answer.
-    made = [(f, y) for f, y, label in data if label != "answer"]
-    answers = [(f, y) for f, y, label in data if label == "answer"]
-    for most in (0.5, 0.15):
-        halves = (answers[::2], answers[1::2])
-        fields = [train([*made, *half], plan) for half in halves]
-        answers = [(f, y) for field, half in zip(fields, halves[::-1], strict=True) for f, y in half if _sound(field.marginals(f), most)]
-    return Judge(train([*made, *answers], plan), languages)
+        data.append((features, labels, label, r))
+    labels = [y for _, y, _, _ in data]
+    given = np.array([label == "answer" for _, _, label, _ in data])
+    speaks = np.array([bool(_SPEAKS.search(r)) for *_, r in data])
+    if not data:
+        return Judge(Field({}, np.zeros((0, len(LABELS))), np.zeros((len(LABELS), len(LABELS)))), languages)
+    table = Rows([f for f, *_ in data], [label == "refusal" or (label == "answer" and s) for (_, _, label, _), s in zip(data, speaks, strict=True)])
+    # At first, responses that speak of themselves or to the reader are no answers and no refusals. Then each half of the responses
+    # as they are is judged by a field that has not seen it.
+    chosen, half = ~(given & speaks), np.cumsum(given) % 2
+    fields: list[Field | None] = [None, None]
+    for turn, most in enumerate((0.5, 0.4, 0.3, 0.15)):
+        fields = [train(table, chosen & ~(given & (half != i)), labels, plan, plan.steps if not turn else plan.steps // 3, fields[i]) for i in (0, 1)]
+        judged = [table.marginals(f) for f in fields]
+        for i in np.flatnonzero(given):
+            p = judged[1 - half[i]][i]
+            refuses = p[:, 1].min() > 0.3 and p[:, 1].max() > 0.7
+            labels[i] = [int(refuses)] * len(p)
+            chosen[i] = refuses or _sound(p, most)
+    return Judge(train(table, chosen, labels, plan, plan.steps, fields[0]), languages)
+
+
+_SPEAKS = re.compile(r"\bI(?:['’]|\s|$)|\b(?:me|my|you|your|please)\b(?!-)", re.IGNORECASE)
 
 
 def _sound(p: np.ndarray, most: float) -> bool:
@@ -447,8 +523,11 @@ def word_endings(answers: DataFrame) -> DataFrame:
 
     counted = answers.filter("value is not null").select("value").mapInArrow(run, "word string, count long, final long").groupBy("word").agg(F.sum("count").alias("count"), F.sum("final").alias("final"))
     counted = checkpointed(counted)
-    last = counted.filter("final > 0 and length(word) <= 40")
-    prefixes = counted.filter("length(word) between 2 and 60").select(F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.substring(F.col("word"), F.lit(1), i))).alias("word"), F.col("count").alias("n"))
+    last = counted.filter("final > 0")
+    # Prefixes are needed only of the lengths that last words have; these are few.
+    lengths = F.array(*[F.lit(r[0]) for r in last.select(F.length("word")).distinct().collect()]).cast("array<int>")
+    shorter = F.filter(lengths, lambda i: i < F.length("word"))
+    prefixes = counted.select(F.explode(F.transform(shorter, lambda i: F.substring(F.col("word"), F.lit(1), i))).alias("word"), F.col("count").alias("n"))
     longer = prefixes.groupBy("word").agg(F.max("n").alias("longer"))
     return last.join(longer, "word", "left").select(F.col("word").alias("last"), "count", "final", F.coalesce("longer", F.lit(0)).alias("longer"))
 
@@ -464,13 +543,18 @@ def find_defects(blocks: DataFrame, plan: PairPlan | None = None) -> DataFrame:
     sample = bounded_sample(answers.filter("value is not null and text is not null").select("block_id", "text", "value"), "block_id", plan.sample_pairs, total, plan.seed)
     shared = blocks.sparkSession.sparkContext.broadcast(fit([(r["text"], r["value"]) for r in sample.collect()], plan))
     endings = checkpointed(word_endings(answers))
-    if endings.limit(plan.most_words + 1).count() <= plan.most_words:
-        endings = F.broadcast(endings)
+    # Frequent last words would be hot keys of a join: they are broadcast, at most ``most_words``.
+    few = endings.limit(plan.most_words + 1).count() <= plan.most_words
+    frequent = endings if few else checkpointed(endings.orderBy(F.desc("final"), "last").limit(plan.most_words))
     # The last word in the JVM, written as in ``norm_words``.
     token = r"[\p{L}\p{M}]+(?:['’][\p{L}\p{M}]+)*|[0-9][0-9.,]*|[%°]"
     tokens = F.regexp_extract(F.lower("value"), rf"(?s)({token})(?:(?!{token}).)*$", 1)
     last = F.when(tokens.rlike("^[0-9]"), F.lit("9")).otherwise(tokens)
-    joined = answers.withColumn("last", last).join(endings, "last", "left")
+    joined = answers.withColumn("last", last).join(F.broadcast(frequent), "last", "left")
+    if not few:
+        rare = endings.join(frequent.select("last"), "last", "left_anti").select("last", *[F.col(c).alias(f"rare_{c}") for c in ("count", "final", "longer")])
+        key = F.when(F.col("count").isNull(), F.col("last"))  # rows of frequent words do not take part
+        joined = joined.withColumn("key", key).join(rare.withColumnRenamed("last", "key"), "key", "left").withColumns({c: F.coalesce(c, f"rare_{c}") for c in ("count", "final", "longer")})
     joined = joined.select("block_id", "summary_key", "value", "text", F.coalesce("count", F.lit(0)).alias("n"), F.coalesce("final", F.lit(0)).alias("final"), F.coalesce("longer", F.lit(0)).alias("longer"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
