@@ -34,7 +34,9 @@ def p2_normalized(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    return p2_normalized(spark, folder).select("record_kind", "record_id")
+    # Ligatures and other forms that are brought to one form as well are no cases of the query.
+    cases = F.array(*map(F.lit, ("width", "combining", "invisible", "space", "script")))
+    return p2_normalized(spark, folder).filter(F.arrays_overlap("changes", cases)).select("record_kind", "record_id")
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
