@@ -3,14 +3,18 @@
 Method: best-first search over strings. An operation writes a string's characters as the bytes of some encoding and reads
 those bytes as another one, or resolves character references; states already seen (by hash) are not visited again. A cost of
 implausible characters guides the search: the cheapest string reached is the repair, if it is clearly cheaper than the given
-one. The cost has two parts:
-
-* by properties of characters and their neighbours: control characters of the C1 block, replacement characters, box drawing,
-  symbols that touch letters, runs of marked Latin letters, capitals inside words, scripts mixed within a word;
-* for runs of words in a non-Latin script, where one single-byte encoding was mistaken for another and every character is
-  still a letter, by the letter pairs of that script, counted over all texts.
-
-Partly garbled strings are handled too: an operation replaces only those places that form valid sequences.
+one. The search is made over two kinds of strings:
+
+* words, whose operations undo UTF-8 that was read as another encoding (single-byte or East Asian), East Asian text that was
+  read as Latin, and character references. Their cost are properties of characters and their neighbours: control characters of
+  the C1 block, replacement characters, box drawing, symbols that touch letters, runs of marked Latin letters, capitals inside
+  words, scripts mixed within a word;
+* runs of words without ASCII letters, where one single-byte encoding was mistaken for another and every character is still a
+  letter. Their operations swap encodings, their cost are the letter pairs of Cyrillic, Greek, Hebrew and Arabic, counted over
+  all texts and over some general sentences.
+
+Operations on words make them shorter, and swaps end after two, so every search ends by itself. Partly garbled strings are
+handled too: an operation replaces only those places that form valid sequences.
 """
 
 from __future__ import annotations
@@ -29,12 +33,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Encodings in which UTF-8 bytes are commonly misread, and pairs of single-byte encodings that are mistaken for each other.
-MISREAD = ("cp1252", "cp1250", "cp1251", "cp437", "mac_roman", "cp850", "iso8859_2", "koi8_r", "cp866")
-SWAPPED = (("cp1252", "cp1251"), ("cp1252", "koi8_r"), ("cp1251", "koi8_r"), ("koi8_r", "cp1251"), ("cp866", "cp1251"), ("cp1251", "cp866"), ("mac_roman", "cp1251"), ("cp1252", "mac_cyrillic"), ("cp1252", "cp1253"), ("cp437", "cp866"))
+MISREAD = ("cp1252", "cp1250", "cp1251", "cp437", "mac_roman", "cp850", "iso8859_2", "koi8_r", "cp866", "cp1253", "cp1254", "cp1255", "cp1256", "cp1257", "cp852", "iso8859_7", "mac_cyrillic")
+SWAPPED = (
+    ("cp1252", "cp1251"), ("cp1252", "koi8_r"), ("cp1251", "koi8_r"), ("koi8_r", "cp1251"), ("cp866", "cp1251"), ("cp1251", "cp866"), ("mac_roman", "cp1251"), ("cp1252", "mac_cyrillic"), ("cp1252", "cp1253"), ("cp437", "cp866"),
+    ("cp1252", "iso8859_5"), ("cp1252", "iso8859_7"), ("cp1252", "cp1255"), ("cp1252", "cp1256"), ("cp1252", "iso8859_6"), ("mac_roman", "cp1253"), ("cp437", "cp737"), ("cp1251", "cp1253"), ("cp1251", "cp1255"), ("cp1251", "cp1256"), ("cp850", "cp866"),
+)
+#: East Asian encodings, and the first bytes of their frequent characters: of other text read so, few are such.
+WIDE = {"gb18030": ((0xB0, 0xD7),), "cp932": ((0x82, 0x83), (0x88, 0x97)), "cp949": ((0xB0, 0xC8),), "big5hkscs": ((0xA4, 0xC6),)}
+# Sentences of general prose (from the Universal Declaration of Human Rights) in alphabets that are taken for each other.
+GENERAL = """
+Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью и должны поступать в отношении друг друга в духе братства.
+Каждый человек должен обладать всеми правами и всеми свободами без какого бы то ни было различия, как-то в отношении расы, цвета кожи, пола, языка, религии, политических или иных убеждений.
+Каждый человек имеет право на жизнь, на свободу и на личную неприкосновенность. Никто не должен содержаться в рабстве. Все люди равны перед законом и имеют право на равную защиту закона.
+Всі люди народжуються вільними і рівними у своїй гідності та правах. Вони наділені розумом і совістю і повинні діяти у відношенні один до одного в дусі братерства.
+Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα. Είναι προικισμένοι με λογική και συνείδηση, και οφείλουν να συμπεριφέρονται μεταξύ τους με πνεύμα αδελφοσύνης.
+כל בני האדם נולדו בני חורין ושווים בערכם ובזכויותיהם. כולם חוננו בתבונה ובמצפון, לפיכך חובה עליהם לנהוג איש ברעהו ברוח של אחווה.
+يولد جميع الناس أحرارا متساوين في الكرامة والحقوق. وقد وهبوا عقلا وضميرا وعليهم أن يعامل بعضهم بعضا بروح الإخاء.
+"""
 TYPOGRAPHY = frozenset("–—‘’“”„‚…°±µ×·•«»§½¼¾€£≤≥≈−→′″²³")
 _USUAL = frozenset(("latin", "greek", "cyrillic"))
-#: A repair must be cheaper by more than this; the search looks at so many strings at most for each word or run of words.
-MARGIN, MOST_STATES = 0.9, 60
+#: A repair must be cheaper by more than this; reading East Asian text out of Latin letters, which nearly any letters allow,
+#: costs so much by itself.
+MARGIN, FAR_FETCHED = 0.9, 5.0
 #: Signs of measure and reckoning: a letter with a mark does not follow them without a blank.
 _SIGNS = frozenset("°±×·½¼¾≤≥≈→′″²³§•")
 
@@ -55,6 +75,9 @@ def _kind(c: str) -> tuple[str, float, bool]:
     if c in TYPOGRAPHY:
         return ("symbol", 1.0, False)
     category = unicodedata.category(c)
+    # What texts have only by way of a wrong reading: phonetic and modifier letters and signs, the long s, rare ideographs.
+    if o == 0x17F or 0x250 <= o < 0x300 or 0x3400 <= o < 0x4DC0 or o >= 0x20000:
+        return ("rare", 6.0, category[0] == "L")
     if category[0] == "L" and c not in "ªº":
         if 0xC0 <= o <= 0x17F:
             return ("latin", 1.0, True)
@@ -62,9 +85,9 @@ def _kind(c: str) -> tuple[str, float, bool]:
             return ("cyrillic", 0.6, True) if 0x410 <= o <= 0x44F or c in "ёЁ" else ("cyrillic", 1.6, True)
         if 0x370 <= o <= 0x3FF:
             return ("greek", 0.8, True)
-        return (unicodedata.name(c, "?").split()[0].lower(), 3.0 if o < 0x2E80 else 2.0, True)
+        return (unicodedata.name(c, "?").split()[0].lower(), (3.0 if 0x180 <= o < 0x250 else 1.2) if o < 0x2E80 else 2.0, True)
     if category[0] == "M":
-        return ("mark", 3.5 if o < 0x370 else 5.0, False)
+        return ("mark", 3.5, False) if o < 0x590 else (unicodedata.name(c, "?").split()[0].lower(), 1.2, True)  # vowels are marks in many alphabets
     if category == "Zs" or category == "Cf":
         return ("space", 1.0, False)
     return ("symbol", 4.0 if 0x2500 <= o <= 0x25FF else 3.0 if category in ("So", "Sk", "Sm", "Po", "Pi", "Pf", "Ps") else 2.0, False)
@@ -72,13 +95,14 @@ def _kind(c: str) -> tuple[str, float, bool]:
 
 def cost(s: str) -> float:
     """How implausible the characters of ``s`` are."""
-    total, before, letter_before, script, upper_run = 0.0, "", False, "", 0
+    total, before, letter_before, script, upper_run, lonely = 0.0, "", False, "", 0, 0.0
     for c in s:
         kind, price, letter = _kind(c)
         total += price
         if letter:
             if letter_before:
                 if kind != script:
+                    total += lonely
                     total += 3.0 if kind in _USUAL and script in _USUAL else 6.0
                 if price and kind == "latin" and before >= "\x80":
                     total += 1.0
@@ -91,16 +115,20 @@ def cost(s: str) -> float:
             elif price and before in _SIGNS and before:
                 total += 0.5
             upper_run = upper_run + 1 if c.isupper() else 0
+            # A single letter of a rare alphabet is no text.
+            lonely = 4.0 if kind not in _USUAL and c < "\u2e80" and not (letter_before and kind == script) else 0.0
             script = kind
         else:
+            total += lonely
+            lonely = 0.0
             if price and letter_before and c not in "’…–—”»“" and (before >= "\x80"):
                 total += 1.0
             upper_run = 0
         letter_before, before = letter, c
-    return total
+    return total + lonely
 
 
-@lru_cache(maxsize=16)
+@lru_cache(maxsize=64)
 def _bytes_of(encoding: str) -> dict[str, int]:
     """Character to byte; bytes that the encoding leaves open, or lost to C1 controls, count as themselves."""
     out = {chr(b): b for b in range(0x80, 0xA0)}
@@ -114,7 +142,7 @@ def _bytes_of(encoding: str) -> dict[str, int]:
     return out
 
 
-@lru_cache(maxsize=16)
+@lru_cache(maxsize=64)
 def _sequence(encoding: str) -> re.Pattern:
     """Characters that are, as bytes of ``encoding``, a UTF-8 sequence of two to four bytes."""
     of = _bytes_of(encoding)
@@ -125,11 +153,12 @@ def _sequence(encoding: str) -> re.Pattern:
 
 @lru_cache(maxsize=65536)
 def _may_be_meant(c: str) -> bool:
-    """Whether a decoded character is one that texts have: no private, unassigned or control character, no odd block."""
-    o = ord(c)
-    if unicodedata.category(c) in ("Cn", "Co", "Cs"):
+    """Whether a decoded character is one that texts have: a letter or mark of any script, or a usual sign, or a control
+    character of the C1 block, which the next operation may need."""
+    o, category = ord(c), unicodedata.category(c)
+    if category in ("Cn", "Co", "Cs") or o < 0x80:
         return False
-    return o < 0x530 or (0x590 <= o < 0x700 and c.isalpha()) or 0x1E00 <= o < 0x2150 or 0x2190 <= o < 0x2500 or 0x2C60 <= o < 0x2C80 or 0x3000 <= o < 0x3003 or 0x3041 <= o < 0x3100 or 0x4E00 <= o < 0xA000 or 0xAC00 <= o < 0xD7B0 or 0xFB00 <= o < 0xFB07 or o == 0xFEFF or o == 0xFFFD or 0x1F000 <= o < 0x1FB00
+    return o < 0x530 or category[0] in "LM" or 0x2000 <= o < 0x2150 or 0x2190 <= o < 0x2500 or 0x3000 <= o < 0x3003 or 0xFF00 <= o < 0xFFF0 or o in (0xFEFF, 0xFFFD) or 0x1F000 <= o < 0x1FB00
 
 
 def reread(s: str, encoding: str) -> str:
@@ -146,39 +175,106 @@ def reread(s: str, encoding: str) -> str:
     return _sequence(encoding).sub(one, s)
 
 
-def repair_word(word: str) -> str:
-    """The cheapest string reachable from ``word`` if it is clearly cheaper, else ``word``."""
-    plain = html.unescape(word) if "&" in word else word
-    start = cost(plain)  # references may well be meant: only what decoding makes better counts
-    best, best_cost = word, start
-    heap, seen = [(cost(word), 0, word, False)], {hash(word)}
-    states = 0
-    while heap and states < MOST_STATES:
-        price, _, s, decoded = heapq.heappop(heap)
-        states += 1
-        if price < best_cost and decoded:
-            best, best_cost = s, price
-        steps = [(reread(s, e), True) for e in MISREAD]
-        if "&" in s:
-            steps.append((html.unescape(s), decoded))
-        for t, d in steps:
+_BEYOND = re.compile("[^\x00-\x7f]+")
+
+
+def reread_wide(s: str, encoding: str) -> str:
+    """``s`` with the runs of characters beyond ASCII that are, as bytes of an East Asian ``encoding``, valid UTF-8, decoded."""
+
+    def one(m: re.Match) -> str:
+        try:
+            out = m[0].encode(encoding).decode("utf-8")
+        except UnicodeError:
+            return m[0]
+        return out if all(map(_may_be_meant, out)) else m[0]
+
+    return _BEYOND.sub(one, s)
+
+
+def best_first(start: str, steps, price) -> tuple[str, float]:
+    """The cheapest string reachable from ``start`` and its cost. ``steps`` gives (string, whether it counts as a result, what it
+    adds to the cost) of a string and its depth, ``price`` the cost of a string."""
+    best, best_cost = start, math.inf
+    heap, seen, n = [(price(start), 0, start, False, 0.0, 0)], {hash(start)}, 0
+    while heap:
+        total, _, s, counts, paid, depth = heapq.heappop(heap)
+        if counts and total < best_cost:
+            best, best_cost = s, total
+        for t, is_result, extra in steps(s, depth):
             if t != s and (h := hash(t)) not in seen:
                 seen.add(h)
-                c = cost(t)
-                if c <= start + 8:  # an operation may make it look worse before it gets better
-                    heapq.heappush(heap, (c, len(seen), t, d))
+                n += 1
+                heapq.heappush(heap, (price(t) + paid + extra, n, t, is_result or counts, paid + extra, depth + 1))
+    return best, best_cost
+
+
+def _word_steps(s: str, depth: int) -> Iterator[tuple[str, bool, float]]:
+    for e in MISREAD:
+        yield reread(s, e), True, 0.0
+    for e in WIDE:
+        yield reread_wide(s, e), True, 0.0
+    if "&" in s:
+        yield html.unescape(s), False, 0.0
+
+
+def _wide_steps(s: str, depth: int) -> Iterator[tuple[str, bool, float]]:
+    if not depth and sum("\x7f" < c < "\u0180" or "\u2000" < c < "\u2200" for c in s) >= 6:
+        for e in WIDE:
+            yield read_wide(s, e), True, FAR_FETCHED
+
+
+def repair_word(word: str) -> str:
+    """The cheapest string reachable from ``word`` if it is clearly cheaper, else ``word``."""
+    start = cost(html.unescape(word) if "&" in word else word)  # references may well be meant: only what decoding makes better counts
+    best, best_cost = best_first(word, _word_steps, cost)
+    if best_cost > start - MARGIN or sum(c > "\x7f" for c in best) >= 4:
+        wide, wide_cost = best_first(word, _wide_steps, cost)
+        best, best_cost = (wide, wide_cost) if wide_cost < best_cost else (best, best_cost)
     # A word that still mixes scripts was not garbled: letters of another script stand in it.
     return best if start - best_cost > MARGIN and not _MIXES.search(best) else word
 
 
+def read_wide(word: str, encoding: str) -> str:
+    """A word of Latin characters that is, as bytes, text of an East Asian ``encoding``, decoded; else the word itself."""
+    of = _bytes_of("cp1252")
+    try:
+        out = bytes(of[c] if c > "\x7f" else ord(c) for c in word).decode(encoding)
+        first = [c.encode(encoding)[0] for c in out if unicodedata.category(c) == "Lo"]
+    except (UnicodeError, KeyError):
+        return word
+    frequent = sum(any(a <= b <= z for a, z in WIDE[encoding]) for b in first)
+    sound = all(c < "\x80" or (_may_be_meant(c) and unicodedata.category(c) in ("Lo", "Lm", "Po", "Ps", "Pe")) for c in out)
+    return out if sound and frequent >= max(3, 0.9 * len(first)) else word
+
+
 _MIXES = re.compile("[A-Za-zÀ-ɏ][Ѐ-ԯ]|[Ѐ-ԯ][A-Za-zÀ-ɏ]")
 
 
 # --- letter pairs of non-Latin scripts -----------------------------------------------------------------------------------
 
 
+_ALPHABETS = "Ѐ-џͰ-Ͽ\u05d0-\u05ea\u0621-\u064a"
+
+
+def _count_pairs(words: Counter[str]) -> Counter[str]:
+    pairs: Counter[str] = Counter()
+    for word, n in words.items():
+        # Words in capitals are left out: that is how one of the swapped encodings shows.
+        if word[1:].islower() or not (word[0].islower() or word[0].isupper()):
+            low = f" {word.lower()} "
+            for a, b in zip(low, low[1:], strict=False):
+                pairs[a + b] += n
+    return pairs
+
+
+def general_pairs() -> Counter[str]:
+    """Letter pairs of the general sentences."""
+    return _count_pairs(Counter(re.findall(f"[{_ALPHABETS}]{{2,}}", GENERAL)))
+
+
 def pair_counts(texts: DataFrame) -> dict[str, float]:
-    """Log probabilities of letter pairs (case folded) of Cyrillic and Greek words, counted over all ``texts`` (text).
+    """Log probabilities of letter pairs (case folded) of Cyrillic, Greek, Hebrew and Arabic words, counted over all ``texts``
+    (text) and the general sentences, each alphabet for itself.
 
     The result has at most as many entries as these alphabets have pairs.
     """
@@ -187,25 +283,29 @@ def pair_counts(texts: DataFrame) -> dict[str, float]:
         words: Counter[str] = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                words.update(re.findall(r"[Ѐ-џͰ-Ͽ]{2,}", text))
+                words.update(re.findall(f"[{_ALPHABETS}]{{2,}}", text))
             if len(words) > 200_000:
-                yield _pairs(words)
-                words.clear()
-        yield _pairs(words)
-
-    def _pairs(words: Counter[str]) -> pa.RecordBatch:
-        pairs: Counter[str] = Counter()
-        for word, n in words.items():
-            # Words in capitals are left out: that is how one of the swapped encodings shows.
-            if word[1:].islower():
-                low = f" {word.lower()} "
-                for a, b in zip(low, low[1:], strict=False):
-                    pairs[a + b] += n
+                yield flush(words)
+        yield flush(words)
+
+    def flush(words: Counter[str]) -> pa.RecordBatch:
+        pairs = _count_pairs(words)
+        words.clear()
         return pa.RecordBatch.from_arrays([pa.array(list(pairs), pa.string()), pa.array(list(pairs.values()), pa.int64())], names=["pair", "n"])
 
-    rows = texts.filter(F.col("text").rlike("[Ѐ-џͰ-Ͽ]{2}")).select("text").mapInArrow(run, "pair string, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect()
-    total = sum(r["n"] for r in rows)
-    return {r["pair"]: math.log(r["n"] / total) for r in rows} if total >= 500 else {}
+    rows = texts.filter(F.col("text").rlike(f"[{_ALPHABETS}]{{2}}")).select("text").mapInArrow(run, "pair string, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect()
+    counted = general_pairs()
+    for r in rows:
+        counted[r["pair"]] += r["n"]
+    return log_probabilities(counted)
+
+
+def log_probabilities(counted: Counter[str]) -> dict[str, float]:
+    total: Counter[str] = Counter()
+    alphabet = {pair: max(pair)[0] > "\u0590" and ("he" if max(pair) < "\u0600" else "ar") or ("el" if max(pair) < "\u0400" else "ru") for pair in counted}
+    for pair, n in counted.items():
+        total[alphabet[pair]] += n
+    return {pair: math.log(n / total[alphabet[pair]]) for pair, n in counted.items()}
 
 
 def _likelihood(run: str, pairs: dict[str, float]) -> tuple[float, int]:
@@ -221,7 +321,7 @@ def repair_run(run: str, pairs: dict[str, float]) -> str:
     """A run of words without ASCII letters in which single-byte encodings may have been mistaken.
 
     Garbled and sound words may stand side by side: the run is cut where the script or the way of writing capitals changes, and
-    each part is judged by itself.
+    each part is searched by itself.
     """
     if not pairs:
         return run
@@ -241,23 +341,24 @@ def _repair_part(run: str, pairs: dict[str, float]) -> str:
     letters = len(re.findall(_LETTERS, run))
     if letters < 4:
         return run
+
+    def swaps(s: str, depth: int) -> Iterator[tuple[str, bool, float]]:
+        for right, wrong in SWAPPED if depth < 2 else ():  # written as the bytes of one, read as the other
+            try:
+                t = s.encode(right).decode(wrong)
+            except UnicodeError:
+                continue
+            if not re.search(r"[\x80-\x9f─-▟]", t) and sum(map(str.isalpha, t)) >= letters:
+                yield t, True, 0.0 if not depth else 4.0
+
+    def price(s: str) -> float:
+        # The right text is mostly small letters, or has none that are small or large.
+        shouted = sum(1 for w in re.findall(r"[^\W\d_]+", s) if len(w) > 1 and not w[1:].islower() and w[1:].lower() != w[1:].upper())
+        return 3.0 * shouted - _likelihood(s, pairs)[0]
+
     own, n = _likelihood(run, pairs)
-    best, best_value = run, own
-    for right, wrong in SWAPPED:  # written as the bytes of one, read as the other
-        try:
-            t = run.encode(right).decode(wrong)
-        except UnicodeError:
-            continue
-        if re.search(r"[\x80-\x9f─-▟]", t) or sum(map(str.isalpha, t)) < letters:
-            continue
-        value, _ = _likelihood(t, pairs)
-        # The right text is mostly small letters.
-        value -= 3.0 * sum(1 for w in re.findall(r"[^\W\d_]+", t) if len(w) > 1 and not w[1:].islower())
-        if value > best_value:
-            best, best_value = t, value
-    if best is not run and (best_value - own) > 1.0 * n and best_value / n > -8.5:
-        return best
-    return run
+    best, best_cost = best_first(run, swaps, price)
+    return best if -best_cost - own > 1.0 * n and -best_cost / n > -8.5 else run
 
 
 class Repairer:
@@ -272,7 +373,7 @@ class Repairer:
         if got is None:
             if len(self.words) > 200_000:
                 self.words.clear()
-            got = self.words[w] = repair_word(w) if len(w) < 2000 else "".join(repair_word(w[i : i + 1000]) for i in range(0, len(w), 1000))
+            got = self.words[w] = repair_word(w)
         return got
 
     def repair(self, text: str) -> tuple[str, bool]:
