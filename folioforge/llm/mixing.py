@@ -28,13 +28,14 @@ from folioforge.session import checkpointed
 
 @dataclass(frozen=True)
 class MixPlan:
-    """``block_tokens`` is the apportioned unit; a shard holds about ``shard_tokens`` tokens, but a source has no more than
-    ``max_shards`` shards, and there are no more than ``max_sources`` target sources: these bound what the driver gets."""
+    """``block_tokens`` is the apportioned unit. A shard holds about ``shard_tokens`` tokens, but all sources together have no
+    more than ``max_shards`` shards (and one each), divided among them by their tokens: this bounds what the driver gets, while
+    the sort of a shard can spill. Tables of up to ``most_rows`` rows are broadcast, larger ones joined."""
 
     block_tokens: int = 256
     shard_tokens: int = 4_000_000
-    max_shards: int = 4096
-    max_sources: int = 1000
+    max_shards: int = 20_000
+    most_rows: int = 100_000
     size_tokens: int | None = None
     seed: int = 17
 
@@ -75,11 +76,8 @@ def _targets(targets: DataFrame, plan: MixPlan) -> dict[str, tuple[float, int]]:
         .groupBy("source")
         .agg(F.sum(share).alias("share"), F.min(F.greatest(F.coalesce(F.col("max_repeats"), F.lit(1)), F.lit(0))).alias("repeats"))
         .orderBy("source")
-        .limit(plan.max_sources + 1)
         .collect()
     )
-    if len(rows) > plan.max_sources:
-        raise ValueError(f"more than {plan.max_sources} target sources")
     return {r["source"]: (r["share"], int(r["repeats"])) for r in rows}
 
 
@@ -94,17 +92,18 @@ def mix_sources(documents: DataFrame, targets: DataFrame, *, plan: MixPlan | Non
     wanted = _targets(targets, plan)
     report_type = "source string, target_share double, mixed_share double"
     known = spark.createDataFrame([(s, share, n) for s, (share, n) in wanted.items()], "source string, share double, max_repeats int")
-    # Sources are a bounded list (max_sources), so this side is small whatever the corpus.
-    counted = count_tokens(documents.select("doc_id", "source", "text").join(F.broadcast(known), "source", "left_semi"), keys=["doc_id", "source"], path=path)
+    small = lambda df, n: F.broadcast(df) if n <= plan.most_rows else df
+    counted = count_tokens(documents.select("doc_id", "source", "text").join(small(known, len(wanted)), "source", "left_semi"), keys=["doc_id", "source"], path=path)
     counted = checkpointed(counted.filter(F.col("n_tokens") > 0))
     totals = {r["source"]: r["t"] for r in counted.groupBy("source").agg(F.sum("n_tokens").alias("t")).collect()}
     present = [s for s in wanted if totals.get(s, 0) * wanted[s][1] > 0]
     whole = sum(wanted[s][0] for s in present) or 1.0
     share = {s: wanted[s][0] / whole for s in present}
-    shards = {s: max(1, min(plan.max_shards, math.ceil(totals[s] / plan.shard_tokens))) for s in present}
+    everything = sum(totals[s] for s in present)
+    shards = {s: max(1, min(plan.max_shards * totals[s] // max(1, everything), math.ceil(totals[s] / plan.shard_tokens))) for s in present}
 
     parts = spark.createDataFrame([(s, n) for s, n in shards.items()], "source string, n_shards int")
-    placed = counted.join(F.broadcast(parts), "source").withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(plan.seed)), F.col("n_shards")).cast("int"))
+    placed = counted.join(small(parts, len(shards)), "source").withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(plan.seed)), F.col("n_shards")).cast("int"))
     sizes = {(r["source"], r["shard"]): r["t"] for r in placed.groupBy("source", "shard").agg(F.sum("n_tokens").alias("t")).collect()}
 
     reachable = min([totals[s] * wanted[s][1] / share[s] for s in present], default=0.0)
@@ -125,7 +124,7 @@ def mix_sources(documents: DataFrame, targets: DataFrame, *, plan: MixPlan | Non
     before = F.sum("n_tokens").over(seeded.rowsBetween(Window.unboundedPreceding, -1))
     mix = (
         placed.withColumn("before", F.coalesce(before, F.lit(0)))
-        .join(F.broadcast(filled), ["source", "shard"])
+        .join(small(filled, len(fills)), ["source", "shard"])
         .withColumn("copies", (F.col("passes") + F.when(F.col("before") + F.col("n_tokens") / 2 <= F.col("rest"), 1).otherwise(0)).cast("int"))
         .filter(F.col("copies") > 0)
         .select("doc_id", "source", "n_tokens", "copies")
