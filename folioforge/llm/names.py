@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.llm.segment_join import similar_pairs
+from folioforge.llm.segment_join import similar_pairs, similar_pairs_of_two
 from folioforge.session import checkpointed
 
 # Short forms of given names and the full names they stand for.
@@ -205,12 +205,16 @@ def _merged(keys: DataFrame) -> DataFrame:
     by_rest = similar_pairs(keys.select(F.concat_ws("|", "kind", "head").alias("block"), F.col("rest").alias("s")).filter("length(s) >= 3"))
     kind, other = F.split_part("block", F.lit("|"), F.lit(1)), F.split_part("block", F.lit("|"), F.lit(2))
     pairs = by_head.select(*[F.concat_ws("|", kind, x, other).alias(x) for x in ("a", "b")]).unionByName(by_rest.select(*[F.concat_ws("|", kind, other, x).alias(x) for x in ("a", "b")]))
-    pairs = checkpointed(pairs.distinct())
+    # One error in each part: such names are further apart, so one of them must be seen once only and the other often.
+    both_parts = similar_pairs_of_two(keys.select(F.col("kind").alias("block"), F.col("head").alias("s_1"), F.col("rest").alias("s_2")))
+    twice = both_parts.select(*[F.concat_ws("|", "block", f"{x}_1", f"{x}_2").alias(x) for x in ("a", "b")])
+    pairs = checkpointed(pairs.distinct().withColumn("errors", F.lit(1)).unionByName(twice.withColumn("errors", F.lit(2))))
     support = keys.select(key.alias("key"), "support")
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "errors"))
     ranked = both.join(support.withColumnsRenamed({"key": "a", "support": "n_a"}), "a").join(support.withColumnsRenamed({"key": "b", "support": "n_b"}), "b")
     rank = lambda n, k: F.struct(-F.col(n), F.col(k))
-    up = ranked.filter((F.least("n_a", "n_b") <= 2) & (rank("n_b", "b") < rank("n_a", "a"))).groupBy(F.col("a").alias("key")).agg(F.min(F.struct((-F.col("n_b")).alias("n"), F.col("b").alias("b")))["b"].alias("up"))
+    attested = F.when(F.col("errors") == 1, F.least("n_a", "n_b") <= 2).otherwise((F.least("n_a", "n_b") == 1) & (F.greatest("n_a", "n_b") >= 4))
+    up = ranked.filter(attested & (rank("n_b", "b") < rank("n_a", "a"))).groupBy(F.col("a").alias("key")).agg(F.min(F.struct("errors", (-F.col("n_b")).alias("n"), F.col("b").alias("b")))["b"].alias("up"))
     entity = checkpointed(support.join(up, "key", "left").select("key", F.coalesce("up", "key").alias("entity")))
     while True:  # each key points to a better attested one: follow the pointers, twice as far each time
         step = entity.filter("key <> entity").select(F.col("key").alias("entity"), F.col("entity").alias("next"))

@@ -96,3 +96,53 @@ def similar_pairs(strings: DataFrame, k: int = 1) -> DataFrame:
             yield batch.filter(pa.array([within(a, b, k) for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)], pa.bool_()))
 
     return candidates.mapInArrow(verify, "block string, a string, b string")
+
+
+def halves(s: str) -> tuple[str, str]:
+    """The two segments of a string that one insertion, deletion or substitution cannot both spoil."""
+    return s[: len(s) // 2], s[len(s) // 2 :]
+
+
+def _half_index(s: str) -> list[str]:
+    a, b = halves(s)
+    return [f"<{a}", f"{b}>"]
+
+
+def _half_probes(s: str) -> list[str]:
+    """Both segments as strings of one letter more or less would be cut: the first stays at the beginning, the second at the end."""
+    out = set()
+    for length in (len(s) - 1, len(s), len(s) + 1):
+        n = length // 2
+        out |= {f"<{s[:n]}", f"{s[len(s) - (length - n):] if length - n <= len(s) else s}>"}
+    return sorted(out)
+
+
+def similar_pairs_of_two(strings: DataFrame) -> DataFrame:
+    """Distinct (block, a_1, a_2, b_1, b_2) of ``strings`` (block, s_1, s_2) in the same block whose first and whose second
+    parts both differ, each by one edit. Two of the four segments must agree, one of each part: the key of the index."""
+    source = strings.filter("block is not null and length(s_1) >= 4 and length(s_2) >= 3").select("block", "s_1", "s_2").distinct()
+
+    def entries(make, names: tuple[str, str]) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                rows: list[tuple] = []
+                for block, one, two in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    second = make(two)
+                    rows += [(block, f"{x}|{y}", one, two) for x in make(one) for y in second]
+                columns = [pa.array([r[i] for r in rows], pa.string()) for i in range(4)]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", "part", *names])
+
+        return source.mapInArrow(run, f"block string, part string, {names[0]} string, {names[1]} string")
+
+    index, probes = entries(_half_index, ("t_1", "t_2")), entries(_half_probes, ("u_1", "u_2"))
+    near = (F.abs(F.length("t_1") - F.length("u_1")) <= 1) & (F.abs(F.length("t_2") - F.length("u_2")) <= 1)
+    met = index.join(probes, ["block", "part"]).filter((F.col("t_1") != F.col("u_1")) & (F.col("t_2") != F.col("u_2")) & near)
+    a, b = F.struct(F.col("t_1").alias("x"), F.col("t_2").alias("y")), F.struct(F.col("u_1").alias("x"), F.col("u_2").alias("y"))
+    pairs = met.select("block", F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct().select("block", F.col("a.x").alias("a_1"), F.col("a.y").alias("a_2"), F.col("b.x").alias("b_1"), F.col("b.y").alias("b_2"))
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, *parts = (c.to_pylist() for c in batch.columns)
+            yield batch.filter(pa.array([within(a, c, 1) and within(b, d, 1) for a, b, c, d in zip(*parts, strict=True)], pa.bool_()))
+
+    return pairs.mapInArrow(verify, "block string, a_1 string, a_2 string, b_1 string, b_2 string")

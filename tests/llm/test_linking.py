@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from folioforge.llm import knn as K
+from folioforge.llm import segment_join as J
 from folioforge.llm.names import link_names, name_pairs, read_name
 from folioforge.llm.segment_join import index_entries, probe_entries, similar_pairs, within
 
@@ -75,6 +76,27 @@ def test_links(spark):
     assert got == {(a, b) for g in same for a in g for b in g if a < b}
 
 
+def test_an_error_in_each_part(spark):
+    """Two typing errors, one in each part, link a name seen once to one that is well attested, and no two seldom names."""
+    often = ["Victoria Kyhydymi", "Kyhydymi, Victoria", "Dr. Victoria Kyhydymi", "victoria kyhydymi", "VICTORIA KYHYDYMI"]
+    names = [*often, "Victorya Kyhydimi", "Oskar Pasopifi", "Oscar Pasopyfi"]
+    got = {(r["name_a"], r["name_b"]) for r in name_pairs(link_names(spark.createDataFrame([(n,) for n in names], "name string"))).collect()}
+    same = [*often, "Victorya Kyhydimi"]
+    assert got == {(a, b) for a in same for b in same if a < b}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="abc", min_size=2, max_size=8), st.text(alphabet="abc", min_size=2, max_size=8))
+def test_halves(a, b):
+    """One insertion, deletion or substitution leaves a segment that both strings have in the index."""
+    plain = {}
+    for i in range(len(a) + 1):
+        for j in range(len(b) + 1):
+            plain[i, j] = i + j if not i or not j else min(plain[i - 1, j] + 1, plain[i, j - 1] + 1, plain[i - 1, j - 1] + (a[i - 1] != b[j - 1]))
+    if plain[len(a), len(b)] <= 1:
+        assert {*J._half_index(a)} & {*J._half_probes(b)}
+
+
 def test_no_names(spark):
     assert link_names(spark.createDataFrame([], "name string")).count() == 0
 
