@@ -14,18 +14,17 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
+from pyspark.sql.types import DoubleType, StringType
 
 # Ligatures and their letters.
 LIGATURES = {"\ufb00": "ff", "\ufb01": "fi", "\ufb02": "fl", "\ufb03": "ffi", "\ufb04": "ffl", "\ufb05": "st", "\ufb06": "st"}
 # Beginnings of headings that are journal matter.
-JUNK_HEADINGS = (r"open\s+access", "copyright", "citation", r"reviewed\s+by\b", r"edited\s+by\b", r"\*?correspondence\b", r"received\s+\d", r"accepted\s+\d", r"published\s+\d", r"handling\s+editor\b", r"associate\s+editor\b", r"type\s")
+JUNK_HEADING = r"(?i)^(?:open\s+access|copyright|citation|reviewed\s+by\b|edited\s+by\b|\*?correspondence\b|received\s+\d|accepted\s+\d|published\s+\d|handling\s+editor\b|associate\s+editor\b|type\s)"
 # Kinds of document that are not looked up.
 LOCAL_TYPES = ("datasheet", "manual", "techreport", "notes", "other")
 # Kinds of block that are neither summarised nor embedded.
 SKIPPED_TYPES = ("section_header", "title", "author", "equation", "junk")
 
-JUNK_HEADING = "(?i)^(?:" + "|".join(JUNK_HEADINGS) + ")"
 # Patterns of DOIs, captions, Markdown and formulas, and the lengths that go with them.
 DOI = r"^10\.\d{4,}/[^\s<>\"}]+\z"
 DOI_IN_TEXT = r"(?i)(?:doi:)?(10\.\d{4,}/[^\s<>\"},]+)"
@@ -49,7 +48,7 @@ MOST_NAMES = 10
 IDENTIFIER_LINE = r"^arXiv:\d"
 SECTION_LINE = "^(abstract|contents)"
 DATE_LINE = r"(?U)^\d{1,2}(?:st|nd|rd|th)?\s+\w+\s+\d{4}"
-MARKED_PEOPLE = "[†‡§¶∗⊥#]|[0-9]+[,∗]"
+MARKED_PEOPLE = r"(?U)[†‡§¶∗⊥#]|\d+[,∗]"
 INITIAL = r"(?U)[A-Z]\.\s"
 TITLE_LINES, TITLE_LINE_BELOW, TITLE_MOST = 3, 200, 300
 
@@ -221,15 +220,42 @@ def classify(chunk: Column) -> Column:
     return F.struct(kind.alias("type"), text.alias("text"))
 
 
+@pandas_udf(DoubleType())
+def _latin_share_of(texts: pd.Series) -> pd.Series:
+    def share(s: str) -> float | None:
+        letters = sum(map(str.isalpha, s))
+        plain = unicodedata.normalize("NFKD", s).encode("ascii", "ignore").decode()
+        return sum(map(str.isalpha, plain)) / letters if letters else None
+
+    return texts.map(share, na_action="ignore")
+
+
 def latin_share(c: Column) -> Column:
-    """Latin letters as a share of all letters; null without letters."""
-    return F.regexp_count(c, F.lit(r"\p{IsLatin}")) / F.nullif(F.regexp_count(c, F.lit(r"\p{L}")), F.lit(0))
+    """Letters that compatibility decomposition makes ASCII ones, as a share of all letters; null without letters. Only texts
+    beyond ASCII go to Python: of others all letters are such."""
+    beyond = F.octet_length(c) > F.length(c)
+    return F.when(beyond, _latin_share_of(F.when(beyond, c))).when(c.rlike("[A-Za-z]"), 1.0)
 
 
 def is_non_latin(c: Column) -> Column:
+    """Whether fewer than half of the letters are Latin; blank texts and texts without letters are not."""
     return F.coalesce(latin_share(c) < 0.5, F.lit(False))
 
 
+# What titles look like that no one gave: names of files, numbers of manuscripts, words of templates.
+GARBAGE_TITLE = (
+    r"(?i)^(?:.*\.(?:indd|qxd|qxp|fm|docx?|rtf|pdf|tex|dvi|eps|ps|pptx?)|microsoft word.*|powerpoint presentation|untitled(?:[ -]?\d*)?|slide \d+|no title|title|"
+    r"(?:paper|article|manuscript|document) title|(?:type|insert|enter|your) (?:the )?(?:paper |article )?title(?: here)?|this is the title.*|(?:author )?(?:guide|instructions|guidelines)(?: for| to) .*|"
+    r"prepar(?:e|ing|ation of) (?:papers|manuscripts|articles).*|(?:latex|revtex|word)(?: [0-9.]+)? (?:template|sample|author).*|(?:template|sample) (?:for|paper|article|manuscript).*|manuscript(?: no\.?| number| id)?[ :#]*[a-z0-9-]*\d[a-z0-9-]*|"
+    r"[a-z]{1,8}[-_.]?\d{2,}[-_.a-z0-9]*|[a-z]{1,6}-[a-z]-\d{2}-\d+|pii:?.*)$"
+)
+
+
+def is_garbage_title(c: Column) -> Column:
+    """Whether a title is none: the name of a file, the number of a manuscript, or left over from a template."""
+    return F.coalesce(strip(c).rlike(GARBAGE_TITLE), F.lit(False))
+
+
 # --- prompts and safety -----------------------------------------------------------------------------------------------------
 
 
@@ -324,6 +350,6 @@ def supplement_name(stem: Column) -> Column:
 def tags_of(path: Column, root: str) -> Column:
     """Directories between the root and the file, without the work folders; none outside the root."""
     inside = path.startswith(root.rstrip("/") + "/")
-    parts = F.split(F.substring(path, len(root.rstrip("/")) + 2, 10_000), "/")
+    parts = F.split(F.substring(path, F.lit(len(root.rstrip("/")) + 2), F.length(path)), "/")
     dirs = F.filter(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))), lambda x: ~F.lower(x).isin("completed", "errors", "duplicates") & (x != ""))
     return F.when(inside, dirs).otherwise(F.array().cast("array<string>"))

@@ -18,11 +18,12 @@ CHUNK_SIZE, OVERLAP, TABLE_SIZE, HARD_MAX = 800, 150, 1600, 16_000
 
 
 def clean(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with ``text`` cleaned. Only rows with characters beyond ASCII or carriage returns go to Python; null stays null."""
+    """``df`` with ``text`` cleaned, in one pass. Only texts with characters beyond ASCII or carriage returns go to Python, of
+    the others only nulls; null stays null."""
     c = F.col(text)
     beyond = F.coalesce((F.octet_length(c) > F.length(c)) | c.contains("\r"), F.lit(False))
-    composed = df.filter(beyond).withColumn(text, T.compose(c))
-    return df.filter(~beyond).unionByName(composed).withColumn(text, T.clean(F.col(text)))
+    composed = df.withColumn("__composed", T.compose(F.when(beyond, c)))
+    return composed.withColumn(text, T.clean(F.coalesce("__composed", c))).drop("__composed")
 
 
 def paragraphs(df: DataFrame, text: str = "text") -> DataFrame:
@@ -138,15 +139,17 @@ def chunks(df: DataFrame, text: str = "text", type_column: str = "type") -> Data
     c, kind = F.col(text), F.coalesce(F.col(type_column), F.lit("text"))
     limit = F.when(kind.isin("text", "list"), CHUNK_SIZE).when(kind == "table", TABLE_SIZE).otherwise(HARD_MAX)
     rest = [x for x in df.columns if x != text]
-    short = df.filter(F.length(c) <= limit).select(*rest, F.lit(0).alias("chunk_no"), T.strip(c).alias("chunk")).filter("chunk <> ''")
-    long = df.filter(F.length(c) > limit)
+    long = F.length(c) > limit
 
     @pandas_udf("array<string>")
     def split(texts: pd.Series, kinds: pd.Series) -> pd.Series:
         by = {"text": split_text, "list": split_text, "table": split_table}
-        return pd.Series([enforce_hard_max(by.get(k, lambda t: [t])(t)) for t, k in zip(texts, kinds, strict=True)])
+        return pd.Series([None if t is None else enforce_hard_max(by.get(k, lambda t: [t])(t)) for t, k in zip(texts, kinds, strict=True)])
 
-    return short.unionByName(long.select(*rest, F.posexplode(split(c, kind)).alias("chunk_no", "chunk")))
+    # One pass: of short blocks only nulls go to Python.
+    made = df.withColumn("__split", split(F.when(long, c), kind))
+    own = F.when(long, F.col("__split")).otherwise(F.filter(F.array(T.strip(c)), lambda x: x != ""))
+    return made.select(*rest, F.posexplode(own).alias("chunk_no", "chunk"))
 
 
 def split_at(c: Column, separator: str, size: int) -> Column:

@@ -46,7 +46,7 @@ def keywords(text: str, most: int = 5) -> str:
             degree[w] += len(p)
     scores: dict[str, float] = {}
     for p in phrases:
-        scores.setdefault(" ".join(p), sum(degree[w] / frequency[w] for w in p))
+        scores.setdefault(" ".join(p), round(sum(degree[w] / frequency[w] for w in p), 9))
     return "; ".join(sorted(scores, key=lambda s: -scores[s])[:most])
 
 
@@ -69,17 +69,18 @@ def keyword_summary(texts: pd.Series) -> pd.Series:
 
 
 def add_keywords(blocks: DataFrame) -> DataFrame:
-    """``blocks`` with the entry ``rake`` of ``summaries`` set for eligible ones; only these go to Python."""
+    """``blocks`` with the entry ``rake`` of ``summaries`` set for eligible ones, in one pass: of the others only nulls go to
+    Python."""
     ok = F.coalesce(summary_eligible(F.col("type"), F.col("text")), F.lit(False))
-    done = blocks.filter(ok).withColumn("summaries", put(F.col("summaries"), "rake", keyword_summary("text")))
-    return blocks.filter(~ok).unionByName(done)
+    made = blocks.withColumn("__made", keyword_summary(F.when(ok, F.col("text"))))
+    return made.withColumn("summaries", F.when(ok, put(F.col("summaries"), "rake", F.col("__made"))).otherwise(F.col("summaries"))).drop("__made")
 
 
 def hash_embedding(text: str, dim: int) -> list[float]:
     """The default embedder: words hashed to signed places, of length one. Deterministic, for pipelines and tests."""
     v = np.zeros(dim)
     for w in re.findall(r"\w+", text.lower()):
-        h = int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "big")
+        h = int(hashlib.md5(w.encode(), usedforsecurity=False).hexdigest()[:16], 16)
         v[h % dim] += 1 if h >> 63 else -1
     n = np.linalg.norm(v)
     return (v / n if n else v).astype(np.float32).tolist()
@@ -93,12 +94,15 @@ def add_embeddings(blocks: DataFrame, profile: str, dim: int, embedder: Callable
     @pandas_udf("array<float>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series(embed(list(texts), dim))
+            asked = texts.notna()
+            out = pd.Series([None] * len(texts), index=texts.index, dtype=object)
+            out[asked] = pd.Series(list(embed(list(texts[asked]), dim)), index=texts.index[asked], dtype=object)
+            yield out
 
     ok = F.coalesce(embed_eligible(F.col("type"), F.col("text")), F.lit(False))
     kept = F.map_filter(F.coalesce("embeddings", F.create_map().cast("map<string,array<float>>")), lambda k, v: k != profile)
-    done = blocks.filter(ok).withColumn("embeddings", F.map_concat(kept, F.create_map(F.lit(profile), run("text"))))
-    return blocks.filter(~ok).unionByName(done)
+    made = blocks.withColumn("__made", run(F.when(ok, F.col("text"))))
+    return made.withColumn("embeddings", F.when(ok, F.map_concat(kept, F.create_map(F.lit(profile), F.col("__made")))).otherwise(F.col("embeddings"))).drop("__made")
 
 
 def truncate_unit(vector: Column, dim: int) -> Column:
@@ -126,6 +130,21 @@ def migrate_summaries(blocks: DataFrame) -> DataFrame:
     return blocks.withColumns({"migrated": old, "summary": F.when(~old, F.col("summary")), "summaries": F.when(old, made).otherwise(F.col("summaries"))})
 
 
+def migrate_meta(meta: Column) -> Column:
+    """A record of enrichment (paper_summary, paper_summaries, ...) of the old form in the new one: the summary of the paper
+    becomes an entry of ``paper_summaries`` unless there are such; doing it again changes nothing."""
+    old = T.blank_to_null(meta["paper_summary"])
+    bare = F.coalesce(F.size(meta["paper_summaries"]), F.lit(0)) <= 0
+    moved = F.create_map(F.lit("llm:unknown"), old)
+    return F.when(old.isNotNull() & bare, meta.withField("paper_summaries", moved)).otherwise(meta)
+
+
+def migration_counts(before: DataFrame, after: DataFrame, key: str = "paper_id") -> DataFrame:
+    """(key, raked_before, raked_after) of the blocks with key phrases before and after a migration."""
+    raked = F.count_if(T.blank_to_null(F.col("summaries")["rake"]).isNotNull())
+    return before.groupBy(key).agg(raked.alias("raked_before")).join(after.groupBy(key).agg(raked.alias("raked_after")), key)
+
+
 def stub_model(prompt: str) -> str:
     """The default model: the first sentence of the last line."""
     line = prompt.strip().split("\n")[-1]

@@ -25,16 +25,15 @@ def append_hash(original: Column, history: Column, new: Column) -> Column:
     return F.struct(F.when(changed, F.concat(known, F.array(new))).otherwise(known).alias("history"), changed.alias("changed"))
 
 
-def hash_histories(papers: DataFrame, *, key: str = "paper_id", most: int = 1000) -> DataFrame:
+def hash_histories(papers: DataFrame, *, key: str = "paper_id") -> DataFrame:
     """(key, first_hash, hashes): all hashes of a paper, in the order of its extractions (bundle_id), without repeats.
 
-    Repeats go before anything is gathered; a paper has as many hashes as different files. Of more than ``most`` an error is
-    raised, as that is no paper.
+    Repeats go before anything is gathered; a paper has as many hashes as different files, and its history is one value by its
+    definition.
     """
     first = papers.filter(T.blank_to_null(F.col("pdf_hash")).isNotNull()).groupBy(key, "pdf_hash").agg(F.min("bundle_id").alias("at"))
-    listed = first.groupBy(key).agg(F.count("*").alias("n"), F.transform(F.array_sort(F.collect_list(F.struct("at", "pdf_hash"))), lambda x: x.pdf_hash).alias("hashes"))
-    checked = F.when(F.col("n") <= most, F.col("hashes")).otherwise(F.raise_error(F.lit("a paper of too many files")).cast("array<string>"))
-    return listed.select(key, F.get(checked, F.lit(0)).alias("first_hash"), checked.alias("hashes"))
+    listed = first.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "pdf_hash"))), lambda x: x.pdf_hash).alias("hashes"))
+    return listed.select(key, F.get("hashes", F.lit(0)).alias("first_hash"), "hashes")
 
 
 def update_metadata(headers: DataFrame, found: DataFrame, on: str) -> DataFrame:
@@ -74,6 +73,31 @@ def tag_command(arguments: Column, path: Column, tool: str = "exiftool") -> Colu
     return F.concat(F.array(F.lit(tool), F.lit("-overwrite_original"), F.lit("-P")), arguments, F.array(path))
 
 
+def backup_plan(files: DataFrame, tool: str = "cp") -> DataFrame:
+    """(path, backup, command) of ``files`` (path): the copy beside each file that is made before its tags are written; an older
+    copy is overwritten."""
+    backup = F.concat("path", F.lit(".bak"))
+    return files.select("path", backup.alias("backup"), F.array(F.lit(tool), F.lit("-p"), F.col("path"), backup).alias("command"))
+
+
+def tag_steps(arguments: Column, path: Column, *, tool: str = "exiftool", copy: str = "cp") -> Column:
+    """The commands that write a file's tags, in order: its copy, then the tags."""
+    return F.array(F.array(F.lit(copy), F.lit("-p"), path, F.concat(path, F.lit(".bak"))), tag_command(arguments, path, tool))
+
+
+def error_record(path: Column, at: Column, error: Column, trace: Column) -> Column:
+    """Struct (path, body): the text file that is put beside a file that failed."""
+    target = F.concat(F.regexp_replace(path, r"(?<=[^/])\.[^./]*$", ""), F.lit(".error.txt"))
+    none = F.lit("")
+    body = F.concat(F.lit("PDF: "), F.substring_index(path, "/", -1), F.lit("\nTime: "), F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("\nError: "), F.coalesce(error, none), F.lit("\n\nTraceback:\n"), F.coalesce(trace, none))
+    return F.struct(target.alias("path"), body.alias("body"))
+
+
+def error_records(failed: DataFrame) -> DataFrame:
+    """(path, body) of the records of ``failed`` (path, at, error, trace)."""
+    return failed.select(error_record(F.col("path"), F.col("at"), F.col("error"), F.col("trace")).alias("e")).select("e.path", "e.body")
+
+
 def log_line(ts: Column, user: Column, slug: Column, doi: Column, filename: Column, ref_id: Column, title: Column) -> Column:
     """One line of the ingest log; tabs and line ends within values become blanks, missing values nothing."""
     cells = [F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), user, slug, doi, filename, ref_id.cast("string"), title]

@@ -132,44 +132,104 @@ def verification(verify: Column, kind: Column, sidecar_verified: Column, title:
     return F.struct(verified.alias("verified"), warning.alias("warning"))
 
 
-def rescue(blocks: DataFrame, headers: DataFrame, catalog: DataFrame | None = None, *, key: str = "paper_id") -> DataFrame:
-    """(key, title, authors, doi, source) read from the first blocks of a document where its header lacks them.
+# Fields that a catalogue hit brings along.
+CATALOG_FIELDS = ("title", "authors", "year", "doi", "arxiv_id", "journal", "abstract", "s2_id")
+
 
-    Of the first 15 blocks the first five of text are looked at; the title is the first that is no numbered or usual heading,
-    the authors stand in it or in a later one. With a title and no DOI the catalogue (title, year, doi, authors) is asked; a
-    hit more than two years off is not taken. The blocks are limited by position before anything is grouped.
+def rescue(blocks: DataFrame, headers: DataFrame, catalog: DataFrame | None = None, *, key: str = "paper_id") -> DataFrame:
+    """(key, title, authors, year, doi, arxiv_id, journal, abstract, s2_id, source) of the documents whose ``headers`` lack a
+    title or authors and whose first blocks have them; what was not found is null.
+
+    Of the first 15 blocks the first five of text are looked at. The title is the first that is no numbered or usual heading:
+    whole up to 300 characters, of a longer one what ``split_title`` reads. The authors come with such a title or from a block that
+    reads like a list of names. If a title was found and there is no DOI, the ``catalog`` (title, and any of
+    authors as strings, year, ...) is asked: of its rows with that title those within two years of the header's year count (a missing year fits), and the
+    nearest, then the smallest DOI, replaces what it has. The blocks are limited by rank before anything is grouped.
     """
     w = Window.partitionBy(key).orderBy("pos", "block_id")
-    early = blocks.filter(F.col("pos") < 200).withColumn("__n", F.row_number().over(w)).filter("__n <= 15")
     text = T.strip(F.coalesce("text", F.lit("")))
-    some = early.filter(~F.col("type").isin("junk", "equation", "figure", "table") & (F.length(text) >= 5)).withColumn("__n", F.row_number().over(w)).filter("__n <= 5")
-    lists = some.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("__n", text.alias("t")))), lambda x: x.t).alias("__texts"))
-    titles = F.filter("__texts", lambda t: ~t.rlike(r"^\d+[.\s]") & ~F.lower(t).isin("abstract", "contents", "references"))
-    first = F.get(titles, F.lit(0))
-    merged = F.when(F.length(first) > 300, T.split_title(first))
-    names = F.filter("__texts", lambda t: (t != F.coalesce(F.col("__title"), F.lit(""))) & (F.length(t) <= 500) & (F.regexp_count(t, F.lit(r"\. ")) <= 3) & ~F.lower(t).rlike("^(abstract|keyword)") & T.parse_authors(t).isNotNull())
-    need = headers.join(lists, key).withColumn("__merged", merged)
-    need = need.withColumn("__title", F.coalesce(T.blank_to_null(F.col("title")), F.when(F.length(first) <= 300, first).otherwise(F.col("__merged.title"))))
-    need = need.withColumn("__authors", F.when(F.size("authors") > 0, F.col("authors.name")).otherwise(F.coalesce("__merged.authors", T.parse_authors(F.get(names, F.lit(0))))))
-    rescued = T.blank_to_null(F.col("title")).isNull() & F.col("__title").isNotNull()
-    found = need.select(key, F.col("__title").alias("title"), F.col("__authors").alias("authors"), "doi", "year", rescued.alias("rescued"))
-    if catalog is not None:
-        known = catalog.filter("title is not null and title <> ''").groupBy(F.lower("title").alias("__t")).agg(F.min(F.struct("doi", "year")).alias("hit"))
-        asked = found.withColumn("__t", F.when(F.col("rescued") & T.blank_to_null(F.col("doi")).isNull(), F.lower("title")))
-        joined = asked.join(known, "__t", "left").drop("__t")
-        near = F.coalesce(F.abs(F.col("hit.year") - F.col("year")) <= 2, F.lit(True)) & F.col("hit").isNotNull()
-        found = joined.withColumn("doi", F.when(near, F.col("hit.doi")).otherwise(F.col("doi"))).withColumn("source", F.when(near, "catalog_rescue").otherwise("text_rescue")).drop("hit")
-    else:
-        found = found.withColumn("source", F.lit("text_rescue"))
-    return found.filter("rescued").select(key, "title", "authors", "doi", "source")
+    early = blocks.select(key, "pos", "block_id", "type", text.alias("t")).withColumn("__n", F.row_number().over(w)).filter("__n <= 15")
+    some = early.filter(~F.coalesce("type", F.lit("")).isin("junk", "equation", "figure", "table") & (F.length("t") >= 5)).withColumn("__n", F.row_number().over(w)).filter("__n <= 5")
+    lists = some.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("__n", "t"))), lambda x: x.t).alias("__texts"))
+    need = headers.select(key, "title", "authors", "doi", "year").join(lists, key)
+    lacks_title, lacks_authors = T.blank_to_null(F.col("title")).isNull(), F.coalesce(F.size("authors"), F.lit(0)) <= 0
+    usable = F.filter("__texts", lambda t: ~t.rlike(r"(?U)^\d+[.\s]") & ~F.lower(t).isin("abstract", "contents", "references"))
+    none = F.lit(None).cast("array<string>")
+    read = F.transform(usable, lambda t: F.when(F.length(t) <= 300, F.struct(t.alias("title"), none.alias("authors"))).otherwise(T.split_title(t)))
+    need = need.withColumn("__read", F.when(lacks_title, F.get(F.filter(read, lambda x: x["title"].isNotNull()), F.lit(0))))
+    own_title = F.coalesce(F.col("__read.title"), T.blank_to_null(F.col("title")), F.lit(""))
+
+    def names(t: Column) -> Column:
+        plain = (t != own_title) & (F.length(t) <= 500) & (F.regexp_count(t, F.lit(r"\. ")) <= 3) & ~F.lower(t).rlike("^(abstract|keyword)")
+        return F.when(plain, T.parse_authors(t))
+
+    listed = F.get(F.filter(F.transform("__texts", names), lambda x: x.isNotNull()), F.lit(0))
+    found = need.withColumn("__authors", F.when(lacks_authors, F.coalesce("__read.authors", listed)))
+    found = found.select(key, F.col("__read.title").alias("title"), F.col("__authors").alias("authors"), F.col("year").alias("__year"), T.blank_to_null(F.col("doi")).alias("__doi")).filter("title is not null or authors is not null")
+    found = checkpointed(found)  # what follows would plan the long expressions above again and again
+    strings = [f for f in CATALOG_FIELDS if f not in ("title", "authors", "year")]
+    if catalog is None:
+        empty = [F.lit(None).cast("int").alias("year"), *[F.lit(None).cast("string").alias(f) for f in strings]]
+        return found.select(key, "title", "authors", *empty, F.lit("text_rescue").alias("source"))
+    kinds = {"year": "int", "authors": "array<string>"}
+    fields = [F.col(f).cast(kinds.get(f, "string")).alias(f) if f in catalog.columns else F.lit(None).cast(kinds.get(f, "string")).alias(f) for f in CATALOG_FIELDS]
+    known = catalog.filter("title is not null and title <> ''").select(F.lower("title").alias("__t"), F.struct(*fields).alias("__hit"))
+    asked = found.select(key, F.lower("title").alias("__t"), "__year").filter(F.col("title").isNotNull() & F.col("__doi").isNull())
+    apart = F.abs(F.coalesce(F.col("__hit.year") - F.col("__year"), F.lit(0)))
+    best = asked.join(known, "__t").filter(apart <= 2).groupBy(key).agg(F.min_by("__hit", F.struct(apart, F.col("__hit.doi"), F.to_json("__hit"))).alias("__hit"))
+    joined = found.join(best, key, "left")
+    hit = lambda f: F.col(f"__hit.{f}")
+    authors = F.coalesce(F.when(F.size(hit("authors")) > 0, hit("authors")), F.col("authors"))
+    source = F.when(F.col("__hit").isNotNull(), "catalog_rescue").otherwise("text_rescue")
+    return joined.select(key, first_filled(hit("title"), F.col("title")).alias("title"), authors.alias("authors"), hit("year").alias("year"), *[T.blank_to_null(hit(f)).alias(f) for f in strings], source.alias("source"))
+
+
+def fix_up(headers: DataFrame, blocks: DataFrame, catalog: DataFrame | None = None, *, key: str = "paper_id") -> DataFrame:
+    """``headers`` after a rescue: titles that are none are cleared, what was rescued replaces what it has, and rescued papers get
+    a new slug and are verified anew against ``first_page``, unless they are local or the sidecar said so (``sidecar_verified``).
+
+    Returns (key, title, authors, year, doi, slug, verified, source, rescued); ``headers`` has (key, title, authors as structs,
+    year, doi, slug, verified, entry_type, sidecar_verified, first_page).
+    """
+    cleared = headers.withColumn("title", F.when(~T.is_garbage_title(F.col("title")), F.col("title")))
+    found = rescue(blocks, cleared, catalog, key=key)
+    side = found.select(key, *[F.col(c).alias(f"__{c}") for c in ("title", "authors", "year", "doi", "source")])
+    joined = cleared.join(side, key, "left").withColumn("rescued", F.col("__source").isNotNull())
+    names = F.coalesce("__authors", F.col("authors.name"))
+    merged = joined.withColumns({"title": first_filled(F.col("__title"), F.col("title")), "__names": names, "year": F.coalesce("__year", "year"), "doi": first_filled(F.col("__doi"), F.col("doi"))})
+    again = F.col("rescued") & ~F.coalesce(F.col("entry_type").isin(*T.LOCAL_TYPES), F.lit(False)) & F.col("sidecar_verified").isNull() & T.blank_to_null(F.col("first_page")).isNotNull()
+    anew = verification(F.lit(True), F.col("entry_type"), F.col("sidecar_verified"), F.col("title"), F.col("first_page"))["verified"]
+    return merged.select(
+        key, "title", F.col("__names").alias("authors"), "year", "doi", F.when(F.col("rescued"), T.slug("__names", "year", "title")).otherwise(F.col("slug")).alias("slug"),
+        F.when(again, anew).otherwise(F.col("verified")).alias("verified"), F.col("__source").alias("source"), "rescued",
+    )
+
+
+# File names that tell a DOI, as (pattern, DOI).
+FILE_NAME_DOIS = ((r"^(s\d{5}-\d{3}-\d{4,5}-[0-9a-z]{1,2})(?:_.*)?$", "10.1038/$1"), (r"^((?:PhysRev|RevModPhys)[A-Za-z]*\.\d+\.\d+)(?:_.*)?$", "10.1103/$1"), (r"^(10\.\d{4,})[_-](\S+)$", "$1/$2"), (r"^(journal\.[a-z]{4}\.\d{7})(?:_.*)?$", "10.1371/$1"))
+
+
+def doi_of_file_name(stem: Column) -> Column:
+    """The DOI that a file name tells by the habits of some publishers, or null."""
+    return F.coalesce(*[F.when(stem.rlike(pattern), F.regexp_replace(stem, pattern, by)) for pattern, by in FILE_NAME_DOIS])
+
+
+def doi_candidates(files: DataFrame) -> DataFrame:
+    """(id, pos, doi, provenance) of every DOI that ``files`` (id, stem, identifier, keywords, subject, internal) name: in the
+    tags of the file, in what was read from it, and in its name, in this order; for ``best_doi``."""
+    tags = [F.struct(F.lit(i).alias("pos"), T.doi_in(F.col(c)).alias("doi"), F.lit("existing_tags").alias("provenance")) for i, c in enumerate(("identifier", "keywords", "subject"))]
+    others = [F.struct(F.lit(3).alias("pos"), F.col("internal").alias("doi"), F.lit("internal").alias("provenance")), F.struct(F.lit(4).alias("pos"), doi_of_file_name(F.col("stem")).alias("doi"), F.lit("filename").alias("provenance"))]
+    every = files.select("id", F.explode(F.array(*tags, *others)).alias("c")).select("id", "c.pos", T.normal_doi(F.col("c.doi")).alias("doi"), "c.provenance")
+    return every.filter(T.valid_doi(F.col("doi")))
 
 
 def find_bundles(files: DataFrame, bundles: DataFrame) -> DataFrame:
     """(path, bundle) for each file: the bundle of the same stem beside it, else one in its or the parent directory whose stem
     contains the file's or is contained in it; ties go to the nearer directory, then to the smaller path.
 
-    Stems that contain each other meet by equi-joins on the directory and the parts of the longer one, so a directory with any
-    number of files forms no pairs; only files without a bundle of their own stem are asked that way.
+    A stem that is contained in another has its first four characters (all, if it has fewer) somewhere in it: these are the key
+    of an index of directory and piece, in which the longer one is looked up at each of its places, and contains verifies. So a
+    directory with any number of files forms no pairs, and a stem has one entry and as many lookups as it has places.
     """
 
     def parts(df: DataFrame, name: str, out: str) -> DataFrame:
@@ -177,19 +237,25 @@ def find_bundles(files: DataFrame, bundles: DataFrame) -> DataFrame:
         return df.select(p.alias(out), F.regexp_replace(p, "/[^/]*$", "").alias("dir"), F.regexp_replace(F.substring_index(p, "/", -1), r"\.[^.]*$", "").alias("stem")).filter("stem <> ''")
 
     def pieces(stem: Column) -> Column:
-        n = F.length(stem)
-        starts = F.sequence(F.lit(1), n)
-        return F.array_distinct(F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: F.substring(stem, i, k)))))
+        """Every piece of one to four characters by which a shorter stem may have been entered."""
+        places = F.sequence(F.lit(1), F.length(stem))
+        return F.array_distinct(F.flatten(F.transform(places, lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(4), F.length(stem) - i + 1)), lambda k: F.substring(stem, i, k)))))
 
+    entry = F.struct(F.least(F.length("stem"), F.lit(4)).alias("n"), F.substring("stem", 1, 4).alias("piece"))
+    lookups = F.explode(F.transform(pieces(F.col("stem")), lambda x: F.struct(F.length(x).alias("n"), x.alias("piece")))).alias("at")
     f, b = parts(files, "path", "path"), checkpointed(parts(bundles, "path", "bundle"))
     own = checkpointed(f.join(b, ["dir", "stem"]).groupBy("path").agg(F.min("bundle").alias("bundle")))
     asked = f.join(own.select("path"), "path", "left_anti")
     places = F.array(F.struct(F.lit(0).alias("far"), F.col("dir").alias("d")), F.struct(F.lit(1).alias("far"), F.regexp_replace("dir", "/[^/]*$", "").alias("d")))
-    asked = checkpointed(asked.select("path", "stem", F.explode(places).alias("at")).select("path", "stem", "at.far", F.col("at.d").alias("dir")))
-    shorter = asked.select("path", "far", "dir", F.explode(pieces(F.col("stem"))).alias("stem")).join(b, ["dir", "stem"])
+    asked = checkpointed(asked.select("path", "stem", F.explode(places).alias("p")).select("path", "stem", "p.far", F.col("p.d").alias("dir")))
     there = b.join(asked.select("dir").distinct(), "dir", "left_semi")
-    longer = there.select("bundle", "dir", F.explode(pieces(F.col("stem"))).alias("stem")).join(asked, ["dir", "stem"])
-    fuzzy = shorter.select("path", "far", "bundle").unionByName(longer.select("path", "far", "bundle")).groupBy("path").agg(F.min(F.struct("far", "bundle"))["bundle"].alias("bundle"))
+    # Entries of three characters and fewer are whole stems: they match by the key alone.
+    bundle_entry = there.select("bundle", "dir", F.col("stem").alias("short"), entry.alias("at"))
+    file_lookup = asked.select("path", "far", "dir", F.col("stem").alias("long"), lookups)
+    file_entry = asked.select("path", "far", "dir", F.col("stem").alias("short"), entry.alias("at"))
+    bundle_lookup = there.select("bundle", "dir", F.col("stem").alias("long"), lookups)
+    met = file_lookup.join(bundle_entry, ["dir", "at"]).unionByName(bundle_lookup.join(file_entry, ["dir", "at"]))
+    fuzzy = met.filter(F.col("long").contains(F.col("short"))).groupBy("path").agg(F.min(F.struct("far", "bundle"))["bundle"].alias("bundle"))
     return files.select("path").join(own.unionByName(fuzzy), "path", "left")
 
 

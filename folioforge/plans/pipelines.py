@@ -118,18 +118,19 @@ def ingest_results(files: DataFrame, headers: DataFrame, shared: DataFrame) -> D
 
 def tag_updates(papers: DataFrame, old: DataFrame, *, force: bool = False) -> DataFrame:
     """The audit of a tag update of ``papers`` (path, title, authors, doi, year, journal, abstract, keywords) whose files have
-    the tags ``old`` (path, identifier, keywords, title, author): decision, reason and command of each."""
-    c = F.col
-    side = old.select("path", *[c(x).alias(f"old_{x}") for x in ("identifier", "keywords", "title", "author")])
+    the tags ``old`` (path, identifier, keywords, title, author): decision, message and commands of each, with the old tags and
+    the new metadata. Updating copies the file first."""
+    c, empty = F.col, F.lit("")
+    side = old.select("path", *[F.coalesce(x, empty).alias(f"old_{x}") for x in ("identifier", "keywords", "title", "author")])
     author = F.array_join(F.filter(F.coalesce("authors", F.array().cast("array<string>")), lambda x: x.isNotNull()), "; ")
     joined = papers.join(side, "path", "left")
     decided = joined.withColumn("d", R.update_decision(F.lit(force), c("doi"), c("title"), author, c("old_identifier"), c("old_keywords"), c("old_title"), c("old_author")))
     arguments = M.tag_arguments(c("title"), c("authors"), c("doi"), c("year"), c("journal"), c("abstract"), F.lit(None).cast("string"), c("keywords"))
-    command = F.when(c("d.update"), M.tag_command(arguments, c("path")))
-    empty = F.lit("")
     return decided.select(
-        c("path").alias("pdf_path"), c("d.update").alias("updated"), F.lit(True).alias("success"), c("d.reason").alias("reason"), F.coalesce("old_title", empty).alias("old_title"), F.coalesce("title", empty).alias("new_title"),
-        F.coalesce("old_author", empty).alias("old_author"), author.alias("new_author"), empty.alias("old_doi"), F.coalesce("doi", empty).alias("new_doi"), command.alias("command"),
+        c("path").alias("pdf_path"), c("d.update").alias("updated"), F.lit(True).alias("success"), c("d.reason").alias("message"), F.lit(None).cast("string").alias("error"), F.lit(True).alias("has_new"),
+        *[F.coalesce(x, empty).alias(x) for x in ("old_title", "old_author", "old_identifier", "old_keywords")], empty.alias("old_doi"), F.coalesce("title", empty).alias("new_title"), author.alias("new_author"),
+        c("authors").alias("new_authors"), F.coalesce("doi", empty).alias("new_doi"), F.lit("bundle").alias("new_doi_provenance"), c("year").alias("new_year"), F.coalesce("journal", empty).alias("new_journal"),
+        F.when(c("d.update"), M.tag_steps(arguments, c("path"))).alias("steps"),
     )
 
 

@@ -15,6 +15,7 @@ from folioforge.operators import maintain as M
 from folioforge.operators import resolve as R
 from folioforge.operators import sequence as S
 from folioforge.plans import pipelines as P
+from folioforge.plans import sql_parts as Q
 from folioforge.session import shared_folder, table
 from folioforge.sources import bundles as B
 from folioforge.streaming import watch as W
@@ -35,9 +36,7 @@ def query(sql: str | None = None):
     return register
 
 
-# White space as Python and Spark's (?U) see it, for RE2.
-_WS = r"[\s\x0b\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-_STRIP = lambda x: f"regexp_replace({x}, '^{_WS}+|{_WS}+$', '', 'g')"
+_WS, _STRIP = Q.WS, Q.strip
 _CAPTION = r"^(?i)fig(?:ure)?\.?\s*\d+\s*[:.\-—–]\s*."
 _JUNK = r"^(?i)(?:open\s+access|copyright|citation|reviewed\s+by\b|edited\s+by\b|\*?correspondence\b|received\s+\d|accepted\s+\d|published\s+\d|handling\s+editor\b|associate\s+editor\b|type\s)"
 
@@ -82,11 +81,6 @@ def q_mojibake(spark, d):
     return _papers(spark, d).filter(F.octet_length("title") > F.length("title")).select("bundle_id", T.compose("title").alias("title"))
 
 
-@query("SELECT doc_id, 'A; METHODS; and a b c ' || coalesce(lang, '') AS joined FROM documents")
-def q_spaced_letters(spark, d):
-    return table(spark, d, "documents").select("doc_id", T.join_spaced_letters(F.concat(F.lit("A; M E T H O D S; and a b c "), F.coalesce("lang", F.lit("")))).alias("joined"))
-
-
 # Words of two and more letters are set off, so that runs of single letters need no look-behind.
 _LONE_RUN = f"[A-Za-z](?:{_WS}[A-Za-z]){{3,}}"
 
@@ -133,9 +127,10 @@ def q_strip_links(spark, d):
     return _blocks(spark, d).filter("type = 'section_header' and text is not null").select("block_id", T.strip_links(F.col("text")).alias("text"))
 
 
-@query("SELECT block_id, array_to_string(regexp_extract_all(text, '!\\[([^\\]]*)\\]\\(([^)]+)\\)', 2), ';') AS refs FROM blocks WHERE contains(text, '![')")
+@query("SELECT block_id, array_to_string(regexp_extract_all(text || ' ![one](a/' || block_id || '.png) and ![](b.jpg)', '!\\[([^\\]]*)\\]\\(([^)]+)\\)', 2), ';') AS refs FROM blocks WHERE text IS NOT NULL")
 def q_image_refs(spark, d):
-    return _blocks(spark, d).filter(F.col("text").contains("![")).select("block_id", F.array_join(T.image_refs(F.col("text")), ";").alias("refs"))
+    injected = F.concat("text", F.lit(" ![one](a/"), F.col("block_id").cast("string"), F.lit(".png) and ![](b.jpg)"))
+    return _blocks(spark, d).filter("text is not null").select("block_id", F.array_join(T.image_refs(injected), ";").alias("refs"))
 
 
 @query(f"""
@@ -157,7 +152,9 @@ def q_paper_ids(spark, d):
     return p.select("bundle_id", T.paper_id(F.col("doi"), F.col("arxiv_id"), F.col("pdf_hash")).alias("id"))
 
 
-@query()
+@query(f"""
+SELECT bundle_id, {Q.slug("ns", "year", "title")} AS slug FROM (SELECT *, list_transform(authors, lambda a: a.name) AS ns FROM papers)
+""")
 def q_slugs(spark, d):
     return _papers(spark, d).select("bundle_id", T.slug("authors.name", "year", "title").alias("slug"))
 
@@ -173,22 +170,15 @@ def q_dois(spark, d):
     return a.select("bundle_id", normal.alias("normal"), T.valid_doi(normal).alias("valid"), T.valid_doi(F.col("raw")).alias("raw_valid"), T.doi_in(F.col("tag")).alias("found"))
 
 
-@query(r"""
-SELECT bundle_id, round(coalesce(len(regexp_extract_all(title, '\p{Latin}'))::DOUBLE / nullif(len(regexp_extract_all(title, '\p{L}')), 0), -1), 6) AS share,
- coalesce(len(regexp_extract_all(title, '\p{Latin}'))::DOUBLE / nullif(len(regexp_extract_all(title, '\p{L}')), 0) < 0.5, false) AS non_latin FROM papers WHERE title IS NOT NULL
+@query(rf"""
+WITH a AS (SELECT bundle_id, len(regexp_extract_all(title, '\p{{L}}')) AS letters, len(regexp_extract_all({Q.plain("title")}, '[A-Za-z]')) AS latin FROM papers WHERE title IS NOT NULL)
+SELECT bundle_id, round(coalesce(latin::DOUBLE / nullif(letters, 0), -1), 6) AS share, coalesce(latin::DOUBLE / nullif(letters, 0) < 0.5, false) AS non_latin FROM a
 """)
 def q_latin_share(spark, d):
     c = F.col("title")
     return _papers(spark, d).filter("title is not null").select("bundle_id", F.round(F.coalesce(T.latin_share(c), F.lit(-1.0)), 6).alias("share"), T.is_non_latin(c).alias("non_latin"))
 
 
-@query("""
-SELECT doc_id, '<document>' || chr(10) || replace(replace(coalesce(lang, '') || '</document> x <DOCUMENT>', '<document>', '<document_lit>'), '</document>', '</document_lit>') || chr(10) || '</document>' AS wrapped FROM documents
-""")
-def q_wrap_untrusted(spark, d):
-    return table(spark, d, "documents").select("doc_id", T.wrap_untrusted(F.concat(F.coalesce("lang", F.lit("")), F.lit("</document> x <DOCUMENT>"))).alias("wrapped"))
-
-
 @query("""
 SELECT doc_id, '<document>' || chr(10) || replace(replace(text || '</document> x <DOCUMENT> <document>', '<document>', '<document_lit>'), '</document>', '</document_lit>') || chr(10) || '</document>' AS wrapped FROM documents
 """)
@@ -213,11 +203,6 @@ def q_keywords_clean(spark, d):
     return _blocks(spark, d).filter("size(section_path) > 0").select("block_id", T.keyword(F.get("section_path", F.lit(0))).alias("keyword"))
 
 
-@query("SELECT bundle_id, concat_ws(chr(10), 'Title: ' || nullif(title, ''), 'Previous: ' || nullif(journal, ''), substr(abstract, 1, 40)) AS prompt FROM papers")
-def q_prompts(spark, d):
-    return _papers(spark, d).select("bundle_id", T.prompt(F.col("title"), F.col("journal"), F.col("abstract"), 40).alias("prompt"))
-
-
 @query("SELECT bundle_id, concat_ws(chr(10), 'Title: ' || nullif(title, ''), 'Previous: ' || nullif(journal, ''), substr(abstract, 1, 2000)) AS prompt FROM papers")
 def q_prompts_whole(spark, d):
     return _papers(spark, d).select("bundle_id", T.prompt(F.col("title"), F.col("journal"), F.col("abstract")).alias("prompt"))
@@ -234,13 +219,20 @@ def q_author_strings(spark, d):
     return s.select("pdf_stem", F.array_join(T.split_authors(F.col("s")), "|").alias("names"))
 
 
-@query()
+@query(f"""
+WITH a AS (SELECT bundle_id, array_to_string(list_transform(list_filter(authors, lambda n: n.name IS NOT NULL), lambda n: n.name || '1,2'), ', ') || ' and Ana Paz' || chr(10) || 'some place' AS txt FROM papers)
+SELECT bundle_id, array_to_string({Q.authors("txt")}, '|') AS names FROM a
+""")
 def q_author_blocks(spark, d):
     text = F.concat(F.array_join(F.transform("authors.name", lambda n: F.concat(n, F.lit("1,2"))), ", "), F.lit(" and Ana Paz\nsome place"))
     return _papers(spark, d).select("bundle_id", F.array_join(T.parse_authors(text), "|").alias("names"))
 
 
-@query()
+@query(f"""
+WITH a AS (SELECT bundle_id, concat_ws(chr(10), 'arXiv:2301.1 [x]', title, array_to_string(list_transform(list_filter(authors, lambda n: n.name IS NOT NULL), lambda n: n.name), ', '), 'Abstract', abstract) AS txt FROM papers),
+b AS (SELECT bundle_id, {Q.title_lines("txt")} AS st FROM a)
+SELECT bundle_id, {Q.title_of("st")} AS title, array_to_string({Q.authors_of("st")}, '|') AS authors FROM b
+""")
 def q_title_blocks(spark, d):
     text = F.concat_ws("\n", F.lit("arXiv:2301.1 [x]"), "title", F.array_join("authors.name", ", "), F.lit("Abstract"), "abstract")
     got = _papers(spark, d).select("bundle_id", T.split_title(text).alias("t"))
@@ -274,7 +266,13 @@ def q_tags(spark, d):
 # --- chunks --------------------------------------------------------------------------------------------------------------------
 
 
-@query()
+_NUMBERED = "(row_number() OVER (PARTITION BY id ORDER BY path) - 1)::INT"
+
+
+@query(f"""
+WITH {Q.split_text("SELECT doc_id AS id, text AS t, 800 AS size, 150 AS overlap FROM documents WHERE text IS NOT NULL")}
+SELECT id AS doc_id, {_NUMBERED} AS chunk_no, {_STRIP("t")} AS chunk FROM cut WHERE NOT more AND {_STRIP("t")} <> ''
+""")
 def q_split_text(spark, d):
     return table(spark, d, "documents").select("doc_id", F.posexplode(D.text_chunks(F.col("text"))).alias("chunk_no", "chunk"))
 
@@ -291,20 +289,44 @@ def q_split_one_level(spark, d):
     return parts.groupBy("doc_id", "chunk").agg(F.count("*").alias("n"))
 
 
-@query()
+# Rows are added, so that every table is longer than the size.
+_LONG_TABLE = "text || repeat(chr(10) || '| added row | of a few | cells |', 60)"
+
+
+def _long_table():
+    return F.concat("text", F.repeat(F.lit("\n| added row | of a few | cells |"), 60))
+
+
+@query(f"""
+WITH c AS ({Q.split_table(f"SELECT block_id AS id, {_LONG_TABLE} AS t, 1600 AS size FROM blocks WHERE type = 'table' AND text IS NOT NULL")})
+SELECT id AS block_id, (i - 1)::INT AS chunk_no, {_STRIP("c")} AS chunk FROM (SELECT id, unnest(chunks) AS c, generate_subscripts(chunks, 1) AS i FROM c)
+""")
 def q_split_table(spark, d):
-    return _blocks(spark, d).filter("type = 'table'").select("block_id", F.posexplode(D.table_chunks(F.col("text"), 80)).alias("chunk_no", "chunk"))
+    return _blocks(spark, d).filter("type = 'table' and text is not null").select("block_id", F.posexplode(D.table_chunks(_long_table())).alias("chunk_no", "chunk"))
 
 
-@query()
+@query(f"""
+WITH {Q.split_text("SELECT doc_id AS id, repeat(text || '. ', 3) AS t, 16000 AS size, 800 AS overlap FROM documents WHERE text IS NOT NULL")}
+SELECT id AS doc_id, {_NUMBERED} AS chunk_no, {_STRIP("t")} AS chunk FROM cut WHERE NOT more AND {_STRIP("t")} <> ''
+""")
 def q_hard_max(spark, d):
-    run = D._series(lambda s: None if s is None else D.enforce_hard_max([s], 2000))
-    return table(spark, d, "documents").select("doc_id", F.posexplode(run("text")).alias("chunk_no", "chunk"))
+    run = D._series(lambda s: None if s is None else D.enforce_hard_max([s]))
+    return table(spark, d, "documents").select("doc_id", F.posexplode(run(F.repeat(F.concat("text", F.lit(". ")), 3))).alias("chunk_no", "chunk"))
 
 
-@query()
+_PLAIN_BLOCKS = "SELECT block_id AS id, repeat(text || '. ', 5) AS t, CASE WHEN coalesce(type, 'text') IN ('text', 'list') THEN 800 ELSE 16000 END AS size, CASE WHEN coalesce(type, 'text') IN ('text', 'list') THEN 150 ELSE 800 END AS overlap FROM blocks WHERE text IS NOT NULL AND coalesce(type, 'text') <> 'table'"
+
+
+@query(f"""
+WITH {Q.split_text(_PLAIN_BLOCKS)},
+tables AS ({Q.split_table(f"SELECT block_id AS id, {_LONG_TABLE} AS t, 1600 AS size FROM blocks WHERE type = 'table' AND text IS NOT NULL")}),
+every AS (SELECT id AS block_id, {_NUMBERED} AS chunk_no, {_STRIP("t")} AS chunk FROM cut WHERE NOT more AND {_STRIP("t")} <> ''
+ UNION ALL SELECT id, (i - 1)::INT, {_STRIP("c")} FROM (SELECT id, unnest(chunks) AS c, generate_subscripts(chunks, 1) AS i FROM tables))
+SELECT e.block_id, b.type, e.chunk_no, e.chunk FROM every e JOIN blocks b ON e.block_id = b.block_id
+""")
 def q_chunks(spark, d):
-    return D.chunks(_blocks(spark, d).select("block_id", "type", "text"))
+    long = F.when(F.coalesce("type", F.lit("text")) == "table", _long_table()).otherwise(F.repeat(F.concat("text", F.lit(". ")), 5))
+    return D.chunks(_blocks(spark, d).filter("text is not null").select("block_id", "type", long.alias("text")))
 
 
 # --- order of blocks ----------------------------------------------------------------------------------------------------------------
@@ -364,21 +386,25 @@ def q_page_assign(spark, d):
 
 
 _RUNNING = f"""
-WITH pg AS (SELECT source AS doc, doc_id AS page, text FROM documents WHERE source IS NOT NULL),
+WITH pg AS (SELECT source AS doc, doc_id AS page, CASE WHEN hash_bucket < 8 THEN 'Bulletin of ' || source || chr(10) ELSE '' END || text AS text FROM (SELECT *, ('0x' || substr(md5(doc_id::VARCHAR), 1, 1))::INT AS hash_bucket FROM documents) WHERE source IS NOT NULL
+),
 ln AS (SELECT doc, page, string_split(text, chr(10)) AS ls FROM pg WHERE text IS NOT NULL),
 c AS (SELECT DISTINCT doc, page, unnest(list_transform(list_concat(ls[1:3], ls[greatest(len(ls) - 2, 1):]), lambda x: {_STRIP("x")})) AS line FROM ln),
 n AS (SELECT doc, count(DISTINCT page) AS total FROM pg GROUP BY 1 HAVING count(DISTINCT page) >= 3),
-r AS (SELECT c.doc, c.line, count(*)::BIGINT AS n_pages, n.total::BIGINT AS total FROM c JOIN n ON c.doc = n.doc WHERE length(line) BETWEEN 4 AND 120 GROUP BY c.doc, c.line, n.total HAVING count(*) >= n.total * 0.01)
+r AS (SELECT c.doc, c.line, count(*)::BIGINT AS n_pages, n.total::BIGINT AS total FROM c JOIN n ON c.doc = n.doc WHERE length(line) BETWEEN 4 AND 120 GROUP BY c.doc, c.line, n.total HAVING count(*) >= n.total * 0.4)
 """
 
 
 @query(_RUNNING + "SELECT * FROM r")
 def q_running_lines(spark, d):
-    return S.running_lines(_pages(spark, d), share=0.01)
+    return S.running_lines(_pages(spark, d))
 
 
 def _pages(spark, d):
-    return table(spark, d, "documents").filter("source is not null").select(F.col("source").alias("doc"), F.col("doc_id").alias("page"), "text")
+    # About half of the pages of a source get a running line.
+    half = F.conv(F.substring(F.md5(F.col("doc_id").cast("string").cast("binary")), 1, 1), 16, 10).cast("int") < 8
+    text = F.concat(F.when(half, F.concat(F.lit("Bulletin of "), "source", F.lit("\n"))).otherwise(""), "text")
+    return table(spark, d, "documents").filter("source is not null").select(F.col("source").alias("doc"), F.col("doc_id").alias("page"), text.alias("text"))
 
 
 @query(_RUNNING + f""", k AS (SELECT doc, list(line) AS lines FROM r GROUP BY 1),
@@ -386,7 +412,7 @@ s AS (SELECT pg.doc, pg.page, CASE WHEN k.lines IS NULL THEN pg.text ELSE {_STRI
 SELECT doc, page, text FROM s WHERE text <> ''
 """)
 def q_strip_running(spark, d):
-    return S.strip_running_lines(_pages(spark, d), share=0.01).select("doc", "page", "text")
+    return S.strip_running_lines(_pages(spark, d)).select("doc", "page", "text")
 
 
 # --- metadata ------------------------------------------------------------------------------------------------------------------------
@@ -456,19 +482,78 @@ def q_should_update(spark, d):
     return _papers(spark, d).select("bundle_id", r.alias("r")).select("bundle_id", "r.update", "r.reason")
 
 
-@query()
+_SIMILAR = Q.similar("x", "y")
+
+
+@query(f"""
+WITH a AS (SELECT bundle_id, entry_type, title, CASE WHEN bundle_id % 2 = 0 THEN concat_ws(chr(10), title, abstract) END AS page, CASE WHEN bundle_id % 5 = 0 THEN verified END AS said, bundle_id % 13 <> 0 AS ask FROM papers),
+b AS (SELECT *, {Q.squeeze("title")} AS x, substr(regexp_replace(coalesce(page, ''), '{_WS}+', '', 'g'), 1, length(regexp_replace(coalesce(title, ''), '{_WS}+', '', 'g'))) AS h FROM a),
+c AS (SELECT *, lower(h) AS y FROM b),
+v AS (SELECT *, CASE WHEN NOT ask OR coalesce(entry_type IN ('datasheet', 'manual', 'techreport', 'notes', 'other'), false) THEN true WHEN said IS NOT NULL THEN said WHEN page <> '' THEN {_SIMILAR} >= 0.8 ELSE false END AS ok FROM c)
+SELECT bundle_id, ok AS verified, CASE WHEN NOT ok AND said IS NOT NULL THEN 'sidecar says unverified' WHEN NOT ok AND page <> '' THEN 'title not on first page' WHEN NOT ok THEN 'nothing to verify with' END AS warning FROM v
+""")
 def q_verify(spark, d):
     first = F.when(F.col("bundle_id") % 2 == 0, F.concat_ws("\n", "title", "abstract"))
     v = R.verification(F.col("bundle_id") % 13 != 0, F.col("entry_type"), F.when(F.col("bundle_id") % 5 == 0, F.col("verified")), F.col("title"), first)
     return _papers(spark, d).select("bundle_id", v.alias("v")).select("bundle_id", "v.verified", "v.warning")
 
 
-@query()
+# What a rescue finds: w, and the catalogue's hit: m.
+_RESCUE = """WITH
+l AS (SELECT * FROM papers QUALIFY row_number() OVER (PARTITION BY paper_id ORDER BY bundle_id DESC) = 1),
+h AS (SELECT *, {title} AS own, {authors} AS own_authors FROM l),
+e AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY pos, block_id) AS rn FROM blocks) WHERE rn <= 15),
+f AS (SELECT paper_id, {strip} AS t, row_number() OVER (PARTITION BY paper_id ORDER BY rn) AS k FROM e WHERE coalesce(type, '') NOT IN ('junk', 'equation', 'figure', 'table') AND length({strip}) >= 5),
+c AS (SELECT * FROM f WHERE k <= 5),
+r AS (SELECT *, CASE WHEN length(t) <= 300 THEN t ELSE {title_of} END AS got, CASE WHEN length(t) > 300 THEN {authors_of} END AS with_title FROM (SELECT *, {lines} AS st FROM c WHERE NOT regexp_matches(t, '^\\p{{Nd}}+(\\.|{ws})') AND lower(t) NOT IN ('abstract', 'contents', 'references'))),
+t AS (SELECT paper_id, arg_min({{'got': got, 'w': with_title}}, k) AS b FROM r WHERE got IS NOT NULL GROUP BY 1),
+n AS (SELECT h.paper_id, arg_min({parse}, c.k) FILTER ({parse} IS NOT NULL) AS listed FROM h LEFT JOIN t ON h.paper_id = t.paper_id JOIN c ON h.paper_id = c.paper_id
+ WHERE c.t <> coalesce(CASE WHEN coalesce(h.own, '') = '' THEN t.b.got END, nullif(h.own, ''), '') AND length(c.t) <= 500 AND len(regexp_extract_all(c.t, '\\. ')) <= 3 AND NOT regexp_matches(lower(c.t), '^(abstract|keyword)') GROUP BY 1),
+g AS (SELECT h.paper_id, h.year AS y, nullif(h.doi, '') AS d, CASE WHEN coalesce(h.own, '') = '' THEN t.b.got END AS title, CASE WHEN coalesce(len(h.own_authors), 0) = 0 THEN coalesce(CASE WHEN coalesce(h.own, '') = '' THEN t.b.w END, n.listed) END AS names FROM h LEFT JOIN t ON h.paper_id = t.paper_id LEFT JOIN n ON h.paper_id = n.paper_id),
+w AS (SELECT * FROM g WHERE title IS NOT NULL OR names IS NOT NULL),
+k AS (SELECT lower(title) AS lt, title, list_transform(authors, lambda a: a.name) AS names, year, doi, journal FROM {catalog} WHERE title <> ''),
+m AS (SELECT w.paper_id, k.title, k.names, k.year, k.doi, k.journal FROM w JOIN k ON lower(w.title) = k.lt WHERE w.d IS NULL AND abs(coalesce(k.year - w.y, 0)) <= 2
+ QUALIFY row_number() OVER (PARTITION BY w.paper_id ORDER BY abs(coalesce(k.year - w.y, 0)), k.doi NULLS FIRST, k.title, k.journal) = 1)
+"""
+_PARTS = {"strip": _STRIP("coalesce(text, '')"), "title_of": Q.title_of("st"), "authors_of": Q.authors_of("st"), "lines": Q.title_lines("t"), "parse": Q.authors("c.t"), "ws": _WS}
+
+
+def _catalog(spark, d):
+    """Two lookups of every title: a paper of the same year, and one far off."""
+    known = M.latest(_papers(spark, d), "paper_id", "bundle_id").select(F.col("title"), F.col("authors.name").alias("authors"), "year", F.lower("doi").alias("doi"), "journal")
+    return known.groupBy("title", "year").agg(*[F.min(c).alias(c) for c in ("authors", "doi", "journal")])
+
+
+_CATALOG = "(SELECT title, year, min(lower(doi)) AS doi, min(journal) AS journal, NULL::STRUCT(name VARCHAR)[] AS authors FROM l GROUP BY title, year)"
+
+
+@query(_RESCUE.format(title="CASE WHEN bundle_id % 2 = 0 THEN title END", authors="CASE WHEN bundle_id % 3 > 0 THEN authors END", catalog=_CATALOG, **_PARTS) + """
+SELECT w.paper_id, coalesce(nullif(m.title, ''), w.title) AS title, array_to_string(w.names, '|') AS authors, m.year, nullif(m.doi, '') AS doi, nullif(m.journal, '') AS journal, CASE WHEN m.paper_id IS NULL THEN 'text_rescue' ELSE 'catalog_rescue' END AS source FROM w LEFT JOIN m ON w.paper_id = m.paper_id
+""")
 def q_rescue(spark, d):
     papers = M.latest(_papers(spark, d), "paper_id", "bundle_id")
-    bare = papers.withColumn("title", F.when(F.col("bundle_id") % 2 == 0, F.col("title")))
-    got = R.rescue(_blocks(spark, d), bare, papers.select("title", "doi", "year"))
-    return got.select("paper_id", "title", F.array_join("authors", "|").alias("authors"), "doi", "source")
+    bare = papers.withColumns({"title": F.when(F.col("bundle_id") % 2 == 0, F.col("title")), "authors": F.when(F.col("bundle_id") % 3 > 0, F.col("authors"))})
+    got = R.rescue(_blocks(spark, d), bare, _catalog(spark, d).drop("authors"))
+    return got.select("paper_id", "title", F.array_join("authors", "|").alias("authors"), "year", "doi", "journal", "source")
+
+
+# Every fifth title is replaced by the name of a file.
+_POOR = "CASE WHEN bundle_id % 5 = 0 THEN 'draft_' || bundle_id || '.indd' ELSE title END"
+
+
+@query(_RESCUE.format(title=f"CASE WHEN NOT regexp_matches({_STRIP(f'({_POOR})')}, '{T.GARBAGE_TITLE}') THEN {_POOR} END", authors="authors", catalog=_CATALOG, **_PARTS) + f""",
+j AS (SELECT h.*, w.paper_id IS NOT NULL AS rescued, coalesce(nullif(m.title, ''), nullif(w.title, ''), nullif(h.own, '')) AS new_title, coalesce(m.names, w.names, list_transform(h.authors, lambda a: a.name)) AS names, coalesce(m.year, h.year) AS new_year, concat_ws(chr(10), h.title, h.abstract) AS page,
+ CASE WHEN w.paper_id IS NULL THEN NULL WHEN m.paper_id IS NULL THEN 'text_rescue' ELSE 'catalog_rescue' END AS src, coalesce(nullif(m.doi, ''), nullif(h.doi, '')) AS new_doi FROM h LEFT JOIN w ON h.paper_id = w.paper_id LEFT JOIN m ON h.paper_id = m.paper_id),
+v AS (SELECT *, {Q.squeeze("new_title")} AS x, lower(substr(regexp_replace(coalesce(page, ''), '{_WS}+', '', 'g'), 1, length(regexp_replace(coalesce(new_title, ''), '{_WS}+', '', 'g')))) AS y FROM j)
+SELECT paper_id, new_title AS title, array_to_string(names, '|') AS authors, new_year AS year, new_doi AS doi, CASE WHEN rescued THEN {Q.slug("names", "new_year", "new_title")} ELSE slug END AS slug,
+ CASE WHEN rescued AND NOT coalesce(entry_type IN ('datasheet', 'manual', 'techreport', 'notes', 'other'), false) AND page <> '' THEN {_SIMILAR} >= 0.8 ELSE verified END AS verified, src AS source, rescued FROM v
+""")
+def q_fixup(spark, d):
+    papers = M.latest(_papers(spark, d), "paper_id", "bundle_id")
+    poor = F.when(F.col("bundle_id") % 5 == 0, F.concat(F.lit("draft_"), F.col("bundle_id").cast("string"), F.lit(".indd"))).otherwise(F.col("title"))
+    heads = papers.withColumns({"first_page": F.concat_ws("\n", "title", "abstract"), "title": poor, "sidecar_verified": F.lit(None).cast("boolean")})
+    got = R.fix_up(heads, _blocks(spark, d), _catalog(spark, d).drop("authors"))
+    return got.withColumn("authors", F.array_join("authors", "|"))
 
 
 @query("""
@@ -482,11 +567,15 @@ def q_update_meta(spark, d):
     return M.update_metadata(first, M.latest(p, "paper_id", "bundle_id").select("paper_id", "title", "year", "journal"), "paper_id").select("bundle_id", "title", "year", "journal")
 
 
-@query()
+@query("""
+WITH p AS (SELECT *, list_transform(authors, lambda a: a.name) AS names FROM papers QUALIFY row_number() OVER (PARTITION BY paper_id ORDER BY bundle_id DESC) = 1)
+SELECT paper_id AS id, coalesce(nullif(CASE WHEN bundle_id % 3 = 0 THEN 'On ' || title END, ''), nullif(CASE WHEN bundle_id % 2 = 0 THEN title END, ''), nullif(title, '')) AS title,
+ array_to_string(CASE WHEN len(names) > 0 THEN names END, '|') AS authors, year, nullif(journal, '') AS journal, coalesce(nullif(doi, ''), nullif(coalesce(doi, '10.9999/x'), '')) AS doi FROM p
+""")
 def q_merge_sources(spark, d):
     p = M.latest(_papers(spark, d), "paper_id", "bundle_id").select(F.col("paper_id").alias("id"), "title", F.col("authors.name").alias("authors"), "year", "journal", "doi", "bundle_id")
     empty = F.lit(None).cast("string")
-    got = R.merge_sources(p.withColumn("title", F.when(F.col("bundle_id") % 2 == 0, F.col("title"))), p.withColumn("title", F.when(F.col("bundle_id") % 3 == 0, F.upper("title"))), p.withColumn("doi", F.coalesce("doi", F.lit("10.9999/x"))), p.withColumn("journal", empty))
+    got = R.merge_sources(p.withColumn("title", F.when(F.col("bundle_id") % 2 == 0, F.col("title"))), p.withColumn("title", F.when(F.col("bundle_id") % 3 == 0, F.concat(F.lit("On "), "title"))), p.withColumn("doi", F.coalesce("doi", F.lit("10.9999/x"))), p.withColumn("journal", empty))
     return got.select("id", "title", F.array_join("authors", "|").alias("authors"), "year", "journal", "doi")
 
 
@@ -589,19 +678,82 @@ def q_report(spark, d):
     return M.report(table(spark, d, "events").select((F.col("event_type") != "click").alias("success"), (F.col("value") > 50).alias("updated")))
 
 
+_AUDIT = """
+SELECT strftime(extracted_at, '%Y-%m-%dT%H:%M:%S') AS timestamp, bundle_id::VARCHAR AS pdf_path, 'true' AS success, (bundle_id % 2 = 0)::VARCHAR AS updated, coalesce(slug, '') AS old_title, coalesce(title, '') AS new_title, '' AS old_doi, coalesce(doi, '') AS new_doi,
+ CASE WHEN bundle_id % 2 = 0 THEN 'forced' ELSE 'up to date' END AS message, coalesce(arxiv_id, '') AS error FROM papers
+"""
+
+
+def _audit(spark, d):
+    none, even = F.lit(""), F.col("bundle_id") % 2 == 0
+    return _papers(spark, d).select(
+        F.date_format("extracted_at", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"), F.col("bundle_id").cast("string").alias("pdf_path"), F.lit(True).alias("success"), even.alias("updated"), F.coalesce("slug", none).alias("old_title"),
+        F.coalesce("title", none).alias("new_title"), none.alias("old_doi"), F.coalesce("doi", none).alias("new_doi"), F.when(even, "forced").otherwise("up to date").alias("message"), F.coalesce("arxiv_id", none).alias("error"),
+        none.alias("old_author"), none.alias("old_identifier"), none.alias("old_keywords"), F.col("authors.name").alias("new_authors"), F.lit("bundle").alias("new_doi_provenance"), F.col("year").alias("new_year"), F.coalesce("journal", none).alias("new_journal"), even.alias("has_new"),
+    )
+
+
+@query(_AUDIT)
+def q_audit(spark, d):
+    folder = shared_folder(spark, "audit")
+    B.write_audit(_audit(spark, d), f"{folder}/audit.csv")
+    back = spark.read.options(header=True, multiLine=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{folder}/audit.csv")
+    return back.select(*[F.coalesce(c, F.lit("")).alias(c) for c in back.columns])
+
+
 @query("""
-SELECT bundle_id::VARCHAR AS pdf_path, (bundle_id % 2 = 0)::VARCHAR AS updated, coalesce(nullif(title, ''), '') AS new_title, coalesce(nullif(doi, ''), '') AS new_doi FROM papers
+SELECT bundle_id::VARCHAR AS pdf_path, coalesce(slug, '') AS old_title, CASE WHEN bundle_id % 2 = 0 THEN coalesce(title, '') END AS new_title, CASE WHEN bundle_id % 2 = 0 THEN len(authors) END AS n_authors, CASE WHEN bundle_id % 2 = 0 THEN year END AS new_year,
+ CASE WHEN bundle_id % 2 = 0 THEN 'authors,doi,doi_provenance,journal,title,year' END AS new_keys FROM papers
 """)
-def q_audit(spark, d):
+def q_audit_lines(spark, d):
     folder = shared_folder(spark, "audit")
-    none = F.lit("")
-    rows = _papers(spark, d).select(
-        F.col("bundle_id").cast("string").alias("pdf_path"), (F.col("bundle_id") % 2 == 0).alias("updated"), F.lit(True).alias("success"), none.alias("reason"), none.alias("old_title"), F.coalesce("title", none).alias("new_title"),
-        none.alias("old_author"), none.alias("new_author"), none.alias("old_doi"), F.coalesce("doi", none).alias("new_doi"),
-    )
-    B.write_audit(rows, f"{folder}/audit.csv")
-    back = spark.read.option("header", True).option("multiLine", True).csv(f"{folder}/audit.csv")
-    return back.select("pdf_path", "updated", F.coalesce("new_title", none).alias("new_title"), F.coalesce("new_doi", none).alias("new_doi"))
+    B.write_audit(_audit(spark, d), f"{folder}/audit.jsonl")
+    get = lambda path: F.get_json_object("value", path)
+    keys = F.array_join(F.array_sort(F.json_object_keys(get("$.new_metadata"))), ",")
+    number = F.size(F.from_json(get("$.new_metadata.authors"), "array<string>")).cast("long")
+    lines = spark.read.text(f"{folder}/audit.jsonl")
+    return lines.select(get("$.pdf_path").alias("pdf_path"), get("$.old_metadata.title").alias("old_title"), get("$.new_metadata.title").alias("new_title"), F.when(number >= 0, number).alias("n_authors"), get("$.new_metadata.year").cast("int").alias("new_year"), F.nullif(keys, F.lit("")).alias("new_keys"))
+
+
+@query("SELECT DISTINCT 'in/' || filename AS path, 'in/' || filename || '.bak' AS backup, 'cp -p in/' || filename || ' in/' || filename || '.bak' AS command FROM ingest_log WHERE filename IS NOT NULL")
+def q_backup_plan(spark, d):
+    files = table(spark, d, "ingest_log").filter("filename is not null").select(F.concat(F.lit("in/"), "filename").alias("path")).distinct()
+    return M.backup_plan(files).withColumn("command", F.array_join("command", " "))
+
+
+@query(r"""
+SELECT log_id, 'in/' || regexp_replace(filename, '\.[^.]*$', '') || '.error.txt' AS path, 'PDF: ' || filename || chr(10) || 'Time: ' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || chr(10) || 'Error: ' || coalesce(doi, '') || chr(10) || chr(10) || 'Traceback:' || chr(10) || coalesce(slug, '') AS body FROM ingest_log WHERE contains(filename, '.') AND NOT starts_with(filename, '.')
+""")
+def q_error_records(spark, d):
+    failed = table(spark, d, "ingest_log").filter("contains(filename, '.') and not startswith(filename, '.')")
+    record = M.error_record(F.concat(F.lit("in/"), "filename"), F.col("ts"), F.col("doi"), F.col("slug"))
+    return failed.select("log_id", record.alias("e")).select("log_id", "e.path", "e.body")
+
+
+@query(r"""
+WITH f AS (SELECT bundle_id AS id, CASE WHEN bundle_id % 3 = 0 THEN 's41586-020-' || lpad((bundle_id % 9999)::VARCHAR, 4, '0') || '-1' ELSE replace(doi, '/', '_') END AS stem, 'doi:' || upper(doi) AS identifier, doi || ', x' AS keywords, journal AS subject, CASE WHEN bundle_id % 2 = 0 THEN doi END AS internal FROM papers),
+c AS (SELECT id, 0 AS pos, nullif(regexp_extract(identifier, '(?i)(?:doi:)?(10\.\d{4,}/[^\s<>"},]+)', 1), '') AS doi, 'existing_tags' AS provenance FROM f UNION ALL SELECT id, 1, nullif(regexp_extract(keywords, '(?i)(?:doi:)?(10\.\d{4,}/[^\s<>"},]+)', 1), ''), 'existing_tags' FROM f
+ UNION ALL SELECT id, 2, nullif(regexp_extract(subject, '(?i)(?:doi:)?(10\.\d{4,}/[^\s<>"},]+)', 1), ''), 'existing_tags' FROM f UNION ALL SELECT id, 3, internal, 'internal' FROM f
+ UNION ALL SELECT id, 4, CASE WHEN starts_with(stem, 's41586') THEN '10.1038/' || stem WHEN regexp_matches(stem, '^10\.\d{4,}[_-]\S+$') THEN regexp_replace(stem, '^(10\.\d{4,})[_-](\S+)$', '\1/\2') END, 'filename' FROM f),
+n AS (SELECT id, pos, regexp_replace(lower(trim(doi)), '^doi:', '') AS doi, provenance FROM c)
+SELECT * FROM n WHERE regexp_matches(doi, '^10\.\d{4,}/[^\s<>"}]+$')
+""")
+def q_doi_candidates(spark, d):
+    b = F.col("bundle_id")
+    stem = F.when(b % 3 == 0, F.concat(F.lit("s41586-020-"), F.lpad((b % 9999).cast("string"), 4, "0"), F.lit("-1"))).otherwise(F.replace("doi", F.lit("/"), F.lit("_")))
+    files = _papers(spark, d).select(b.alias("id"), stem.alias("stem"), F.concat(F.lit("doi:"), F.upper("doi")).alias("identifier"), F.concat("doi", F.lit(", x")).alias("keywords"), F.col("journal").alias("subject"), F.when(b % 2 == 0, F.col("doi")).alias("internal"))
+    return R.doi_candidates(files)
+
+
+@query("""
+SELECT bundle_id, abstract AS paper_summary, CASE WHEN bundle_id % 3 = 0 THEN 'rake=' || coalesce(title, '') WHEN abstract <> '' THEN 'llm:unknown=' || abstract END AS entries FROM papers
+""")
+def q_migrate_meta(spark, d):
+    made = F.when(F.col("bundle_id") % 3 == 0, F.create_map(F.lit("rake"), F.coalesce("title", F.lit("")))).when(F.col("bundle_id") % 3 == 1, F.create_map().cast("map<string,string>"))
+    meta = _papers(spark, d).select("bundle_id", F.struct(F.col("abstract").alias("paper_summary"), made.alias("paper_summaries")).alias("m")).select("bundle_id", E.migrate_meta(F.col("m")).alias("m"))
+    again = meta.select("bundle_id", E.migrate_meta(F.col("m")).alias("m"))
+    entries = F.array_join(F.transform(F.map_entries("m.paper_summaries"), lambda e: F.concat(e.key, F.lit("="), e.value)), "|")
+    return again.select("bundle_id", "m.paper_summary", F.nullif(entries, F.lit("")).alias("entries"))
 
 
 # --- summaries and embeddings -------------------------------------------------------------------------------------------------------------
@@ -644,20 +796,47 @@ def q_truncate_unit(spark, d):
     return v.select("vec_id", F.round(F.get("v", F.lit(0)), 6).alias("first"), F.round(F.get("v", F.lit(15)), 6).alias("last"))
 
 
-@query()
+_SUMMARISED = f"NOT coalesce(type IN ('section_header', 'title', 'author', 'equation', 'junk'), false) AND length({_STRIP("coalesce(text, '')")}) >= 50"
+
+
+@query(f"""
+WITH {Q.key_phrases(f"SELECT block_id AS id, text AS t FROM blocks WHERE {_SUMMARISED}", E.STOP_WORDS)}
+SELECT block_id, CASE WHEN {_SUMMARISED} THEN coalesce(best.phrases, '') ELSE summaries['rake'] END AS rake FROM blocks LEFT JOIN best ON blocks.block_id = best.id
+""")
 def q_keyword_summaries(spark, d):
     return E.add_keywords(_blocks(spark, d).select("block_id", "type", "text", "summaries")).select("block_id", F.col("summaries")["rake"].alias("rake"))
 
 
-@query()
+@query(rf"""
+WITH w AS (SELECT block_id, unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+')) AS w FROM blocks WHERE NOT coalesce(type IN ('section_header', 'title', 'author', 'equation', 'junk'), false) AND {_STRIP("coalesce(text, '')")} <> ''),
+h AS (SELECT block_id, ('0x' || substr(md5(w), 1, 16))::UBIGINT AS h FROM w),
+v AS (SELECT block_id, list_transform(range(0, 8), lambda j: 0) AS z, sum(CASE WHEN h % 8 = 0 THEN CASE WHEN h >= 9223372036854775808 THEN 1 ELSE -1 END ELSE 0 END) AS d0, {", ".join(f"sum(CASE WHEN h % 8 = {j} THEN CASE WHEN h >= 9223372036854775808 THEN 1 ELSE -1 END ELSE 0 END) AS d{j}" for j in range(1, 8))} FROM h GROUP BY 1),
+n AS (SELECT block_id, [{", ".join(f"d{j}::DOUBLE" for j in range(8))}] AS d FROM v)
+SELECT b.block_id, round(n.d[1] / nullif(sqrt(list_sum(list_transform(n.d, lambda x: x * x))), 0), 3) AS first, round(n.d[8] / nullif(sqrt(list_sum(list_transform(n.d, lambda x: x * x))), 0), 3) AS last FROM blocks b JOIN n ON b.block_id = n.block_id
+""")
 def q_embeddings(spark, d):
-    return E.add_embeddings(_blocks(spark, d).select("block_id", "type", "text", "embeddings"), "hash8", 8).select("block_id", F.array_join(F.transform(F.col("embeddings")["hash8"], lambda x: F.round(x, 4)), ",").alias("vector"))
+    v = E.add_embeddings(_blocks(spark, d).select("block_id", "type", "text", "embeddings"), "hash8", 8).select("block_id", F.col("embeddings")["hash8"].alias("v"))
+    some = v.filter(F.exists("v", lambda x: x != 0) | F.col("v").isNotNull()).filter("v is not null")
+    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
+    at = lambda i: F.when(length > 0, F.round(F.get("v", F.lit(i)).cast("double"), 3))
+    return some.select("block_id", at(0).alias("first"), at(7).alias("last"))
 
 
-@query()
+def _echo(prompt: str) -> str:
+    """A model whose answer shows its context: the first word of the text behind the first word of the previous answer."""
+    lines = prompt.split("\n")
+    previous = next((x[10:] for x in lines if x.startswith("Previous: ")), "")
+    text = next((x for x in lines if not x.startswith(("Title: ", "Previous: "))), "")
+    return f"{text.split(' ')[0]}<{previous.split('<')[0]}"
+
+
+@query(f"""
+WITH e AS (SELECT paper_id, block_id, pos, string_split(string_split(substr(text, 1, 2000), chr(10))[1], ' ')[1] AS w FROM blocks WHERE NOT coalesce(type IN ('section_header', 'title', 'author', 'equation', 'junk'), false) AND length({_STRIP("coalesce(text, '')")}) >= 50)
+SELECT paper_id, block_id, w || '<' || coalesce(string_split(lag(w) OVER (PARTITION BY paper_id ORDER BY pos, block_id), '<')[1], '') AS summary FROM e
+""")
 def q_summary_context(spark, d):
-    titles = M.latest(_papers(spark, d), "paper_id", "bundle_id").select("paper_id", "title")
-    return E.rolling_summaries(_blocks(spark, d).join(titles, "paper_id", "left"))
+    titles = M.latest(_papers(spark, d), "paper_id", "bundle_id").select("paper_id", F.replace("title", F.lit("\n"), F.lit(" ")).alias("title"))
+    return E.rolling_summaries(_blocks(spark, d).join(titles, "paper_id", "left"), _echo)
 
 
 @query("""
@@ -714,9 +893,14 @@ def q_types_of_verified(spark, d):
 
 @query()
 def q_extract(spark, d):
-    docs = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("paper_id"), F.col("text").alias("markdown"))
-    got = P.extract_blocks(docs)
-    return got.select("paper_id", "node_id", "type", "text", F.coalesce(F.get("section_path", F.lit(0)), F.lit("")).alias("section"))
+    # Every document gets a figure with its caption, and a table of contents of its first words and of the figure.
+    figure = F.lit("\n\n![plot](fig/one.png)\n\nFig. 1: A plot of it.")
+    docs = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("paper_id"), F.concat("text", figure).alias("markdown"))
+    starts = docs.filter("markdown is not null").select("paper_id", F.explode(F.array(F.struct(F.lit(0).alias("toc_pos"), F.substring("markdown", 1, 20).alias("title"), F.lit(1).alias("page_id")), F.struct(F.lit(1).alias("toc_pos"), F.lit("![plot](fig/one.png)").alias("title"), F.lit(7).alias("page_id")))).alias("t"))
+    totals = docs.select("paper_id", F.lit(5).alias("total_pages"))
+    images = docs.select(F.col("paper_id").alias("doc_id"), F.lit(0).alias("image_pos"), F.lit("one.png").alias("name"))
+    got = P.extract_blocks(docs, starts.select("paper_id", "t.*"), totals, images)
+    return got.select("paper_id", "node_id", "page", "type", "text", F.coalesce(F.get("section_path", F.lit(0)), F.lit("")).alias("section"), "image")
 
 
 @query()
@@ -742,23 +926,48 @@ def q_shared_bundles(spark, d):
     return p.join(shared, "pdf_hash", "left").select(F.concat(F.lit("p/"), F.col("bundle_id").cast("string"), F.lit(".pdf")).alias("path"), F.col("yes").isNotNull().alias("short_way"))
 
 
-@query()
+_GATE = f"""
+CASE WHEN verified IS NULL AND title IS NULL THEN 'no metadata' WHEN NOT coalesce(verified, false) THEN 'unverified' || CASE WHEN len(verify_warnings) > 0 THEN ': ' || array_to_string(verify_warnings, '; ') ELSE '' END
+ WHEN unknown AND (t = '' OR t = 'untitled' OR starts_with(t, 'pii:') OR starts_with(t, 'pii ') OR length(t) < 5) THEN 'garbage title' WHEN unknown AND starts_with(coalesce(slug, ''), 'anon') THEN 'anonymous' END
+"""
+
+
+@query(f"""
+WITH a AS (SELECT *, lower({_STRIP("coalesce(title, '')")}) AS t, coalesce(doi, '') = '' AND coalesce(arxiv_id, '') = '' AND coalesce(s2_id, '') = '' AS unknown FROM papers WHERE pdf_hash IS NOT NULL),
+h AS (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY pdf_hash ORDER BY bundle_id) = 1),
+s AS (SELECT pdf_hash, min(slug) AS shared_slug FROM papers WHERE pdf_hash IS NOT NULL AND bundle_id % 3 = 0 AND {_STRIP("coalesce(title, '')")} <> '' GROUP BY 1),
+j AS (SELECT a.bundle_id, s.shared_slug, h.slug, CASE WHEN s.shared_slug IS NULL THEN h.gate END AS reason FROM a LEFT JOIN s ON a.pdf_hash = s.pdf_hash LEFT JOIN (SELECT pdf_hash, slug, {_GATE} AS gate FROM h) h ON a.pdf_hash = h.pdf_hash)
+SELECT 'p/' || bundle_id || '.pdf' AS path, CASE WHEN reason IS NULL THEN 'ok' ELSE 'failed' END AS status, reason, coalesce(shared_slug, slug) AS slug FROM j
+""")
 def q_ingest_results(spark, d):
     p = _papers(spark, d).filter("pdf_hash is not null")
     files = p.select(F.concat(F.lit("p/"), F.col("bundle_id").cast("string"), F.lit(".pdf")).alias("path"), "pdf_hash")
     # Every file has a bundle beside it; two in three are of another file.
     hashes = F.array(F.when(F.col("bundle_id") % 3 == 0, F.col("pdf_hash")).otherwise(F.concat(F.lit("other-"), "pdf_hash")))
     shared = p.select("pdf_hash", hashes.alias("hashes"), "title", "slug")
-    return P.ingest_results(files, p.select("pdf_hash", "verified", "verify_warnings", "doi", "arxiv_id", "s2_id", "title", "slug"), shared)
+    first = p.groupBy("pdf_hash").agg(F.min_by(F.struct(*[c for c in p.columns if c != "pdf_hash"]), "bundle_id").alias("r")).select("pdf_hash", "r.*")
+    return P.ingest_results(files, first.select("pdf_hash", "verified", "verify_warnings", "doi", "arxiv_id", "s2_id", "title", "slug"), shared)
 
 
-@query()
+_TAG_ARGS = """
+array_to_string(list_filter(list_concat(['-Title=' || nullif(title, ''), '-Author=' || nullif(array_to_string(ns, '; '), ''), '-Subject=' || nullif(concat_ws(', ', nullif(journal, ''), year::VARCHAR), ''),
+ '-Keywords=' || nullif(array_to_string(list_concat(list_filter([nullif(doi, '')], lambda x: x IS NOT NULL), list_filter(coalesce(keywords, []), lambda x: x <> '' AND x <> coalesce(doi, ''))), ', '), ''), '-XMP-dc:Identifier=doi:' || nullif(doi, '')],
+ list_transform(ns, lambda x: '-XMP-dc:Creator=' || x), ['-XMP-dc:Date=' || year::VARCHAR, '-XMP-dc:Title=' || nullif(title, ''), '-XMP-dc:Description=' || substr(nullif(abstract, ''), 1, 2000)]), lambda x: x IS NOT NULL), ' ')
+"""
+
+
+@query(f"""
+WITH a AS (SELECT *, 'p/' || bundle_id || '.pdf' AS path, list_filter(list_transform(coalesce(authors, []), lambda x: x.name), lambda x: x IS NOT NULL AND x <> '') AS ns, list_filter(list_transform(coalesce(authors, []), lambda x: x.name), lambda x: x IS NOT NULL) AS every,
+ CASE WHEN bundle_id % 2 = 0 THEN coalesce('doi:' || doi, '') ELSE '' END AS oi, CASE WHEN bundle_id % 2 = 0 THEN coalesce(doi, '') ELSE '' END AS ok, CASE WHEN bundle_id % 2 = 0 THEN coalesce(title, '') ELSE '' END AS ot, CASE WHEN bundle_id % 2 = 0 THEN 'x' ELSE '' END AS oa FROM papers),
+b AS (SELECT *, CASE WHEN coalesce(doi, '') <> '' AND NOT contains(lower(oi), 'doi:' || lower(doi)) AND NOT contains(lower(ok), lower(doi)) THEN 'doi missing' WHEN coalesce(title, '') <> '' AND length(ot) < 10 THEN 'title missing' WHEN array_to_string(every, '; ') <> '' AND oa = '' THEN 'author missing' ELSE 'up to date' END AS message FROM a)
+SELECT path AS pdf_path, message <> 'up to date' AS updated, message, ot AS old_title, coalesce(title, '') AS new_title, CASE WHEN message <> 'up to date' THEN 'cp -p ' || path || ' ' || path || '.bak; exiftool -overwrite_original -P ' || CASE WHEN {_TAG_ARGS} <> '' THEN {_TAG_ARGS} || ' ' ELSE '' END || path END AS steps FROM b
+""")
 def q_tag_updates(spark, d):
     p = _papers(spark, d).select(F.concat(F.lit("p/"), F.col("bundle_id").cast("string"), F.lit(".pdf")).alias("path"), "bundle_id", "title", F.col("authors.name").alias("authors"), "doi", "year", "journal", "abstract", "keywords")
     # Every file has a row of old tags; in every second one they are null.
     tagged = lambda c: F.when(F.col("bundle_id") % 2 == 0, c)
     old = p.select("path", tagged(F.concat(F.lit("doi:"), "doi")).alias("identifier"), tagged(F.col("doi")).alias("keywords"), tagged(F.col("title")).alias("title"), tagged(F.lit("x")).alias("author"))
-    return P.tag_updates(p.drop("bundle_id"), old).select("pdf_path", "updated", "reason", "new_title", F.array_join("command", " ").alias("command"))
+    return P.tag_updates(p.drop("bundle_id"), old).select("pdf_path", "updated", "message", "old_title", "new_title", F.array_join(F.transform("steps", lambda x: F.array_join(x, " ")), "; ").alias("steps"))
 
 
 @query("SELECT source AS key, count(*)::BIGINT AS n FROM documents d WHERE sha256(coalesce(text, '')) NOT IN (SELECT sha256(coalesce(text, '')) FROM documents WHERE source = 'publisher_feed') GROUP BY 1")

@@ -19,4 +19,5 @@ HEADER = _struct(
 BLOCK = _struct(node_id=_S, page=_I, type=_S, text=_S, section_path=_STRINGS, bbox=T.ArrayType(_I), embeddings=T.MapType(_S, T.ArrayType(T.FloatType())), summaries=_TEXTS, summary=_S, image_base64=_S, image_mime=_S)
 ENRICHMENT = _struct(summarizer=_S, paper_summaries=_TEXTS, paper_summary=_S, summary_prompts=T.MapType(_S, _struct(block=_S, paper=_S)), profiles=_STRINGS, embedding_models=T.MapType(_S, _struct(model=_S, dim=_I)))
 BUNDLE = _struct(header=HEADER, blocks=T.ArrayType(BLOCK), enrichment_meta=ENRICHMENT)
-AUDIT = ("pdf_path", "updated", "success", "reason", "old_title", "new_title", "old_author", "new_author", "old_doi", "new_doi")
+# The columns of an audit.
+AUDIT = ("timestamp", "pdf_path", "success", "updated", "old_title", "new_title", "old_doi", "new_doi", "message", "error")

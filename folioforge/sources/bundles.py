@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import gzip
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -59,15 +59,14 @@ def bundle_json(header: Column, blocks: Column, meta: Column) -> Column:
     return F.to_json(F.struct(header.alias("header"), blocks.alias("blocks"), meta.alias("enrichment_meta")), {"ignoreNullFields": "false"})
 
 
-def assemble(papers: DataFrame, blocks: DataFrame, *, key: str = "paper_id", most: int = 1_000_000) -> DataFrame:
-    """(key, json): one bundle for each paper. A bundle is one file by its definition; a paper of more than ``most`` blocks
-    is an error, not a bundle."""
+def assemble(papers: DataFrame, blocks: DataFrame, *, key: str = "paper_id") -> DataFrame:
+    """(key, json): one bundle for each paper. A bundle is one JSON document by its definition, so the blocks of a paper are
+    gathered in one row here and nowhere else; papers with too many blocks for that are kept as tables instead."""
     names = [f.name for f in BLOCK.fields]
     have = [F.col(n) if n in blocks.columns else F.lit(None).cast(BLOCK[n].dataType).alias(n) for n in names]
-    listed = blocks.select(key, "pos", "block_id", F.struct(*have).alias("b")).groupBy(key).agg(F.count("*").alias("n"), F.transform(F.array_sort(F.collect_list(F.struct("pos", "block_id", F.to_json("b").alias("j")))), lambda x: F.from_json(x.j, BLOCK)).alias("blocks"))
-    checked = F.when(F.col("n") <= most, F.col("blocks")).otherwise(F.raise_error(F.lit("a paper of too many blocks")).cast(T.ArrayType(BLOCK)))
+    listed = blocks.select(key, "pos", "block_id", F.struct(*have).alias("b")).groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "block_id", F.to_json("b").alias("j")))), lambda x: F.from_json(x.j, BLOCK)).alias("blocks"))
     header = F.struct(*[c for c in papers.columns if c not in ("bundle_id",)])
-    return papers.select(key, header.alias("header")).join(listed.select(key, checked.alias("blocks")), key, "left").select(key, bundle_json(F.col("header"), F.coalesce("blocks", F.array().cast(T.ArrayType(BLOCK))), F.lit(None).cast("string")).alias("json"))
+    return papers.select(key, header.alias("header")).join(listed, key, "left").select(key, bundle_json(F.col("header"), F.coalesce("blocks", F.array().cast(T.ArrayType(BLOCK))), F.lit(None).cast("string")).alias("json"))
 
 
 def write_bundles(bundles: DataFrame, folder: str, suffix: str = SUFFIX) -> None:
@@ -89,12 +88,23 @@ def write_bundles(bundles: DataFrame, folder: str, suffix: str = SUFFIX) -> None
     bundles.select("name", "json").foreachPartition(run)
 
 
+def audit_line(c: Callable[[str], Column] = F.col) -> Column:
+    """One line of an audit as JSON: the outcome, the old tags and the new metadata as objects of their own (null where nothing
+    was written)."""
+    new = F.struct(*[c(f"new_{n}").alias(n) for n in ("title", "authors", "doi", "doi_provenance", "year", "journal")])
+    old = F.struct(*[c(f"old_{n}").alias(n) for n in ("title", "author", "identifier", "keywords")])
+    line = F.struct(*[c(n).alias(n) for n in ("timestamp", "pdf_path", "success", "updated", "message", "error")], old.alias("old_metadata"), F.when(c("has_new"), new).alias("new_metadata"))
+    return F.to_json(line, {"ignoreNullFields": "false"})
+
+
 def write_audit(results: DataFrame, path: str) -> None:
-    """An audit of tag updates: CSV of ten columns for a path that ends so, else JSON lines."""
+    """An audit of tag updates: CSV of ten columns for a path that ends so, else JSON lines with nested metadata. The values of
+    CSV are quoted, so that blanks and line ends within them stay."""
     if path.lower().endswith(".csv"):
-        results.select(*AUDIT).write.mode("overwrite").option("header", True).csv(path)
+        flat = results.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in AUDIT])
+        flat.write.mode("overwrite").options(header=True, quoteAll=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
     else:
-        results.write.mode("overwrite").json(path)
+        results.select(audit_line().alias("line")).write.mode("overwrite").text(path)
 
 
 def append_log(lines: DataFrame, folder: str) -> None:

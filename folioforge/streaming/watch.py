@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from folioforge.operators.maintain import error_records
+
 
 def watch_files(spark: SparkSession, folder: str, *, recursive: bool = True, newest_first: bool = True) -> DataFrame:
     """A stream of the PDF files that appear in a folder, with their hash; work folders are left out, and so are empty files,
@@ -70,3 +72,23 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def route(status: Column, seen: Column) -> Column:
     """Where a file goes: duplicates and failures are put aside."""
     return F.when(F.coalesce(seen, F.lit(False)), "errors/duplicates").when(status == "ok", "completed").otherwise("errors")
+
+
+def deliver(batch: DataFrame, number: int, folder: str) -> None:
+    """Writes a micro-batch of outcomes (path, status, reason, seen, at, trace) to its sinks below ``folder``: each row goes to the
+    table of its route, and a failure has its error record as well. A batch that is run again replaces itself."""
+    routed = batch.withColumn("route", route(F.col("status"), F.col("seen")))
+    for name in ("completed", "errors", "errors/duplicates"):
+        routed.filter(F.col("route") == name).drop("route").write.mode("overwrite").parquet(f"{folder}/{name.replace('/', '-')}/batch={number}")
+    failed = routed.filter("route = 'errors'").select("path", "at", F.col("reason").alias("error"), "trace")
+    error_records(failed).write.mode("overwrite").parquet(f"{folder}/error-records/batch={number}")
+
+
+def settle(batch: DataFrame, waiting: DataFrame, now: Column, debounce: float = 3.0) -> tuple[DataFrame, DataFrame]:
+    """(files that are complete, files that wait) of a micro-batch and of those that waited (path, modificationTime, length, ...):
+    a file is complete if it is not empty and was not touched for ``debounce`` seconds; of several states of a file the last
+    counts. What waits is asked again with the next batch."""
+    every = batch.unionByName(waiting)
+    last = every.groupBy("path").agg(F.max_by(F.struct(*[c for c in every.columns if c != "path"]), F.struct("modificationTime", "length")).alias("f")).select("path", "f.*")
+    done = stable(F.col("modificationTime"), now, debounce) & (F.col("length") > 0)
+    return last.filter(done), last.filter(~done)

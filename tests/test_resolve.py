@@ -51,8 +51,37 @@ def test_log_line_has_seven_cells(spark):
 
 
 def test_rescue(spark):
-    blocks = spark.createDataFrame([("p", 0, 1, "text", "1. Introduction"), ("p", 1, 2, "text", "The real title"), ("p", 2, 3, "text", "Jane Doe, John Roe")], "paper_id string, pos int, block_id long, type string, text string")
-    heads = spark.createDataFrame([("p", "", None, None, 2000), ("q", "", None, None, None)], "paper_id string, title string, authors array<struct<name:string>>, doi string, year int")
-    known = spark.createDataFrame([("the real TITLE", "10.1/a", 2001), ("x", "y", 1)], "title string, doi string, year int")
-    got = R.rescue(blocks, heads, known).collect()
-    assert [(r["title"], r["authors"], r["doi"], r["source"]) for r in got] == [("The real title", ["Jane Doe", "John Roe"], "10.1/a", "catalog_rescue")]
+    texts = {"p": ["1. Introduction", "The real title", "Jane Doe, John Roe"], "r": ["A title that is known", "Ana Paz and Bo Lim", "Text. With. Many. Full. Stops."], "n": ["Abstract", "x"]}
+    blocks = spark.createDataFrame([(k, i, i, "text", t) for k, ts in texts.items() for i, t in enumerate(ts)], "paper_id string, pos int, block_id long, type string, text string")
+    heads = spark.createDataFrame([("p", "", None, None, 2000), ("q", "", None, None, None), ("r", "A title that is known", [], "10.1/r", None), ("n", None, None, None, None)], "paper_id string, title string, authors array<struct<name:string>>, doi string, year int")
+    known = spark.createDataFrame([("the real TITLE", "10.1/far", 1990), ("the real TITLE", "10.1/a", 2001), ("x", "y", 1)], "title string, doi string, year int")
+    got = {r["paper_id"]: r for r in R.rescue(blocks, heads, known).collect()}
+    assert set(got) == {"p", "r"}
+    assert (got["p"]["title"], got["p"]["authors"], got["p"]["doi"], got["p"]["year"], got["p"]["source"]) == ("the real TITLE", ["Jane Doe", "John Roe"], "10.1/a", 2001, "catalog_rescue")
+    assert (got["r"]["title"], got["r"]["authors"], got["r"]["source"]) == (None, ["Ana Paz", "Bo Lim"], "text_rescue")
+    assert R.rescue(blocks.limit(0), heads).count() == R.rescue(blocks, heads.limit(0)).count() == 0
+
+
+def test_fix_up(spark):
+    blocks = spark.createDataFrame([("p", 0, 1, "text", "The Slow River"), ("p", 1, 2, "text", "Jane Doe, John Roe")], "paper_id string, pos int, block_id long, type string, text string")
+    kinds = "paper_id string, title string, authors array<struct<name:string>>, year int, doi string, slug string, verified boolean, entry_type string, sidecar_verified boolean, first_page string"
+    page = "The Slow River\nJane Doe"
+    heads = spark.createDataFrame([("p", "draft_07.indd", None, 2001, None, "anon2001draft", False, "article", None, page), ("q", "A sound title", [("A B",)], 2000, "10.1/q", "b2000sound", True, "article", None, page)], kinds)
+    got = {r["paper_id"]: r for r in R.fix_up(heads, blocks).collect()}
+    assert (got["p"]["title"], got["p"]["authors"], got["p"]["slug"], got["p"]["verified"], got["p"]["rescued"]) == ("The Slow River", ["Jane Doe", "John Roe"], "doe2001slow", True, True)
+    assert (got["q"]["title"], got["q"]["slug"], got["q"]["rescued"]) == ("A sound title", "b2000sound", False)
+
+
+def test_garbage_titles(spark):
+    from folioforge.functions import text as T
+
+    bad = ["paper_v2.indd", "Microsoft Word - final.doc", "ABC-12-3456R1", "Manuscript No. 1234", "Paper title", "untitled", "Insert title here", "nmat1849", "PII: S0008-6223"]
+    good = ["The slow river", "Graphene in 2004", "Title matters for readers", "Word order in Latin", "", None]
+    df = spark.createDataFrame([(t,) for t in bad + good], "t string")
+    assert [r["g"] for r in df.select(T.is_garbage_title(F.col("t")).alias("g")).collect()] == [True] * len(bad) + [False] * len(good)
+
+
+def test_doi_candidates(spark):
+    files = spark.createDataFrame([("a", "s41586-020-2649-2", "doi:10.1/x", None, "see 10.1234/ab,", None), ("b", "10.1234_abc", None, None, None, "10.5555/i"), ("c", "plain", "", "", "", "bad")], "id string, stem string, identifier string, keywords string, subject string, internal string")
+    got = sorted((r["id"], r["pos"], r["doi"], r["provenance"]) for r in R.doi_candidates(files).collect())
+    assert got == [("a", 2, "10.1234/ab", "existing_tags"), ("a", 4, "10.1038/s41586-020-2649-2", "filename"), ("b", 3, "10.5555/i", "internal"), ("b", 4, "10.1234/abc", "filename")]
