@@ -91,20 +91,33 @@ def mark_junk(blocks: DataFrame, *, key: str = "paper_id", order: list[str] | No
     return carried.withColumn("type", F.when(junk, "junk").otherwise(F.col("type"))).drop("__state")
 
 
-def assign_pages(chunks: DataFrame, toc: DataFrame, totals: DataFrame, *, key: str = "paper_id", order: list[str] | None = None) -> DataFrame:
+def assign_pages(chunks: DataFrame, toc: DataFrame, totals: DataFrame, *, key: str = "paper_id", order: list[str] | None = None, most_titles: int = 200) -> DataFrame:
     """``chunks`` with ``page_no``: the page of the last table-of-contents entry whose title (its first forty characters) was
     met, at most the last page; 0 before the first and for documents of one page.
 
-    ``toc`` (key, toc_pos, title, page_id) is a table of contents; it goes to the chunks of its document as one array, so no
-    pairs are formed. An entry belongs to the first chunk that has its title; of several entries the last counts.
+    ``toc`` (key, toc_pos, title, page_id) is a table of contents. One of up to ``most_titles`` titles goes to the chunks of its
+    document as an array. A longer one would make as many comparisons as chunks times titles; there the beginnings of the
+    titles are an index, in which each place of a chunk is looked up, with the same result. An entry belongs to the first chunk
+    that has its title; of several entries the last counts.
     """
     order = order or ["pos", "block_id"]
     title = F.substring(T.strip(F.replace("title", F.lit("\n"), F.lit(" "))), 1, 40)
-    # Entries of one title belong to the same chunk, and the last counts: so an array has the distinct titles only.
+    # Entries of one title belong to the same chunk, and the last counts: so only distinct titles are looked for.
     entries = toc.select(key, "toc_pos", title.alias("t"), F.coalesce("page_id", F.lit(0)).alias("page_id")).filter("t <> ''").groupBy(key, "t").agg(F.max(F.struct("toc_pos", "page_id")).alias("last"))
-    lists = entries.groupBy(key).agg(F.collect_list(F.struct(F.col("last.toc_pos").alias("toc_pos"), F.col("t").alias("title"), F.col("last.page_id").alias("page_id"))).alias("__toc"))
-    flat = F.replace(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(" "))
-    met = chunks.select(key, *order, flat.alias("flat")).join(lists, key).select(key, *order, F.explode(F.filter("__toc", lambda t: F.col("flat").contains(t.title))).alias("e"))
+    entries = checkpointed(entries.select(key, F.struct(F.col("last.toc_pos").alias("toc_pos"), F.col("t").alias("title"), F.col("last.page_id").alias("page_id")).alias("e")))
+    sizes = entries.groupBy(key).agg(F.count("*").alias("n"), F.collect_set(F.least(F.length("e.title"), F.lit(_BEGINNING))).alias("lengths"))
+    flat = chunks.select(key, *order, F.replace(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(" ")).alias("flat"))
+
+    few = entries.join(sizes.filter(F.col("n") <= most_titles).select(key), key, "left_semi").groupBy(key).agg(F.collect_list("e").alias("__toc"))
+    met = flat.join(few, key).select(key, *order, F.explode(F.filter("__toc", lambda t: F.col("flat").contains(t.title))).alias("e"))
+    many = checkpointed(sizes.filter(F.col("n") > most_titles).select(key, "lengths"))
+    if not many.isEmpty():
+        beginning = F.substring("e.title", F.lit(1), F.lit(_BEGINNING)).alias("piece")
+        index = entries.join(many.select(key), key, "left_semi").select(key, "e", beginning)
+        places = F.transform(F.sequence(F.lit(1), F.length("flat")), lambda i: F.substring("flat", i, F.lit(40)))
+        looked = flat.filter("flat <> ''").join(many, key).select(key, *order, F.explode(F.array_distinct(places)).alias("at"), "lengths")
+        looked = looked.select(key, *order, "at", F.explode("lengths").alias("n")).select(key, *order, "at", F.substring("at", F.lit(1), F.col("n")).alias("piece"))
+        met = met.unionByName(looked.join(index, [key, "piece"]).filter(F.col("at").startswith(F.col("e.title"))).select(key, *order, "e"))
     first = met.groupBy(key, "e").agg(F.min(F.struct(*order)).alias("at"))
     anchors = first.groupBy(key, *[F.col(f"at.{o}").alias(o) for o in order]).agg(F.max_by("e.page_id", "e.toc_pos").alias("__anchor"))
     placed = carry_forward(chunks.join(anchors, [key, *order], "left"), F.col("__anchor"), "__page", key=key, order=order).join(totals.select(key, F.col("total_pages").alias("__total")), key, "left")
@@ -112,6 +125,10 @@ def assign_pages(chunks: DataFrame, toc: DataFrame, totals: DataFrame, *, key: s
     return placed.withColumn("page_no", page.cast("int")).drop("__anchor", "__page", "__total")
 
 
+#: Characters at the beginning of a title by which it is found.
+_BEGINNING = 12
+
+
 def running_lines(pages: DataFrame, *, share: float = 0.4, edge: int = 3) -> DataFrame:
     """(doc, line) that stand among the first or last lines on at least ``share`` of a document's pages (doc, page, text).
 

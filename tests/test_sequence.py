@@ -72,3 +72,16 @@ def test_empty(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert S.section_paths(empty).count() == S.captions(empty).count() == S.mark_junk(empty).count() == 0
     assert S.number_rows(empty, "n", key="paper_id", order=["pos", "block_id"]).agg(F.count("*")).first()[0] == 0
+
+
+def test_long_contents_are_looked_up_alike(spark):
+    """Titles that come as an array or from an index give the same pages, also within words and of one letter."""
+    import random
+
+    rng = random.Random(5)
+    words = ["Start", "Art", "Introduction", "Reintroduction of", "x", "Methods and results of the long trial", "The end"]
+    chunks = spark.createDataFrame([("p" if i % 3 else "q", i, i, " ".join(rng.choices(words, k=4)) + ("\nArt" if i % 5 else "")) for i in range(60)] + [("p", 99, 99, None), ("r", 0, 200, "Start")], "paper_id string, pos int, block_id long, text string")
+    toc = spark.createDataFrame([(p, i, rng.choice(words) + rng.choice(["", " " + rng.choice(words)]), i) for p in "pq" for i in range(30)] + [("p", 50, None, 1), ("p", 51, " ", 2)], "paper_id string, toc_pos int, title string, page_id int")
+    totals = spark.createDataFrame([("p", 25), ("q", 40)], "paper_id string, total_pages int")
+    got = [sorted((r["block_id"], r["page_no"]) for r in S.assign_pages(chunks, toc, totals, most_titles=n).collect()) for n in (200, 0)]
+    assert got[0] == got[1] and len({p for _, p in got[0]}) > 3
