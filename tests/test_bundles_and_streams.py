@@ -83,3 +83,36 @@ def test_rolling(spark):
     b = spark.createDataFrame(rows, "paper_id string, pos int, block_id long, type string, text string, title string")
     prompts = E.rolling_summaries(b, model=lambda p: str(p.count("Previous:")))
     assert [r["summary"] for r in prompts.orderBy("block_id").collect()] == ["0", "1", "1"]
+
+
+def test_deliver_and_settle(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from folioforge.streaming import watch as W
+
+    rows = [("in/a.pdf", "ok", None, False, None), ("in/b.pdf", "failed", "no metadata", False, "line 1"), ("in/c.pdf", "ok", None, True, None)]
+    batch = spark.createDataFrame(rows, "path string, status string, reason string, seen boolean, trace string").withColumn("at", F.lit("2024-01-02 03:04:05").cast("timestamp"))
+    for _ in range(2):  # a batch that is run again replaces itself
+        W.deliver(batch, 0, str(tmp_path))
+    paths = lambda name: [r["path"] for r in spark.read.parquet(f"{tmp_path}/{name}").collect()]
+    assert (paths("completed"), paths("errors"), paths("errors-duplicates"), paths("error-records")) == (["in/a.pdf"], ["in/b.pdf"], ["in/c.pdf"], ["in/b.error.txt"])
+    body = spark.read.parquet(f"{tmp_path}/error-records").first()["body"]
+    assert body == "PDF: b.pdf\nTime: 2024-01-02T03:04:05\nError: no metadata\n\nTraceback:\nline 1"
+
+    files = spark.sql("select * from values ('x', timestamp'2024-01-01 00:00:00', 5L), ('y', timestamp'2024-01-01 00:00:09', 5L), ('z', timestamp'2024-01-01 00:00:00', 0L) t(path, modificationTime, length)")
+    waiting = spark.sql("select * from values ('y', timestamp'2024-01-01 00:00:01', 2L) t(path, modificationTime, length)")
+    now = F.lit("2024-01-01 00:00:10").cast("timestamp")
+    done, rest = W.settle(files, waiting, now)
+    assert [r["path"] for r in done.collect()] == ["x"] and sorted(r["path"] for r in rest.collect()) == ["y", "z"]
+    done, rest = W.settle(files.limit(0), rest, F.lit("2024-01-01 00:01:00").cast("timestamp"))
+    assert [(r["path"], r["length"]) for r in done.collect()] == [("y", 5)] and [r["path"] for r in rest.collect()] == ["z"]
+
+
+def test_migration_counts(spark):
+    from folioforge.operators import enrich as E
+
+    text = "The slow river carries sand and stones across the wide valley in spring."
+    blocks = spark.createDataFrame([("p", 1, "text", text, None, "old"), ("p", 2, "text", "short", {"rake": "x"}, None), ("q", 3, "title", text, {}, None)], "paper_id string, block_id long, type string, text string, summaries map<string,string>, summary string")
+    after = E.add_keywords(E.migrate_summaries(blocks).drop("migrated"))
+    got = {r["paper_id"]: (r["raked_before"], r["raked_after"]) for r in E.migration_counts(blocks, after).collect()}
+    assert got == {"p": (1, 2), "q": (0, 0)}
