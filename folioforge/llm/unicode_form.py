@@ -62,6 +62,7 @@ def _java_class(ranges: list[tuple[int, int]]) -> str:
     return "".join(f"\\x{{{a:x}}}" + (f"-\\x{{{b:x}}}" if b > a else "") for a, b in ranges)
 
 
+@lru_cache(maxsize=65536)
 def script(c: str) -> str:
     """The script of a letter: the first word of its name."""
     return unicodedata.name(c, "?").split()[0].split("-")[0] if c > "\x7f" else "LATIN"
@@ -98,16 +99,28 @@ def _properties() -> tuple[list[int], dict[int, str], list[int], list[int]]:
     return sorted(unstable), fold, spaces, invisible
 
 
-@lru_cache(maxsize=1)
-def _patterns() -> tuple[re.Pattern, re.Pattern, re.Pattern, re.Pattern]:
+@lru_cache(maxsize=2)
+def _patterns(most: int) -> tuple[re.Pattern, re.Pattern, re.Pattern, re.Pattern]:
+    """Runs of what is no boundary, of folded characters, spaces, and runs of invisible characters, up to code point ``most``:
+    texts without characters beyond the first plane are looked through much faster without those."""
     unstable, fold, spaces, invisible = _properties()
-    no_boundary = _python_class(_ranges(unstable))
-    return (
-        re.compile(f"[^{no_boundary}]?[{no_boundary}]+", re.DOTALL),
-        re.compile(f"[{_python_class(_ranges(list(fold)))}]+"),
-        re.compile(f"[{_python_class(_ranges(spaces))}]"),
-        re.compile(f"[{_python_class(_ranges(invisible))}]+"),
-    )
+    of = lambda points: _python_class(_ranges([p for p in points if p <= most]))
+    return re.compile(f"[{of(unstable)}]+"), re.compile(f"[{of(fold)}]+"), re.compile(f"[{of(spaces)}]"), re.compile(f"[{of(invisible)}]+")
+
+
+def splice(text: str, run: re.Pattern) -> tuple[str, set[str]]:
+    """``text`` with every unstable segment, a run of what is no boundary with the boundary before it, normalised; and the kinds
+    of what was changed."""
+    out, last, kinds = [], 0, set()
+    for m in run.finditer(text):
+        start = max(last, m.start() - 1)
+        segment = text[start : m.end()]
+        form = unicodedata.normalize("NFC", segment)
+        if form != segment:
+            kinds.add("combining" if len(form) < len(segment) else "form")
+            out += (text[last:start], form)
+            last = m.end()
+    return ("".join((*out, text[last:])), kinds) if out else (text, kinds)
 
 
 @lru_cache(maxsize=1)
@@ -121,10 +134,12 @@ _MARKS = "\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff"
 _LATIN = "A-Za-zÀ-ɏḀ-ỿ"
 
 
-@lru_cache(maxsize=1)
-def _mixed() -> re.Pattern:
-    foreign, inside = _python_class(_foreign()), f"(?:[^\\W\\d_]|[{_MARKS}])"
-    return re.compile(f"{inside}*(?:[{_LATIN}][{_MARKS}]*[{foreign}]|[{foreign}][{_MARKS}]*[{_LATIN}]){inside}*")
+@lru_cache(maxsize=2)
+def _mixed(most: int) -> tuple[re.Pattern, re.Pattern]:
+    """Where letters of two scripts meet, and a word in which they do."""
+    foreign, inside = _python_class([(a, min(b, most)) for a, b in _foreign() if a <= most]), f"(?:[^\\W\\d_]|[{_MARKS}])"
+    meet = f"(?:[{_LATIN}][{_MARKS}]*[{foreign}]|[{foreign}][{_MARKS}]*[{_LATIN}])"
+    return re.compile(meet), re.compile(f"{inside}*{meet}{inside}*")
 
 
 def unstable_jvm() -> str:
@@ -199,7 +214,9 @@ def changes(text: str, doubles: dict[str, str] = FIXED) -> tuple[str, set[str]]:
     """(the canonical form, kinds of what was changed, out of CHANGES); nothing was changed exactly if nothing is unstable."""
     if text.isascii():
         return text, set()
-    segment, folded, space, invisible = _patterns()
+    most = 0x10FFFF if max(text) > "\uffff" else 0xFFFF
+    run, folded, space, invisible = _patterns(most)
+    meet, mixed = _mixed(most)
     kinds: set[str] = set()
 
     def fold(m: re.Match) -> str:
@@ -213,12 +230,6 @@ def changes(text: str, doubles: dict[str, str] = FIXED) -> tuple[str, set[str]]:
         kinds.add("invisible")
         return ""
 
-    def compose(m: re.Match) -> str:
-        out = unicodedata.normalize("NFC", m[0])
-        if out != m[0]:
-            kinds.add("combining" if len(out) < len(m[0]) else "form")
-        return out
-
     def one_script(m: re.Match) -> str:
         out = _one_script(m[0], doubles)
         if out != m[0]:
@@ -234,12 +245,14 @@ def changes(text: str, doubles: dict[str, str] = FIXED) -> tuple[str, set[str]]:
     out, n = space.subn(" ", text)
     if n:
         kinds.add("space")
-    out = segment.sub(compose, folded.sub(fold, invisible.sub(hide, out)))
-    out = _mixed().sub(one_script, out)
+    out, composed = splice(folded.sub(fold, invisible.sub(hide, out)), run)
+    kinds |= composed
+    if meet.search(out):
+        out = mixed.sub(one_script, out)
     if _RARE_DOUBLE.search(out) and len(re.findall("[A-Za-z]", out)) > len(re.findall("[Ѐ-џ]", out)):
         out = _DOUBLES.sub(all_doubles, out)
     # A letter that was replaced may compose with the marks behind it.
-    return (segment.sub(compose, out), kinds) if "script" in kinds else (out, kinds)
+    return (splice(out, run)[0], kinds) if "script" in kinds else (out, kinds)
 
 
 def canonical(text: str, doubles: dict[str, str] = FIXED) -> str:
