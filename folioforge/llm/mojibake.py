@@ -308,22 +308,36 @@ def log_probabilities(counted: Counter[str]) -> dict[str, float]:
     return {pair: math.log(n / total[alphabet[pair]]) for pair, n in counted.items()}
 
 
-def _likelihood(run: str, pairs: dict[str, float]) -> tuple[float, int]:
-    total, n = 0.0, 0
-    for word in re.findall(r"[^\W\d_]+", run):
-        low = f" {word.lower()} "
-        total += sum(pairs.get(a + b, -14.0) for a, b in zip(low, low[1:], strict=False))
-        n += len(low) - 1
-    return total, n
+_LETTER_WORDS = re.compile(r"[^\W\d_]+")
 
 
-def repair_run(run: str, pairs: dict[str, float]) -> str:
+class _Words(dict):
+    """The likelihood of words, remembered, as most are met again and again."""
+
+    def __init__(self, pairs: dict[str, float]) -> None:
+        super().__init__()
+        self.pairs = pairs
+
+    def __missing__(self, word: str) -> float:
+        if len(self) > 200_000:
+            self.clear()
+        low, get = f" {word.lower()} ", self.pairs.get
+        value = self[word] = sum(get(a + b, -14.0) for a, b in zip(low, low[1:], strict=False))
+        return value
+
+
+def _likelihood(run: str, words: _Words) -> tuple[float, int]:
+    found = _LETTER_WORDS.findall(run)
+    return sum(words[w] for w in found), sum(map(len, found)) + len(found)
+
+
+def repair_run(run: str, words: _Words) -> str:
     """A run of words without ASCII letters in which single-byte encodings may have been mistaken.
 
     Garbled and sound words may stand side by side: the run is cut where the script or the way of writing capitals changes, and
     each part is searched by itself.
     """
-    if not pairs:
+    if not words.pairs:
         return run
     parts: list[list] = []
     for token in re.findall(rf"{_LETTERS}+|(?:(?!{_LETTERS}).)+", run, re.DOTALL):
@@ -334,16 +348,17 @@ def repair_run(run: str, pairs: dict[str, float]) -> str:
             parts[-1][1] += token
         else:
             parts.append([kind, token])
-    return "".join(_repair_part(text, pairs) for _, text in parts)
+    return "".join(_repair_part(text, words) for _, text in parts)
 
 
-def _repair_part(run: str, pairs: dict[str, float]) -> str:
+def _repair_part(run: str, words: _Words) -> str:
     letters = len(re.findall(_LETTERS, run))
     if letters < 4:
         return run
 
     def swaps(s: str, depth: int) -> Iterator[tuple[str, bool, float]]:
-        for right, wrong in SWAPPED if depth < 2 else ():  # written as the bytes of one, read as the other
+        # A second swap is tried only where the first made it better.
+        for right, wrong in SWAPPED if not depth or (depth == 1 and price(s) < price(run)) else ():  # written as the bytes of one, read as the other
             try:
                 t = s.encode(right).decode(wrong)
             except UnicodeError:
@@ -353,10 +368,10 @@ def _repair_part(run: str, pairs: dict[str, float]) -> str:
 
     def price(s: str) -> float:
         # The right text is mostly small letters, or has none that are small or large.
-        shouted = sum(1 for w in re.findall(r"[^\W\d_]+", s) if len(w) > 1 and not w[1:].islower() and w[1:].lower() != w[1:].upper())
-        return 3.0 * shouted - _likelihood(s, pairs)[0]
+        shouted = sum(1 for w in _LETTER_WORDS.findall(s) if len(w) > 1 and not w[1:].islower() and w[1:].lower() != w[1:].upper())
+        return 3.0 * shouted - _likelihood(s, words)[0]
 
-    own, n = _likelihood(run, pairs)
+    own, n = _likelihood(run, words)
     best, best_cost = best_first(run, swaps, price)
     return best if -best_cost - own > 1.0 * n and -best_cost / n > -8.5 else run
 
@@ -365,7 +380,7 @@ class Repairer:
     """Repairs texts; remembers the words seen, as most are met again and again."""
 
     def __init__(self, pairs: dict[str, float]) -> None:
-        self.pairs = pairs
+        self.likely = _Words(pairs)
         self.words: dict[str, str] = {}
 
     def word(self, w: str) -> str:
@@ -380,7 +395,7 @@ class Repairer:
         """(the text as far as it can be restored, whether any of it was garbled)."""
         fixed = _WORD.sub(lambda m: self.word(m[0]), text)
         if len(re.findall(_LETTERS, fixed)) >= 4:
-            fixed = _FOREIGN_RUN.sub(lambda m: repair_run(m[0], self.pairs), fixed)
+            fixed = _FOREIGN_RUN.sub(lambda m: repair_run(m[0], self.likely), fixed)
         return fixed, fixed != text or bool(_LOST.search(text)) or _dangling(text)
 
 
