@@ -26,21 +26,20 @@ from pyspark.sql import functions as F
 from folioforge.llm.segment_join import similar_pairs, similar_pairs_of_two
 from folioforge.session import checkpointed
 
-# Short forms of given names and the full names they stand for.
+# Common English short forms of given names and the full names they stand for; others are mined from the corpus.
 NICKNAMES: dict[str, tuple[str, ...]] = {
-    "alex": ("alexander", "alexandra"), "andy": ("andrew", "andreas"), "becky": ("rebecca",), "ben": ("benjamin",), "beppe": ("giuseppe",), "bert": ("albert", "robert"),
+    "alex": ("alexander", "alexandra"), "andy": ("andrew", "andreas"), "becky": ("rebecca",), "ben": ("benjamin",), "bert": ("albert", "robert"),
     "beth": ("elizabeth",), "betty": ("elizabeth",), "bill": ("william",), "bob": ("robert",), "charlie": ("charles",), "chris": ("christopher", "christine"), "chuck": ("charles",),
-    "dan": ("daniel",), "dave": ("david",), "debbie": ("deborah",), "deb": ("deborah",), "dick": ("richard",), "ed": ("edward",), "eddie": ("edward",), "etta": ("henrietta",),
-    "fati": ("fatima",), "frank": ("francis", "franklin"), "fred": ("frederick", "friedrich"), "gabe": ("gabriel",), "greg": ("gregory",), "greta": ("margaret",), "hans": ("johannes",),
-    "harry": ("henry", "harold"), "hetty": ("henrietta",), "inga": ("ingrid",), "jack": ("john",), "jim": ("james",), "jimmy": ("james",), "joe": ("joseph",), "johnny": ("john",),
-    "jupp": ("jurgen", "josef"), "kate": ("katherine",), "kathy": ("katherine",), "katya": ("ekaterina",), "ken": ("kenneth",), "kolya": ("nikolai",), "larry": ("lawrence",),
+    "dan": ("daniel",), "dave": ("david",), "debbie": ("deborah",), "deb": ("deborah",), "dick": ("richard",), "ed": ("edward",), "eddie": ("edward",), 
+    "frank": ("francis", "franklin"), "fred": ("frederick", "friedrich"), "gabe": ("gabriel",), "greg": ("gregory",), "hans": ("johannes",),
+    "harry": ("henry", "harold"), "jack": ("john",), "jim": ("james",), "jimmy": ("james",), "joe": ("joseph",), "johnny": ("john",),
+    "kate": ("katherine",), "kathy": ("katherine",), "ken": ("kenneth",), "larry": ("lawrence",),
     "leo": ("leonie", "leonard", "leopold"), "liz": ("elizabeth",), "lizzie": ("elizabeth",), "maggie": ("margaret",), "matt": ("matthew",), "meg": ("margaret",), "mike": ("michael",),
-    "mick": ("michael",), "mina": ("wilhelmina",), "minna": ("wilhelmina",), "misha": ("mikhail",), "nat": ("nathaniel", "natalie"), "ned": ("edward",), "nick": ("nicholas", "nikolai"),
-    "ossi": ("oskar",), "paco": ("francisco",), "pancho": ("francisco",), "pat": ("patrick", "patricia"), "peggy": ("margaret",), "pepe": ("jose",), "pete": ("peter",),
-    "priya": ("priyanka",), "rick": ("richard",), "rob": ("robert",), "ron": ("ronald",), "sam": ("samuel", "samantha"), "sandy": ("alexander", "sandra"), "sasha": ("alexander", "alexandra"),
-    "sepp": ("josef",), "steve": ("stephen", "steven"), "sue": ("susanna", "susan"), "susie": ("susanna", "susan"), "ted": ("theodore", "edward"), "theo": ("theodore",), "tim": ("timothy",),
-    "tom": ("thomas",), "tony": ("anthony", "antonio"), "ulya": ("uliana",), "vicky": ("victoria",), "vitya": ("viktor",), "vova": ("vladimir",), "will": ("william",), "yusi": ("yusuf",),
-    "zsofi": ("zsofia",),
+    "mick": ("michael",), "nat": ("nathaniel", "natalie"), "ned": ("edward",), "nick": ("nicholas", "nikolai"),
+    "pat": ("patrick", "patricia"), "peggy": ("margaret",), "pete": ("peter",),
+    "rick": ("richard",), "rob": ("robert",), "ron": ("ronald",), "sam": ("samuel", "samantha"), "sandy": ("alexander", "sandra"), "sasha": ("alexander", "alexandra"),
+    "steve": ("stephen", "steven"), "sue": ("susanna", "susan"), "susie": ("susanna", "susan"), "ted": ("theodore", "edward"), "theo": ("theodore",), "tim": ("timothy",),
+    "tom": ("thomas",), "tony": ("anthony", "antonio"), "vicky": ("victoria",), "will": ("william",), 
 }
 # Words that tell an organisation, with their usual abbreviations; words that belong to no name; strings that name nobody.
 BODIES = {"institute": "inst", "laboratory": "lab", "laboratories": "labs", "centre": "ctr", "center": "cent", "observatory": "obs", "department": "dept", "university": "univ", "academy": "acad", "college": "coll", "school": "sch", "faculty": "fac", "society": "soc", "association": "assoc", "agency": "agcy", "foundation": "found", "consortium": "consort", "company": "co", "corporation": "corp", "ministry": "min", "museum": "mus", "hospital": "hosp", "group": "grp", "network": "netw", "survey": "surv"}
@@ -193,6 +192,31 @@ def _turned(forms: DataFrame) -> DataFrame:
     return forms.filter("turned_how = ''").select(columns).unionByName(known.select("name", "kind", pick("head"), pick("rest"), pick("how"), "middle"))
 
 
+#: A short form is mined if it stands beside a full name under so many surnames, and under that share of its surnames with
+#: two or three given names.
+SHORT_SURNAMES, SHORT_SHARE = 2, 0.5
+
+
+def short_forms(people: DataFrame) -> DataFrame:
+    """(rest, meant): given names that are short forms of others, mined from ``people`` (head, rest).
+
+    One person under two given names shows by a surname that hardly anybody else has. Only surnames with two or three given
+    names are looked at, so no group is large; a name that stands beside the same other one under several of them, and seldom
+    without it, is taken for its short form. The more frequent name is meant, of several the one met most often.
+    """
+    pairs = people.select("head", "rest").filter("length(rest) > 1").distinct()
+    surnames = checkpointed(pairs)
+    spread = surnames.groupBy("rest").agg(F.count("*").alias("n"))
+    few = surnames.groupBy("head").agg(F.count("*").alias("n")).filter("n between 2 and 3").select("head")
+    rare = surnames.join(few, "head", "left_semi")
+    beside = rare.join(rare.withColumnRenamed("rest", "meant"), "head").filter("rest <> meant").groupBy("rest", "meant").agg(F.count("*").alias("together"))
+    beside = beside.filter(F.col("together") >= SHORT_SURNAMES)
+    alone = rare.groupBy("rest").agg(F.count("*").alias("own"))
+    judged = beside.join(alone, "rest").join(spread, "rest").join(spread.withColumnsRenamed({"rest": "meant", "n": "n_meant"}), "meant")
+    sure = judged.filter((F.col("together") >= SHORT_SHARE * F.col("own")) & (F.struct("n_meant", "meant") > F.struct("n", "rest")))
+    return sure.groupBy("rest").agg(F.max_by("meant", F.struct("together", "n_meant", "meant")).alias("meant"))
+
+
 def _squash(c: str) -> Column:
     return F.replace(F.col(c), F.lit(" "), F.lit(""))
 
@@ -231,6 +255,10 @@ def link_names(names: DataFrame) -> DataFrame:
     """
     read = checkpointed(read_names(names.select(F.col("name").cast("string").alias("name")).filter(F.col("name").isNotNull()).distinct()))
     forms = checkpointed(_turned(read))
+    person = (F.col("kind") == "person") & (F.col("how") == "full")
+    short = short_forms(forms.filter(person)).withColumnRenamed("rest", "__short")
+    known_as = F.when(person & (F.length("rest") > 1), F.col("rest")) == F.col("__short")
+    forms = checkpointed(forms.join(short, known_as, "left").withColumn("rest", F.coalesce("meant", "rest")).drop("__short", "meant"))
 
     # Full forms.
     full = forms.filter("how = 'full'").withColumn("words", F.col("rest")).withColumn("rest", _squash("rest"))

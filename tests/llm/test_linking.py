@@ -76,6 +76,19 @@ def test_links(spark):
     assert got == {(a, b) for g in same for a in g for b in g if a < b}
 
 
+def test_short_forms_are_mined(spark):
+    """A given name that stands beside another one under surnames of one person is its short form; a name of its own is none."""
+    from folioforge.llm.names import short_forms
+
+    people = [(f"rare{i}", g) for i in range(6) for g in ("wolodymyr", "wolko")] + [(f"other{i}", "wolodymyr") for i in range(4)]
+    # Persons of one surname: every pair of given names is met once.
+    people += [(f"mixed{i}{j}", g) for i, a in enumerate(("anatol", "ines", "stella")) for j, b in enumerate(("boris", "carl", "dora")) for g in (a, b)]
+    people += [("miller", f"name{i}") for i in range(50)] + [("rare0", None), (None, "wolko")]
+    got = {(r["rest"], r["meant"]) for r in short_forms(spark.createDataFrame(people, "head string, rest string")).collect()}
+    assert got == {("wolko", "wolodymyr")}
+    assert short_forms(spark.createDataFrame([], "head string, rest string")).count() == 0
+
+
 def test_an_error_in_each_part(spark):
     """Two typing errors, one in each part, link a name seen once to one that is well attested, and no two seldom names."""
     often = ["Victoria Kyhydymi", "Kyhydymi, Victoria", "Dr. Victoria Kyhydymi", "victoria kyhydymi", "VICTORIA KYHYDYMI"]
