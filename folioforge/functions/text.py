@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType, StringType
 
+from folioforge.functions.recode import WORD, repair_word
+
 # Ligatures and their letters.
 LIGATURES = {"\ufb00": "ff", "\ufb01": "fi", "\ufb02": "fl", "\ufb03": "ffi", "\ufb04": "ffl", "\ufb05": "st", "\ufb06": "st"}
 # Beginnings of headings that are journal matter.
@@ -79,8 +82,9 @@ _C1 = re.compile("[\x80-\x9f]")
 
 
 def compose_text(s: str | None) -> str | None:
-    """Misread UTF-8 repaired where the sequences are valid, C1 controls read as what they are in the Western code page, line
-    ends made one kind, then NFC. Greek, arrows, sub- and superscripts, primes and character references stay as they are."""
+    """Misread UTF-8 repaired where the sequences are valid in a Western encoding, or where the search over encodings finds a
+    clearly better word; C1 controls read as what they are in the Western code page, line ends made one kind, then NFC. Greek,
+    arrows, sub- and superscripts, primes and character references stay as they are."""
     if s is None or s.isascii() and "\r" not in s:
         return s
     for _ in range(3):
@@ -88,11 +92,17 @@ def compose_text(s: str | None) -> str | None:
         if t == s:
             break
         s = t
+    s = WORD.sub(lambda m: _repaired(m[0]) if not m[0].isascii() else m[0], s)
     s = _C1.sub(lambda m: m[0].encode("latin-1").decode("cp1252", "ignore") or m[0], s)
     s = s.replace("\r\n", "\n").replace("\r", "\n").replace("\u2028", "\n").replace("\u2029", "\n").replace("\u0085", "\n")
     return unicodedata.normalize("NFC", s)
 
 
+@lru_cache(maxsize=100_000)
+def _repaired(word: str) -> str:
+    return repair_word(word)
+
+
 @pandas_udf(StringType())
 def compose(texts: pd.Series) -> pd.Series:
     return texts.map(compose_text, na_action="ignore")
