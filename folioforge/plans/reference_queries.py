@@ -437,7 +437,7 @@ def q_sidecar_override(spark, d):
 WITH c AS (SELECT paper_id AS id, bundle_id AS pos, doi, CASE bundle_id % 3 WHEN 0 THEN 'bundle' WHEN 1 THEN 'internal' ELSE 'filename' END AS provenance FROM papers WHERE doi IS NOT NULL
  UNION ALL SELECT paper_id, bundle_id, upper(' doi:' || doi || 'x'), 'sidecar' FROM papers WHERE doi IS NOT NULL),
 n AS (SELECT id, pos, regexp_replace(lower(trim(doi)), '^doi:', '') AS doi, provenance FROM c),
-v AS (SELECT n.*, k.doi IS NOT NULL AS validated FROM n LEFT JOIN (SELECT DISTINCT lower(doi) AS doi FROM papers WHERE doi <> '' AND year % 2 = 0) k ON n.doi = k.doi WHERE regexp_matches(n.doi, '^10\\.\\d{4,}/[^\\s<>"}]+$'))
+v AS (SELECT n.*, k.doi IS NOT NULL AS validated FROM n LEFT JOIN (SELECT DISTINCT CASE WHEN year % 2 = 0 THEN lower(doi) ELSE lower(doi) || '-old' END AS doi FROM papers WHERE doi <> '') k ON n.doi = k.doi WHERE regexp_matches(n.doi, '^10\\.\\d{4,}/[^\\s<>"}]+$'))
 SELECT id, doi, provenance, validated FROM v QUALIFY row_number() OVER (PARTITION BY id ORDER BY validated DESC, list_position(['bundle', 'sidecar', 'secondary_validator', 'internal', 'existing_tags', 'filename'], provenance), pos, doi) = 1
 """)
 def q_doi_select(spark, d):
@@ -445,7 +445,7 @@ def q_doi_select(spark, d):
     by = F.when(F.col("bundle_id") % 3 == 0, "bundle").when(F.col("bundle_id") % 3 == 1, "internal").otherwise("filename")
     c = p.select(F.col("paper_id").alias("id"), F.col("bundle_id").alias("pos"), "doi", by.alias("provenance"))
     c = c.unionByName(p.select(F.col("paper_id").alias("id"), F.col("bundle_id").alias("pos"), F.upper(F.concat(F.lit(" doi:"), "doi", F.lit("x"))).alias("doi"), F.lit("sidecar").alias("provenance")))
-    return R.best_doi(c, p.filter("doi <> '' and year % 2 = 0").select("doi"))
+    return R.best_doi(c, p.filter("doi <> ''").select(F.when(F.col("year") % 2 == 0, F.col("doi")).otherwise(F.concat("doi", F.lit("-old"))).alias("doi")))
 
 
 @query("""
@@ -722,10 +722,10 @@ def q_backup_plan(spark, d):
 
 
 @query(r"""
-SELECT log_id, 'in/' || regexp_replace(filename, '\.[^.]*$', '') || '.error.txt' AS path, 'PDF: ' || filename || chr(10) || 'Time: ' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || chr(10) || 'Error: ' || coalesce(doi, '') || chr(10) || chr(10) || 'Traceback:' || chr(10) || coalesce(slug, '') AS body FROM ingest_log WHERE contains(filename, '.') AND NOT starts_with(filename, '.')
+SELECT log_id, 'in/' || regexp_replace(filename, '(.)\.[^./]*$', '\1') || '.error.txt' AS path, 'PDF: ' || filename || chr(10) || 'Time: ' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || chr(10) || 'Error: ' || coalesce(doi, '') || chr(10) || chr(10) || 'Traceback:' || chr(10) || coalesce(slug, '') AS body FROM ingest_log WHERE filename IS NOT NULL
 """)
 def q_error_records(spark, d):
-    failed = table(spark, d, "ingest_log").filter("contains(filename, '.') and not startswith(filename, '.')")
+    failed = table(spark, d, "ingest_log").filter("filename is not null")
     record = M.error_record(F.concat(F.lit("in/"), "filename"), F.col("ts"), F.col("doi"), F.col("slug"))
     return failed.select("log_id", record.alias("e")).select("log_id", "e.path", "e.body")
 
@@ -917,12 +917,14 @@ def q_enrich(spark, d):
 
 @query("""
 WITH f AS (SELECT bundle_id, 'p/' || bundle_id || '.pdf' AS path, pdf_hash FROM papers WHERE pdf_hash IS NOT NULL),
-s AS (SELECT pdf_hash, min(slug) AS shared_slug FROM papers WHERE bundle_id % 2 = 0 AND trim(coalesce(title, ''), ' ' || chr(9) || chr(10) || chr(160)) <> '' AND pdf_hash IS NOT NULL GROUP BY 1)
+s AS (SELECT pdf_hash, min(slug) AS shared_slug FROM papers WHERE CASE WHEN bundle_id % 2 = 0 THEN pdf_hash ELSE 'other-' || pdf_hash END = pdf_hash AND trim(coalesce(title, ''), ' ' || chr(9) || chr(10) || chr(160)) <> '' AND pdf_hash IS NOT NULL GROUP BY 1)
 SELECT f.path, s.shared_slug IS NOT NULL AS short_way FROM f LEFT JOIN s ON f.pdf_hash = s.pdf_hash
 """)
 def q_shared_bundles(spark, d):
     p = _papers(spark, d).filter("pdf_hash is not null")
-    shared = p.filter("bundle_id % 2 = 0").select("pdf_hash", F.array("pdf_hash").alias("hashes"), "title", "slug").filter(P.shared_bundle_valid(F.col("pdf_hash"), F.col("hashes"), F.col("title"))).select("pdf_hash").distinct().withColumn("yes", F.lit(True))
+    # Every file has a bundle beside it; every second one is of another file.
+    hashes = F.array(F.when(F.col("bundle_id") % 2 == 0, F.col("pdf_hash")).otherwise(F.concat(F.lit("other-"), "pdf_hash")))
+    shared = p.select("pdf_hash", hashes.alias("hashes"), "title", "slug").filter(P.shared_bundle_valid(F.col("pdf_hash"), F.col("hashes"), F.col("title"))).select("pdf_hash").distinct().withColumn("yes", F.lit(True))
     return p.join(shared, "pdf_hash", "left").select(F.concat(F.lit("p/"), F.col("bundle_id").cast("string"), F.lit(".pdf")).alias("path"), F.col("yes").isNotNull().alias("short_way"))
 
 
