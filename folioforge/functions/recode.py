@@ -29,7 +29,11 @@ MARGIN, FAR_FETCHED = 0.9, 5.0
 _SIGNS = frozenset("°±×·½¼¾≤≥≈→′″²³§•")
 
 LOST = re.compile("[�\x80-\x84\x86-\x9f]")
-WORD = re.compile(r"[^ \t\r\n]*[^\x00-\x7f][^ \t\r\n]*|[^ \t\r\n]*&(?:#\d{2,7}|#[xX][0-9a-fA-F]{2,6}|[A-Za-z]{2,8});[^ \t\r\n]*")
+#: Words with a character beyond ASCII or a character reference. They are tried from their beginning only, so that a long word
+#: is read once.
+WORD = re.compile(
+    r"(?<![^ \t\r\n])(?:[\x00-\x08\x0b\x0c\x0e-\x1f\x21-\x7f]*[^\x00-\x7f][^ \t\r\n]*|(?=[^ \t\r\n&]*&)[^ \t\r\n]*?&(?:#\d{2,7}|#[xX][0-9a-fA-F]{2,6}|[A-Za-z]{2,8});[^ \t\r\n]*)"
+)
 
 
 @lru_cache(maxsize=65536)
