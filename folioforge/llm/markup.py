@@ -93,7 +93,7 @@ _CONSTRUCT = re.compile(
  |(?P<wikitable>^\{{\|.*?^\|\}})
  |(?P<template>\{{\{{[^{{}}\n]{{1,400}}\}}\}})
  |(?P<wikilink>\[\[(?P<target>[^\[\]\n]{{1,300}})\]\])
- |(?P<wikihead>^(?P<eqs>={{1,6}})[ \t]*(?P<wtitle>[^=\n].*?)[ \t]*={{1,6}}[ \t]*$)
+ |(?P<wikihead>^(?P<eqs>={{1,6}})[ \t]*(?P<wtitle>[^=\n][^\n]*?)[ \t]*={{1,6}}[ \t]*$)
  |(?P<wikiemph>(?P<quotes>'{{2,5}})(?P<winner>[^'\n](?:.*?[^'\n])?)(?P=quotes))
  |(?P<display>\$\$(?P<dinner>.+?)\$\$|\\\[(?P<binner>.+?)\\\])
  |(?P<inline>(?<![\\\w$])\$(?=[^$\n]*[\\^_{{}}=])(?P<iinner>[^\s$](?:[^$\n]*[^\s$])?)\$(?![\w$])|\\\((?P<pinner>[^\n]+?)\\\))
@@ -103,7 +103,7 @@ _CONSTRUCT = re.compile(
  |(?P<bare>(?<![\\\w:/.])\\(?P<bname>[a-zA-Z]{{2,}})\b(?![\\/]))
  |(?P<escape>(?<![\\\w:])\\[%&$\#_{{}}]|(?<=\d)\\[%&$\#])
  |(?P<mdhead>^\#{{1,6}}[ \t]+(?P<mtitle>\S.*?)[ \t]*\#*[ \t]*$)
- |(?P<setext>^(?P<stitle>[^\n]*\w[^\n]*)\n(?:={{3,}}|-{{3,}})[ \t]*$)
+ |(?P<setext>^(?=[^\n]*\n(?:={{3,}}|-{{3,}})[ \t]*$)(?P<stitle>[^\n]*\w[^\n]*)\n(?:={{3,}}|-{{3,}})[ \t]*$)
  |(?P<rule>^(?:\*[ ]?){{3,}}$|^-{{3,}}[ \t]*$|^_{{3,}}[ \t]*$)
  |(?P<image>!\[(?P<alt>[^\]\n]*)\]\([^()\s]*(?:[ ]"[^"\n]*")?\))
  |(?P<link>\[(?P<ltext>[^\[\]\n]+)\]\([^()\s]+(?:[ ]"[^"\n]*")?\))
