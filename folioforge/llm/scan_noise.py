@@ -109,9 +109,18 @@ def noise_lines(lines: list[str], titles: tuple[str, ...] = ()) -> list[bool]:
     out = [False] * len(lines)
     if len(lines) < 2:
         return out
+    # The lines before and behind that are not blank.
+    bare_lines = [x.strip() for x in lines]
+    befores, afters, last = [], [""] * len(lines), ""
+    for x in bare_lines:
+        befores.append(last)
+        last = x or last
+    last = ""
+    for i in range(len(lines) - 1, -1, -1):
+        afters[i] = last
+        last = bare_lines[i] or last
     fenced = False
-    for i, line in enumerate(lines):
-        s = line.strip()
+    for i, s in enumerate(bare_lines):
         if re.match(r"```|~~~|<pre|\{\||\\begin|\$\$", s):
             fenced = not re.search(r"</pre>|.\$\$$", s)
         if fenced:
@@ -119,8 +128,7 @@ def noise_lines(lines: list[str], titles: tuple[str, ...] = ()) -> list[bool]:
             continue
         if not s:
             continue
-        before = next((x.strip() for x in reversed(lines[:i]) if x.strip()), "")
-        after = next((x.strip() for x in lines[i + 1 :] if x.strip()), "")
+        before, after = befores[i], afters[i]
         if re.fullmatch(r"[=\-~^]{3,}", after) or _MARKUP_LINE.match(before[:1] or " ") and before[:1] in "`~{|":
             continue
         bare = _EDGE_NUMBER.sub("", s).strip()
