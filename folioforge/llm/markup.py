@@ -40,12 +40,13 @@ TYPES = ("text", "section_header")
 class MarkupPlan:
     """A slot is template if it has the same content on at least ``template_pages`` different pages of a host and on
     ``template_share`` of them. Trees of more than ``most_nodes`` nodes are cut into pieces. Up to ``most_labels`` labels that
-    were found to be markup are broadcast; more are joined."""
+    were found to be markup, and slots of up to ``most_shapes`` shapes, are broadcast; more are joined."""
 
     template_pages: int = 8
     template_share: float = 0.9
     most_nodes: int = 400
     most_labels: int = 100_000
+    most_shapes: int = 20_000
 
 
 # Names of HTML elements.
@@ -493,6 +494,8 @@ def induce(pages: DataFrame, plan: MarkupPlan) -> tuple[DataFrame, DataFrame, Da
     shapes = distinct.groupBy(*_CLUSTER, "shape").agg(F.count("*").alias("pages"))
     models = shapes.groupBy(_CLUSTER).agg(F.max_by("shape", F.struct("pages", "shape")).alias("model"))
     slots = checkpointed(_aligned(shapes.join(models, _CLUSTER).select(*_CLUSTER, "shape", "model")))
+    # Pages of one shape may be many: while shapes are few, their slots go to the pages, and no page is moved.
+    slots = F.broadcast(slots) if slots.limit(plan.most_shapes + 1).count() <= plan.most_shapes else slots
     placed = distinct.join(slots, [*_CLUSTER, "shape"]).select(*_CLUSTER, F.explode(F.arrays_zip("slots", "labels", "contents")).alias("n"))
     by_content = placed.filter("n.slots >= 0").groupBy(*_CLUSTER, F.col("n.slots").alias("slot"), F.col("n.labels").alias("label"), F.col("n.contents").alias("content")).agg(F.count("*").alias("n"))
     by_slot = by_content.groupBy(*_CLUSTER, "slot", "label").agg(F.max("n").alias("top"), F.sum("n").alias("all"), (F.min("content") != F.max("content")).alias("varies"))

@@ -42,7 +42,7 @@ def test_one_page_of_each_is_not_enough(spark, monkeypatch):
 
 
 def test_labels_are_joined_alike(spark):
-    assert found(spark, TEXTS, M.MarkupPlan(most_labels=0)) == found(spark, TEXTS)
+    assert found(spark, TEXTS, M.MarkupPlan(most_labels=0, most_shapes=0)) == found(spark, TEXTS)
 
 
 def test_copies_are_no_template(spark):
