@@ -190,7 +190,7 @@ def ending_features(part: str, ws: list[str], ending: tuple[float, float, float]
         f += [f"usual{usual}", f"usual{usual} ends{_bucket(ends, (0.01, 0.08))} longer{_bucket(longer, (2, 8))}"]
     # The surest signs are features of several names, so that fewer steps teach them a high weight.
         if word in HANGING:
-            f += ["hanging", "hanging again", f"hanging {word}"]
+            f += ["hanging", "hanging again"]
         if end in "–—-,;:(=/":
             f += ["mark", "mark again", f"mark {end}"]
         if part.count("(") > part.count(")"):
@@ -424,7 +424,7 @@ class Judge:
             return "copy"
         if foreign > 0.5:
             return "language"
-        return "truncated" if unfinished > 0.45 else None
+        return "truncated" if unfinished > 0.3 else None
 
 
 def ending_of(counts: dict[str, list[int]], longer: dict[str, int], total: int, response: str) -> tuple[float, float, float]:
