@@ -3,8 +3,9 @@
 Method. Character n-gram models of residue (filler; error pages and notices; keyboard mash) and of natural prose are compared
 window by window: sentences and lines, long ones in pieces. A window is residue if the log likelihood ratio says so, and a
 document is excluded if residue covers most of its body; a title before it is not counted. The residue models start from
-general examples; the prose model comes from a bounded sample of the corpus (``sample_docs``). Then the models learn from the
-sample themselves: windows of documents that residue covers join the residue models, the other documents the prose model.
+general examples, the prose model from all documents. Then the models learn from the documents themselves: windows of those
+that residue covers join the residue models, the others the prose model. Whatever is counted is counted over every row, in
+passes over the table that each return sums of a bounded size; nothing depends on how the table is stored.
 
 Placeholders are scored likewise. Every span between delimiters, and every word without small letters, is a candidate; n-gram
 models of unfilled fields (made from delimiters and field names by rule) and of the candidates of the corpus are compared. A
@@ -16,23 +17,25 @@ from __future__ import annotations
 
 import random
 import re
-from collections.abc import Iterator
+import zlib
+from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.session import bounded_sample
+from folioforge.session import checkpointed
 
 
 @dataclass(frozen=True)
 class ResiduePlan:
-    """``sample_docs`` documents at most are used to fit the models; ``coverage`` of the body must be residue. The models learn ``rounds`` times from documents with a
-    share of ``learn``."""
+    """``coverage`` of the body must be residue. The models learn ``rounds`` times from documents with a share of ``learn``."""
 
-    sample_docs: int = 4000
     coverage: float = 0.6
     learn: float = 0.5
     order: int = 4
@@ -89,7 +92,7 @@ Debe activar JavaScript para ver esta página. Su navegador tiene desactivados l
 Schakel JavaScript in om deze pagina te bekijken. De pagina is niet gevonden. Attiva JavaScript nel browser per leggere questa pagina. La pagina richiesta non esiste.
 Home. Menu. Search. Login. Contact us. Imprint. Sitemap. Skip to navigation. Go to the start page. Privacy. Terms. Share. Print. Help. About us. Sign up. Next page. Previous page. Copyright by the operator of this site.
 """
-#: Prose of any subject, also about the web: it stands beside the sample, whose subject may be narrow.
+#: Prose of any subject, also about the web: it stands beside the corpus, whose subject may be narrow.
 PROSE = """
 The committee met in spring and agreed on a plan for the coming years, which was published the following week. Nobody expected that prices would fall so quickly, but by autumn most farmers had sold their stock.
 We counted how often visitors met a broken link and how long the servers needed to answer; the share was small. The study asks why many pages vanish from the web within a few years and what libraries can do about it.
@@ -121,12 +124,11 @@ LEADS = ("", "", "", "your ", "insert ", "enter ", "add ", "the ")
 
 # --- windows and n-grams of a batch ------------------------------------------------------------------------------------------
 
-_LOWER = np.array([ord(chr(i).lower()) if len(chr(i).lower()) == 1 else i for i in range(0x10000)], np.uint32)
+_LOWER = np.array([ord(chr(i).lower()) if len(chr(i).lower()) == 1 else i for i in range(0x10000)], np.uint64)
 _LOWER[0x30:0x3A] = 0x39  # digits are alike
-_WORD = np.array([chr(i).isalnum() for i in range(0x10000)])
-_SPACE = np.array([chr(i).isspace() for i in range(0x10000)])
-_STOPS = np.zeros(0x10000, bool)
-_STOPS[[ord(c) for c in ".!?…。"]] = True
+# What a code point is, in bits.
+_WORD, _SPACE, _STOP = 1, 2, 4
+_KINDS = np.array([_WORD * chr(i).isalnum() + _SPACE * chr(i).isspace() + _STOP * (chr(i) in ".!?…。") for i in range(0x10000)], np.uint8)
 
 
 def _codes(text: str) -> np.ndarray:
@@ -134,17 +136,25 @@ def _codes(text: str) -> np.ndarray:
 
 
 def _look(table: np.ndarray, x: np.ndarray, beyond) -> np.ndarray:
-    return np.where(x < 0x10000, table[np.minimum(x, 0xFFFF)], beyond)
+    out = table.take(x, mode="clip")
+    if len(x) and x.max() >= 0x10000:
+        out = np.where(x < 0x10000, out, beyond)
+    return out
+
 
+def _kinds(x: np.ndarray) -> np.ndarray:
+    return _look(_KINDS, x, np.uint8(_WORD))
 
-def window_starts(x: np.ndarray, width: int) -> np.ndarray:
+
+def window_starts(x: np.ndarray, width: int, kinds: np.ndarray | None = None) -> np.ndarray:
     """Where the windows of the code points ``x`` begin: sentences and lines, long ones in pieces of about ``width``."""
-    space = _look(_SPACE, x, False)
-    stop = _look(_STOPS, x, False)
-    after = np.append(space[1:], True)
+    kinds = _kinds(x) if kinds is None else kinds
+    ends = x == 10
     # A window begins behind a line end, and with the white space behind a full stop.
-    cut = np.flatnonzero((stop & after) | (x == 10)) + 1
-    starts = np.unique(np.concatenate([[0], cut[cut < len(x)]])) if len(x) else np.zeros(0, np.int64)
+    ends[:-1] |= ((kinds[:-1] & _STOP) > 0) & ((kinds[1:] & _SPACE) > 0)
+    ends[-1:] |= (kinds[-1:] & _STOP) > 0
+    cut = np.flatnonzero(ends) + 1
+    starts = np.concatenate([[0], cut[cut < len(x)]]) if len(x) else np.zeros(0, np.int64)
     sizes = np.diff(np.append(starts, len(x)))
     n = np.maximum(1, np.round(sizes / width)).astype(np.int64)
     k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -153,19 +163,33 @@ def window_starts(x: np.ndarray, width: int) -> np.ndarray:
 
 def grams(x: np.ndarray, starts: np.ndarray, plan: ResiduePlan) -> np.ndarray:
     """The bucket of the n-gram that ends at each code point; what stands before a window counts as blanks."""
-    low = _look(_LOWER, x, x).astype(np.uint64)
-    since = np.arange(len(x)) - np.repeat(starts, np.diff(np.append(starts, len(x))))
-    h = np.zeros(len(x), np.uint64)
-    for back in range(plan.order - 1, -1, -1):
-        c = low if not back else np.where(since >= back, np.concatenate([np.full(min(back, len(x)), 32, np.uint64), low[:-back]]), np.uint64(32))
-        h = h * np.uint64(0x9E3779B97F4A7C15) + c + np.uint64(1)
+    last = plan.order - 1
+    c = np.concatenate([np.full(last, 33, np.uint64), _look(_LOWER, x, x) + np.uint64(1)])
+    h = _chain([c[last - back : len(c) - back] for back in range(last, -1, -1)])
+    sizes = np.diff(np.append(starts, len(x)))
+    for since in range(last):
+        at = starts[sizes > since] + since
+        h[at] = _chain([c[at + last - back] if back <= since else np.full(len(at), 33, np.uint64) for back in range(last, -1, -1)])
+    return (h & np.uint64(plan.buckets - 1) if not plan.buckets & (plan.buckets - 1) else h % np.uint64(plan.buckets)).view(np.int64)
+
+
+def _chain(codes: list[np.ndarray]) -> np.ndarray:
+    """The hash of a sequence of code points (plus 1), the first of which is its own hash."""
+    h = codes[0].copy()
+    for c in codes[1:]:
+        h *= np.uint64(0x9E3779B97F4A7C15)
+        h += c
         h ^= h >> np.uint64(29)
-    return (h % np.uint64(plan.buckets)).astype(np.int64)
+    return h
 
 
-def _count(texts: list[str], plan: ResiduePlan) -> np.ndarray:
-    x = _codes("\n".join(texts))
-    return np.bincount(grams(x, window_starts(x, 10_000), plan), minlength=plan.buckets).astype(np.float32) if len(x) else np.zeros(plan.buckets, np.float32)
+def _count(texts: list[str], plan: ResiduePlan, out: np.ndarray | None = None) -> np.ndarray:
+    """How often each n-gram occurs in ``texts`` and the line ends behind them, added to ``out``: the sum of the counts of each."""
+    out = np.zeros(plan.buckets, np.int64) if out is None else out
+    for _, parts in _slices(texts, ""):
+        x = _codes("".join(t if t.endswith("\n") else t + "\n" for t in parts))
+        np.add.at(out, grams(x, window_starts(x, 10_000), plan), 1)
+    return out
 
 
 def _ratio(yes: np.ndarray, no: np.ndarray) -> np.ndarray:
@@ -181,33 +205,51 @@ def mash(seed: int, letters: int = 60_000) -> str:
 
 def _title_end(text: str) -> int:
     """Where the body begins: behind a first paragraph of one line without a full stop that a blank line follows."""
+    if "\n" not in text:
+        return 0
     m = re.match(r"\s*([^\n]{4,200}?[^\n.!?…\s])[ \t]*\n[ \t]*\n(?=\s*\S)", text)
     return m.end() if m else 0
 
 
-def score_windows(texts: list[str], ratios: np.ndarray, plan: ResiduePlan) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, weight, best score, best class) of the windows of ``texts``, all scored in one pass. The weight of a window is its
+def _all_starts(x: np.ndarray, firsts: np.ndarray, bodies: np.ndarray, plan: ResiduePlan, kinds: np.ndarray | None = None) -> np.ndarray:
+    """Where the windows of joined texts begin: a text and a body begin one, too."""
+    begins = np.zeros(len(x) + 1, bool)
+    for at in (window_starts(x, plan.window, kinds), firsts, bodies):
+        begins[at] = True
+    return np.flatnonzero(begins[: len(x)])
+
+
+def _window_sums(texts: list[str], ratios: np.ndarray, plan: ResiduePlan) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, weight, sums of the columns of ``ratios``) of the windows of ``texts``, all in one pass. The weight of a window is its
     number of characters that are no white space; of one without a word, or in a title, it is 0."""
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     firsts = np.cumsum(lengths + 1) - lengths - 1
+    body = firsts + np.fromiter(map(_title_end, texts), np.int64, len(texts))
     x = _codes("\n".join(texts))
-    starts = np.unique(np.concatenate([window_starts(x, plan.window), firsts[lengths > 0], firsts + np.fromiter(map(_title_end, texts), np.int64, len(texts))]))
-    starts = starts[starts < len(x)]
+    kinds = _kinds(x)
+    starts = _all_starts(x, firsts[lengths > 0], body, plan, kinds)
     if not len(starts):
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.float32, np.int64))
-    sums = np.add.reduceat(ratios[grams(x, starts, plan)], starts, axis=0)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, ratios.shape[1]), np.float32)
+    found = grams(x, starts, plan)
+    sums = np.stack([np.add.reduceat(ratios[:, i].take(found), starts) for i in range(ratios.shape[1])], axis=1)
     # What repeats a character for the fifth time says nothing.
+    same = x[1:] == x[:-1]
     repeated = np.zeros(len(x), bool)
-    repeated[4:] = (x[4:] == x[3:-1]) & (x[4:] == x[2:-2]) & (x[4:] == x[1:-3]) & (x[4:] == x[:-4])
-    inked = np.add.reduceat(~(_look(_SPACE, x, False) | repeated), starts, dtype=np.int64)
-    word = np.add.reduceat(_look(_WORD, x, True), starts, dtype=np.int64) > 0
+    repeated[4:] = same[3:] & same[2:-1] & same[1:-2] & same[:-3]
+    inked = np.add.reduceat(~(((kinds & _SPACE) > 0) | repeated), starts, dtype=np.int64)
+    word = np.logical_or.reduceat((kinds & _WORD) > 0, starts)
     row = np.searchsorted(firsts, starts, side="right") - 1
-    body = firsts + np.fromiter(map(_title_end, texts), np.int64, len(texts))
     weight = np.where(word, inked, 0)
     weight_body = np.where(starts >= body[row], weight, 0)
     # A text that is all title has no other body.
     alone = np.bincount(row, weight_body, len(texts)) == 0
-    return row, np.where(alone[row], weight, weight_body), sums.max(axis=1), sums.argmax(axis=1)
+    return row, np.where(alone[row], weight, weight_body), sums
+
+
+def score_windows(texts: list[str], ratios: np.ndarray, plan: ResiduePlan) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, weight, best score, best class) of the windows of ``texts``."""
+    row, weight, sums = _window_sums(texts, ratios, plan)
+    return row, weight, sums.max(axis=1), sums.argmax(axis=1)
 
 
 #: The log likelihood ratio a character that a window needs lies between these; where, held-out prose decides.
@@ -218,14 +260,6 @@ def _is_residue(weight: np.ndarray, score: np.ndarray, limit: float) -> np.ndarr
     return score > np.maximum(2.0 if limit > 0 else -20.0, limit * weight)
 
 
-def _limit(prose: list[str], classes: list[np.ndarray], plan: ResiduePlan) -> float:
-    """What 99 of 100 windows of prose stay below, with some room: one half of the sample is judged by models of the other."""
-    ratios = np.stack([_ratio(c, _count(prose[::2], plan)) for c in classes], axis=1)
-    _, weight, score, _ = score_windows(prose[1::2], ratios, plan)
-    long = weight >= 20
-    return float(np.clip(np.quantile(score[long] / weight[long], 0.99) + 0.5, LEAST, MOST)) if long.sum() >= 100 else MOST
-
-
 def residue_shares(texts: list[str], models: Models, plan: ResiduePlan) -> np.ndarray:
     """The share of residue windows in the body of each text, by characters. A text of more than ``_SLICE`` characters is scored in
     slices that end with lines, which no window crosses: memory is bounded by the longest line."""
@@ -238,18 +272,20 @@ def residue_shares(texts: list[str], models: Models, plan: ResiduePlan) -> np.nd
 
 
 _SLICE = 1 << 20
+#: Characters that are scored at once, if texts are shorter: what numpy works on stays in the caches.
+_PIECE = 1 << 17
 
 
-def _slices(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
+def _slices(texts: list[str], mark: str = ".\n") -> Iterator[tuple[list[int], list[str]]]:
     """(rows, texts) to be scored at once: all short ones, then the slices of each long one. A slice behind the first begins with
-    a full stop of its own, so that its first line is no title."""
+    a full stop of its own (``mark``), so that its first line is no title."""
     short = [i for i, t in enumerate(texts) if len(t) <= _SLICE]
     yield short, [texts[i] for i in short]
     for i, t in enumerate(texts):
         at = 0
         while len(t) > _SLICE and at < len(t):
             end = len(t) if len(t) - at <= _SLICE else t.rfind("\n", at, at + _SLICE) + 1 or t.find("\n", at + _SLICE) + 1 or len(t)
-            yield [i], [t[at:end] if not at else ".\n" + t[at:end]]
+            yield [i], [t[at:end] if not at else mark + t[at:end]]
             at = end
 
 
@@ -257,10 +293,9 @@ def _window_texts(texts: list[str], plan: ResiduePlan) -> list[str]:
     x = _codes("\n".join(texts))
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     firsts = np.cumsum(lengths + 1) - lengths - 1
-    starts = np.unique(np.concatenate([window_starts(x, plan.window), firsts[lengths > 0], firsts + np.fromiter(map(_title_end, texts), np.int64, len(texts))]))
-    starts = starts[starts < len(x)]
+    starts = _all_starts(x, firsts[lengths > 0], firsts + np.fromiter(map(_title_end, texts), np.int64, len(texts)), plan)
     whole = "\n".join(texts)
-    return [whole[a:b].strip("\n") for a, b in zip(starts, [*starts[1:], len(x)], strict=True)]
+    return [whole[a:b].strip("\n") for a, b in zip(starts, [*starts[1:], len(x)] if len(starts) else (), strict=True)]
 
 
 # --- placeholders -----------------------------------------------------------------------------------------------------------
@@ -270,6 +305,8 @@ _SPAN = re.compile(
     rf"\{{\{{{_INSIDE}\}}\}}|[$#]\{{{_INSIDE}\}}|\{{%{_INSIDE}%\}}|\{{[^{{}}\n]{{0,60}}\}}|<%{_INSIDE}%>|<<{_INSIDE}>>|</?{_INSIDE}>|\[\[{_INSIDE}\]\]|\[[^\[\]\n]{{1,60}}\]"
     rf"|%%[^%\n]{{1,60}}%%|%\([^()\n]{{1,60}}\)[a-z]|@@[^@\n]{{1,60}}@@|(?<!\w)__[^\s_][^\n]{{0,58}}?__(?!\w)|(?<!\w)\$[A-Za-z][^$\n\s]{{0,58}}\$|(?<![\w%])%[sd](?!\w)|\(?(?<![^\s(])[A-Z?#_]{{2,}}(?:[-/.:][A-Z?#_]{{1,}})*[:)]?(?![\w])"
 )
+#: Every span begins where this does.
+_BEGIN = re.compile(r"[{\[<$@%(#_?A-Z](?:(?<=[{\[<$@%])|(?<=#)\{|(?<=\()(?=[A-Z?#_]{2})|(?<=[A-Z?#_])[A-Z?#_])")
 #: Without any of these there is no candidate.
 _ANY_MARK = re.compile(r"[{\[<$#@_]|%[s(%d]|\?\?|[A-Z]{2}")
 
@@ -323,12 +360,21 @@ _AROUND = 400
 _SENTENCE_ENDS = (". ", "! ", "? ", "… ", "\n")
 
 
+def _spans(text: str) -> Iterator[re.Match[str]]:
+    """What ``_SPAN.finditer`` gives."""
+    at = 0
+    while begin := _BEGIN.search(text, at):
+        if m := _SPAN.match(text, begin.start()):
+            yield m
+        at = m.end() if m else begin.start() + 1
+
+
 def candidates(text: str) -> list[tuple[str, str, bool]]:
     """(span, its sentence without it, whether it is quoted or one of a pair of tags) for each candidate of a text."""
-    if not _ANY_MARK.search(text):
-        return []
     out = []
-    for m in _SPAN.finditer(text):
+    for m in _spans(text):
+        if not out and not _ANY_MARK.search(text):
+            return []
         a, b = m.start(), m.end()
         low, high = max(0, a - _AROUND), min(len(text), b + _AROUND)
         start = max([x + len(stop) for stop in _SENTENCE_ENDS if (x := text.rfind(stop, low, a)) >= 0], default=low)
@@ -360,48 +406,227 @@ def placeholder_rows(texts: list[str], models: Models, plan: ResiduePlan) -> np.
 
 # --- fitting ------------------------------------------------------------------------------------------------------------------
 
+#: Documents with a share of residue below this are prose.
+_PROSE_SHARE = 0.4
+#: The limit is found to a thousandth: scores a character are counted between these, in thousandths.
+_LOWEST, _HIGHEST = -1001, -349
+
+
+@dataclass
+class _Known:
+    """What one round knows: log likelihood ratios of the residue classes, and the limit."""
+
+    ratios: np.ndarray
+    limit: float
+
+
+def _held_out(text: str) -> bool:
+    """Whether a text is of the half that is judged by models of the other half."""
+    return bool(zlib.crc32(text.encode("utf-8", "surrogatepass")) & 1)
+
+
+# Steps add what they count in some rows to the rows of ``out``, whole numbers: their order does not matter.
+
+
+def _count_halves(out: np.ndarray, texts: list[str], plan: ResiduePlan) -> None:
+    """n-grams of the held-out half and of the other, and in a last row the number of texts."""
+    held = [_held_out(t) for t in texts]
+    for i in (0, 1):
+        _count([t for t, h in zip(texts, held, strict=True) if h != bool(i)], plan, out[i])
+    out[2, 0] += len(texts)
+
+
+def _count_scores(out: np.ndarray, texts: list[str], ratios: np.ndarray, n: int, limit: float | None, plan: ResiduePlan) -> None:
+    """How many long windows of held-out prose have each score a character by the first ``n`` columns of ``ratios``. Prose is what
+    the other columns and ``limit`` say, everything without a limit."""
+    texts = [t for t in texts if _held_out(t)]
+    hit, whole, rows, steps = np.zeros(len(texts)), np.zeros(len(texts)), [], []
+    for at, parts in _slices(texts):
+        row, weight, sums = _window_sums(parts, ratios, plan)
+        row = np.asarray(at, np.int64)[row]
+        if limit is not None:
+            hit += np.bincount(row, weight * _is_residue(weight, sums[:, n:].max(axis=1), limit), len(texts))
+            whole += np.bincount(row, weight, len(texts))
+        long = weight >= 20
+        rows.append(row[long])
+        steps.append(np.floor(1000 * sums[long, :n].max(axis=1).astype(np.float64) / weight[long]))
+    prose = hit / np.maximum(1, whole) < _PROSE_SHARE
+    kept = np.concatenate(steps)[prose[np.concatenate(rows)]]
+    out[0] += np.bincount(np.clip(kept, _LOWEST, _HIGHEST).astype(np.int64) - _LOWEST, minlength=out.shape[1])
+
+
+def _limit(counts: np.ndarray) -> float:
+    """What 99 of 100 windows of prose stay below, with some room: one half of the corpus is judged by models of the other."""
+    if counts.sum() < 100:
+        return MOST
+    step = int(np.searchsorted(np.cumsum(counts), 0.99 * counts.sum())) + _LOWEST + 1
+    return float(np.clip(step / 1000 + 0.5, LEAST, MOST))
+
+
+def _covered(out: np.ndarray, texts: list[str], known: _Known, plan: ResiduePlan) -> list[str]:
+    """Texts that are not prose: what ``_count_learned`` is to see."""
+    return [t for t, s in zip(texts, residue_shares(texts, known, plan), strict=True) if s >= _PROSE_SHARE]
+
+
+def _count_learned(out: np.ndarray, texts: list[str], known: _Known, plan: ResiduePlan) -> None:
+    """n-grams of the windows of each residue class in documents that residue covers; then ``_count_halves`` of those that are
+    not prose."""
+    share = residue_shares(texts, known, plan)
+    classes = known.ratios.shape[1]
+    learn = [t for t, s in zip(texts, share, strict=True) if s >= plan.learn]
+    for _, parts in _slices(learn):
+        row, weight, _, kind = score_windows(parts, known.ratios, plan)
+        windows = _window_texts(parts, plan)
+        for i in range(classes):  # all windows of such a document, those not yet known too
+            _count([w for w, t in zip(windows, (weight > 0) & (kind == i), strict=True) if t], plan, out[i])
+    _count_halves(out[classes:], [t for t, s in zip(texts, share, strict=True) if s >= _PROSE_SHARE], plan)
+
+
+def _spans_told(texts: list[str], about: np.ndarray, known: _Known | None, plan: ResiduePlan) -> list[tuple[str, bool]]:
+    """(span, whether it is talked about) of the candidates of prose."""
+    each = [(t, c) for t in texts if (c := candidates(t))]
+    if known is not None and each:
+        share = residue_shares([t for t, _ in each], known, plan)
+        each = [x for x, s in zip(each, share, strict=True) if s < _PROSE_SHARE]
+    found = [c for _, some in each for c in some]
+    told = _told([c[1] for c in found], about, plan) if found else []
+    return [(c[0], bool(c[2] or t)) for c, t in zip(found, told, strict=True)]
+
+
+def _count_shapes(out: np.ndarray, spans: list[str], times: list[int], plan: ResiduePlan) -> None:
+    """``_count`` of the shapes of spans of which each occurs several times."""
+    x = _codes("".join(_shape(s) + "\n" for s in spans))
+    sizes = np.fromiter((len(s) + 3 for s in spans), np.int64, len(spans))
+    np.add.at(out[0], grams(x, window_starts(x, 10_000), plan), np.repeat(np.asarray(times, np.int64), sizes))
+
+
+def _natural(span: str) -> bool:
+    """Natural are those without a word, and words in capitals of several letters; the others are either unfilled fields, which
+    join the made ones unless they are talked about, or left out."""
+    return span not in MISSING and (not re.search(r"[^\W\d_]{2}", span) or (span.isalpha() and len(set(span)) > 2))
+
+
+def _count_natural(out: np.ndarray, spans: list[str], told: list[bool], times: list[int], plan: ResiduePlan) -> None:
+    kept = [(s, n) for s, n in zip(spans, times, strict=True) if _natural(s)]
+    _count_shapes(out, [s for s, _ in kept], [n for _, n in kept], plan)
+
+
+def _count_fields(out: np.ndarray, spans: list[str], told: list[bool], times: list[int], ratio: np.ndarray, plan: ResiduePlan) -> None:
+    field = _score_each([_shape(s) for s in spans], ratio, plan) > 0
+    kept = [(s, n) for s, n, t, f in zip(spans, times, told, field, strict=True) if f and not t]
+    _count_shapes(out, [s for s, _ in kept], [n for _, n in kept], plan)
+
+
+def _add_up(out: np.ndarray, pieces: Iterator[list[list]], step: Callable[..., list[str] | None], then: Callable[..., None] | None) -> None:
+    """Adds to ``out`` what ``step`` counts in each piece, and what ``then`` counts in the texts that it returns, many at once."""
+    waiting, size = [], 0
+    for columns in pieces:
+        kept = step(out, *columns) or []
+        waiting += kept
+        size += sum(map(len, kept))
+        if size > _PIECE:
+            then(out, waiting)
+            waiting, size = [], 0
+    if waiting:
+        then(out, waiting)
+
+
+@dataclass
+class _Listed:
+    """Columns of texts, or of spans, in memory."""
+
+    columns: list[list]
+
+    def tally(self, shape: tuple[int, int], step: Callable[..., list[str] | None], then: Callable[..., None] | None = None) -> np.ndarray:
+        """The sum of what ``step`` and ``then`` count, over all rows."""
+        out = np.zeros(shape, np.int64)
+        _add_up(out, ([c[i : i + 150] for c in self.columns] for i in range(0, len(self.columns[0]), 150)), step, then)
+        return out
+
+    def spans(self, step: Callable[[list[str]], list[tuple[str, bool]]]) -> _Listed:
+        found = Counter(step(self.columns[0]))
+        return _Listed([[s for s, _ in found], [t for _, t in found], list(found.values())])
+
+
+@dataclass
+class _Tabled:
+    """The same of a table, the first column of which are strings: sums come to the driver, rows never do."""
+
+    rows: DataFrame
+
+    def tally(self, shape: tuple[int, int], step: Callable[..., list[str] | None], then: Callable[..., None] | None = None) -> np.ndarray:
+        name = self.rows.columns[0]
+        shared = self.rows.sparkSession.sparkContext.broadcast((step, then))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out = np.zeros(shape, np.int64)
+            _add_up(out, ([c.to_pylist() for c in part.columns] for batch in batches for part in _pieces(batch, name=name)), *shared.value)
+            kind, at = np.nonzero(out)
+            yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(at, pa.int32()), pa.array(out[kind, at], pa.int64())], names=["kind", "at", "n"])
+
+        sums = self.rows.mapInArrow(run, "kind int, at int, n long").groupBy("kind", "at").agg(F.sum("n").alias("n")).toArrow()
+        shared.destroy()
+        total = np.zeros(shape, np.int64)
+        total[sums["kind"].to_numpy(), sums["at"].to_numpy()] = sums["n"].to_numpy()
+        return total
+
+    def spans(self, step: Callable[[list[str]], list[tuple[str, bool]]]) -> _Tabled:
+        name = self.rows.columns[0]
+        shared = self.rows.sparkSession.sparkContext.broadcast(step)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in _pieces(batch, name=name):
+                    found = shared.value(part.column(0).to_pylist())
+                    yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in found], pa.string()), pa.array([t for _, t in found], pa.bool_())], names=["span", "told"])
+
+        return _Tabled(checkpointed(self.rows.mapInArrow(run, "span string, told boolean").groupBy("span", "told").agg(F.count("*").alias("n"))))
+
+
+def fit(texts: list[str], plan: ResiduePlan) -> Models:
+    """The models, fitted on general examples and on all of ``texts``."""
+    return _fit(_Listed([texts]), plan)
+
 
-def fit(sample: list[str], plan: ResiduePlan) -> Models:
-    """The models, fitted on general examples and on a sample of the corpus."""
+def _fit(corpus: _Listed | _Tabled, plan: ResiduePlan) -> Models:
     lines = lambda s: [x for x in s.strip().split("\n")]
     seeds = [_count(lines(FILLER), plan), _count(lines(NOTICES), plan), _count([mash(plan.seed)], plan)]
     general = _count(lines(PROSE), plan)
-    prose, learned = sample, [np.zeros(plan.buckets, np.float32) for _ in seeds]
+    everything = corpus.tally((3, plan.buckets), partial(_count_halves, plan=plan))
+    prose, learned, known = everything, [np.zeros(plan.buckets, np.int64) for _ in seeds], None
     for turn in range(plan.rounds + 1):
         # What was learned counts at most as much as the general examples.
         classes = [seed + more * min(1.0, float(seed.sum()) / max(1.0, float(more.sum()))) for seed, more in zip(seeds, learned, strict=True)]
-        # General prose counts as three tenths of the sample.
-        against = _count(prose, plan)
-        against += general * max(1.0, 0.3 * float(against.sum()) / float(general.sum()))
-        ratios = np.stack([_ratio(c, against) for c in classes], axis=1)
-        limit = _limit(prose, classes, plan)
-        if turn == plan.rounds or not sample:
+        # General prose counts as three tenths of the corpus.
+        against = prose[0] + prose[1] + general * max(1.0, 0.3 * float(prose[:2].sum()) / float(general.sum()))
+        ratios = np.asfortranarray(np.stack([_ratio(c, against) for c in classes], axis=1))
+        limit = MOST
+        if everything[2, 0]:
+            both = [_ratio(c, prose[1]) for c in classes] + ([*known.ratios.T] if known else [])
+            step = partial(_count_scores, ratios=np.asfortranarray(np.stack(both, axis=1)), n=len(classes), limit=known and known.limit, plan=plan)
+            limit = _limit(corpus.tally((1, _HIGHEST - _LOWEST + 1), step)[0])
+        if turn == plan.rounds or not everything[2, 0]:
             break
-        row, weight, score, kind = score_windows(sample, ratios, plan)
-        hit = _is_residue(weight, score, limit) & (weight > 0)
-        share = np.bincount(row, weight * hit, len(sample)) / np.maximum(1, np.bincount(row, weight, len(sample)))
-        windows = _window_texts(sample, plan)
-        taken = (weight > 0) & (share[row] >= plan.learn)  # all windows of such a document, those not yet known too
-        learned = [_count([w for w, t in zip(windows, taken & (kind == i), strict=True) if t], plan) for i in range(len(seeds))]
-        prose = [t for t, s in zip(sample, share, strict=True) if s < 0.4] or sample
+        known = _Known(ratios, limit)
+        counted = corpus.tally((len(seeds) + 3, plan.buckets), partial(_covered, known=known, plan=plan), partial(_count_learned, known=known, plan=plan))
+        learned, prose = counted[: len(seeds)], everything - counted[len(seeds) :]
+        if not prose[2, 0]:
+            prose, known = everything, None
 
     # Spans: the candidates of the corpus are natural unless they look like unfilled fields and nothing says that they are meant.
     made = _count([_shape(x) for x in _span_examples(plan.seed)], plan)
-    about = _ratio(_count(lines(ABOUT), plan), _count(prose, plan))
-    found = [c for t in prose for c in candidates(t)]
-    told = np.array([c[2] for c in found], bool) | _told([c[1] for c in found], about, plan)
-    # Natural are those without a word, and words in capitals of several letters; the others are either unfilled fields, which
-    # join the made ones unless they are talked about, or left out.
-    natural = [c[0] for c in found if not re.search(r"[^\W\d_]{2}", c[0]) or (c[0].isalpha() and len(set(c[0])) > 2)]
-    natural = [x for x in natural if x not in MISSING]
+    about = _ratio(_count(lines(ABOUT), plan), prose[0] + prose[1])
     models = Models(ratios, limit, np.zeros(plan.buckets, np.float32), about)
-    more = np.zeros(plan.buckets, np.float32)
-    for _ in range(plan.rounds):
-        models.spans = _ratio(made + more * min(1.0, float(made.sum()) / max(1.0, float(more.sum()))), _count([_shape(x) for x in [*NATURAL, *natural]], plan))
-        if not found:
+    more, natural = np.zeros((2, plan.buckets), np.int64)
+    natural += _count([_shape(x) for x in NATURAL], plan)
+    if everything[2, 0]:
+        found = corpus.spans(partial(_spans_told, about=about, known=known, plan=plan))
+        natural += found.tally((1, plan.buckets), partial(_count_natural, plan=plan))[0]
+    for turn in range(plan.rounds):
+        models.spans = _ratio(made + more * min(1.0, float(made.sum()) / max(1.0, float(more.sum()))), natural)
+        if turn == plan.rounds - 1 or not everything[2, 0]:
             break
-        field = _score_each([_shape(c[0]) for c in found], models.spans, plan) > 0
-        more = _count([_shape(c[0]) for c, f in zip(found, field & ~told, strict=True) if f], plan)
+        more = found.tally((1, plan.buckets), partial(_count_fields, ratio=models.spans, plan=plan))[0]
     return models
 
 
@@ -411,18 +636,18 @@ def fit(sample: list[str], plan: ResiduePlan) -> Models:
 def find_residue(documents: DataFrame, plan: ResiduePlan | None = None) -> DataFrame:
     """(doc_id, why, share) of the documents to exclude: ``why`` is placeholder or residue, ``share`` that of residue.
 
-    Null, empty and blank texts are not residue; repeated rows each give their row; an empty table gives an empty result.
+    Null, empty and blank texts are not residue; repeated rows each give their row; an empty table gives an empty result. The
+    models are fitted on every document: ``documents`` is read 2 x ``rounds`` + 3 times for them, and once for the result.
     """
     plan = plan or ResiduePlan()
     texts = documents.select("doc_id", "text").filter(F.col("text").rlike(r"\S"))
-    sample = bounded_sample(texts, "doc_id", plan.sample_docs, texts.count(), plan.seed)
-    shared = documents.sparkSession.sparkContext.broadcast(fit([r["text"] for r in sample.collect()], plan))  # 5 x buckets floats
+    shared = documents.sparkSession.sparkContext.broadcast(_fit(_Tabled(texts.select("text")), plan))  # 5 x buckets floats
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = shared.value
         for batch in batches:
             for part in _pieces(batch):
-                texts = part.column(1).to_pylist()
+                texts = part.column("text").to_pylist()
                 share = residue_shares(texts, models, plan)
                 hole = placeholder_rows(texts, models, plan)
                 keep = np.flatnonzero(hole | (share >= plan.coverage))
@@ -432,9 +657,9 @@ def find_residue(documents: DataFrame, plan: ResiduePlan | None = None) -> DataF
     return texts.mapInArrow(run, "doc_id long, why string, share double")
 
 
-def _pieces(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """A batch in pieces of about ``most`` bytes of text, of one row at least: what is scored at once stays small."""
-    sizes = np.fromiter((len(t) for t in batch.column(1).to_pylist()), np.int64, batch.num_rows)
+def _pieces(batch: pa.RecordBatch, most: int = _PIECE, name: str = "text") -> Iterator[pa.RecordBatch]:
+    """A batch in pieces of about ``most`` characters of text, of one row at least: what is scored at once stays small."""
+    sizes = pc.utf8_length(batch.column(name)).to_pylist()
     at, total = 0, 0
     for i, n in enumerate(sizes):
         if i > at and total + n > most:
