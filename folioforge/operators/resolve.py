@@ -223,40 +223,71 @@ def doi_candidates(files: DataFrame) -> DataFrame:
     return every.filter(T.valid_doi(F.col("doi")))
 
 
+# Lengths of the beginnings by which stems are sorted into classes. Names of files have at most 255 characters;
+# what is longer belongs to the last class.
+STEM_CLASSES = (1, 2, 4, 8, 16, 32, 64, 128)
+
+
+def contained(longs: DataFrame, shorts: DataFrame) -> DataFrame:
+    """(stem, piece), distinct: every piece of the ``longs`` (stem) that may be one of the ``shorts`` (stem); it contains all
+    that are, and few others. The caller compares pieces and stems.
+
+    The class of a short stem is the longest beginning of a fixed length that fits in it. Of the grams of this beginning the one
+    with the smallest hash, the first of equals, is its key; a stem that contains it has the same gram as smallest of the window
+    at that place, so it is looked up by the smallest gram of each of its windows, which neighbouring windows share from class 8
+    on. A key has the offsets and lengths of its stems, not the stems: a key that many stems share has one row.
+    """
+
+    def smallest(stem: Column, windows: Column, n: Column) -> Column:
+        """The distinct (gram's hash, place) of the first ``windows`` windows of ``n`` characters."""
+        gram = F.greatest(F.least(n, F.lit(4)), F.floor(n / 2).cast("int"))
+        grams = F.transform(F.sequence(F.lit(1), windows + n - gram), lambda i: F.struct(F.xxhash64(F.substring(stem, i, gram)).alias("gram"), i.alias("at")))
+        # Bound by an array of one, so that the grams are made once for a stem, not once for a window.
+        each = F.transform(F.array(grams), lambda g: F.transform(F.sequence(F.lit(1), windows), lambda i: F.array_min(F.slice(g, i, n - gram + 1))))
+        return F.array_distinct(F.flatten(each))
+
+    n = F.lit(None).cast("int")
+    for size in STEM_CLASSES:
+        n = F.when(F.length("stem") >= size, size).otherwise(n)
+    # By explode, though it is one: the filter for nulls that Spark adds would else compute it for every row before the distinct.
+    entries = shorts.select("stem", n.alias("n")).select("n", F.length("stem").alias("length"), F.explode(smallest(F.col("stem"), F.lit(1), F.col("n"))).alias("g"))
+    used = shorts.agg(F.array_sort(F.collect_set(n)).alias("classes"))  # one row of at most as many numbers as there are classes
+    keys = entries.groupBy("n", "g.gram").agg(F.collect_set(F.struct(F.col("g.at").alias("offset"), "length")).alias("forms"))
+    tasks = int(longs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes become many rows
+    classed = longs.repartition(tasks).join(F.broadcast(used)).select("stem", F.explode("classes").alias("n")).filter(F.length("stem") >= F.col("n"))
+    lookups = classed.select("stem", "n", F.explode(smallest(F.col("stem"), F.length("stem") - F.col("n") + 1, F.col("n"))).alias("g")).select("stem", "n", "g.gram", "g.at")
+    # Spark takes the size of lookups for that of the stems: without the hint it may send them all to the driver and broadcast them.
+    met = lookups.hint("merge").join(keys, ["n", "gram"]).select("stem", "at", F.explode("forms").alias("form"))
+    first, length = F.col("at") - F.col("form.offset") + 1, F.col("form.length")
+    return met.filter((first >= 1) & (first + length - 1 <= F.length("stem"))).select("stem", F.substring("stem", first, length).alias("piece")).distinct()
+
+
 def find_bundles(files: DataFrame, bundles: DataFrame) -> DataFrame:
     """(path, bundle) for each file: the bundle of the same stem beside it, else one in its or the parent directory whose stem
     contains the file's or is contained in it; ties go to the nearer directory, then to the smaller path.
 
-    A stem that is contained in another has its first four characters (all, if it has fewer) somewhere in it: these are the key
-    of an index of directory and piece, in which the longer one is looked up at each of its places, and contains verifies. So a
-    directory with any number of files forms no pairs, and a stem has one entry and as many lookups as it has places.
+    Stems that may be contained in others come from ``contained``; then directory and stem are compared as a whole, with one
+    bundle, the smallest, for each. So a directory with any number of files, and a name part that all of them share, forms no
+    pairs: the rows grow with the number of names. All joins of tables are by sort and merge: no side is broadcast.
     """
 
-    def parts(df: DataFrame, name: str, out: str) -> DataFrame:
-        p = F.col(name)
-        return df.select(p.alias(out), F.regexp_replace(p, "/[^/]*$", "").alias("dir"), F.regexp_replace(F.substring_index(p, "/", -1), r"\.[^.]*$", "").alias("stem")).filter("stem <> ''")
-
-    def pieces(stem: Column) -> Column:
-        """Every piece of one to four characters by which a shorter stem may have been entered."""
-        places = F.sequence(F.lit(1), F.length(stem))
-        return F.array_distinct(F.flatten(F.transform(places, lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(4), F.length(stem) - i + 1)), lambda k: F.substring(stem, i, k)))))
-
-    entry = F.struct(F.least(F.length("stem"), F.lit(4)).alias("n"), F.substring("stem", 1, 4).alias("piece"))
-    lookups = F.explode(F.transform(pieces(F.col("stem")), lambda x: F.struct(F.length(x).alias("n"), x.alias("piece")))).alias("at")
-    f, b = parts(files, "path", "path"), checkpointed(parts(bundles, "path", "bundle"))
-    own = checkpointed(f.join(b, ["dir", "stem"]).groupBy("path").agg(F.min("bundle").alias("bundle")))
-    asked = f.join(own.select("path"), "path", "left_anti")
-    places = F.array(F.struct(F.lit(0).alias("far"), F.col("dir").alias("d")), F.struct(F.lit(1).alias("far"), F.regexp_replace("dir", "/[^/]*$", "").alias("d")))
-    asked = checkpointed(asked.select("path", "stem", F.explode(places).alias("p")).select("path", "stem", "p.far", F.col("p.d").alias("dir")))
-    there = b.join(asked.select("dir").distinct(), "dir", "left_semi")
-    # Entries of three characters and fewer are whole stems: they match by the key alone.
-    bundle_entry = there.select("bundle", "dir", F.col("stem").alias("short"), entry.alias("at"))
-    file_lookup = asked.select("path", "far", "dir", F.col("stem").alias("long"), lookups)
-    file_entry = asked.select("path", "far", "dir", F.col("stem").alias("short"), entry.alias("at"))
-    bundle_lookup = there.select("bundle", "dir", F.col("stem").alias("long"), lookups)
-    met = file_lookup.join(bundle_entry, ["dir", "at"]).unionByName(bundle_lookup.join(file_entry, ["dir", "at"]))
-    fuzzy = met.filter(F.col("long").contains(F.col("short"))).groupBy("path").agg(F.min(F.struct("far", "bundle"))["bundle"].alias("bundle"))
-    return files.select("path").join(own.unionByName(fuzzy), "path", "left")
+    def parts(df: DataFrame) -> DataFrame:
+        p = F.col("path")
+        return df.select(p, F.regexp_replace(p, "/[^/]*$", "").alias("dir"), F.regexp_replace(F.substring_index(p, "/", -1), r"\.[^.]*$", "").alias("stem"))
+
+    above = F.regexp_replace("dir", "/[^/]*$", "")
+    f = parts(files)
+    b = parts(bundles).filter("stem <> ''").groupBy("dir", "stem").agg(F.min("path").alias("bundle"))
+    alone = f.filter("stem <> ''").select("dir", "stem").distinct().hint("merge").join(b, ["dir", "stem"], "left_anti")
+    asked = checkpointed(alone.select(F.explode(F.array("dir", above)).alias("dir"), "stem").distinct())
+    there = checkpointed(b.hint("merge").join(asked.select("dir").distinct(), "dir", "left_semi"))
+    file_stems, bundle_stems = asked.select("stem").distinct(), there.select("stem").distinct()
+    within = contained(file_stems, bundle_stems).hint("merge").join(asked, "stem").hint("merge").join(there.withColumnRenamed("stem", "piece"), ["dir", "piece"])
+    around = contained(bundle_stems, file_stems).hint("merge").join(there, "stem").select("dir", F.col("piece").alias("stem"), "bundle")
+    near = within.select("dir", "stem", "bundle").unionByName(around).groupBy("dir", "stem").agg(F.min("bundle").alias("bundle"))
+    own, beside, over = (x.withColumnRenamed("bundle", name) for x, name in ((b, "__own"), (near, "__beside"), (near.withColumnRenamed("dir", "__above"), "__over")))
+    every = f.withColumn("__above", above).hint("merge").join(own, ["dir", "stem"], "left").hint("merge").join(beside, ["dir", "stem"], "left").hint("merge").join(over, ["__above", "stem"], "left")
+    return every.select("path", F.coalesce("__own", "__beside", "__over").alias("bundle"))
 
 
 def find_parents(supplements: DataFrame, papers: DataFrame) -> DataFrame:
